@@ -6,20 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import line_rules
+from voltway.llm import host_trust, line_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules, then host trust against distrust, for every url of pages."""
+    return host_trust.filtered_urls(table(spark, sf_dir, "pages"))
+
+
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of every text of documents."""
     return line_rules.judged(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_line_rules,)}
+    return {f.__name__: f for f in (op4_host_trust, op8_line_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
