@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import host_trust, line_rules
+from voltway.llm import host_trust, line_rules, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +23,13 @@ def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_host_trust, op8_line_rules)}
+    return {f.__name__: f for f in (op4_host_trust, op8_line_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
