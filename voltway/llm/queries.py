@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import host_trust, line_rules, packing
+from voltway.llm import host_trust, line_rules, packing, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_trust.filtered_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids through files."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of every text of documents."""
     return line_rules.judged(table(spark, sf_dir, "documents"))
@@ -29,7 +34,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_host_trust, op8_line_rules, op10_packing)}
+    return {f.__name__: f for f in (op4_host_trust, op5_token_files, op8_line_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
