@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import host_trust, line_rules, packing, token_files, trie_bpe
+from voltway.llm import host_trust, license_scan, line_rules, packing, token_files, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every text of documents."""
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
 def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents encoded over a trie of its words, and decoded."""
     return trie_bpe.digests(table(spark, sf_dir, "documents"))
@@ -39,7 +44,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_host_trust, op5_token_files, op7_trie_bpe, op8_line_rules, op10_packing)}
+    return {f.__name__: f for f in (op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
