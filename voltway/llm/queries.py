@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import host_trust, license_scan, line_rules, packing, token_files, trie_bpe
+from voltway.llm import host_trust, license_scan, line_rules, multiprobe, packing, token_files, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,13 +38,18 @@ def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op9_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, against all vectors of embeddings."""
+    return multiprobe.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op10_packing)}
+    return {f.__name__: f for f in (op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
