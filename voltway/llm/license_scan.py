@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voltway.llm.words import WordHashes, rolling, word_hash
+
 # The phrases of the base rule and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -70,7 +71,6 @@ SHORT, LONG = 2, 4
 SHARE, GAP = 0.6, 3
 #: Lower-cases A-Z and makes every byte outside words a space.
 WORD_BYTES = bytes(b if b >= 0x80 or chr(b).isdigit() or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-FACTOR = np.uint64(0x9E3779B97F4A7C15)
 GRAMS = "row long, doc_id long, n_words long, hashes array<long>"
 MOST_WORDS = 400_000
 #: Joins with one row of the templates' table, so that each text keeps a row.
@@ -81,30 +81,6 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split() if text else []
 
 
-def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
-    """A hash of each k consecutive words, other for each k."""
-    n = len(hashes) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    found = np.full(n, k, np.uint64)
-    for j in range(k):
-        found = found * FACTOR + hashes[j : j + n]
-    found ^= found >> np.uint64(29)
-    return (found * FACTOR).view(np.int64)
-
-
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
-class WordHashes(dict):
-    """word -> hash, made when first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = word_hash(word)
-        return found
-
-
 def templates() -> list[tuple[int, int, int, int, str, bool]]:
     """(hash, k, position, k-grams of the template, template number: label, base) rows."""
     rows = [(PRESENT, 0, 0, 0, -1, "", False)]
@@ -134,9 +110,7 @@ def grams(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
             rows, docs, counts, parts = [], [], [], []
             for row, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary()).to_pylist(), strict=True):
                 words = words_of(text)
-                own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                if len(known) > MOST_WORDS:
-                    known.clear()
+                own = known.of(words)
                 rows.append(row)
                 docs.append(doc)
                 counts.append(len(words))
