@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import host_trust, license_scan, line_rules, multiprobe, packing, token_files, trie_bpe
+from voltway.llm import dart_minhash, host_trust, license_scan, line_rules, multiprobe, packing, token_files, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return dart_minhash.classified(table(spark, sf_dir, "documents"))
+
+
 def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then host trust against distrust, for every url of pages."""
     return host_trust.filtered_urls(table(spark, sf_dir, "pages"))
@@ -49,7 +54,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing)}
+    return {f.__name__: f for f in (op3_dart_minhash, op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
