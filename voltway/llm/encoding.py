@@ -1,34 +1,77 @@
-"""Encoding with the tokenizers library inside tasks: each distinct chunk of text once.
-
-A text is cut where no token of the tokenizer can reach across, the distinct
-chunks that a worker hasn't met yet are encoded together by the library
-(separated by the tokenizer's own end token, which splits its input), and
-texts are put together from the chunks' ids with numpy. A worker's memory of
-chunks is emptied beyond ``MOST_CHUNKS``, so memory is bounded whatever the
-vocabulary.
+"""Encoding with the tokenizers library inside tasks: each distinct piece of text once.
+
+A text is cut into chunks where no token of the tokenizer can reach across. A
+chunk that a worker meets for the first time is normalised and cut into the
+tokenizer's own pieces, and pieces not yet known are encoded by the library's
+model; texts are put together from the chunks' ids with numpy. What a worker
+remembers is emptied beyond ``MOST_CHUNKS``, so memory is bounded whatever the
+vocabulary. Chunks with parts of special tokens go through the whole library.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
+from array import array
+from itertools import chain
 
 import numpy as np
+import regex
 
 #: Unicode's White_Space, as the tokenizers' own patterns have it.
 WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 LEADING = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 ALONE = re.compile(f"[^{WHITE}]+")
-MOST_CHUNKS = 400_000
-END = "<|endoftext|>"
+# The pieces that the tokenizer files' pre-tokenizers keep.
+BYTE_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+MOST_CHUNKS = 500_000
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte -> printable letter, as byte-level vocabularies write bytes."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+LETTERS = byte_letters()
+
+
+def lower_cased(text: str) -> str:
+    """NFC and then lower case, letter by letter."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+def in_letters(piece: str) -> str:
+    """The piece's bytes as letters."""
+    if piece.isascii() and piece.isalnum():
+        return piece
+    return piece.encode().decode("latin-1").translate(LETTERS)
+
+
+class Numbers(dict):
+    """text -> number in order of first asking; ``new`` lists what was added since it was last emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        found = self[text] = len(self)
+        self.new.append(text)
+        return found
 
 
 class ChunkEncoder:
     """Ids of whole texts, as the library's ``encode(text, add_special_tokens=False)`` gives them.
 
-    ``drops_white``: the tokenizer drops white space, so chunks go without it.
+    ``drops_white``: the tokenizer lower-cases and drops white space.
     """
 
+    #: Characters of text that are cut at a time.
+    slice = 1_500_000
+
     def __init__(self, path: str, drops_white: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -36,59 +79,63 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.end = self.tokenizer.token_to_id(END)
+        self.model = self.tokenizer.model
+        self.drops_white = drops_white
         self.cut = (ALONE if drops_white else LEADING).findall
+        self.pieces_of = (WORD_PIECES if drops_white else BYTE_PIECES).findall
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint16)
-        self.lengths = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-
-    def learn(self, chunks: list[str]) -> None:
-        """Encode chunks that aren't known yet."""
-        ids = []
-        special = [c for c in chunks if "<|" in c]
-        plain = [c for c in chunks if "<|" not in c] if special else chunks
-        for at in range(0, len(plain), 5000):
-            joined = END.join(plain[at : at + 5000]) + END
-            ids.append(np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64))
-        plain_ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        ends = np.flatnonzero(plain_ids == self.end)
-        lengths = np.diff(ends, prepend=-1) - 1
-        flat = [plain_ids[plain_ids != self.end].astype(np.uint16)]
-        for c in special:
-            own = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.uint16)
-            flat.append(own)
-            lengths = np.append(lengths, len(own))
-        base = len(self.index)
-        self.index.update(zip(plain + special, range(base, base + len(chunks)), strict=True))
-        self.flat = np.concatenate([self.flat, *flat])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.chunks = Numbers()
+        self.pieces: dict[str, list[int]] = {}
+        self.ids = array("H")
+        self.starts = array("q", [0])
+
+    def encode_piece(self, piece: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(in_letters(piece))]
+
+    def learn(self) -> None:
+        """Ids of the chunks that were met since the last time."""
+        pieces, ids, starts, drops = self.pieces, self.ids, self.starts, self.drops_white
+        for chunk in self.chunks.new:
+            if "<|" in chunk:
+                ids.extend(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+            else:
+                for piece in self.pieces_of(lower_cased(chunk) if drops else chunk):
+                    found = pieces.get(piece)
+                    if found is None:
+                        found = pieces[piece] = self.encode_piece(piece)
+                    ids.extend(found)
+            starts.append(len(ids))
+        self.chunks.new.clear()
+        if len(pieces) > MOST_CHUNKS:
+            pieces.clear()
+
+    def slice_ids(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.chunks) > MOST_CHUNKS:
+            self.forget()
+        cut = [self.cut(t) for t in texts]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        which = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        self.learn()
+        ids, starts = np.frombuffer(self.ids, np.uint16) if self.ids else np.zeros(0, np.uint16), np.frombuffer(self.starts, np.int64)
+        first, last = starts[which], starts[which + 1]
+        lengths = last - first
+        ends = np.cumsum(lengths)
+        found = ids[np.repeat(last - ends, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.cumsum(counts)[:-1]] if len(cut) else []
+        return np.split(found, bounds)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, uint16; null is the empty text."""
-        cut = [self.cut(t) if t else [] for t in texts]
-        known, new = self.index, {}
-        for chunks in cut:
-            new.update(dict.fromkeys(c for c in set(chunks) if c not in known))
-        if len(known) + len(new) > MOST_CHUNKS and known:
-            self.forget()
-            new = {}
-            for chunks in cut:
-                new.update(dict.fromkeys(chunks))
-        if new:
-            self.learn(list(new))
-        return [self.gathered(chunks) for chunks in cut]
-
-    def gathered(self, chunks: list[str]) -> np.ndarray:
-        which = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
-        lengths = self.lengths[which]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.starts[which] - (ends - lengths), lengths)
-        return self.flat[at + np.arange(len(at))]
+        found, part, size = [], [], 0
+        for text in texts:
+            part.append(text or "")
+            size += len(part[-1])
+            if size > self.slice:
+                found += self.slice_ids(part)
+                part, size = [], 0
+        return found + self.slice_ids(part) if part else found
 
 
 _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}

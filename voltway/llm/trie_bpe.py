@@ -21,22 +21,18 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import unicodedata
 from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltway.llm.encoding import ALONE, MOST_CHUNKS, public_path
+from voltway.llm.encoding import ChunkEncoder, in_letters, lower_cased, public_path
 
-# Fixed value: the pieces that the tokenizer file's pre-tokenizer keeps.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
-MOST_PAIRS = 400_000
+MOST_PAIRS, MOST_WORDS = 400_000, 400_000
 
 RESULT = T.StructType(
     [
@@ -47,17 +43,13 @@ RESULT = T.StructType(
 )
 
 
-def byte_letters() -> dict[int, str]:
-    """Byte -> printable letter, as byte-level vocabularies write bytes."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
-
-
-class TrieEncoder:
+class TrieEncoder(ChunkEncoder):
     """Ids of texts under a lower-casing BPE with word ends, read from a tokenizer file."""
 
+    slice = 5_000_000
+
     def __init__(self, path: str):
+        super().__init__(path, drops_white=True)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.vocab: dict[str, int] = spec["model"]["vocab"]
@@ -73,16 +65,8 @@ class TrieEncoder:
             if len(plain) > 2:
                 self.by_tail.setdefault(plain[-3:] + end, []).append(len(plain))
         self.by_tail = {k: [*sorted(set(v), reverse=True), 2, 1] for k, v in self.by_tail.items()}
-        self.letters = byte_letters()
         self.by_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.pairs: dict[int, bool] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, int] = {}
-        self.flat: list[int] = []
-        self.spans: list[int] = [0]
 
     # -- pairs of tokens
 
@@ -133,9 +117,9 @@ class TrieEncoder:
         raise ValueError(f"no token ends {letters[:depth]!r}")
 
     def learn_words(self, words: list[str]) -> None:
-        """Walk the trie of ``words`` (written in byte letters) depth first."""
+        """Walk the trie of ``words`` depth first."""
         path, before = [(-1, 0)], ""
-        for word in sorted(words):
+        for word, piece in sorted((in_letters(w), w) for w in words):
             del path[min(len(commonprefix([before, word])), len(word) - 1) + 1 :]
             for depth in range(len(path), len(word)):
                 path.append(self.last(word, depth, path, ""))
@@ -144,48 +128,34 @@ class TrieEncoder:
             while start:
                 token, start = path[start]
                 ids.append(token)
-            self.words[word] = tuple(reversed(ids))
+            self.pieces[piece] = ids[::-1]
             before = word
 
     # -- texts
 
-    def cut(self, chunk: str) -> list[str | int]:
-        """Words in byte letters, and special tokens' ids, of a text without white space."""
+    def cut_chunk(self, chunk: str) -> list[str | int]:
+        """Words, and special tokens' ids, of a text without white space."""
+        if "<|" not in chunk:
+            return self.pieces_of(lower_cased(chunk))
         found: list[str | int] = []
-        for part in self.by_special.split(chunk) if "<|" in chunk else (chunk,):
-            if part in self.special:
-                found.append(self.special[part])
-            elif part:
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                found += ["".join(map(self.letters.__getitem__, w.encode())) for w in WORD.findall(plain)]
+        for part in self.by_special.split(chunk):
+            found += [self.special[part]] if part in self.special else self.pieces_of(lower_cased(part))
         return found
 
-    def learn_chunks(self, chunks: list[str]) -> None:
-        cut = [self.cut(c) for c in chunks]
-        self.learn_words([w for w in {w for c in cut for w in c} if isinstance(w, str) and w not in self.words])
-        for chunk, parts in zip(chunks, cut, strict=True):
-            self.chunks[chunk] = len(self.spans) - 1
+    def learn(self) -> None:
+        """Ids of the chunks that were met since the last time."""
+        if len(self.pieces) > MOST_WORDS:
+            self.pieces.clear()
+        cut = [self.cut_chunk(c) for c in self.chunks.new]
+        self.learn_words([w for w in {w for c in cut for w in c} if isinstance(w, str) and w not in self.pieces])
+        for parts in cut:
             for p in parts:
-                self.flat.extend(self.words[p] if isinstance(p, str) else (p,))
-            self.spans.append(len(self.flat))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [ALONE.findall(t) if t else [] for t in texts]
-        new = {c for chunks in cut for c in set(chunks) if c not in self.chunks}
-        if self.chunks and len(self.chunks) + len(new) > MOST_CHUNKS:
-            self.forget()
-            new = {c for chunks in cut for c in chunks}
-        if new:
-            self.learn_chunks(list(new))
-        flat, spans = np.array(self.flat, "<u4"), np.array(self.spans)
-        found = []
-        for chunks in cut:
-            which = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
-            starts, lengths = spans[which], spans[which + 1] - spans[which]
-            ends = np.cumsum(lengths)
-            found.append(flat[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)])
-        return found
+                if isinstance(p, str):
+                    self.ids.extend(self.pieces[p])
+                else:
+                    self.ids.append(p)
+            self.starts.append(len(self.ids))
+        self.chunks.new.clear()
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by a space: the tokenizer file names no decoder."""
@@ -213,7 +183,7 @@ def digests(docs: DataFrame, tokenizer: str | None = None, id_column: str = "doc
         return pa.StructArray.from_arrays(
             [
                 pa.array([len(x) for x in found], pa.int64()),
-                pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in found], pa.string()),
+                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in found], pa.string()),
                 pa.array([hashlib.sha256(own.decode(x).encode()).hexdigest() for x in found], pa.string()),
             ],
             RESULT.names,
