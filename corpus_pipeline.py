@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import common, line_rules
+from voltway.llm import common, dart_minhash, line_rules, packing, toxicity
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +17,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_rules.cleaned(docs)
 
 
-STAGES = [("quality", quality)]
+def nontoxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, finds toxic go."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
-#: No stage but the first counts can be put in SQL; tests compare with brute force.
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays: the one with the smallest id."""
+    return dart_minhash.deduplicated(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of at most 2048 tokens."""
+    return packing.packed(docs)
+
+
+STAGES = [("quality", quality), ("toxicity", nontoxic), ("near_dedup", distinct), ("packing", sequences)]
+
+#: SQL can't express the stages (fitted models, signatures, tokenizers); tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import dart_minhash, host_trust, license_scan, line_rules, multiprobe, packing, token_files, toxicity, trie_bpe
+from voltway.llm import dart_minhash, hmm_lm, host_trust, license_scan, line_rules, multiprobe, packing, token_files, toxicity, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every text of documents under a hidden Markov model."""
+    return hmm_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every text of documents."""
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -59,7 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_dart_minhash, op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing)}
+    return {f.__name__: f for f in (op1_hmm_lm, op2_toxicity, op3_dart_minhash, op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
