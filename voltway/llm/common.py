@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine find this package, wherever the driver was started.
+
+    On a cluster it comes with ``--py-files`` or an installed environment; a
+    folder that isn't there does no harm.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call returns."""
     return f"{shared_dir(spark).rstrip('/')}/voltway/{uuid.uuid4().hex}-{name}"

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import dart_minhash, hmm_lm, host_trust, license_scan, line_rules, multiprobe, packing, token_files, toxicity, trie_bpe
+from voltway.llm import common, dart_minhash, hmm_lm, host_trust, license_scan, line_rules, multiprobe, packing, token_files, toxicity, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -32,7 +32,7 @@ from voltway.llm import common
 #: Expected number of labelled rows that the model is fitted on, at most.
 SAMPLE = 20_000
 #: Features kept, at most; each in at least so many sampled texts, and so many standard errors from no effect.
-MOST_FEATURES, LEAST_TEXTS, LEAST_Z = 20_000, 8, 4.0
+MOST_FEATURES, LEAST_TEXTS, LEAST_Z = 20_000, 4, 4.0
 BEGINNINGS = (4, 5, 6)
 L2, SWAP_PENALTY, STEPS, RATE = 1e-4, 10.0, 500, 0.1
 
@@ -134,10 +134,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str
     if not n or not n1 or n1 == n:
         return Model()
     counts = rows.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("label").alias("a"), F.count("*").alias("m"))
-    p = (F.col("a") + 0.5) / (n1 + 1)
-    q = (F.col("m") - F.col("a") + 0.5) / (n - n1 + 1)
-    z = F.abs(F.log(p / q)) / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("m") - F.col("a") + 0.5))
-    kept = counts.filter(F.col("m") >= LEAST_TEXTS).withColumn("z", z).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(MOST_FEATURES)
+    a, m, rate = F.col("a"), F.col("m"), n1 / n
+    part = lambda k, share: F.when(k > 0, k * F.log(k / (m * share))).otherwise(0.0)
+    z = F.sqrt(F.greatest(2 * (part(a, rate) + part(m - a, 1 - rate)), F.lit(0.0)))  # root of the likelihood ratio statistic
+    kept = counts.filter(m >= LEAST_TEXTS).withColumn("z", z).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(MOST_FEATURES)
     names = [bytes(r["feature"]) for r in kept.select("feature").collect()]
     index = {f: i for i, f in enumerate(names)}
 
