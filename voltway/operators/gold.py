@@ -26,8 +26,8 @@ class Tables:
     gaps: DataFrame
 
 
-def tables(events: DataFrame, gap_days: float = GAP_DAYS) -> Tables:
-    rows = S.conformed(events)
+def tables(rows: DataFrame, gap_days: float = GAP_DAYS) -> Tables:
+    """All tables from the conformed rows."""
     accepted = S.unioned(rows)
     line = I.timeline(accepted)
     levels = I.robust_max(I.days_at_level(I.sweep(line)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,10 +17,38 @@ from voltway.plans.oracle import with_tables
 QUERIES, ORACLE = {}, {}
 
 
+class Warehouse:
+    """The tables of one folder in one session.
+
+    The conformed rows are persisted: every other table reads them several times.
+    """
+
+    known: dict[tuple[str, str], Warehouse] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        self.rows = S.conformed(self.events).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def tables(self) -> gold.Tables:
+        return gold.tables(self.rows)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return S.unioned(self.rows)
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in cls.known:
+            cls.known = {key: cls(spark, sf_dir)}  # one at a time
+        return cls.known[key]
+
+
 def query(sql: str):
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(spark.read.parquet(f"{sf_dir}/events.parquet"))
+            return f(Warehouse.of(spark, sf_dir))
 
         QUERIES[f.__name__], ORACLE[f.__name__] = run, with_tables(sql)
         return f
@@ -35,14 +66,14 @@ def epoch(c: str) -> Column:
 
 
 @query("SELECT source, round(sum(connected_minutes) / nullif(sum(CASE WHEN connected_minutes IS NOT NULL OR source <> 'beta' THEN available_minutes END), 0), 6) AS connected_utilization, round(sum(charging_minutes) / nullif(sum(available_minutes), 0), 6) AS charging_utilization, count(*) AS station_days FROM station_day WHERE NOT is_excluded GROUP BY 1")
-def utilization_by_source(events):
-    found = gold.utilization_by_source(gold.station_day(gold.tables(events)))
+def utilization_by_source(w):
+    found = gold.utilization_by_source(gold.station_day(w.tables))
     return found.select("source", r6("connected_utilization"), r6("charging_utilization"), "station_days")
 
 
 @query("SELECT object_id, source, family, station_key, site_key, port_id, CAST(epoch(start_utc) AS BIGINT) AS start_s, CAST(epoch(end_utc) AS BIGINT) AS end_s, round(energy_kwh, 6) AS energy_kwh, round(charging_minutes, 6) AS charging_minutes, round(connected_minutes, 6) AS connected_minutes, round(reported_minutes, 6) AS reported_minutes, round(idle_minutes, 6) AS idle_minutes, round(implied_kw, 6) AS implied_kw, precision_seconds, is_non_trivial, list_aggregate(flags, 'string_agg', ',') AS flags FROM sessions")
-def sessions_unioned(events):
-    return S.unioned(S.conformed(events)).select(
+def sessions_unioned(w):
+    return w.sessions.select(
         "object_id", "source", "family", "station_key", "site_key", "port_id", epoch("start_utc").alias("start_s"), epoch("end_utc").alias("end_s"),
         *(r6(n) for n in ("energy_kwh", "charging_minutes", "connected_minutes", "reported_minutes", "idle_minutes", "implied_kw")), "precision_seconds", "is_non_trivial",
         C.joined_or_null(F.col("flags")).alias("flags"),
@@ -50,83 +81,83 @@ def sessions_unioned(events):
 
 
 @query("SELECT object_id, source, family, station_key, reasons[1] AS primary_reason, list_aggregate(reasons, 'string_agg', ',') AS reasons, list_aggregate(flags, 'string_agg', ',') AS flags, round(energy_kwh, 6) AS energy_kwh, round(connected_minutes, 6) AS connected_minutes FROM judged WHERE len(reasons) > 0")
-def sessions_quarantined(events):
-    return S.quarantined(S.conformed(events)).select(
+def sessions_quarantined(w):
+    return S.quarantined(w.rows).select(
         "object_id", "source", "family", "station_key", "primary_reason", C.joined_or_null(F.col("reasons")).alias("reasons"), C.joined_or_null(F.col("flags")).alias("flags"),
         r6("energy_kwh"), r6("connected_minutes"),
     )
 
 
 @query("SELECT source, reason, count(*) AS n FROM (SELECT source, unnest(reasons) AS reason FROM judged) GROUP BY 1, 2")
-def reason_counts(events):
-    return S.conformed(events).select("source", F.explode("reasons").alias("reason")).groupBy("source", "reason").agg(F.count("*").alias("n"))
+def reason_counts(w):
+    return w.rows.select("source", F.explode("reasons").alias("reason")).groupBy("source", "reason").agg(F.count("*").alias("n"))
 
 
 @query("SELECT source, flag, count(*) AS n FROM (SELECT source, unnest(flags) AS flag FROM sessions) GROUP BY 1, 2")
-def flag_counts(events):
-    return S.unioned(S.conformed(events)).select("source", F.explode("flags").alias("flag")).groupBy("source", "flag").agg(F.count("*").alias("n"))
+def flag_counts(w):
+    return w.sessions.select("source", F.explode("flags").alias("flag")).groupBy("source", "flag").agg(F.count("*").alias("n"))
 
 
 @query("SELECT source, count(*) AS rows_all, count(CASE WHEN len(reasons) = 0 THEN 1 END) AS accepted, count(CASE WHEN len(reasons) > 0 THEN 1 END) AS rejected, round(sum(energy_kwh), 4) AS kwh FROM judged GROUP BY 1")
-def rows_conserved(events):
+def rows_conserved(w):
     ok = F.col("primary_reason").isNull()
-    return S.conformed(events).groupBy("source").agg(
+    return w.rows.groupBy("source").agg(
         F.count("*").alias("rows_all"), F.count(F.when(ok, 1)).alias("accepted"), F.count(F.when(~ok, 1)).alias("rejected"), F.round(F.sum("energy_kwh"), 4).alias("kwh")
     )
 
 
 @query("SELECT object_id, exact_rank, key_rank FROM ranked WHERE source = 'alpha'")
-def dedup_ranks(events):
-    return S.conformed_alpha(S.published_alpha(events)).select("object_id", "exact_rank", "key_rank")
+def dedup_ranks(w):
+    return S.conformed_alpha(S.published_alpha(w.events)).select("object_id", "exact_rank", "key_rank")
 
 
 @query("SELECT source, station_key, object_id FROM (SELECT *, row_number() OVER (PARTITION BY source, station_key, CAST(start_local AS DATE) ORDER BY charging_minutes DESC NULLS LAST, object_id) AS k FROM sessions) WHERE k = 1")
-def dedup_prefer_larger(events):
+def dedup_prefer_larger(w):
     order = Window.partitionBy("source", "station_key", F.to_date("start_local")).orderBy(F.col("charging_minutes").desc_nulls_last(), "object_id")
-    return S.unioned(S.conformed(events)).withColumn("k", F.row_number().over(order)).filter("k = 1").select("source", "station_key", "object_id")
+    return w.sessions.withColumn("k", F.row_number().over(order)).filter("k = 1").select("source", "station_key", "object_id")
 
 
 @query("SELECT object_id, station_key, CAST(epoch(start_utc) AS BIGINT) AS start_s, is_nonexistent FROM measured WHERE start_local IS NOT NULL")
-def local_to_utc_sessions(events):
-    return S.conformed(events).filter("start_local is not null").select("object_id", "station_key", epoch("start_utc").alias("start_s"), "is_nonexistent")
+def local_to_utc_sessions(w):
+    return w.rows.filter("start_local is not null").select("object_id", "station_key", epoch("start_utc").alias("start_s"), "is_nonexistent")
 
 
 @query("SELECT station_key, object_id, CAST(t AS BIGINT) AS t, d, CAST(level AS BIGINT) AS level FROM sweep")
-def concurrency_running(events):
-    return I.sweep(gold.tables(events).line).select("station_key", "object_id", F.col("t").cast("long").alias("t"), "d", "level")
+def concurrency_running(w):
+    return I.sweep(w.tables.line).select("station_key", "object_id", F.col("t").cast("long").alias("t"), "d", "level")
 
 
 @query("SELECT station_key, CAST(level AS INTEGER) AS level, days FROM at_level")
-def days_at_level(events):
-    return I.days_at_level(I.sweep(gold.tables(events).line))
+def days_at_level(w):
+    return I.days_at_level(I.sweep(w.tables.line))
 
 
 @query("SELECT station_key, CAST(robust_max AS INTEGER) AS robust_max, CAST(plain_max AS INTEGER) AS plain_max FROM ports")
-def robust_max(events):
-    return I.robust_max(I.days_at_level(I.sweep(gold.tables(events).line)))
+def robust_max(w):
+    return I.robust_max(I.days_at_level(I.sweep(w.tables.line)))
 
 
 @query("SELECT station_key, n, CAST(coalesce(max(CASE WHEN days >= n THEN level END), 0) AS INTEGER) AS robust_max FROM at_level, (VALUES (1), (2), (3), (5), (10)) v(n) GROUP BY 1, 2")
-def robust_max_distribution(events):
-    levels = I.days_at_level(I.sweep(gold.tables(events).line))
+def robust_max_distribution(w):
+    levels = I.days_at_level(I.sweep(w.tables.line))
     each = levels.withColumn("n", F.explode(F.array(*map(F.lit, (1, 2, 3, 5, 10)))))
     return each.groupBy("station_key", "n").agg(F.coalesce(F.max(F.when(F.col("days") >= F.col("n"), F.col("level"))), F.lit(0)).alias("robust_max"))
 
 
 @query("SELECT station_key, CAST(ports AS BIGINT) AS ports, CASE WHEN connector_ids >= greatest(robust_max, 1) THEN 'connector_ids' WHEN robust_max >= 1 THEN 'concurrency' ELSE 'floor' END AS ports_source FROM dim")
-def ports_inferred(events):
-    return gold.tables(events).dim.select("station_key", F.col("ports").cast("long").alias("ports"), "ports_source")
+def ports_inferred(w):
+    return w.tables.dim.select("station_key", F.col("ports").cast("long").alias("ports"), "ports_source")
 
 
 @query("SELECT station_key, strftime(gap_after, '%Y-%m-%d') AS gap_after, strftime(gap_before, '%Y-%m-%d') AS gap_before, round(gap_days, 6) AS gap_days, greatest(gap_before - gap_after - 1, 0) AS excluded_days FROM long_gaps")
-def station_gaps(events):
+def station_gaps(w):
     day = lambda n: F.date_format(n, "yyyy-MM-dd").alias(n)
-    return gold.tables(events).gaps.select("station_key", day("gap_after"), day("gap_before"), r6("gap_days"), F.col("excluded_days").cast("long").alias("excluded_days"))
+    return w.tables.gaps.select("station_key", day("gap_after"), day("gap_before"), r6("gap_days"), F.col("excluded_days").cast("long").alias("excluded_days"))
 
 
 @query("SELECT station_key, strftime(active_from, '%Y-%m-%d') AS active_from, strftime(active_to, '%Y-%m-%d') AS active_to, active_to - active_from + 1 AS window_days, active_days, active_days < 5 AS low_evidence FROM stations")
-def active_window(events):
-    d = gold.tables(events).dim
+def active_window(w):
+    d = w.tables.dim
     return d.select(
         "station_key", F.date_format("active_from", "yyyy-MM-dd").alias("active_from"), F.date_format("active_to", "yyyy-MM-dd").alias("active_to"),
         (F.datediff("active_to", "active_from") + 1).cast("long").alias("window_days"), "active_days", "low_evidence",
@@ -134,34 +165,34 @@ def active_window(events):
 
 
 @query("SELECT station_key, site_key FROM (SELECT station_key, site_key, row_number() OVER (PARTITION BY station_key ORDER BY count(*) DESC, site_key) AS k FROM timeline GROUP BY 1, 2) WHERE k = 1")
-def majority_site(events):
-    return gold.tables(events).dim.select("station_key", "site_key")
+def majority_site(w):
+    return w.tables.dim.select("station_key", "site_key")
 
 
 @query("SELECT station_key, source, sessions, active_days, connector_ids, sites, CAST(robust_max AS BIGINT) AS robust_max, CAST(plain_max AS BIGINT) AS plain_max, CAST(ports AS BIGINT) AS ports, sites > 1 AS multi_site FROM dim")
-def dim_station(events):
-    return gold.tables(events).dim.select(
+def dim_station(w):
+    return w.tables.dim.select(
         "station_key", "source", "sessions", "active_days", "connector_ids", "sites", *(F.col(n).cast("long").alias(n) for n in ("robust_max", "plain_max", "ports")),
         (F.col("sites") > 1).alias("multi_site"),
     )
 
 
 @query("SELECT strftime(d, '%Y-%m-%d') AS date_key, year(d) AS year, month(d) AS month, day(d) AS day_of_month, isodow(d) AS iso_day_of_week, isodow(d) >= 6 AS is_weekend, strftime(d, '%Y-%m') AS year_month FROM (SELECT CAST(unnest(generate_series((SELECT min(active_from) FROM stations), (SELECT max(active_to) FROM stations), INTERVAL 1 DAY)) AS DATE) AS d)")
-def dim_date(events):
+def dim_date(w):
     ints = ("year", "month", "day_of_month", "iso_day_of_week")
-    return gold.dim_date(gold.tables(events).dim).select(
+    return gold.dim_date(w.tables.dim).select(
         F.date_format("date_key", "yyyy-MM-dd").alias("date_key"), *(F.col(n).cast("long").alias(n) for n in ints), "is_weekend", "year_month"
     )
 
 
 @query("SELECT 'gamma/' || site_key AS operator_key, site_key AS operator_name, source FROM (SELECT DISTINCT site_key, source FROM sessions WHERE source = 'gamma') UNION ALL SELECT 'alpha', 'Alpha City', 'alpha' UNION ALL SELECT 'beta', 'Beta Town', 'beta'")
-def dim_operator(events):
-    return gold.dim_operator(S.unioned(S.conformed(events)))
+def dim_operator(w):
+    return gold.dim_operator(w.sessions)
 
 
 @query("SELECT station_key, strftime(day, '%Y-%m-%d') AS day, round(day_minutes, 3) AS day_minutes, is_excluded FROM spine_days")
-def station_day_spine(events):
-    t = gold.tables(events)
+def station_day_spine(w):
+    t = w.tables
     days = I.spine(t.dim)
     out = I.excluded_days(t.gaps).withColumn("is_excluded", F.lit(True))
     found = days.join(I.day_bounds(days), ["zone", "day"]).join(out, ["station_key", "day"], "left")
@@ -169,20 +200,20 @@ def station_day_spine(events):
 
 
 @query("SELECT object_id, strftime(day, '%Y-%m-%d') AS day, round(connected_piece, 4) AS connected_piece, round(charging_piece, 4) AS charging_piece FROM allocated")
-def midnight_pieces(events):
-    found = I.pieces(S.unioned(S.conformed(events)))
+def midnight_pieces(w):
+    found = I.pieces(w.sessions)
     return found.select("object_id", F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("connected_piece", 4).alias("connected_piece"), F.round("charging_piece", 4).alias("charging_piece"))
 
 
 @query("SELECT source, strftime(day, '%Y-%m-%d') AS day, round(sum(energy_piece), 4) AS energy_kwh FROM allocated GROUP BY 1, 2")
-def energy_allocation(events):
-    found = I.pieces(S.unioned(S.conformed(events))).groupBy("source", F.date_format("day", "yyyy-MM-dd").alias("day"))
+def energy_allocation(w):
+    found = I.pieces(w.sessions).groupBy("source", F.date_format("day", "yyyy-MM-dd").alias("day"))
     return found.agg(F.round(F.sum("energy_piece"), 4).alias("energy_kwh"))
 
 
 @query("SELECT station_key, strftime(day, '%Y-%m-%d') AS day, source, CAST(ports AS BIGINT) AS ports, is_excluded, round(available_minutes, 3) AS available_minutes, sessions, trivial_sessions, round(energy_kwh, 4) AS energy_kwh, round(charging_minutes, 4) AS charging_minutes, round(connected_minutes, 4) AS connected_minutes, round(idle_minutes, 4) AS idle_minutes FROM station_day")
-def fct_station_day(events):
-    d = gold.station_day(gold.tables(events))
+def fct_station_day(w):
+    d = gold.station_day(w.tables)
     r4 = lambda n: F.round(n, 4).alias(n)
     return d.select(
         "station_key", F.date_format("day", "yyyy-MM-dd").alias("day"), "source", F.col("ports").cast("long").alias("ports"), "is_excluded",
@@ -194,15 +225,15 @@ MONTH = "SELECT source, strftime(day, '%Y-%m') AS year_month, count(*) AS statio
 
 
 @query(MONTH)
-def mart_monthly(events):
-    m = gold.mart_monthly(gold.station_day(gold.tables(events)))
+def mart_monthly(w):
+    m = gold.mart_monthly(gold.station_day(w.tables))
     r3 = ("energy_kwh", "charging_minutes", "connected_minutes", "idle_minutes", "available_minutes")
     return m.select(*(F.round(n, 3).alias(n) if n in r3 else F.col(n) for n in m.columns))
 
 
 @query("SELECT source, round(sum(charging_minutes) / sum(available_minutes), 6) AS ratio_of_sums, round(avg(charging_minutes / available_minutes), 6) AS mean_of_ratios FROM station_day WHERE NOT is_excluded AND charging_minutes IS NOT NULL GROUP BY 1")
-def mean_vs_ratio_of_sums(events):
-    d = gold.station_day(gold.tables(events)).filter("not is_excluded and charging_minutes is not null")
+def mean_vs_ratio_of_sums(w):
+    d = gold.station_day(w.tables).filter("not is_excluded and charging_minutes is not null")
     return d.groupBy("source").agg(
         r6(C.utilization(F.col("charging_minutes"), F.col("available_minutes")), "ratio_of_sums"), r6(F.avg(F.col("charging_minutes") / F.col("available_minutes")), "mean_of_ratios")
     )
@@ -213,36 +244,36 @@ IDLE = "(SELECT station_key, object_id, s + charging_minutes * 60 AS i0, e AS i1
 
 
 @query(f"SELECT station_key, CAST(bs AS BIGINT) AS bs, CAST(be AS BIGINT) AS be FROM {WINDOWS}")
-def blocking_windows(events):
-    t = gold.tables(events)
+def blocking_windows(w):
+    t = w.tables
     return I.blocking_windows(I.sweep(t.line), t.dim).select("station_key", F.col("bs").cast("long").alias("bs"), F.col("be").cast("long").alias("be"))
 
 
 @query(f"SELECT i.station_key, round(sum(i1 - i0), 3) AS idle_s, count(*) AS idle_sessions, round(coalesce(sum((SELECT sum(least(i1, be) - greatest(i0, bs)) FROM {WINDOWS} w WHERE w.station_key = i.station_key AND bs < i1 AND be > i0)), 0), 3) AS blocked_s FROM {IDLE} i GROUP BY 1")
-def full_occupancy_idle(events):
-    t = gold.tables(events)
+def full_occupancy_idle(w):
+    t = w.tables
     found = I.full_occupancy_idle(t.line, t.dim)
     return found.select("station_key", F.round("idle_s", 3).alias("idle_s"), "idle_sessions", F.round(F.coalesce("blocked_s", F.lit(0.0)), 3).alias("blocked_s"))
 
 
 @query(f"SELECT CAST(h % 24 AS BIGINT) AS hour, round(sum(least(l1, (h + 1) * 3600.0) - greatest(l0, h * 3600.0)) / 60.0, 3) AS minutes FROM (SELECT l0, l1, unnest(range(CAST(floor(l0 / 3600) AS BIGINT), CAST(ceil(l1 / 3600) AS BIGINT))) AS h FROM (SELECT i0 + epoch(start_local) - s AS l0, i1 + epoch(start_local) - s AS l1 FROM {IDLE} i JOIN timeline USING (station_key, object_id))) GROUP BY 1")
-def idle_hour_profile(events):
-    line = gold.tables(events).line.filter("charging_minutes is not null and end_utc is not null")
+def idle_hour_profile(w):
+    line = w.tables.line.filter("charging_minutes is not null and end_utc is not null")
     shift = I.seconds("start_local") - F.col("s")
     local = line.select((F.col("s") + F.col("charging_minutes") * 60 + shift).alias("l0"), (F.col("e") + shift).alias("l1"))
     return I.hour_profile(local, "l0", "l1").select("hour", F.round("minutes", 3).alias("minutes"))
 
 
 @query("SELECT d.station_key, strftime(d.day, '%Y-%m-%d') AS day, CAST(greatest(coalesce(max(m.level), 1), 1) AS BIGINT) AS ports FROM spine d LEFT JOIN day_max m ON m.station_key = d.station_key AND m.day <= d.day AND m.day > d.day - 90 GROUP BY 1, 2")
-def trailing_90d_ports(events):
-    t = gold.tables(events)
+def trailing_90d_ports(w):
+    t = w.tables
     found = I.trailing_ports(I.day_levels(I.sweep(t.line)), I.spine(t.dim))
     return found.select("station_key", F.date_format("day", "yyyy-MM-dd").alias("day"), F.col("ports").cast("long").alias("ports"))
 
 
 @query("SELECT n, source, round(sum(charging_minutes) / nullif(sum(day_minutes * greatest(p.robust_max, 1)), 0), 6) AS charging, round(sum(connected_minutes) / nullif(sum(day_minutes * greatest(p.robust_max, 1)), 0), 6) AS connected FROM station_day d JOIN (SELECT station_key, n, coalesce(max(CASE WHEN days >= n THEN level END), 0) AS robust_max FROM at_level, (VALUES (1), (2), (3), (5), (10)) v(n) GROUP BY 1, 2) p USING (station_key) WHERE NOT is_excluded GROUP BY 1, 2")
-def sensitivity_grid(events):
-    t = gold.tables(events)
+def sensitivity_grid(w):
+    t = w.tables
     each = I.days_at_level(I.sweep(t.line)).withColumn("n", F.explode(F.array(*map(F.lit, (1, 2, 3, 5, 10)))))
     ports = each.groupBy("station_key", "n").agg(F.greatest(F.coalesce(F.max(F.when(F.col("days") >= F.col("n"), F.col("level"))), F.lit(0)), F.lit(1)).alias("p"))
     d = gold.station_day(t).filter("not is_excluded").join(ports, "station_key")
@@ -251,8 +282,8 @@ def sensitivity_grid(events):
 
 
 @query("SELECT source, round(quantile_cont(gap, 0.5), 4) AS p50, round(quantile_cont(gap, 0.9), 4) AS p90, round(quantile_cont(gap, 0.99), 4) AS p99, round(max(gap), 4) AS p100, count(CASE WHEN gap > 1 THEN 1 END) AS over_a_day FROM (SELECT source, (lead(s) OVER (PARTITION BY station_key ORDER BY s, e, object_id) - e) / 86400.0 AS gap FROM timeline) WHERE gap IS NOT NULL GROUP BY 1")
-def inter_session_gap_quantiles(events):
-    line = gold.tables(events).line
+def inter_session_gap_quantiles(w):
+    line = w.tables.line
     order = Window.partitionBy("station_key").orderBy("s", "e", "object_id")
     g = line.select("source", ((F.lead("s").over(order) - F.col("e")) / 86400.0).alias("gap")).filter("gap is not null")
     q = lambda p, n: F.round(F.percentile("gap", p), 4).alias(n)
@@ -260,8 +291,8 @@ def inter_session_gap_quantiles(events):
 
 
 @query("SELECT source, strftime(start_local, '%Y-%m') AS year_month, count(*) AS rows_all, count(CASE WHEN len(reasons) = 0 THEN 1 END) AS in_fact, count(CASE WHEN len(reasons) > 0 THEN 1 END) AS in_quarantine, count(CASE WHEN len(reasons) = 0 AND is_non_trivial THEN 1 END) AS counted, count(CASE WHEN len(reasons) = 0 AND NOT is_non_trivial THEN 1 END) AS trivial, round(sum(CASE WHEN len(reasons) = 0 THEN energy_kwh END), 3) AS fact_kwh FROM judged GROUP BY 1, 2")
-def reconcile_identity_i(events):
-    rows = S.conformed(events)
+def reconcile_identity_i(w):
+    rows = w.rows
     ok = F.col("primary_reason").isNull()
     n = lambda p, name: F.count(F.when(p, 1)).alias(name)
     return rows.groupBy("source", F.date_format("start_local", "yyyy-MM").alias("year_month")).agg(
@@ -271,8 +302,8 @@ def reconcile_identity_i(events):
 
 
 @query("SELECT s.source, round(s.kwh, 3) AS session_kwh, round(d.kwh, 3) AS piece_kwh, abs(s.kwh - d.kwh) <= 1e-6 * greatest(abs(s.kwh), 1) AS conserved FROM (SELECT source, sum(energy_kwh) AS kwh FROM sessions GROUP BY 1) s JOIN (SELECT source, sum(energy_piece) AS kwh FROM allocated GROUP BY 1) d USING (source)")
-def reconcile_identity_ii(events):
-    accepted = S.unioned(S.conformed(events))
+def reconcile_identity_ii(w):
+    accepted = w.sessions
     whole = accepted.groupBy("source").agg(F.sum("energy_kwh").alias("a"))
     parts = I.pieces(accepted).groupBy("source").agg(F.sum("energy_piece").alias("b"))
     close = F.abs(F.col("a") - F.col("b")) <= 1e-6 * F.greatest(F.abs("a"), F.lit(1.0))
@@ -280,8 +311,8 @@ def reconcile_identity_ii(events):
 
 
 @query("SELECT q.source, CASE WHEN k.row_id IS NULL THEN 'twin_rejected' ELSE 'twin_kept' END AS bucket, count(*) AS n FROM (SELECT * FROM judged WHERE list_contains(reasons, 'exact_duplicate')) q LEFT JOIN (SELECT DISTINCT source, row_id FROM sessions) k ON k.source = q.source AND k.row_id = q.row_id GROUP BY 1, 2")
-def duplicate_twin_buckets(events):
-    rows = S.conformed(events)
+def duplicate_twin_buckets(w):
+    rows = w.rows
     kept = S.unioned(rows).select("source", "row_hash", F.lit(True).alias("kept")).distinct()
     twins = rows.filter(F.array_contains("reasons", "exact_duplicate")).join(kept, ["source", "row_hash"], "left")
     return twins.groupBy("source", F.when(F.col("kept"), "twin_kept").otherwise("twin_rejected").alias("bucket")).agg(F.count("*").alias("n"))

@@ -91,5 +91,5 @@ def check_energy_conserved(events):
 
 @query(with_tables("SELECT count(*) AS failing FROM (SELECT d.station_key FROM dim d LEFT JOIN spine USING (station_key) GROUP BY 1 HAVING count(*) <> min(active_to - active_from + 1))".replace("min(active_to - active_from + 1)", "min(d.active_to - d.active_from + 1)")), "events")
 def check_spine_complete(events):
-    t = gold.tables(events)
+    t = gold.tables(S.conformed(events))
     return checks.spine_holes(t.dim, I.spine(t.dim)).agg(F.count("*").alias("failing"))
