@@ -9,11 +9,15 @@ similarity. Time runs only as far as a few darts per coordinate need, so a set
 costs its size plus a constant; where a coordinate is still empty it runs on.
 
 Texts with equal words are one representative from the start. Representatives
-whose bands agree share a bucket; each is compared, exactly, with one leader of
-each bucket, twice with different leaders, and components are formed. Only
-where a bucket still holds several components are members of different ones
-compared with each other, so big groups of copies cost one comparison a member
-and no link between components is left out. No bucket is capped.
+whose bands agree share a bucket. Each is first compared, exactly, with one
+leader of each of its buckets: the member that shares most buckets with others,
+which in a group of copies is the one that the others were made from. After
+components are formed, only buckets that still hold several components are
+looked at again: members outside a bucket's largest component are compared with
+all others, in small buckets as pairs and in large ones in cells of bounded
+size, which give back links only. So big groups of copies cost about one
+comparison a member, no link between components is left out, and no bucket is
+capped.
 
 Defined results: null and empty texts have no words and are copies of each
 other; texts of one to four words are one shingle; a class is known by its
@@ -26,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +46,8 @@ COORDINATES = BANDS * ROWS
 #: Darts per set that are looked for at first.
 DARTS = COORDINATES * (np.log(COORDINATES) + 2.5)
 MOST_ELEMENTS = 200_000
+#: Buckets of at most so many members are compared as pairs, larger ones in cells of about so many members.
+SMALL, MINORS_A_CELL, OTHERS_A_CELL = 8, 256, 1024
 SIGNED = "doc_id long, key binary, weight long, buckets array<long>"
 
 
@@ -196,10 +203,68 @@ def with_component(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def mixed_buckets(members: DataFrame) -> DataFrame:
-    """bucket, first, last of the buckets whose members are of several components."""
-    sizes = members.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return sizes.filter("low < high").select("bucket", "first", "last")
+def by_leader(members: DataFrame) -> DataFrame:
+    """Pairs (u, v) of each member and its buckets' leaders."""
+    popular = members.withColumn("popularity", F.sum("n").over(Window.partitionBy("node")))  # a node has BANDS rows
+    leaders = popular.groupBy("bucket").agg(F.max(F.struct("popularity", "node")).alias("head")).select("bucket", F.col("head.node").alias("u"))
+    return members.join(leaders, "bucket").filter("u <> node").select("u", F.col("node").alias("v")).distinct()
+
+
+def mixed_members(current: DataFrame) -> DataFrame:
+    """Members of buckets of several components; ``minor``: outside the bucket's largest one."""
+    sizes = current.filter("n > 2").groupBy("bucket", "component").agg(F.count("*").alias("own"))  # two have met as leader and member
+    large = sizes.groupBy("bucket").agg(F.count("*").alias("components"), F.max(F.struct("own", "component")).alias("largest")).filter("components > 1")
+    joined = current.join(large.select("bucket", F.col("largest.component").alias("largest")), "bucket")
+    return joined.withColumn("minor", F.col("component") != F.col("largest")).drop("largest")
+
+
+def small_pairs(mixed: DataFrame, least: float) -> DataFrame:
+    """Pairs of different components in buckets of at most SMALL members."""
+    own = mixed.filter(F.col("n") <= SMALL)
+    other = own.filter("minor").select("bucket", F.col("node").alias("v"), F.col("component").alias("c"), F.col("weight").alias("w"))
+    apart = (F.col("component") != F.col("c")) & ((F.col("node") < F.col("v")) | ~F.col("minor"))
+    near = F.least("weight", "w") >= least * F.greatest("weight", "w")
+    return own.join(other, "bucket").filter(apart & near).select(F.col("node").alias("u"), "v").distinct()
+
+
+def linked_in_cell(minors: pd.DataFrame, others: pd.DataFrame, least: float) -> pd.DataFrame:
+    """A link from each minor member to each other component that it is near to."""
+    known = WordHashes()
+    sets = [shingles(words_of(bytes(t)), known) for t in others["other_text"]]
+    lengths = np.array([len(e) for e, _ in sets])
+    names, where = np.unique(np.concatenate([e for e, _ in sets]), return_inverse=True)
+    counts = np.concatenate([w for _, w in sets])
+    ends = np.cumsum(lengths) - lengths
+    totals = np.add.reduceat(counts, ends)
+    component, node = others["other_component"].to_numpy(), others["other_node"].to_numpy()
+    found: list[tuple[int, int]] = []
+    for u, own, text in zip(minors["node"], minors["component"], minors["text"], strict=True):
+        elements, weights = shingles(words_of(bytes(text)), known)
+        dense = np.zeros(len(names), np.int64)
+        at = np.minimum(np.searchsorted(names, elements), len(names) - 1)
+        hit = names[at] == elements
+        dense[at[hit]] = weights[hit]
+        shared = np.add.reduceat(np.minimum(dense[where], counts), ends)
+        near = (shared >= least * (weights.sum() + totals - shared) - 1e-9) & (component != own)
+        _, first = np.unique(component[near], return_index=True)
+        found += [(u, v) for v in node[near][first]]
+    return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+
+def large_links(mixed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links across components in buckets of more than SMALL members, found in cells."""
+    own = mixed.filter(F.col("n") > SMALL)
+    blocks = own.groupBy("bucket").agg(F.ceil(F.count("*") / OTHERS_A_CELL).alias("blocks"), F.ceil(F.count(F.when(F.col("minor"), 1)) / MINORS_A_CELL).alias("groups"))
+    dealt = own.join(blocks, "bucket").join(texts.select("node", F.col("text").cast("binary").alias("text")), "node")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    minors = dealt.filter("minor").select("bucket", every("blocks").alias("block"), block("groups").alias("group"), "node", "component", "text")
+    keys = ["bucket", "block", "group"]
+    others = dealt.select("bucket", block("blocks").alias("block"), every("groups").alias("group"), "node", "component", "text")
+    others = others.select(*(F.col(c).alias(f"other_{c}") for c in others.columns))  # the sides come from one frame
+    nothing = pd.DataFrame({"u": [], "v": []}, dtype="int64")
+    cells = lambda a, b: linked_in_cell(a, b, least) if len(a) and len(b) else nothing
+    return minors.groupBy(keys).cogroup(others.groupBy([f"other_{k}" for k in keys])).applyInPandas(cells, "u long, v long").distinct()
 
 
 def near_classes(
@@ -215,7 +280,7 @@ def near_classes(
     nodes = common.written(alone.select(F.monotonically_increasing_id().alias("node"), "key", "doc_id", "weight", "buckets"), "nodes")
 
     spread = nodes.select("node", "weight", F.explode("buckets").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = common.written(spread.join(shared, "bucket"), "members")
 
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "key", "doc_id")
@@ -223,30 +288,14 @@ def near_classes(
     texts = keyed.join(wanted, (keyed.key == wanted.key) & keyed.doc_id.eqNullSafe(wanted.doc_id)).select("node", "text")
     texts = common.written(texts.dropDuplicates(["node"]), "texts")
 
-    def by_leader(current: DataFrame, which: str) -> DataFrame:
-        heads = mixed_buckets(current).select("bucket", F.col(which).alias("u"))
-        of_head = current.select("bucket", F.col("node").alias("u"), F.col("component").alias("head"))
-        heads = heads.join(of_head, ["bucket", "u"])
-        return current.join(heads, "bucket").filter("component <> head").select("u", F.col("node").alias("v")).distinct()
-
-    found = None
-    links = None
-    current = members.withColumn("component", F.col("node"))
-    for step in ("first", "last", "all"):
-        if step == "all":
-            if mixed_buckets(current).isEmpty():
-                break
-            rest = current.join(mixed_buckets(current).select("bucket"), "bucket")
-            other = rest.select("bucket", F.col("node").alias("v"), F.col("component").alias("c"), F.col("weight").alias("w"))
-            pairs = rest.withColumnRenamed("node", "u").join(other, "bucket").filter(
-                (F.col("u") < F.col("v")) & (F.col("component") != F.col("c")) & (F.least("weight", "w") >= least * F.greatest("weight", "w"))
-            ).select("u", "v").distinct()
-        else:
-            pairs = by_leader(current, step)
-        new = common.checkpointed(verified(pairs, texts, least))
-        links = new if links is None else links.unionByName(new)
-        found = common.checkpointed(components(links))
-        current = common.checkpointed(with_component(members, found))
+    links = common.checkpointed(verified(by_leader(members), texts, least))
+    found = components(links)
+    mixed = common.checkpointed(mixed_members(with_component(members, found)))
+    if not mixed.isEmpty():
+        more = verified(small_pairs(mixed, least), texts, least).unionByName(large_links(mixed, texts, least))
+        more = common.checkpointed(more)
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
     labelled = with_component(nodes.select("node", "key", "doc_id"), found)
     first = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("head"))
     keys = labelled.join(first, "component").select("key", "doc_id", (F.col("node") == F.col("head.node")).alias("chosen"), F.col("head.doc_id").alias("class_id"))
