@@ -44,7 +44,8 @@ FOLD, HELD_OUT = 7, 2
 WINDOW = 256
 #: Sixty-fourths of the training texts that each round reads.
 SCHEDULE = ((0, 1), (1, 2), (2, 3), (3, 5), (5, 8), (8, 13), (13, 21), (21, 37), (0, 64))
-PRIOR = 1.0
+#: Words of the unigram distribution that each state is given beside what it has seen.
+PRIOR = 10_000.0
 MOST_WORDS = 250_000
 SLICE_TOKENS = 600_000
 MARKS = b".,;:!?*%&$#|()\"'"
@@ -141,6 +142,25 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 ENCODED = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base_head double, class_room double, symbols binary, rare array<struct<word: binary, n: int>>"
 
 
+class Symbols(dict):
+    """word -> symbol: its own for a head word, else its class's; emptied of others beyond ``most``."""
+
+    most = 500_000
+
+    def __init__(self, head: dict[bytes, int], first_class: int):
+        super().__init__(head)
+        self.head, self.first_class = head, first_class
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = self.first_class + ending_class(word)
+        return found
+
+    def trim(self) -> None:
+        if len(self) > len(self.head) + self.most:
+            self.clear()
+            self.update(self.head)
+
+
 def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
     """Each text's symbols (unsigned 16 bits), its other words with their numbers, and what needs no counts of those.
 
@@ -153,17 +173,14 @@ def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
     room = np.append(np.zeros(symbols), np.log10(words.class_tokens + words.class_words + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = dict(head)
+        known = Symbols(head, symbols)
 
         def made(part: pa.RecordBatch, texts: list) -> pa.RecordBatch:
             n, n_head, base, rooms, own, rare_words, rare_counts, ends = [], [], [], [], [], [], [], [0]
             for text in texts:
                 tokens = words_of(text)
-                rare = Counter(w for w in tokens if w not in head)
-                for w in rare:
-                    if w not in known:
-                        known[w] = symbols + ending_class(w)
                 found = np.fromiter(map(known.__getitem__, tokens), np.uint16, len(tokens))
+                rare = Counter(map(tokens.__getitem__, np.flatnonzero(found >= symbols).tolist()))
                 in_head = found[found < symbols]
                 n.append(len(tokens))
                 n_head.append(int((words.counts[in_head] > 0).sum()))
@@ -173,9 +190,7 @@ def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
                 rare_words.append(list(rare))
                 rare_counts.append(list(rare.values()))
                 ends.append(ends[-1] + len(rare))
-            if len(known) > len(head) + 500_000:
-                known.clear()
-                known.update(head)
+            known.trim()
             structs = pa.StructArray.from_arrays([pa.array(list(chain.from_iterable(rare_words)), pa.binary()), pa.array(list(chain.from_iterable(rare_counts)), pa.int32())], ["word", "n"])
             return pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(n_head, pa.int64()), pa.array(base, pa.float64()),
