@@ -173,11 +173,10 @@ def rolling_90_day_max(orders):
 @query("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS block FROM events", "events")
 def delivery_block(events):
     """A running sum over the whole table in two phases: within ranges of the id, then bases of the ranges."""
-    starts = events.select("event_id", (F.col("event_type") == "signup").cast("long").alias("starts"), F.floor(F.col("event_id") / 4096).alias("range"))
+    starts = events.select("event_id", (F.col("event_type") == "signup").cast("long").alias("starts"), F.floor(F.col("event_id") / 65536).alias("range"))
     local = F.sum("starts").over(Window.partitionBy("range").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0))
     totals = starts.groupBy("range").agg(F.sum("starts").alias("n"))
-    later = totals.select(F.col("range").alias("other"), "n")
-    bases = totals.select("range").join(later, F.col("other") < F.col("range"), "left").groupBy("range").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("base"))
+    bases = totals.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("base"))  # one row per range
     return starts.withColumn("local", local).join(bases, "range").select("event_id", (F.col("local") + F.col("base")).alias("block"))
 
 
