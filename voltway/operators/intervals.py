@@ -14,10 +14,10 @@ def seconds(c: Column | str) -> Column:
     return F.unix_micros(C.col(c)) / 1e6
 
 
-def timeline(sessions: DataFrame) -> DataFrame:
-    """Non-trivial sessions of known stations with start ``s`` and effective end ``e`` in seconds."""
+def timeline(sessions: DataFrame, all_sessions: bool = False) -> DataFrame:
+    """Sessions of known stations, only non-trivial ones unless ``all_sessions``, with start ``s`` and effective end ``e`` in seconds."""
     effective = F.when(F.col("end_utc").isNotNull(), seconds("end_utc")).otherwise(seconds("start_utc") + F.round(F.col("charging_minutes") * 60))
-    known = sessions.filter(F.col("is_non_trivial") & ~F.col("station_key").contains("/unknown/"))
+    known = sessions.filter((F.lit(all_sessions) | F.col("is_non_trivial")) & ~F.col("station_key").contains("/unknown/"))
     return known.withColumn("s", seconds("start_utc")).withColumn("e", effective).withColumn("start_day", F.to_date("start_local"))
 
 

@@ -316,3 +316,51 @@ def duplicate_twin_buckets(w):
     kept = S.unioned(rows).select("source", "row_hash", F.lit(True).alias("kept")).distinct()
     twins = rows.filter(F.array_contains("reasons", "exact_duplicate")).join(kept, ["source", "row_hash"], "left")
     return twins.groupBy("source", F.when(F.col("kept"), "twin_kept").otherwise("twin_rejected").alias("bucket")).agg(F.count("*").alias("n"))
+
+
+ALL_MOVES = "(SELECT station_key, object_id, epoch(start_utc) AS t, 1 AS d, CAST(start_local AS DATE) AS day FROM sessions WHERE NOT contains(station_key, '/unknown/') UNION ALL SELECT station_key, object_id, CASE WHEN end_utc IS NOT NULL THEN epoch(end_utc) ELSE epoch(start_utc) + round(charging_minutes * 60) END, -1, NULL FROM sessions WHERE NOT contains(station_key, '/unknown/'))"
+
+
+@query(f"SELECT station_key, CAST(max(level) AS BIGINT) AS plain_max FROM (SELECT *, sum(d) OVER (PARTITION BY station_key ORDER BY t NULLS LAST, d, object_id ROWS UNBOUNDED PRECEDING) AS level FROM {ALL_MOVES}) WHERE d = 1 GROUP BY 1")
+def plain_max_all_sessions(w):
+    levels = I.day_levels(I.sweep(I.timeline(w.sessions, all_sessions=True)))
+    return levels.groupBy("station_key").agg(F.max("level").cast("long").alias("plain_max"))
+
+
+@query("SELECT source, count(*) AS days, count(CASE WHEN connected_minutes > available_minutes THEN 1 END) AS connected_over, count(CASE WHEN charging_minutes > available_minutes THEN 1 END) AS charging_over FROM station_day WHERE NOT is_excluded GROUP BY 1")
+def days_over_full(w):
+    n = lambda c, name: F.count(F.when(F.col(c) > F.col("available_minutes"), 1)).alias(name)
+    return gold.station_day(w.tables).filter("not is_excluded").groupBy("source").agg(F.count("*").alias("days"), n("connected_minutes", "connected_over"), n("charging_minutes", "charging_over"))
+
+
+@query("SELECT source, CAST(round((epoch(end_local) - epoch(start_local)) / 60 - (epoch(end_utc) - epoch(start_utc)) / 60) AS BIGINT) AS gap_minutes, count(*) AS n FROM sessions WHERE end_utc IS NOT NULL AND epoch(end_local) - epoch(start_local) <> epoch(end_utc) - epoch(start_utc) GROUP BY 1, 2")
+def dst_transition_gaps(w):
+    """Sessions over a change of clocks, by how far wall clock and elapsed time part."""
+    gap = C.minutes_between("start_local", "end_local") - C.minutes_between("start_utc", "end_utc")
+    found = w.sessions.filter("end_utc is not null").select("source", F.round(gap).cast("long").alias("gap_minutes"))
+    return found.filter("gap_minutes <> 0").groupBy("source", "gap_minutes").agg(F.count("*").alias("n"))
+
+
+@query("SELECT source, epoch(start_local) - epoch(start_utc) > min_offset AS in_dst, round(atan2(avg(sin(radians(15.0 * hour(start_local)))), avg(cos(radians(15.0 * hour(start_local))))), 5) AS mean_angle, count(*) AS n FROM sessions JOIN (SELECT source, min(epoch(start_local) - epoch(start_utc)) AS min_offset FROM sessions GROUP BY 1) o USING (source) GROUP BY 1, 2")
+def seasonal_hour_shift(w):
+    offset = F.unix_seconds("start_local") - F.unix_seconds("start_utc")
+    s = w.sessions.select("source", offset.alias("offset"), F.radians(15.0 * F.hour("start_local")).alias("angle"))
+    least = s.groupBy("source").agg(F.min("offset").alias("least"))
+    return s.join(least, "source").groupBy("source", (F.col("offset") > F.col("least")).alias("in_dst")).agg(
+        F.round(F.atan2(F.avg(F.sin("angle")), F.avg(F.cos("angle"))), 5).alias("mean_angle"), F.count("*").alias("n")
+    )
+
+
+@query("SELECT family, round(max(implied_kw), 6) AS most_kw, count(CASE WHEN implied_kw IS NULL THEN 1 END) AS unknown, CASE WHEN source <> 'gamma' THEN 100.0 WHEN family LIKE 'rapids%' THEN 200.0 ELSE 50.0 END AS ceiling FROM judged GROUP BY family, source")
+def implied_kw_ceiling(w):
+    from voltway.operators import rules
+
+    n = F.count(F.when(F.col("implied_kw").isNull(), 1)).alias("unknown")
+    return w.rows.groupBy("family").agg(F.round(F.max("implied_kw"), 6).alias("most_kw"), n).withColumn("ceiling", rules.ceiling(F.col("family")))
+
+
+@query("SELECT source, count(*) AS n, count(CASE WHEN publisher_excluded THEN 1 END) AS excluded, count(CASE WHEN publisher_excluded AND is_non_trivial THEN 1 END) AS excluded_but_counted, count(CASE WHEN NOT publisher_excluded AND NOT is_non_trivial THEN 1 END) AS kept_but_trivial FROM sessions GROUP BY 1")
+def publisher_confusion(w):
+    p, t = F.col("publisher_excluded"), F.col("is_non_trivial")
+    n = lambda x, name: F.count(F.when(x, 1)).alias(name)
+    return w.sessions.groupBy("source").agg(F.count("*").alias("n"), n(p, "excluded"), n(p & t, "excluded_but_counted"), n(~p & ~t, "kept_but_trivial"))
