@@ -4,7 +4,7 @@ A text is cut into chunks where no token of the tokenizer can reach across. A
 chunk that a worker meets for the first time is normalised and cut into the
 tokenizer's own pieces, and pieces not yet known are encoded by the library's
 model; texts are put together from the chunks' ids with numpy. What a worker
-remembers is emptied beyond ``MOST_CHUNKS``, so memory is bounded whatever the
+remembers is emptied beyond ``most`` chunks, so memory is bounded whatever the
 vocabulary. Chunks with parts of special tokens go through the whole library.
 """
 
@@ -71,6 +71,8 @@ class ChunkEncoder:
 
     #: Characters of text that are cut at a time.
     slice = 1_500_000
+    #: Chunks and pieces remembered, at most.
+    most = MOST_CHUNKS
 
     def __init__(self, path: str, drops_white: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -108,11 +110,11 @@ class ChunkEncoder:
                     ids.extend(found)
             starts.append(len(ids))
         self.chunks.new.clear()
-        if len(pieces) > MOST_CHUNKS:
+        if len(pieces) > self.most:
             pieces.clear()
 
     def slice_ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.chunks) > MOST_CHUNKS:
+        if len(self.chunks) > self.most:
             self.forget()
         cut = [self.cut(t) for t in texts]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
