@@ -48,5 +48,23 @@ def test_propagation_equals_power_series(spark):
     assert [found[h][2] for h in hosts] == ["allow", "allow", "allow", "block", "block", "block"]
 
 
+def test_far_hosts_beside_seeds_without_links(spark):
+    """h0 -> h1 -> ... -> bad.com (blocked), beside 60 trusted pages without links; x.net hears of both kinds, t.net as much of each."""
+    n = 30
+    chain = [f"h{i}.net" for i in range(n)] + ["bad.com"]
+    pages = [(f"http://{a}/", links(b)) for a, b in zip(chain, chain[1:])] + [("http://bad.com/de/1", None)]
+    alone = [(f"http://g{i}.org/", None) for i in range(60)]
+    mixed = [("http://good.org/", links("m.net")), ("http://m.net/", links("x.net")), ("http://x.net/", links("worse.com")), ("http://worse.com/de/1", None),
+             ("http://even.org/", links("t.net")), ("http://t.net/", links("odd.com")), ("http://odd.com/de/1", None)]
+    frame = lambda rows: spark.createDataFrame([(i, u, h, "t", 1, "v") for i, (u, h) in enumerate(rows)], SCHEMA)
+    few, many = ({r["host"]: (r["verdict"], r["trust"], r["distrust"]) for r in H.filtered_urls(frame(rows)).collect()} for rows in (pages + mixed, pages + mixed + alone))
+    for found in (few, many):
+        for i in range(n):
+            verdict, trust, distrust = found[f"h{i}.net"]
+            assert (verdict, trust) == ("block", 0.0) and np.isclose(distrust, 0.15 * 0.85 ** (n - i), rtol=1e-9), i
+        assert found["x.net"][0] == "block" and found["m.net"][0] == found["t.net"][0] == "allow"
+    assert {h: many[h] for h in few} == few
+
+
 def test_empty_table(spark):
     assert H.filtered_urls(spark.createDataFrame([], SCHEMA)).count() == 0

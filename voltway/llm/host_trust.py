@@ -6,7 +6,8 @@ started from hosts whose pages a block rule fits. A host whose distrust exceeds
 ``ratio`` times its trust is blocked. Everything is DataFrame operations: page
 links become host edges with their counts before anything is joined, so a hot
 host is one row per neighbour, and each round's sums are combined before their
-shuffle. Rounds end when the mass still moving is below ``tolerance``.
+shuffle. Rounds end when every host that mass can reach is reached, no verdict
+can change and each host's masses are within ``tolerance`` of the full series.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and is blocked; a null html has no links; links of a host to
@@ -25,6 +26,7 @@ from voltway.llm import common
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+TIE = 1e-9
 LINK_HOST = r"""(?i)\bhref\s{0,8}=\s{0,8}["']?(?:[a-z][a-z0-9+.\-]{0,20}:)?//([^/?#"'\s>]+)"""
 
 
@@ -90,46 +92,88 @@ def host_edges(pages: DataFrame, url_column: str, html_column: str) -> DataFrame
 
 
 def directed_shares(edges: DataFrame) -> DataFrame:
-    """kind, source, target, share: forward for trust, reversed for distrust; shares of a source sum to 1."""
+    """kind, source, target, share, travels: forward for trust, reversed for distrust; shares of a source sum to 1.
+
+    ``travels`` says whether the target is a source itself.
+    """
     both = edges.select(F.lit("trust").alias("kind"), "source", "target", "n").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "n")
     )
     totals = both.groupBy("kind", "source").agg(F.sum("n").alias("total"))
-    return both.join(totals, ["kind", "source"]).select("kind", "source", "target", (F.col("n") / F.col("total")).alias("share"))
+    shares = both.join(totals, ["kind", "source"]).select("kind", "source", "target", (F.col("n") / F.col("total")).alias("share"))
+    onward = totals.select("kind", F.col("source").alias("target"), F.lit(True).alias("onward"))
+    return shares.join(onward, ["kind", "target"], "left").select("kind", "source", "target", "share", F.col("onward").isNotNull().alias("travels"))
+
+
+def exceeds(distrust: Column, trust: Column, ratio: float) -> Column:
+    """Whether distrust is more than ``ratio`` times trust; a difference within rounding (``TIE``) is none."""
+    return distrust > ratio * trust * (1 + TIE)
+
 
+def by_kind(mass: DataFrame) -> DataFrame:
+    """host, trust, distrust."""
+    return mass.groupBy("host").agg(*(F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")))
 
-def propagated(seeds: DataFrame, shares: DataFrame, damping: float, tolerance: float, rounds: int, step: int = 4) -> DataFrame:
+
+def settled(state: DataFrame, damping: float, tolerance: float, ratio: float) -> bool:
+    """Whether no further round can change a verdict, nor a host's mass by more than ``tolerance`` of it.
+
+    What a kind's travelling mass can still add, to all its hosts together, is at
+    most ``damping / (1 - damping)`` times that mass, and nothing to hosts that the
+    kind does not reach, once a round has reached no new host.
+    """
+    kinds = state.groupBy("kind").agg(F.sum("moving").alias("moving"), F.min("mass").alias("least"), F.max("fresh").alias("fresh")).collect()
+    left = {r["kind"]: (r["moving"] or 0.0) * damping / (1 - damping) for r in kinds}
+    if not any(left.values()):
+        return True
+    if any(left[r["kind"]] and (r["fresh"] or left[r["kind"]] > tolerance * r["least"]) for r in kinds):
+        return False
+    t, d = F.col("trust"), F.col("distrust")
+    more_t, more_d = F.lit(left.get("trust", 0.0)), F.lit(left.get("distrust", 0.0))
+    sure = exceeds(d, t + more_t, ratio) | ~exceeds(d + more_d, t, ratio) | ((more_t <= TIE / 10 * t) & (more_d <= TIE / 10 * d))
+    return by_kind(state).filter((t > 0) & (d > 0) & ~sure).isEmpty()
+
+
+def propagated(
+    seeds: DataFrame, shares: DataFrame, damping: float, tolerance: float, ratio: float, rounds: int | None = None, step: int = 4,
+) -> DataFrame:
     """kind, host, mass: the sum of ``damping**i`` times each seed's mass after i links, with weight 1 - damping.
 
     Mass at hosts without links ends there, which scales all results of a kind
-    alike. A checkpoint every ``step`` rounds ends the lineage.
+    alike; only mass that can still travel counts as moving. Rounds go on until
+    ``settled``, or end after ``rounds`` where that is given. A checkpoint every
+    ``step`` rounds ends the lineage.
     """
+    onward = shares.select("kind", F.col("source").alias("host"), F.lit(True).alias("onward")).distinct()
+    mass = (1 - damping) * F.col("mass")
     state = common.checkpointed(
-        seeds.select("kind", "host", ((1 - damping) * F.col("mass")).alias("mass"), ((1 - damping) * F.col("mass")).alias("moving"))
+        seeds.join(onward, ["kind", "host"], "left").select(
+            "kind", "host", mass.alias("mass"), F.when(F.col("onward"), mass).otherwise(0.0).alias("moving"), F.lit(True).alias("fresh")
+        )
     )
-    for _ in range(0, rounds, step):
+    done = 0
+    while (rounds is None or done < rounds) and not settled(state, damping, tolerance, ratio):
         for _ in range(step):
+            sent = damping * F.col("moving") * F.col("share")
             moved = (
                 state.filter("moving > 0")
                 .join(shares.withColumnRenamed("source", "host"), ["kind", "host"])
-                .select("kind", F.col("target").alias("host"), (damping * F.col("moving") * F.col("share")).alias("mass"))
+                .select("kind", F.col("target").alias("host"), sent.alias("mass"), F.when(F.col("travels"), sent).otherwise(0.0).alias("moving"))
             )
             state = (
-                state.select("kind", "host", "mass", F.lit(0.0).alias("moving"))
-                .unionByName(moved.select("kind", "host", "mass", F.col("mass").alias("moving")))
+                state.select("kind", "host", "mass", F.lit(0.0).alias("moving"), F.lit(False).alias("fresh"))
+                .unionByName(moved.select("kind", "host", "mass", "moving", F.lit(True).alias("fresh")))
                 .groupBy("kind", "host")
-                .agg(F.sum("mass").alias("mass"), F.sum("moving").alias("moving"))
+                .agg(F.sum("mass").alias("mass"), F.sum("moving").alias("moving"), F.min("fresh").alias("fresh"))
             )
         state = common.checkpointed(state)
-        mass, moving = state.agg(F.sum("mass"), F.sum("moving")).first()
-        if not mass or (moving or 0.0) <= tolerance * mass:
-            break
+        done += step
     return state.select("kind", "host", "mass")
 
 
 def host_scores(
     pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "page_id", url_column: str = "url",
-    html_column: str = "html", damping: float = 0.85, tolerance: float = 0.01, rounds: int = 24,
+    html_column: str = "html", damping: float = 0.85, tolerance: float = 0.01, ratio: float = 1.0, rounds: int | None = None,
 ) -> DataFrame:
     """host, trust, distrust: in units of seed pages."""
     seeds = (
@@ -139,11 +183,7 @@ def host_scores(
         .agg(F.count("*").cast("double").alias("mass"))
     )
     shares = common.checkpointed(directed_shares(common.checkpointed(host_edges(pages, url_column, html_column))))
-    mass = propagated(seeds, shares, damping, tolerance, rounds)
-    return mass.groupBy("host").agg(
-        F.sum(F.when(F.col("kind") == "trust", F.col("mass")).otherwise(0.0)).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("mass")).otherwise(0.0)).alias("distrust"),
-    )
+    return by_kind(propagated(seeds, shares, damping, tolerance, ratio, rounds))
 
 
 def filtered_urls(
@@ -151,10 +191,10 @@ def filtered_urls(
     html_column: str = "html", ratio: float = 1.0, **propagation: float,
 ) -> DataFrame:
     """page id, host, path, rule, verdict, trust, distrust; one row per page."""
-    scores = host_scores(pages, rules, id_column, url_column, html_column, **propagation)
+    scores = host_scores(pages, rules, id_column, url_column, html_column, ratio=ratio, **propagation)
     found = judged_by_rules(pages, rules, id_column, url_column).join(scores, "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    method = F.when((F.col("host") == "") | (distrust > ratio * trust), "block").otherwise("allow")
+    method = F.when((F.col("host") == "") | exceeds(distrust, trust, ratio), "block").otherwise("allow")
     return found.select(
         id_column, "host", "path", "rule", F.coalesce("rule_verdict", method).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"),
