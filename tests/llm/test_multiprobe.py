@@ -29,6 +29,23 @@ def test_recall_ties_and_invalid_vectors(spark):
     assert exact[:19] == list(range(101, 120)) or x[100] @ x[100] < max(x @ x[100])
 
 
+def test_one_long_vector(spark):
+    """The long one squeezes all others into few buckets, which some queries do not visit."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    x[7] *= 20
+    found = {}
+    for r in M.nearest(spark.createDataFrame([(i, v.tolist(), 0.0, 1, "p") for i, v in enumerate(x)], SCHEMA)).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    s = x[::20].astype(float) @ x.astype(float).T
+    s[np.arange(200), np.arange(0, 4000, 20)] = -np.inf
+    best = np.argsort(-s, axis=1, kind="stable")[:, :20]
+    assert set(found) == set(range(0, 4000, 20)) and all(sorted(r for r, _ in own) == list(range(1, 21)) for own in found.values())
+    shares = [len({v for _, v in found[20 * i]} & set(b.tolist())) / 20 for i, b in enumerate(best)]
+    assert min(shares) >= 0.5 and np.mean(shares) >= 0.95
+
+
 def test_few_and_no_vectors(spark):
     rows = [(0, [1.0, 0.0], 0.0, 1, "p"), (1, [0.5, 0.5], 0.0, 1, "p"), (20, [0.0, 1.0, 0.0], 0.0, 1, "p")]
     assert [tuple(r) for r in M.nearest(spark.createDataFrame(rows, SCHEMA)).collect()] == [(0, 1, 1, 0.5)]

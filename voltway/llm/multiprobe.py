@@ -6,7 +6,10 @@ a point by ``floor((a.x + b) / width)`` for a few Gaussian directions a; a query
 visits the buckets around its own in order of estimated success (the summed
 squared distances from its projections to a bucket's slots), in every table, and
 what the tables find is merged and ranked by exact inner products in double
-precision.
+precision. A query whose buckets held fewer than k others, or which by the sizes
+of all buckets and its k-th distance is expected to have found less than ``SURE``
+of what lies nearer (one long vector squeezes the others into few buckets), is
+scored against all points of its dimension.
 
 Equal vectors are searched once: a class of them keeps its smallest ids, found
 with a limit before the shuffle, so a vector that a third of all rows share is
@@ -17,7 +20,8 @@ and pairs are never rows. All buckets are searched whole: there is no cap.
 Defined results: null and zero vectors, empty ones and those with null or
 non-finite components take no part; vectors of another dimension are not
 candidates for each other; a repeated (id, vector) row counts once; a query
-without candidates gives no row; an empty table gives no rows.
+gives fewer than k rows only where its dimension has no more others; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from voltway.llm import common
 TABLES, DIRECTIONS, WIDTH, PROBES, REACH = 2, 3, 2.0, 16, 3
 ROWS_A_CELL, QUERIES_A_CELL = 4096, 1024
 SEED = 20
+SURE = 0.9
 
 
 def directions(dim: int, table: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,10 +111,67 @@ def probed(queries: DataFrame, probes: int) -> DataFrame:
     return queries.mapInPandas(run, "table int, dim int, bucket string, query long, target binary")
 
 
-def cells(rows: DataFrame, visits: DataFrame) -> tuple[DataFrame, DataFrame]:
+def bucket_sizes(counts: DataFrame) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """(table, dim) -> slots and point counts of its buckets.
+
+    Points have unit norm, so a table has at most a few hundred buckets per
+    dimension, whatever the number of points.
+    """
+    pdf = counts.toPandas()
+    return {
+        (int(t), int(d)): (np.array([b.split(",") for b in own["bucket"]], np.int64), own["n"].to_numpy(np.float64))
+        for (t, d), own in pdf.groupby(["table", "dim"])
+    }
+
+
+def normal_cdf(z: np.ndarray) -> np.ndarray:
+    """Abramowitz and Stegun 7.1.26, within 1e-7."""
+    a = np.abs(z) / np.sqrt(2.0)
+    t = 1.0 / (1.0 + 0.3275911 * a)
+    tail = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * np.exp(-a * a) / 2
+    return np.where(z > 0, 1.0 - tail, tail)
+
+
+def expected_share(x: np.ndarray, kth: np.ndarray, largest: float, probes: int, sizes: dict) -> np.ndarray:
+    """The share of the points nearer than the k-th one found that each query's visits are expected to hold.
+
+    A point at distance r projects around the query with deviation r; a bucket
+    weighs its points times the chance of its slots, visited or not.
+    """
+    norm = np.linalg.norm(x, axis=1)
+    r = np.sqrt(np.maximum(1e-12, 2.0 - 2.0 * kth / (norm * largest)))[:, None, None] / WIDTH
+    points = np.hstack([x / norm[:, None], np.zeros((len(x), 1))])
+    missed = np.ones(len(x))
+    for table in range(TABLES):
+        slots, counts = sizes[table, x.shape[1]]
+        at = projected(points, table)
+        from_own = slots[None] - at[:, None, :]
+        weight = counts * np.maximum(normal_cdf((from_own + 1.0) / r) - normal_cdf(from_own / r), 1e-300 ** (1 / DIRECTIONS)).prod(2)
+        visits = probe_order(at, probes)
+        visited = np.array([np.isin(code(slots), code(v)) for v in visits])
+        missed *= 1.0 - (weight * visited).sum(1) / weight.sum(1)
+    return 1.0 - missed
+
+
+def unsure(queries: DataFrame, largest: float, probes: int, sizes: dict) -> DataFrame:
+    """table, dim, bucket, query, target: one visit to all points, for each query (kth null: fewer than k found) that needs it."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for own in (g for f in frames for g in dimension_groups(f)):
+            for first in range(0, len(own), 512):
+                part = own.iloc[first : first + 512]
+                kth = part["kth"].to_numpy(np.float64)
+                share = expected_share(unpacked(part["vector"]), np.nan_to_num(kth), largest, probes, sizes)
+                part = part[np.isnan(kth) | (share < SURE)]
+                yield pd.DataFrame({"table": -1, "dim": part["dim"], "bucket": "", "query": part["point"], "target": part["vector"]})
+
+    return queries.mapInPandas(run, "table int, dim int, bucket string, query long, target binary")
+
+
+def cells(rows: DataFrame, counts: DataFrame, visits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides dealt out to cells: rows to blocks and queries to groups, each copied to the other's."""
     keys = ["table", "dim", "bucket"]
-    sizes = rows.groupBy(keys).agg(F.ceil(F.count("*") / ROWS_A_CELL).alias("blocks")).join(
+    sizes = counts.select(*keys, F.ceil(F.col("n") / ROWS_A_CELL).alias("blocks")).join(
         visits.groupBy(keys).agg(F.ceil(F.count("*") / QUERIES_A_CELL).alias("groups")), keys
     )
     sizes = common.checkpointed(sizes)
@@ -161,19 +223,37 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     largest *= 1 + 1e-12
 
-    targets = asked.dropDuplicates(["point"]).select("point", "dim", "vector")
-    left, right = cells(bucketed(classes.select("point", "dim", "vector"), largest), probed(targets, probes))
-    keys = ["table", "dim", "bucket", "block", "group"]
+    points = classes.select("point", "dim", "vector")
+    targets = common.checkpointed(asked.dropDuplicates(["point"]).select("point", "dim", "vector"))
+    keys = ["table", "dim", "bucket"]
     most = k + 2  # its own class may come and then give nothing
-    scored = left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(lambda a, b: best(a, b, most), "query long, point long, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "point")
-    merged = scored.groupBy("query", "point").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
-    spread = merged.join(classes.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    lists = (
-        spread.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k + 1)
-        .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("found"))
-    )
+
+    def scored(rows: DataFrame, counts: DataFrame, visits: DataFrame) -> DataFrame:
+        left, right = (side.groupBy(*keys, "block", "group") for side in cells(rows, counts, visits))
+        return left.cogroup(right).applyInPandas(lambda a, b: best(a, b, most), "query long, point long, score double")
+
+    def merged(found: DataFrame) -> DataFrame:
+        once = found.groupBy("query", "point").agg(F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).drop("rank")
+
+    def listed(found: DataFrame) -> DataFrame:
+        spread = found.join(classes.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
+        by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+        return (
+            spread.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k + 1)
+            .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("found"))
+        )
+
+    rows = bucketed(points, largest)
+    counts = common.checkpointed(rows.groupBy(keys).agg(F.count("*").alias("n")))
+    near = common.checkpointed(merged(scored(rows, counts, probed(targets, probes))))
+    kth = listed(near).select(F.col("query").alias("point"), F.try_element_at("found", F.lit(k + 1))["score"].alias("kth"))
+    again = common.checkpointed(unsure(targets.join(kth, "point", "left"), largest, probes, bucket_sizes(counts)))
+    if not again.isEmpty():
+        whole = points.select(F.lit(-1).alias("table"), "dim", F.lit("").alias("bucket"), "point", "vector")
+        near = merged(near.unionByName(scored(whole, whole.groupBy(keys).agg(F.count("*").alias("n")), again)))
+    lists = listed(near)
     own = asked.select("query_id", F.col("point").alias("query")).join(lists, "query")
     others = own.select("query_id", F.posexplode(F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)))
     return others.select("query_id", (F.col("pos") + 1).alias("rank"), "col.vec_id", "col.score")
