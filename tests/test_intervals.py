@@ -56,3 +56,15 @@ def test_trailing_window_forgets_after_ninety_days(spark):
     days = spark.createDataFrame([("a", day(n)) for n in (0, 89, 90)], "station_key string, day date")
     levels = spark.createDataFrame([("a", day(0), 4)], "station_key string, day date, level int")
     assert [r["ports"] for r in I.trailing_ports(levels, days).orderBy("day").collect()] == [4, 4, 1]
+
+
+def test_sensitivity_covers_every_definition_and_rule(spark):
+    from voltway.plans.registry import queries
+
+    found = [r.asDict() for r in queries()["sensitivity_table"](spark, "/root/testdata/sf0.001").collect()]
+    definitions = {*(f"robust_max_n{n}" for n in (1, 2, 3, 5, 10)), "connector_ids", "production", "trailing_90d_max"}
+    sources = {r["source"] for r in found}
+    assert {(r["session_rule"], r["definition"], r["source"], r["flavour"]) for r in found} == {
+        (rule, d, s, f) for rule in ("non_trivial_only", "all_sessions") for d in definitions for s in sources for f in ("connected", "charging")
+    } and len(found) == 32 * len(sources)
+    assert all((r["over_full"] is None) == (r["with_measure"] == 0) == (r["utilization"] is None) for r in found)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,3 +83,38 @@ def utilization_by_source(days: DataFrame) -> DataFrame:
         C.utilization(F.col("connected_minutes"), F.when(F.col("connected_minutes").isNotNull() | (F.col("source") != "beta"), F.col("available_minutes"))).alias("connected_utilization"),
         C.utilization(F.col("charging_minutes"), F.col("available_minutes")).alias("charging_utilization"), F.count("*").alias("station_days"),
     )
+
+
+def port_definitions(t: Tables, line: DataFrame) -> DataFrame:
+    """station_key, day, definition, p: eight port counts of each station-day, with the concurrency that ``line`` shows.
+
+    Sessions without any end count as ended at their start. The trailing maximum
+    also sees days of ``line`` before the station's first active day.
+    """
+    swept = I.sweep(line.withColumn("e", F.coalesce("e", "s")))
+    levels = t.dim.select("station_key", "connector_ids").join(I.days_at_level(swept), "station_key", "left")
+    over = lambda n: F.greatest(F.coalesce(F.max(F.when(F.col("days") >= n, F.col("level"))), F.lit(0)), F.lit(1))
+    each = levels.groupBy("station_key").agg(F.first("connector_ids").alias("c"), *(over(n).alias(f"robust_max_n{n}") for n in (1, 2, 3, 5, 10)))
+    each = each.withColumn("connector_ids", F.when(F.col("c") > 0, F.col("c")).otherwise(F.col("robust_max_n5"))).withColumn("production", F.greatest("c", "robust_max_n5"))
+    names = [n for n in each.columns if n not in ("station_key", "c")]
+    fixed = each.select("station_key", F.explode(F.array(*(F.struct(F.lit(n).alias("definition"), F.col(n).cast("long").alias("p")) for n in names))).alias("x")).select("station_key", "x.*")
+    days, daily = I.spine(t.dim).select("station_key", "day"), I.day_levels(swept)
+    trailing = days.join(I.trailing_ports(daily, days.unionByName(daily.select("station_key", "day")).distinct()), ["station_key", "day"])
+    return days.join(fixed, "station_key").unionByName(trailing.select("station_key", "day", F.lit("trailing_90d_max").alias("definition"), F.col("ports").cast("long").alias("p")))
+
+
+def sensitivity(t: Tables) -> DataFrame:
+    """Utilization by session rule, port definition, source and flavour, with counts of station-days, of those with a measure and of those over 100 %."""
+    kept = lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)  # noqa: E731  # read many times; plans end here
+    kept(t.line)
+    kept(t.dim)
+    lines = {"non_trivial_only": t.line, "all_sessions": kept(I.timeline(t.sessions, all_sessions=True))}
+    ports = [kept(port_definitions(t, line)).withColumn("session_rule", F.lit(rule)) for rule, line in lines.items()]
+    days = kept(station_day(t).filter("not is_excluded")).join(ports[0].unionByName(ports[1]), ["station_key", "day"])
+    flavours = F.explode(F.array(*(F.struct(F.lit(n).alias("flavour"), F.col(f"{n}_minutes").alias("used")) for n in ("connected", "charging"))))
+    used, available = F.col("used"), F.col("day_minutes") * F.col("p")
+    each = days.select("session_rule", "definition", "source", available.alias("available"), flavours.alias("x")).select("*", "x.*").drop("x")
+    return each.groupBy("session_rule", "definition", "source", "flavour").agg(
+        C.utilization(used, F.col("available")).alias("utilization"), F.count("*").alias("station_days"), F.count(used).alias("with_measure"),
+        F.when(F.count(used) > 0, F.count(F.when(used > F.col("available"), 1))).alias("over_full"),
+    )

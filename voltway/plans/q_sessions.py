@@ -281,6 +281,46 @@ def sensitivity_grid(w):
     return d.groupBy("n", "source").agg(r6(C.utilization(F.col("charging_minutes"), available), "charging"), r6(C.utilization(F.col("connected_minutes"), available), "connected"))
 
 
+SENSITIVITY = """SELECT * FROM (WITH
+rule_line AS (
+  SELECT 'non_trivial_only' AS session_rule, station_key, object_id, s, coalesce(e, s) AS e, CAST(start_local AS DATE) AS day FROM timeline UNION ALL
+  SELECT 'all_sessions', station_key, object_id, epoch(start_utc), CASE WHEN end_utc IS NOT NULL THEN epoch(end_utc) ELSE epoch(start_utc) + round(coalesce(charging_minutes, 0) * 60) END, CAST(start_local AS DATE)
+  FROM sessions WHERE NOT contains(station_key, '/unknown/')),
+rule_moves AS (
+  SELECT session_rule, station_key, object_id, s AS t, 1 AS d, day FROM rule_line UNION ALL SELECT session_rule, station_key, object_id, e, -1, NULL FROM rule_line),
+rule_max AS (
+  SELECT session_rule, station_key, day, max(level) AS level
+  FROM (SELECT *, sum(d) OVER (PARTITION BY session_rule, station_key ORDER BY t, d, object_id ROWS UNBOUNDED PRECEDING) AS level FROM rule_moves) WHERE d = 1 GROUP BY 1, 2, 3),
+rule_level AS (
+  SELECT session_rule, station_key, lv.k AS level, count(*) AS days FROM rule_max, (SELECT unnest(range(1, 9)) AS k) lv WHERE rule_max.level >= lv.k GROUP BY 1, 2, 3),
+robust AS (
+  SELECT session_rule, station_key, n, any_value(connector_ids) AS c, greatest(coalesce(max(CASE WHEN days >= n THEN level END), 0), 1) AS p
+  FROM dim CROSS JOIN (VALUES ('non_trivial_only'), ('all_sessions')) r(session_rule) CROSS JOIN (VALUES (1), (2), (3), (5), (10)) v(n) LEFT JOIN rule_level USING (session_rule, station_key) GROUP BY 1, 2, 3),
+fixed AS (
+  SELECT session_rule, station_key, 'robust_max_n' || n AS definition, p FROM robust UNION ALL
+  SELECT session_rule, station_key, 'connector_ids', CASE WHEN c > 0 THEN c ELSE p END FROM robust WHERE n = 5 UNION ALL
+  SELECT session_rule, station_key, 'production', greatest(c, p) FROM robust WHERE n = 5),
+defined AS (
+  SELECT session_rule, station_key, day, definition, p FROM spine JOIN fixed USING (station_key) UNION ALL
+  SELECT r.session_rule, d.station_key, d.day, 'trailing_90d_max', greatest(coalesce(max(m.level), 1), 1)
+  FROM spine d CROSS JOIN (VALUES ('non_trivial_only'), ('all_sessions')) r(session_rule)
+  LEFT JOIN rule_max m ON m.session_rule = r.session_rule AND m.station_key = d.station_key AND m.day <= d.day AND m.day > d.day - 90 GROUP BY r.session_rule, d.station_key, d.day),
+measured AS (
+  SELECT session_rule, definition, source, day_minutes * p AS available, connected_minutes, charging_minutes FROM station_day JOIN defined USING (station_key, day) WHERE NOT is_excluded),
+flavoured AS (
+  SELECT *, 'connected' AS flavour, connected_minutes AS used FROM measured UNION ALL SELECT *, 'charging', charging_minutes FROM measured)
+SELECT session_rule, definition, source, flavour, round(sum(used) / nullif(sum(available), 0), 6) AS utilization, count(*) AS station_days, count(used) AS with_measure,
+  CASE WHEN count(used) > 0 THEN count(CASE WHEN used > available THEN 1 END) END AS over_full
+FROM flavoured GROUP BY 1, 2, 3, 4)"""
+
+
+@query(SENSITIVITY)
+def sensitivity_table(w):
+    """All eight port definitions under both session rules."""
+    found = gold.sensitivity(w.tables)
+    return found.withColumn("utilization", F.round("utilization", 6))
+
+
 @query("SELECT source, round(quantile_cont(gap, 0.5), 4) AS p50, round(quantile_cont(gap, 0.9), 4) AS p90, round(quantile_cont(gap, 0.99), 4) AS p99, round(max(gap), 4) AS p100, count(CASE WHEN gap > 1 THEN 1 END) AS over_a_day FROM (SELECT source, (lead(s) OVER (PARTITION BY station_key ORDER BY s, e, object_id) - e) / 86400.0 AS gap FROM timeline) WHERE gap IS NOT NULL GROUP BY 1")
 def inter_session_gap_quantiles(w):
     line = w.tables.line
