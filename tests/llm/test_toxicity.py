@@ -33,6 +33,13 @@ def test_swaps_take_the_weight_off_neutral_mentions(spark):
     assert with_swaps.scorer()("a vile word3 thing") > 0.5 > with_swaps.scorer()("a christian word3 thing")
 
 
+def test_one_id_with_many_rows_is_bounded(spark):
+    docs = spark.createDataFrame([(7, f"text {i % 400}") for i in range(2000)] + [(i, f"own {i}") for i in range(20, 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(20, 30)], "doc_id long, toxic int")
+    rows = [tuple(r) for r in X.labelled_sample(docs, labels, 44, "doc_id", "text", "toxic", 1 << 30).collect()]
+    assert len(rows) == len(set(rows)) == 14 and sum(label for label, _ in rows) == 4
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     held = X.scored(docs, labels).join(labels, "doc_id").filter("held_out")

@@ -9,7 +9,7 @@ moves the score by the difference of the two terms' features and the penalty
 needs only how many training texts mention each term.
 
 Fitting reads a sample of labelled rows of bounded expected size (``SAMPLE``,
-chosen by a hash of the id); scoring is one pass over all texts, whole.
+chosen by hashes of the id and the text); scoring is one pass over all texts, whole.
 
 Defined results: null and empty texts get the score of no features; without
 labelled rows of both kinds every score is 0; a document labelled twice counts
@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltway.llm import common
@@ -96,13 +96,19 @@ class Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, id_column: str, text_column: str, label_column: str, fold: int) -> DataFrame:
-    """row, label, text: training rows, their expected number bounded by ``sample``."""
+    """label, text: training rows, their expected number bounded by ``sample``.
+
+    Equal texts of an id count once, and no id has more texts than its even share of ``sample``.
+    """
     known = labels.select(F.col(id_column).alias("doc_id"), F.col(label_column).cast("int").alias("label")).filter("doc_id is not null and label is not null")
     known = known.filter(common.remainder("doc_id", fold) != 0).groupBy("doc_id").agg(F.max("label").alias("label"))
-    share = min(1.0, sample / max(1, known.count()))
+    n = max(1, known.count())
+    share, most = min(1.0, sample / n), max(1, sample // n)
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("label", "text")  # bounded by ``sample``
+    joined = texts.join(F.broadcast(chosen), "doc_id").distinct()  # bounded by ``sample``
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    return joined.withColumn("rank", rank).filter(F.col("rank") <= most).select("label", "text")
 
 
 def feature_rows(sample: DataFrame) -> DataFrame:
