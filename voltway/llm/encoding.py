@@ -3,9 +3,12 @@
 A text is cut into chunks where no token of the tokenizer can reach across. A
 chunk that a worker meets for the first time is normalised and cut into the
 tokenizer's own pieces, and pieces not yet known are encoded by the library's
-model; texts are put together from the chunks' ids with numpy. What a worker
-remembers is emptied beyond ``most`` chunks, so memory is bounded whatever the
-vocabulary. Chunks with parts of special tokens go through the whole library.
+model; texts are put together from the chunks' ids with numpy. A worker
+remembers two generations: when the younger one outgrows ``most_bytes`` it
+becomes the older and the older is dropped, so memory is bounded whatever the
+vocabulary, tasks of one worker share what they learned, and frequent chunks
+never have to be encoded again. Chunks with parts of special tokens go through
+the whole library.
 """
 
 from __future__ import annotations
@@ -26,7 +29,10 @@ ALONE = re.compile(f"[^{WHITE}]+")
 # The pieces that the tokenizer files' pre-tokenizers keep.
 BYTE_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-MOST_CHUNKS = 500_000
+#: Bytes that a generation of chunks may take, as estimated from their number and lengths.
+MOST_BYTES = 75_000_000
+#: Bytes that a remembered chunk takes beside its characters, with its share of the pieces.
+EACH = 250
 
 
 def byte_letters() -> dict[int, str]:
@@ -71,8 +77,7 @@ class ChunkEncoder:
 
     #: Characters of text that are cut at a time.
     slice = 1_500_000
-    #: Chunks and pieces remembered, at most.
-    most = MOST_CHUNKS
+    most_bytes = MOST_BYTES
 
     def __init__(self, path: str, drops_white: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -85,37 +90,48 @@ class ChunkEncoder:
         self.drops_white = drops_white
         self.cut = (ALONE if drops_white else LEADING).findall
         self.pieces_of = (WORD_PIECES if drops_white else BYTE_PIECES).findall
-        self.forget()
+        self.pieces: dict[str, bytes] = {}
+        self.start_generation()
+        self.older: tuple[dict[str, int], array, array] = {}, self.ids, self.starts
 
-    def forget(self) -> None:
+    def start_generation(self) -> None:
         self.chunks = Numbers()
-        self.pieces: dict[str, list[int]] = {}
         self.ids = array("H")
         self.starts = array("q", [0])
+        self.held = 0
 
-    def encode_piece(self, piece: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(in_letters(piece))]
+    def turn(self) -> None:
+        """Let the older generation go if the younger one is full."""
+        if self.held > self.most_bytes:
+            self.older = self.chunks, self.ids, self.starts
+            self.pieces = {}
+            self.start_generation()
+
+    def encode_piece(self, piece: str) -> bytes:
+        return array("H", [t.id for t in self.model.tokenize(in_letters(piece))]).tobytes()
 
     def learn(self) -> None:
         """Ids of the chunks that were met since the last time."""
-        pieces, ids, starts, drops = self.pieces, self.ids, self.starts, self.drops_white
+        pieces, ids, starts, drops, cut = self.pieces, self.ids, self.starts, self.drops_white, self.pieces_of
+        remembered, old_ids, old_starts = self.older
         for chunk in self.chunks.new:
-            if "<|" in chunk:
+            at = remembered.get(chunk)
+            if at is not None:
+                ids.extend(old_ids[old_starts[at] : old_starts[at + 1]])
+            elif "<|" in chunk:
                 ids.extend(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
             else:
-                for piece in self.pieces_of(lower_cased(chunk) if drops else chunk):
+                for piece in cut(lower_cased(chunk) if drops else chunk):
                     found = pieces.get(piece)
                     if found is None:
                         found = pieces[piece] = self.encode_piece(piece)
-                    ids.extend(found)
+                    ids.frombytes(found)
             starts.append(len(ids))
+        self.held += sum(map(len, self.chunks.new)) + EACH * len(self.chunks.new)
         self.chunks.new.clear()
-        if len(pieces) > self.most:
-            pieces.clear()
 
     def slice_ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.chunks) > self.most:
-            self.forget()
+        self.turn()
         cut = [self.cut(t) for t in texts]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         which = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))

@@ -28,8 +28,6 @@ from voltway.llm import common
 from voltway.llm.encoding import encoder, public_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
-#: Chunks of text that a task remembers: fewer than elsewhere, as packing ends pipelines whose workers are large already.
-MOST_CHUNKS = 200_000
 PLAN = "length long, first_rank long, last_rank long, first_sequence long, offset long"
 
 
@@ -95,7 +93,6 @@ def pieces(
         from pyspark import TaskContext
 
         part, own = TaskContext.get().partitionId(), encoder(tokenizer, drops_white)
-        own.most = MOST_CHUNKS
         met = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -109,7 +106,6 @@ def pieces(
                         met[length] += 1
                         start, length = start + length, capacity
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), KINDS, strict=True)], names=NAMES)
-        own.forget()  # a worker's next task may be of another stage, and needs the memory
 
     found = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return common.written(found.mapInArrow(run, PIECES), "pieces")

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from os.path import commonprefix
 
 import numpy as np
@@ -29,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltway.llm.encoding import ChunkEncoder, in_letters, lower_cased, public_path
+from voltway.llm.encoding import EACH, ChunkEncoder, in_letters, lower_cased, public_path
 
 WORD_END = "</w>"
-MOST_PAIRS, MOST_WORDS = 400_000, 400_000
+MOST_PAIRS = 400_000
 
 RESULT = T.StructType(
     [
@@ -128,7 +129,7 @@ class TrieEncoder(ChunkEncoder):
             while start:
                 token, start = path[start]
                 ids.append(token)
-            self.pieces[piece] = ids[::-1]
+            self.pieces[piece] = array("H", ids[::-1]).tobytes()
             before = word
 
     # -- texts
@@ -144,18 +145,23 @@ class TrieEncoder(ChunkEncoder):
 
     def learn(self) -> None:
         """Ids of the chunks that were met since the last time."""
-        if len(self.pieces) > MOST_WORDS:
-            self.pieces.clear()
-        cut = [self.cut_chunk(c) for c in self.chunks.new]
+        new = self.chunks.new
+        remembered, ids, starts = self.older
+        at = [remembered.get(c) for c in new]
+        known = [None if i is None else ids[starts[i] : starts[i + 1]] for i in at]
+        cut = [self.cut_chunk(c) if ids is None else [] for c, ids in zip(new, known, strict=True)]
         self.learn_words([w for w in {w for c in cut for w in c} if isinstance(w, str) and w not in self.pieces])
-        for parts in cut:
+        for ids, parts in zip(known, cut, strict=True):
+            if ids is not None:
+                self.ids.extend(ids)
             for p in parts:
                 if isinstance(p, str):
-                    self.ids.extend(self.pieces[p])
+                    self.ids.frombytes(self.pieces[p])
                 else:
                     self.ids.append(p)
             self.starts.append(len(self.ids))
-        self.chunks.new.clear()
+        self.held += sum(map(len, new)) + EACH * len(new)
+        new.clear()
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by a space: the tokenizer file names no decoder."""
