@@ -1,9 +1,10 @@
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from voltway.operators import checks, incremental, reconcile
-from voltway.sources import landing
+from voltway.sources import contracts, landing
 from voltway.sources.contracts import Column, Contract, Family
 from voltway.streaming import station_counts
 
@@ -38,7 +39,7 @@ def test_landing_states(spark, tmp_path):
     assert landing.manifest_table(spark, str(tmp_path / "manifest.json")).count() == 0
 
     put(tmp_path, "sessions.csv", "id,energy,note\n1,abc,x\n")
-    assert landing.land_file(spark, raw, CONTRACT, root, files).codes == ["retyped"]
+    assert landing.land_file(spark, raw, CONTRACT, root, files).codes == ["retyped_required"]
 
 
 def test_replacing_a_source_leaves_others(spark, tmp_path):
@@ -82,3 +83,43 @@ def test_stream_equals_batch_for_closed_windows(spark, tmp_path):
     stream = {tuple(r)[:3] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     batch = {tuple(r)[:3] for r in station_counts.windowed(events).collect()}
     assert stream and stream <= batch
+
+
+def test_severities(spark, tmp_path):
+    """A missing optional column and an all-null required one are told, and the file lands."""
+    files = {}
+    raw = put(tmp_path, "sessions.csv", "id,energy\n1,\n2,\n")
+    drift = landing.land_file(spark, raw, CONTRACT, tmp_path / "landed", files)
+    assert drift.outcome == "info" and {(f.code, f.column) for f in drift.findings} == {("all_null", "energy"), ("missing_optional", "note")}
+    assert files["demo/sessions.csv"]["bytes"] == raw.stat().st_size
+
+
+def test_land_source_tells_of_every_file(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    put(folder, "a_sessions.csv", "id,energy,note\n1,2.5,x\n")
+    put(folder, "b_other.csv", "id\n1\n")
+    put(folder, "c_sessions.csv", "id,energy,note,extra\n1,2.5,x,y\n")
+    files = {}
+    drifts = landing.land_source(spark, folder, CONTRACT, tmp_path / "landed", files)
+    told = contracts.drift_record([("demo", d) for d in drifts], "run")
+    assert [f["outcome"] for f in told["files"]] == ["ok", "quarantine", "warn"] and told["summary"]["quarantined_files"] == ["demo/b_other.csv"]
+    assert landing.bronze(spark, str(tmp_path / "landed" / "demo")).count() == 2
+
+
+def test_declared_contracts_choose_families(spark):
+    gamma = contracts.CONTRACTS["gamma"]
+    assert gamma.family("x_local_authority_rapids_raw_2017.csv").name == "rapids" and gamma.family("y.csv") is None
+    raw = spark.createDataFrame([("E1", "C", "1", "2017-01-01", "10:00:00", "2017-01-01", "10:30:00", "3.5", "Body", "NA", "30")], "ChargingEvent string, CPID string, Connector string, StartDate string, StartTime string, EndDate string, EndTime string, EnergySupplied string, Name string, Price string, PluginDuration string")
+    _, drift = contracts.check_file(raw, gamma, "local_authority_rapids_raw.csv")
+    assert drift.outcome == "info" and [f.code for f in drift.findings] == ["aliased", "all_null"]
+
+
+def test_a_missing_table_is_empty(spark, tmp_path):
+    assert landing.existing(spark, str(tmp_path / "none" / "*.parquet"), landing.ENTRY).count() == 0
+
+
+def test_other_suffixes_and_nameless_columns(spark, tmp_path):
+    assert landing.read_raw(spark, str(put(tmp_path, "x.csv", ",id\n0,5\n"))).columns == ["publisher_row_index", "id"]
+    with pytest.raises(ValueError):
+        landing.read_raw(spark, str(tmp_path / "x.json"))

@@ -1,4 +1,9 @@
-"""Interval operators: concurrency, capacity, gaps, midnight splits, occupancy."""
+"""Interval operators: concurrency, capacity, gaps, midnight splits, occupancy.
+
+Running values per station are two-phase: within spans of ``SPAN`` seconds, then
+over the spans' totals (one row a station and span), so the whole history of one
+busy station isn't one task.
+"""
 
 from __future__ import annotations
 
@@ -8,76 +13,103 @@ from pyspark.sql import functions as F
 from voltway.functions import columns as C
 
 MOST_LEVELS = 8
+#: Seconds of a station's history that one task orders.
+SPAN = 30 * 86400
 
 
 def seconds(c: Column | str) -> Column:
     return F.unix_micros(C.col(c)) / 1e6
 
 
+def whole_seconds(minutes: Column | str) -> Column:
+    return F.round(C.col(minutes) * 60)
+
+
 def timeline(sessions: DataFrame, all_sessions: bool = False) -> DataFrame:
-    """Sessions of known stations, only non-trivial ones unless ``all_sessions``, with start ``s`` and effective end ``e`` in seconds."""
-    effective = F.when(F.col("end_utc").isNotNull(), seconds("end_utc")).otherwise(seconds("start_utc") + F.round(F.col("charging_minutes") * 60))
+    """Sessions of known stations, only non-trivial ones unless ``all_sessions``.
+
+    ``s`` and ``e``: start and effective end in UTC seconds (the charging time
+    stands in for an unknown end, 0 for an unknown charging time), ``start_day``
+    and ``end_day`` their local dates.
+    """
+    charged = F.coalesce(whole_seconds("charging_minutes"), F.lit(0.0))
+    end_local = F.coalesce("end_local", F.timestamp_micros(F.unix_micros("start_local") + (charged * 1e6).cast("long")))
     known = sessions.filter((F.lit(all_sessions) | F.col("is_non_trivial")) & ~F.col("station_key").contains("/unknown/"))
-    return known.withColumn("s", seconds("start_utc")).withColumn("e", effective).withColumn("start_day", F.to_date("start_local"))
+    return known.select(
+        "*", seconds("start_utc").alias("s"), F.coalesce(seconds("end_utc"), seconds("start_utc") + charged).alias("e"),
+        F.to_date("start_local").alias("start_day"), F.to_date(end_local).alias("end_day"),
+    )
+
+
+def in_spans(df: DataFrame, at: str) -> DataFrame:
+    """``df`` with ``_span``, the span that ``at`` (seconds, not null) lies in; as it is where it has one already, so that its partitioning serves again."""
+    return df if "_span" in df.columns else df.withColumn("_span", F.floor(F.col(at) / SPAN))
+
+
+def running(df: DataFrame, keys: list[str], at: str, order: list[Column], sums: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None) -> DataFrame:
+    """Adds running sums and maxima per key, rows in ``order``, which must begin with ``at``; keeps ``_span``."""
+    spans = [*keys, "_span"]
+    dealt = in_spans(df, at)
+    measures = [(n, c, F.sum, lambda own, base: own + F.coalesce(base, F.lit(0))) for n, c in (sums or {}).items()] + [(n, c, F.max, F.greatest) for n, c in (maxima or {}).items()]
+    totals = dealt.groupBy(*spans).agg(*(combine(c).alias(f"_total_{n}") for n, c, combine, _ in measures))
+    earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(*spans, *(combine(f"_total_{n}").over(earlier).alias(f"_base_{n}") for n, _, combine, _ in measures))
+    within = Window.partitionBy(*spans).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = dealt.withColumns({f"_own_{n}": combine(c).over(within) for n, c, combine, _ in measures}).join(bases, spans)
+    return found.select(*dealt.columns, *(merge(F.col(f"_own_{n}"), F.col(f"_base_{n}")).alias(n) for n, _, _, merge in measures))
+
+
+def following(df: DataFrame, key: str, at: str, order: list[str], given: list[str]) -> DataFrame:
+    """Adds ``next_*`` of ``given``: the values of the key's next row in ``order``, which must begin with ``at``; keeps ``_span``."""
+    spans = [key, "_span"]
+    dealt = in_spans(df, at).withColumn("_row", F.struct(*order, *(n for n in given if n not in order)))
+    firsts = dealt.groupBy(*spans).agg(F.min("_row").alias("_first"))
+    later = firsts.select(*spans, F.lead("_first").over(Window.partitionBy(key).orderBy("_span")).alias("_later"))
+    nearer = F.lead("_row").over(Window.partitionBy(*spans).orderBy("_row"))
+    found = dealt.withColumn("_nearer", nearer).join(later, spans)
+    return found.select(*(c for c in dealt.columns if c != "_row"), *(F.coalesce(f"_nearer.{n}", f"_later.{n}").alias(f"next_{n}") for n in given))
 
 
 def sweep(sessions: DataFrame, key: str = "station_key", start: str = "s", end: str = "e", unique: str = "object_id", day: str = "start_day") -> DataFrame:
     """Both ends of each interval in time order per key, with the number running; ends come first at equal instants."""
-    ends = sessions.select(
+    moves = sessions.select(
         key, unique,
         F.explode(F.array(
             F.struct(F.col(start).alias("t"), F.lit(1).alias("d"), F.col(day).alias("day")),
             F.struct(F.col(end).alias("t"), F.lit(-1).alias("d"), F.lit(None).cast("date").alias("day")),
         )).alias("move"),
     ).select(key, unique, "move.*")
-    order = Window.partitionBy(key).orderBy(F.col("t").asc_nulls_last(), "d", unique).rowsBetween(Window.unboundedPreceding, 0)
-    return ends.withColumn("level", F.sum("d").over(order))
+    return running(moves, [key], "t", [F.col("t"), F.col("d"), F.col(unique)], {"level": F.col("d")})
 
 
 def day_levels(swept: DataFrame, key: str = "station_key") -> DataFrame:
+    """key, day, level: the most that ran at once on each date on which one started."""
     return swept.filter("d = 1").groupBy(key, "day").agg(F.max("level").alias("level"))
 
 
-def days_at_level(swept: DataFrame, key: str = "station_key") -> DataFrame:
-    """key, level, days: days on which so many intervals ran at once, levels clipped at MOST_LEVELS."""
-    levels = day_levels(swept, key).filter("level >= 1")
-    each = levels.select(key, F.explode(F.sequence(F.lit(1), F.least(F.col("level"), F.lit(MOST_LEVELS)).cast("int"))).alias("level"))
+def days_at_level(levels: DataFrame, key: str = "station_key") -> DataFrame:
+    """key, level, days: days (of ``day_levels``) on which so many ran at once, levels clipped at MOST_LEVELS."""
+    each = levels.filter("level >= 1").select(key, F.explode(F.sequence(F.lit(1), F.least(F.col("level"), F.lit(MOST_LEVELS)).cast("int"))).alias("level"))
     return each.groupBy(key, "level").agg(F.count("*").alias("days"))
 
 
-def robust_max(at_level: DataFrame, n_days: int = 5, key: str = "station_key") -> DataFrame:
-    """The largest level seen on at least ``n_days`` days, and the largest of all."""
-    return at_level.groupBy(key).agg(
-        F.coalesce(F.max(F.when(F.col("days") >= n_days, F.col("level"))), F.lit(0)).alias("robust_max"), F.max("level").alias("plain_max")
-    )
+def reached(n_days: int) -> Column:
+    """The largest level seen on at least so many days; null without."""
+    return F.max(F.when(F.col("days") >= n_days, F.col("level")))
 
 
-def stations(line: DataFrame) -> DataFrame:
-    """Active window and counts of each station."""
-    return line.groupBy("station_key").agg(
-        F.min("source").alias("source"), F.min("zone").alias("zone"), F.count("*").alias("sessions"), F.count_distinct("start_day").alias("active_days"),
-        F.min("start_day").alias("active_from"), F.max("start_day").alias("active_to"), F.count_distinct("port_id").alias("connector_ids"),
-        F.mode("site_key", True).alias("site_key"), F.count_distinct("site_key").alias("sites"),
-    )
-
+def robust_max(at_level: DataFrame, n_days: int = 5, key: str = "station_key") -> DataFrame:
+    """The largest level seen on at least ``n_days`` days (null without one), and the largest of all."""
+    return at_level.groupBy(key).agg(reached(n_days).alias("robust_max"), reached(1).alias("plain_max"))
 
-def with_ports(dim: DataFrame, levels: DataFrame) -> DataFrame:
-    """Ports inferred from connectors and concurrency, and where they come from."""
-    joined = dim.join(levels, "station_key")
-    ports = F.greatest("connector_ids", "robust_max", F.lit(1))
-    origin = F.when(F.col("connector_ids") >= F.greatest("robust_max", F.lit(1)), "connector_ids").when(F.col("robust_max") >= 1, "concurrency").otherwise("floor")
-    return joined.withColumn("ports", ports).withColumn("ports_source", origin).withColumn("low_evidence", F.col("active_days") < 5)
 
-
-def gaps(line: DataFrame, longer_than_days: float) -> DataFrame:
-    """From the effective end of a session to the next start of its station, where that is long."""
-    order = Window.partitionBy("station_key").orderBy(F.col("s").asc_nulls_last(), F.col("e").asc_nulls_last(), "object_id")
-    nexts = line.select("station_key", "start_day", "e", F.lead("s").over(order).alias("next_s"), F.lead("start_day").over(order).alias("next_day"))
-    found = nexts.withColumn("gap_days", (F.col("next_s") - F.col("e")) / 86400.0).filter(F.col("gap_days") > longer_than_days)
-    return found.select(
-        "station_key", F.col("start_day").alias("gap_after"), F.col("next_day").alias("gap_before"), "gap_days",
-        F.greatest(F.datediff("next_day", "start_day") - 1, F.lit(0)).alias("excluded_days"),
-    )
+def gaps(line: DataFrame, longer_than_days: dict[str, float]) -> DataFrame:
+    """From the effective end of a session to the next start of its station, where that is longer than its source's days."""
+    nexts = following(line.select("station_key", "source", "s", "e", "object_id", "start_day", "end_day"), "station_key", "s", ["s", "e", "object_id"], ["s", "start_day"])
+    days = (F.col("next_s") - F.col("e")) / 86400.0
+    least = F.coalesce(*(F.when(F.col("source") == s, F.lit(float(d))) for s, d in longer_than_days.items()))
+    found = nexts.select("station_key", "source", F.col("end_day").alias("gap_after"), F.col("next_start_day").alias("gap_before"), days.alias("gap_days"), least.alias("threshold_days"))
+    return found.filter("gap_days > threshold_days").withColumn("excluded_days", F.greatest(F.datediff("gap_before", "gap_after") - 1, F.lit(0)))
 
 
 def excluded_days(found: DataFrame) -> DataFrame:
@@ -86,90 +118,121 @@ def excluded_days(found: DataFrame) -> DataFrame:
     return inside.select("station_key", F.explode(F.sequence(F.date_add("gap_after", 1), F.date_sub("gap_before", 1))).alias("day")).distinct()
 
 
-def day_bounds(days: DataFrame) -> DataFrame:
-    """zone, day, d0, d1, day_minutes: the UTC seconds between which each local date lies."""
-    return days.select("zone", "day").distinct().select(
-        "zone", "day", seconds(C.local_to_utc(F.col("day").cast("timestamp"), F.col("zone"))).alias("d0"),
-        seconds(C.local_to_utc(F.date_add("day", 1).cast("timestamp"), F.col("zone"))).alias("d1"), C.local_day_minutes("day", F.col("zone")).alias("day_minutes"),
-    )
+def midnight(day: Column | str, zone: Column) -> Column:
+    """UTC seconds at which a local date begins."""
+    return seconds(C.local_to_utc(C.col(day).cast("timestamp"), zone))
 
 
 def spine(dim: DataFrame) -> DataFrame:
-    """One row per station and date of its active window."""
-    return dim.select("station_key", "source", "zone", "ports", F.explode(F.sequence("active_from", "active_to")).alias("day"))
+    """One row per station and date of its active window, with the date's length."""
+    days = dim.select("station_key", "source", "operator_key", "capacity_grain", "zone", "ports", F.explode(F.sequence("active_from", "active_to")).alias("day"))
+    return days.withColumn("day_minutes", C.local_day_minutes("day", F.col("zone")))
 
 
 def pieces(sessions: DataFrame) -> DataFrame:
-    """Sessions split at local midnight, with minutes and energy of each date."""
+    """Sessions split at local midnight, with minutes and energy of each date.
+
+    Energy follows the charging time; the connected time only where the charging
+    time is unknown; without either it stays on the start's date.
+    """
     c = F.col
-    ends = sessions.withColumn("s", seconds("start_utc")).withColumn("plug_e", seconds("end_utc")).withColumn("charge_e", c("s") + c("charging_minutes") * 60)
-    last = F.to_date(C.utc_to_local(F.timestamp_micros((F.greatest(F.coalesce("plug_e", "s"), F.coalesce("charge_e", "s")) * 1e6).cast("long")), c("zone")))
-    first = F.to_date("start_local")
-    split = ends.withColumn("start_day", first).withColumn("day", F.explode(F.sequence(first, F.greatest(first, last))))
-    bounded = split.join(day_bounds(split), ["zone", "day"])
+    charged = F.timestamp_micros(F.unix_micros("start_local") + (F.coalesce(whole_seconds("charging_minutes"), F.lit(0.0)) * 1e6).cast("long"))
+    ends = sessions.select(
+        "*", seconds("start_utc").alias("s"), seconds("end_utc").alias("plug_e"), (seconds("start_utc") + whole_seconds("charging_minutes")).alias("charge_e"),
+        F.to_date("start_local").alias("start_day"), F.to_date(F.coalesce("end_local", charged)).alias("last_day"),
+    )
+    split = ends.filter("last_day >= start_day").withColumn("day", F.explode(F.sequence("start_day", "last_day")))
+    bounded = split.withColumn("d0", midnight("day", c("zone"))).withColumn("d1", midnight(F.date_add("day", 1), c("zone")))
     part = lambda end: C.overlap(c("s"), c(end), c("d0"), c("d1")) / 60.0
     cut = bounded.withColumn("connected_piece", part("plug_e")).withColumn("charging_piece", part("charge_e"))
     energy = (
         F.when(c("charging_minutes") > 0, c("energy_kwh") * c("charging_piece") / c("charging_minutes"))
-        .when(c("connected_minutes") > 0, c("energy_kwh") * c("connected_piece") / c("connected_minutes"))
+        .when(c("charging_minutes").isNull() & (c("connected_minutes") > 0), c("energy_kwh") * c("connected_piece") / c("connected_minutes"))
         .when(c("day") == c("start_day"), c("energy_kwh")).otherwise(0.0)
     )
-    return cut.withColumn("energy_piece", energy)
+    return cut.withColumn("energy_piece", energy).drop("d0", "d1")
 
 
 def usage(split: DataFrame) -> DataFrame:
-    starts = F.col("day") == F.col("start_day")
+    """Measures of non-trivial sessions per station and date; trivial ones are counted beside."""
+    starts, real = F.col("day") == F.col("start_day"), F.col("is_non_trivial")
+    of_real = lambda n: F.when(real, F.col(n))
     return split.groupBy("station_key", "day").agg(
-        F.count(F.when(starts, 1)).alias("sessions"), F.count(F.when(starts & ~F.col("is_non_trivial"), 1)).alias("trivial_sessions"),
-        F.sum("energy_piece").alias("energy_kwh"), F.sum("charging_piece").alias("charging_minutes"), F.sum("connected_piece").alias("connected_minutes"),
-        F.count("charging_piece").alias("charging_pieces"), F.count("connected_piece").alias("connected_pieces"),
+        F.count(F.when(starts & real, 1)).alias("sessions"), F.count(F.when(starts & ~real, 1)).alias("trivial_sessions"),
+        F.sum(of_real("energy_piece")).alias("energy_kwh"), F.sum(of_real("charging_piece")).alias("charging_minutes"), F.sum(of_real("connected_piece")).alias("connected_minutes"),
+        F.count(of_real("charging_piece")).alias("charging_pieces"), F.count(of_real("connected_piece")).alias("connected_pieces"),
     )
 
 
 def blocking_windows(swept: DataFrame, ports: DataFrame) -> DataFrame:
-    """station_key, bs, be: spans in which at least as many sessions run as the station has ports."""
-    order = Window.partitionBy("station_key").orderBy(F.col("t").asc_nulls_last(), "d", "object_id")
-    spans = swept.withColumn("be", F.lead("t").over(order)).join(ports.select("station_key", "ports"), "station_key")
-    return spans.filter((F.col("level") >= F.col("ports")) & (F.col("be") > F.col("t"))).select("station_key", F.col("t").alias("bs"), "be")
+    """station_key, other columns of ``ports``, bs, be: spans in which at least ``ports`` sessions run."""
+    spans = following(swept, "station_key", "t", ["t", "d", "object_id"], ["t"]).filter("next_t > t").join(ports, "station_key")
+    names = [c for c in ports.columns if c not in ("station_key", "ports")]
+    return spans.filter(F.col("level") >= F.col("ports")).select("station_key", *names, F.col("t").alias("bs"), F.col("next_t").alias("be"))
+
+
+def idle_intervals(line: DataFrame) -> DataFrame:
+    """station_key, object_id, i0, i1, shift: from the end of charging to the end, and what to add for local seconds."""
+    known = line.filter("charging_minutes is not null and end_utc is not null and e > s")
+    found = known.select("station_key", "object_id", (F.col("s") + whole_seconds("charging_minutes")).alias("i0"), F.col("e").alias("i1"), (seconds("start_local") - F.col("s")).alias("shift"))
+    return found.filter("i1 > i0")
+
+
+def by_hours(intervals: DataFrame) -> DataFrame:
+    """Intervals (i0, i1, shift) cut at local hours; ``hour`` is 0 to 23."""
+    first, last = F.floor((F.col("i0") + F.col("shift")) / 3600), F.ceil((F.col("i1") + F.col("shift")) / 3600) - 1
+    each = intervals.withColumn("h", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+    return each.select(
+        *(c for c in intervals.columns if c not in ("i0", "i1")), F.pmod("h", F.lit(24)).cast("int").alias("hour"),
+        F.greatest(F.col("i0"), F.col("h") * 3600.0 - F.col("shift")).alias("i0"), F.least(F.col("i1"), (F.col("h") + 1) * 3600.0 - F.col("shift")).alias("i1"),
+    )
 
 
-def full_occupancy_idle(line: DataFrame, ports: DataFrame) -> DataFrame:
-    """Per station: idle seconds, and those of them while all ports were taken.
+def blocked(intervals: DataFrame, windows: DataFrame, keys: list[str], per: list[str]) -> DataFrame:
+    """keys, per, intervals, seconds, blocked_s: their number and seconds, and those of them inside the windows of equal keys.
 
     The seconds of blocking before an instant are a running sum over windows, so
-    each idle interval needs two looks back in one ordered union, not a join
-    with every window.
+    each interval needs two looks back in one ordered union, not a join with
+    every window. Windows of a key don't overlap.
     """
-    windows = blocking_windows(sweep(line), ports)
-    idle = line.filter("charging_minutes is not null and end_utc is not null").select("station_key", "object_id", (F.col("s") + F.col("charging_minutes") * 60).alias("i0"), F.col("e").alias("i1")).filter("i1 > i0")
     none = lambda kind: F.lit(None).cast(kind)
-    marks = windows.select("station_key", F.col("bs").alias("t"), F.lit(0).alias("kind"), F.col("bs").alias("bs"), F.col("be").alias("be"), F.lit(0).alias("sign")).unionByName(
-        idle.select("station_key", F.explode(F.array(F.struct(F.col("i0").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("i1").alias("t"), F.lit(1).alias("sign")))).alias("x"))
-        .select("station_key", "x.t", F.lit(1).alias("kind"), none("double").alias("bs"), none("double").alias("be"), "x.sign")
-    )
-    order = Window.partitionBy("station_key").orderBy("t", "kind", "sign").rowsBetween(Window.unboundedPreceding, 0)
-    looked = marks.select(
-        "station_key", "t", "kind", "sign", F.sum(F.coalesce(F.col("be") - F.col("bs"), F.lit(0.0))).over(order).alias("whole"),
-        F.last("be", True).over(order).alias("last_end"),
+    kinds = dict(intervals.dtypes)
+    marks = windows.select(*keys, F.col("bs").alias("t"), F.lit(0).alias("kind"), (F.col("be") - F.col("bs")).alias("length"), F.col("be"), F.lit(0).alias("sign"), *(none(kinds[p]).alias(p) for p in per)).unionByName(
+        intervals.select(*keys, *per, F.explode(F.array(F.struct(F.col("i0").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("i1").alias("t"), F.lit(1).alias("sign")))).alias("x"))
+        .select(*keys, *per, "x.t", "x.sign", F.lit(1).alias("kind"), F.lit(0.0).alias("length"), none("double").alias("be"))
     )
+    order = [F.col("t"), F.col("kind"), F.col("sign")]
+    looked = running(marks, keys, "t", order, {"whole": F.col("length")}, {"last_end": F.col("be")})
     before = F.col("whole") - F.greatest(F.coalesce(F.col("last_end") - F.col("t"), F.lit(0.0)), F.lit(0.0))
-    blocked = looked.filter("kind = 1").groupBy("station_key").agg(F.sum(F.col("sign") * before).alias("blocked_s"))
-    total = idle.groupBy("station_key").agg(F.sum(F.col("i1") - F.col("i0")).alias("idle_s"), F.count("*").alias("idle_sessions"))
-    return total.join(blocked, "station_key", "left")
+    return looked.filter("kind = 1").groupBy(*keys, *per).agg(
+        F.count(F.when(F.col("sign") == 1, 1)).alias("intervals"), F.sum(F.col("sign") * F.col("t")).alias("seconds"), F.sum(F.col("sign") * before).alias("blocked_s"),
+    )
 
 
-def hour_profile(intervals: DataFrame, start: str, end: str) -> DataFrame:
-    """hour (0 to 23), minutes: local seconds dealt out to hours of the day."""
-    hours = intervals.filter(F.col(end) > F.col(start)).select(
-        start, end, F.explode(F.sequence(F.floor(F.col(start) / 3600).cast("long"), (F.ceil(F.col(end) / 3600) - 1).cast("long"))).alias("h")
-    )
-    part = F.least(F.col(end), (F.col("h") + 1) * 3600.0) - F.greatest(F.col(start), F.col("h") * 3600.0)
-    return hours.groupBy(F.pmod("h", F.lit(24)).alias("hour")).agg((F.sum(part) / 60.0).alias("minutes"))
+def full_occupancy_idle(line: DataFrame, ports: DataFrame) -> DataFrame:
+    """Per station: idle seconds, and those of them while all its ports were taken."""
+    windows = blocking_windows(sweep(line), ports.select("station_key", "ports"))
+    found = blocked(idle_intervals(line), windows, ["station_key"], [])
+    return found.select("station_key", F.col("seconds").alias("idle_s"), F.col("intervals").alias("idle_sessions"), "blocked_s")
+
+
+def idle_by_definition(line: DataFrame, ports: DataFrame) -> DataFrame:
+    """station_key, definition, hour, seconds, blocked_s for each port definition of ``ports`` (station_key, definition, ports)."""
+    windows = blocking_windows(sweep(line), ports)
+    hours = by_hours(idle_intervals(line)).join(ports.select("station_key", "definition"), "station_key")
+    return blocked(hours, windows, ["station_key", "definition"], ["hour"])
 
 
 def trailing_ports(levels: DataFrame, days: DataFrame, window_days: int = 90) -> DataFrame:
-    """For each station and date the largest daily level of the last ``window_days`` days, at least 1."""
-    filled = days.select("station_key", "day").join(levels.withColumnRenamed("level", "day_level"), ["station_key", "day"], "left")
+    """For each station and date the largest daily level of the last ``window_days`` days, at least 1; 1 after the last date with a level.
+
+    A station has one row a date, so its window is small.
+    """
     number = F.datediff("day", F.lit("1970-01-01").cast("date"))
-    order = Window.partitionBy("station_key").orderBy(number).rangeBetween(-(window_days - 1), 0)
-    return filled.select("station_key", "day", F.greatest(F.coalesce(F.max("day_level").over(order), F.lit(1)), F.lit(1)).alias("ports"))
+    both = days.select("station_key", "day", F.lit(True).alias("asked")).unionByName(levels.select("station_key", "day", "level"), allowMissingColumns=True)
+    filled = both.groupBy("station_key", "day").agg(F.max("asked").alias("asked"), F.max("level").alias("level"))
+    trailing = Window.partitionBy("station_key").orderBy(number).rangeBetween(-(window_days - 1), 0)
+    onward = Window.partitionBy("station_key").orderBy(number).rangeBetween(0, Window.unboundedFollowing)
+    seen = F.when(F.max("level").over(onward).isNotNull(), F.max("level").over(trailing))
+    found = filled.select("station_key", "day", "asked", F.greatest(F.coalesce(seen, F.lit(1)), F.lit(1)).alias("ports"))
+    return found.filter("asked").select("station_key", "day", "ports")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Most power in kW that a charger family can give.
-CEILINGS = {"alpha": 100.0, "beta": 100.0, "rapids": 200.0, "rapids_anomalies": 200.0, "fasts": 50.0, "fasts_anomalies": 50.0}
+CEILINGS = {"alpha": 20.0, "beta": 20.0, "rapids": 55.0, "rapids_anomalies": 55.0, "fasts": 30.0, "fasts_anomalies": 30.0}
 
 
 def ceiling(family: Column) -> Column:
@@ -18,15 +18,15 @@ def ceiling(family: Column) -> Column:
 
 
 def quarantine_rules() -> list[tuple[str, Column]]:
-    """Code and predicate, most important first; a null predicate doesn't fail."""
+    """Code and predicate, most important first; a null predicate doesn't fail. The codes are fixed values."""
     c = F.col
     return [
         ("blank_row", c("is_blank")),
         ("unparseable_timestamp", c("start_local").isNull() | (c("has_end") & c("end_local").isNull() & ~c("is_end_sentinel"))),
         ("nonexistent_local_time", c("is_nonexistent")),
-        ("exact_duplicate", c("exact_rank") > 1),
-        ("natural_key_duplicate", c("key_rank") > 1),
-        ("end_sentinel", c("is_end_sentinel")),
+        ("exact_duplicate", c("is_exact_repeat")),
+        ("natural_key_duplicate", c("is_key_repeat")),
+        ("end_sentinel_1970", c("is_end_sentinel")),
         ("end_before_start", c("connected_minutes") < 0),
         ("negative_energy", c("energy_kwh") < 0),
         ("energy_sentinel", c("energy_kwh") < -1000),
@@ -36,18 +36,19 @@ def quarantine_rules() -> list[tuple[str, Column]]:
 
 
 def quality_flags() -> list[tuple[str, Column]]:
+    """Code and predicate of what is kept but marked. The codes are fixed values."""
     c = F.col
     longest = F.coalesce(c("connected_minutes"), c("charging_minutes"))
     return [
         ("zero_energy", c("energy_kwh") == 0),
         (
-            "charging_exceeds_within_precision",
+            "charging_exceeds_connected_within_precision",
             (c("charging_minutes") > c("connected_minutes")) & (c("charging_minutes") <= c("connected_minutes") + c("precision_seconds") / 60.0),
         ),
         ("over_24h", longest > 1440),
         ("duration_disagrees", F.abs(c("connected_minutes") - c("reported_minutes")) > 2),
         ("dst_ambiguous", c("is_ambiguous")),
-        ("publisher_excluded", c("publisher_excluded")),
+        ("publisher_excluded_rule", c("publisher_excluded")),
         ("unknown_station", c("station_key").contains("/unknown/")),
     ]
 

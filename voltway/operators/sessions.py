@@ -1,14 +1,14 @@
 """Session logs of three publishers, as strings, conformed to one typed contract.
 
-``published`` turns the ``events`` table into what three publishers would
-deliver, each with its own columns, formats and faults; ``conformed`` parses,
-measures, keys, ranks and judges each row of a publisher; ``unioned`` and
-``quarantined`` split all of them.
+``published_*`` turn the ``events`` table into what three publishers would
+deliver, each with its own columns, formats and faults; ``typed_*`` parse a
+publisher's rows; ``conformed`` measures, keys, marks repeats of and judges all
+of them; ``unioned`` and ``quarantined`` split the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltway.functions import columns as C
@@ -16,150 +16,213 @@ from voltway.operators import rules
 
 ZONES = {"alpha": "America/Denver", "beta": "America/New_York", "gamma": "Europe/London"}
 HMS = "concat(cast({0} div 3600 as string), ':', lpad(cast(({0} % 3600) div 60 as string), 2, '0'), ':', lpad(cast({0} % 60 as string), 2, '0'))"
+#: Rows of a file that are numbered in one task.
+RANGE = 65_536
+#: What comes first among equal rows or equal natural keys; nulls last.
+ORDER = ("order_1", "order_2", "source_file", "row_hash", "object_id")
 
 
 def _timed(events: DataFrame) -> DataFrame:
+    """Events with instants, durations and faults; some come twice (``copy`` 1), under an id of their own."""
     return events.selectExpr(
         "event_id", "user_id", "event_type", "value", "cast(get_json_object(props, '$.k') as bigint) as k",
-        "timestampadd(DAY, 61, date_trunc('second', cast(ts as timestamp))) as started",
-        "cast(round(value * 60) as bigint) as charge_s", "cast(round(value * 75) as bigint) as plug_s",
-        "case when event_id % 103 = 0 then -2000.0 when event_id % 101 = 0 then -1.5 when event_id % 11 = 0 then 0.0 else round(value * 0.12, 3) end as energy",
-    )
+        """case when event_id % 79 = 5 then timestampadd(SECOND, event_id * 7 % 3600, case when event_id % 3 = 2 then timestamp '2024-10-27 01:00:00' else timestamp '2024-11-03 01:00:00' end)
+           when event_id % 73 = 11 then timestampadd(DAY, cast(61 + 40 * (event_id % 5) as int), date_trunc('second', cast(ts as timestamp)))
+           else timestampadd(DAY, 61, date_trunc('second', cast(ts as timestamp))) end as started""",
+        "cast(round(value * 60) as bigint) + case when event_id % 83 = 13 then 90000 else 0 end as charge_s",
+        "cast(round(value * 75) as bigint) + case when event_id % 83 = 13 then 90000 else 0 end as plug_s",
+        """case when event_id % 103 = 0 then -2000.0 when event_id % 101 = 0 then -1.5 when event_id % 11 = 0 then 0.0
+           when event_id % 89 = 17 then round(value * 2.4, 3) else round(value * 0.12, 3) end as energy""",
+        "event_id % 211 = 7 as blank", "explode(case when event_id % 97 = event_id % 3 then array(0, 1) else array(0) end) as copy",
+    ).withColumn("object_id", F.col("event_id") + 1_000_000_000 * F.col("copy"))
+
+
+def _blanked(df: DataFrame, *kept: str) -> DataFrame:
+    """Blank rows lose all but ``kept``."""
+    return df.select(*(F.col(c) if c in kept else F.when(~F.col("blank"), F.col(c)).alias(c) for c in df.columns if c != "blank"))
 
 
 def published_alpha(events: DataFrame) -> DataFrame:
-    """Wall-clock starts and ends in two formats, both durations; some rows come twice."""
+    """Wall-clock starts and ends in two formats, both durations; a file of deliveries that each number their rows from 0."""
     rows = _timed(events).filter("event_id % 3 = 0").selectExpr(
         "*", "timestampadd(SECOND, case when event_id % 53 = 0 then -600 else plug_s end, started) as ended",
         "case when event_id % 47 = 0 then plug_s + 120 else charge_s end as charged_s",
     )
     fmt = "case when event_id % 2 = 0 then date_format({0}, 'yyyy-MM-dd HH:mm:ss') else date_format({0}, 'M/d/yyyy H:mm') end"
     text = rows.selectExpr(
-        "event_id as object_id", "concat('  Plaza  ', cast(user_id % 25 as string), ' ') as station_name", "event_type as address",
+        "object_id", "blank", "object_id as file_row", "case when copy = 1 then event_id div 291 else event_id div 3 % 1000 end as delivery_row",
+        "concat('Plaza ', cast(user_id % 25 as string)) as station_name", "event_type as address",
         f"case when event_id % 59 = 0 then 'n/a' else {fmt.format('started')} end as start_text", f"{fmt.format('ended')} as end_text",
         f"{HMS.format('charged_s')} as charging_text", f"{HMS.format('plug_s')} as total_text", "cast(energy as string) as energy_text",
     )
-    again = text.filter("object_id % 97 = 0").withColumn("object_id", F.col("object_id") + 1_000_000_000)
-    return text.unionByName(again)
+    return _blanked(text, "object_id")
 
 
 def published_beta(events: DataFrame) -> DataFrame:
-    """UTC starts as ISO text and charging durations only."""
-    return _timed(events).filter("event_id % 3 = 1").selectExpr(
-        "event_id as object_id", "concat('Garage ', cast(user_id % 25 as string)) as station_name", "event_type as address",
+    """UTC starts as ISO text and charging durations only; rows that come twice charge for longer or shorter."""
+    rows = _timed(events).filter("event_id % 3 = 1").selectExpr(
+        "*", "case when copy = 0 then charge_s when event_id % 2 = 0 then charge_s + 60 else greatest(charge_s - 60, 0) end as charged_s"
+    )
+    text = rows.selectExpr(
+        "object_id", "blank", "concat('Garage ', cast(user_id % 25 as string)) as station_name", "event_type as address",
         "concat(date_format(started, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00') as start_text",
-        f"case when event_id % 61 = 0 then '7 min' else {HMS.format('charge_s')} end as charging_text", "cast(energy as string) as energy_text",
+        f"case when event_id % 61 = 0 then '7 min' else {HMS.format('charged_s')} end as charging_text", "cast(energy as string) as energy_text",
     )
+    return _blanked(text, "object_id")
 
 
 def published_gamma(events: DataFrame) -> DataFrame:
-    """Dates and times apart in ISO or day-first form, plug-in durations in minutes or hours, ``NA`` for nothing."""
+    """Dates and times apart in ISO or day-first form, plug-in durations in minutes or hours, ``NA`` for nothing; some rows are in two files."""
     rows = _timed(events).filter("event_id % 3 = 2").selectExpr(
         "*", "timestampadd(SECOND, plug_s, started) as ended",
-        "case event_id % 4 when 0 then 'rapids' when 1 then 'rapids_anomalies' when 2 then 'fasts' else 'fasts_anomalies' end as family",
+        "element_at(array('rapids', 'rapids_anomalies', 'fasts', 'fasts_anomalies'), cast(1 + case when copy = 0 then event_id % 4 else (event_id % 4 div 2) * 2 + (event_id + 1) % 2 end as int)) as family",
     )
     day = "case when family = 'rapids_anomalies' then date_format({0}, 'dd/MM/yyyy') else date_format({0}, 'yyyy-MM-dd') end"
-    return rows.selectExpr(
-        "event_id as object_id", "family", "case when event_id % 17 = 0 then 'NA' else concat('CP', cast(user_id % 25 as string)) end as cpid",
+    sentinel = day.format("date'1970-01-01'")
+    text = rows.selectExpr(
+        "object_id", "blank", "family", "case when event_id % 17 = 0 then 'NA' else concat('CP', cast(user_id % 25 as string)) end as cpid",
         "concat('Site  ', event_type, ' ') as name", "concat(cast(k % 3 as string), ' - Type 2') as connector",
         f"{day.format('started')} as start_date", "date_format(started, 'HH:mm:ss') as start_time",
-        f"case when event_id % 29 = 0 then 'NA' when event_id % 31 = 0 then '1970-01-01' else {day.format('ended')} end as end_date",
+        f"case when event_id % 29 = 0 then 'NA' when event_id % 31 = 0 then {sentinel} else {day.format('ended')} end as end_date",
         "case when event_id % 29 = 0 then 'NA' else date_format(ended, 'HH:mm:ss') end as end_time",
         "case family when 'rapids' then cast(plug_s div 60 as string) when 'rapids_anomalies' then 'NA' else cast(round(plug_s / 3600.0, 3) as string) end as plugged_text",
         "cast(energy as string) as energy_text",
     )
+    return _blanked(text, "object_id", "family")
 
 
-def ranked(df: DataFrame) -> DataFrame:
-    """Ranks within equal rows and within equal natural keys; the latest delivery, then the preference, comes first."""
-    order = [F.col("delivery").desc_nulls_last(), F.col("preference").asc_nulls_last(), F.col("object_id").desc_nulls_last(), F.col("row_hash").asc_nulls_last()]
-    exact = Window.partitionBy("row_hash").orderBy(*order)
-    key = Window.partitionBy("source", "key_hash").orderBy(*order)
-    return df.withColumn("exact_rank", F.row_number().over(exact)).withColumn("key_rank", F.row_number().over(key))
+def delivery_blocks(rows: DataFrame, position: str = "file_row", row_id: str = "delivery_row") -> DataFrame:
+    """Adds ``delivery_block``: how often row ids restarted at 0 before and at each row, less one.
 
+    A running count over the whole file in two phases: within ranges of the
+    position, then over the ranges' totals (one row a range). Rows without a
+    position come last.
+    """
+    restarts = F.when(F.col(row_id) == 0, 1).otherwise(0)
+    dealt = rows.withColumn("_range", F.coalesce(F.floor(F.col(position) / RANGE), F.lit((1 << 62))))
+    within = F.sum(restarts).over(Window.partitionBy("_range").orderBy(F.col(position).asc_nulls_last(), F.col(row_id).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    totals = dealt.groupBy("_range").agg(F.sum(restarts).alias("n"))
+    bases = totals.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_base"))
+    return dealt.withColumn("_within", within).join(bases, "_range").withColumn("delivery_block", F.col("_within") + F.col("_base") - 1).drop("_range", "_within", "_base")
 
-def _measured(df: DataFrame) -> DataFrame:
-    """Adds UTC instants, durations and flags that every publisher shares."""
-    c = F.col
-    return (
-        df.withColumn("start_utc", C.local_to_utc("start_local", c("zone"))).withColumn("end_utc", C.local_to_utc("end_local", c("zone")))
-        .withColumn("is_nonexistent", C.is_nonexistent_local("start_local", c("zone")) | C.is_nonexistent_local("end_local", c("zone")))
-        .withColumn("is_ambiguous", C.is_ambiguous_local("start_local", c("zone")) | C.is_ambiguous_local("end_local", c("zone")))
-        .withColumn("connected_minutes", F.when(~F.coalesce(c("is_end_sentinel"), F.lit(False)), C.minutes_between("start_utc", "end_utc")))
-        .withColumn("implied_kw", C.implied_kw(c("energy_kwh"), F.coalesce("charging_minutes", "connected_minutes")))
-    )
 
-
-def conformed_alpha(raw: DataFrame) -> DataFrame:
+def typed_alpha(raw: DataFrame) -> DataFrame:
     c = F.col
-    iso = lambda n: c(n).rlike(r"^\d{4}-")
-    typed = raw.select(
-        "object_id", F.lit("alpha").alias("source"), F.lit("alpha").alias("family"), F.lit(ZONES["alpha"]).alias("zone"),
-        F.when(c("object_id") >= 1_000_000_000, 2).otherwise(1).alias("delivery"), F.lit(0).alias("preference"),
-        F.concat(F.lit("alpha/"), C.tidy_name("station_name")).alias("station_key"), c("address").alias("site_key"), F.lit(None).cast("string").alias("port_id"),
-        C.parse_us_mixed("start_text").alias("start_local"), C.parse_us_mixed("end_text").alias("end_local"), F.lit(True).alias("has_end"),
-        F.lit(False).alias("is_end_sentinel"), (c("start_text").isNull() & c("energy_text").isNull()).alias("is_blank"),
+    iso = lambda n: c(n).rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z")
+    return delivery_blocks(raw).select(
+        "object_id", F.lit("alpha").alias("source"), F.lit("alpha").alias("family"), F.lit("alpha").alias("source_file"), F.lit(ZONES["alpha"]).alias("zone"),
+        c("delivery_block").cast("long").alias("delivery_block"), (-c("delivery_block")).cast("double").alias("order_1"), (-c("file_row")).cast("double").alias("order_2"),
+        F.concat(F.lit("alpha/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), F.lit(None).cast("string").alias("port_id"),
+        C.parse_us_mixed("start_text").alias("start_local"), C.parse_us_mixed("end_text").alias("end_local"), F.lit(None).cast("timestamp").alias("start_utc_given"),
+        F.lit(True).alias("has_end"), F.lit(False).alias("is_end_sentinel"),
+        (c("station_name").isNull() & c("start_text").isNull() & c("end_text").isNull() & c("energy_text").isNull() & c("file_row").isNull()).alias("is_blank"),
         F.when(iso("start_text") & iso("end_text"), 1).otherwise(60).alias("precision_seconds"),
-        C.hms_to_minutes("charging_text").alias("charging_minutes"), C.hms_to_minutes("total_text").alias("reported_minutes"),
-        C.to_number("energy_text").alias("energy_kwh"), F.lit(False).alias("publisher_excluded"),
-        C.row_hash(c("station_name"), c("start_text"), c("end_text"), c("charging_text"), c("energy_text")).alias("row_hash"),
-    )
-    keyed = _measured(typed).withColumn(
-        "key_hash", C.natural_key_hash(c("station_key"), F.date_trunc("minute", "start_local"), F.date_trunc("minute", "end_local"), F.round(c("energy_kwh") * 1000).cast("long"))
+        C.hms_to_minutes("charging_text").alias("charging_minutes"), C.hms_to_minutes("total_text").alias("reported_minutes"), C.to_number("energy_text").alias("energy_kwh"),
+        C.row_hash(F.lit("alpha"), c("station_name"), c("address"), c("start_text"), c("end_text"), c("charging_text"), c("total_text"), c("energy_text")).alias("row_hash"),
+        C.natural_key_hash(c("station_name"), F.date_trunc("minute", C.parse_us_mixed("start_text")), F.date_trunc("minute", C.parse_us_mixed("end_text")), C.to_number("energy_text")).alias("key_hash"),
     )
-    return rules.judged(ranked(keyed.withColumn("idle_minutes", F.greatest(c("connected_minutes") - c("charging_minutes"), F.lit(0.0)))))
 
 
-def conformed_beta(raw: DataFrame) -> DataFrame:
+def typed_beta(raw: DataFrame) -> DataFrame:
     c = F.col
     instant = F.try_to_timestamp(F.regexp_replace("start_text", r"\+00:00$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
-    typed = raw.select(
-        "object_id", F.lit("beta").alias("source"), F.lit("beta").alias("family"), F.lit(ZONES["beta"]).alias("zone"), F.lit(1).alias("delivery"),
-        F.lit(0).alias("preference"), F.concat(F.lit("beta/"), C.tidy_name("station_name")).alias("station_key"), c("address").alias("site_key"),
-        F.lit(None).cast("string").alias("port_id"), C.utc_to_local(instant, ZONES["beta"]).alias("start_local"), F.lit(None).cast("timestamp").alias("end_local"),
-        F.lit(False).alias("has_end"), F.lit(False).alias("is_end_sentinel"), (c("start_text").isNull() & c("energy_text").isNull()).alias("is_blank"),
-        F.lit(1).alias("precision_seconds"), C.hms_to_minutes("charging_text").alias("charging_minutes"), F.lit(None).cast("double").alias("reported_minutes"),
-        C.to_number("energy_text").alias("energy_kwh"), F.lit(False).alias("publisher_excluded"), instant.alias("start_utc_given"),
-        C.row_hash(c("station_name"), c("start_text"), c("charging_text"), c("energy_text")).alias("row_hash"),
+    charging = C.hms_to_minutes("charging_text")
+    return raw.select(
+        "object_id", F.lit("beta").alias("source"), F.lit("beta").alias("family"), F.lit("beta").alias("source_file"), F.lit(ZONES["beta"]).alias("zone"),
+        F.lit(None).cast("long").alias("delivery_block"), (-charging).alias("order_1"), F.lit(None).cast("double").alias("order_2"),
+        F.concat(F.lit("beta/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), F.lit(None).cast("string").alias("port_id"),
+        C.utc_to_local(instant, ZONES["beta"]).alias("start_local"), F.lit(None).cast("timestamp").alias("end_local"), instant.alias("start_utc_given"),
+        F.lit(False).alias("has_end"), F.lit(False).alias("is_end_sentinel"),
+        (c("station_name").isNull() & c("start_text").isNull() & c("charging_text").isNull() & c("energy_text").isNull()).alias("is_blank"),
+        F.lit(1).alias("precision_seconds"), charging.alias("charging_minutes"), F.lit(None).cast("double").alias("reported_minutes"), C.to_number("energy_text").alias("energy_kwh"),
+        C.row_hash(F.lit("beta"), c("station_name"), c("address"), c("start_text"), c("charging_text"), c("energy_text")).alias("row_hash"),
+        C.natural_key_hash(c("station_name"), instant).alias("key_hash"),
     )
-    measured = _measured(typed).withColumn("start_utc", F.col("start_utc_given")).withColumn("is_nonexistent", F.lit(False)).withColumn("is_ambiguous", F.lit(False))
-    keyed = measured.drop("start_utc_given").withColumn("key_hash", C.natural_key_hash(c("station_key"), c("start_utc")))
-    return rules.judged(ranked(keyed.withColumn("idle_minutes", F.lit(None).cast("double"))))
 
 
-def conformed_gamma(raw: DataFrame) -> DataFrame:
+def typed_gamma(raw: DataFrame) -> DataFrame:
     c = F.col
     na = lambda n: F.nullif(c(n), F.lit("NA"))
-    hours = c("family").isin("fasts", "fasts_anomalies")
-    plugged = C.to_number(na("plugged_text")) * F.when(hours, 60.0).otherwise(1.0)
-    typed = raw.select(
-        "object_id", F.lit("gamma").alias("source"), "family", F.lit(ZONES["gamma"]).alias("zone"), F.lit(1).alias("delivery"),
-        c("family").like("%anomalies").cast("int").alias("preference"),
-        F.concat(F.lit("gamma/"), F.coalesce(na("cpid"), F.concat(F.lit("unknown/"), C.tidy_name("name")))).alias("station_key"), C.tidy_name("name").alias("site_key"),
-        C.leading_integer("connector").alias("port_id"), C.parse_date_time(na("start_date"), na("start_time")).alias("start_local"),
-        C.parse_date_time(na("end_date"), na("end_time")).alias("end_local"), F.lit(True).alias("has_end"), na("end_date").like("1970%").alias("is_end_sentinel"),
-        (na("start_date").isNull() & na("energy_text").isNull()).alias("is_blank"), F.lit(1).alias("precision_seconds"),
-        F.lit(None).cast("double").alias("charging_minutes"), plugged.alias("reported_minutes"), C.to_number("energy_text").alias("energy_kwh"),
-        F.coalesce((C.to_number("energy_text") == 0) | (plugged <= 3), F.lit(False)).alias("publisher_excluded"),
-        C.row_hash(*(c(n) for n in ("family", "cpid", "name", "connector", "start_date", "start_time", "end_date", "end_time", "energy_text"))).alias("row_hash"),
+    raws = ("rapids", "fasts")
+    unit = F.when(c("family").isin("fasts", "fasts_anomalies"), 60.0).when(c("family") == "rapids", 1.0)
+    start, end = C.parse_date_time(na("start_date"), na("start_time")), C.parse_date_time(na("end_date"), na("end_time"))
+    name = F.nullif(C.tidy_name(na("name")), F.lit(""))
+    energy, connector = C.to_number(na("energy_text")), C.leading_integer(na("connector"))
+    return raw.select(
+        "object_id", F.lit("gamma").alias("source"), "family", c("family").alias("source_file"), F.lit(ZONES["gamma"]).alias("zone"),
+        F.lit(None).cast("long").alias("delivery_block"), F.when(c("family").isin(*raws), 0.0).otherwise(1.0).alias("order_1"), F.lit(None).cast("double").alias("order_2"),
+        F.concat(F.lit("gamma/"), F.coalesce(na("cpid"), F.concat(F.lit("unknown/"), F.coalesce(name, F.lit("<null>"))))).alias("station_key"), na("cpid").alias("station_name_raw"),
+        name.alias("site_key"), connector.alias("port_id"), start.alias("start_local"), end.alias("end_local"), F.lit(None).cast("timestamp").alias("start_utc_given"),
+        F.lit(True).alias("has_end"), (na("end_date").like("1970-%") | na("end_date").like("%/1970")).alias("is_end_sentinel"),
+        (na("cpid").isNull() & na("start_date").isNull() & na("end_date").isNull() & na("energy_text").isNull() & na("name").isNull()).alias("is_blank"),
+        F.lit(1).alias("precision_seconds"), F.lit(None).cast("double").alias("charging_minutes"), (C.to_number(na("plugged_text")) * unit).alias("reported_minutes"), energy.alias("energy_kwh"),
+        C.row_hash(F.lit("gamma"), *(c(n) for n in ("cpid", "name", "connector", "start_date", "start_time", "end_date", "end_time", "plugged_text", "energy_text"))).alias("row_hash"),
+        C.natural_key_hash(na("cpid"), connector, F.date_trunc("minute", start), F.date_trunc("minute", end), energy).alias("key_hash"),
     )
-    keyed = _measured(typed).withColumn(
-        "key_hash",
-        C.natural_key_hash(c("station_key"), c("port_id"), F.date_trunc("minute", "start_local"), F.date_trunc("minute", "end_local"), F.round(c("energy_kwh") * 1000).cast("long")),
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """Adds UTC instants, durations, power and what the publisher itself leaves out."""
+    c = F.col
+    wall = c("start_utc_given").isNull()
+    connected = C.minutes_between("start_utc", "end_utc")
+    excluded = (c("energy_kwh") == 0) | (F.coalesce("reported_minutes", "connected_minutes") <= 3)
+    return (
+        df.withColumn("start_utc", F.coalesce("start_utc_given", C.local_to_utc("start_local", c("zone")))).withColumn("end_utc", C.local_to_utc("end_local", c("zone")))
+        .withColumn("is_nonexistent", wall & (C.is_nonexistent_local("start_local", c("zone")) | C.is_nonexistent_local("end_local", c("zone"))))
+        .withColumn("is_ambiguous", wall & C.is_ambiguous_local("start_local", c("zone")))
+        .withColumn("connected_minutes", connected)
+        .withColumn("implied_kw", C.implied_kw(c("energy_kwh"), F.when(c("source") == "gamma", c("connected_minutes")).otherwise(c("charging_minutes"))))
+        .withColumn("idle_minutes", F.when(c("source") == "alpha", F.greatest(c("connected_minutes") - c("charging_minutes"), F.lit(0.0))))
+        .withColumn("publisher_excluded", (c("source") == "gamma") & F.coalesce(excluded, F.lit(False)))
+        .drop("start_utc_given")
     )
-    return rules.judged(ranked(keyed.withColumn("idle_minutes", F.lit(None).cast("double"))))
+
+
+def ordering() -> Column:
+    """ORDER as one comparable value, nulls last."""
+    return F.struct(*(x for n in ORDER for x in (F.col(n).isNull(), F.col(n))))
+
+
+def repeats(df: DataFrame, key: str, flag: str) -> DataFrame:
+    """Adds ``flag``: whether the row isn't the first of its ``key`` within its source.
+
+    The first of each key is an aggregate, combined before its shuffle, and only
+    keys with several rows are joined back, so a key that many rows share (blank
+    rows) isn't one task and rows of single keys don't move if repeats are few.
+    """
+    shared = df.groupBy("source", key).agg(F.min(ordering()).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    firsts = shared.select("source", key, F.col(f"first.{ORDER[-1]}").alias("_first"))
+    return df.join(firsts, ["source", key], "left").withColumn(flag, F.coalesce(F.col("_first") != F.col("object_id"), F.lit(False))).drop("_first")
+
+
+def ranked(df: DataFrame) -> DataFrame:
+    """object_id, exact_rank, key_rank: places among equal rows and among equal natural keys."""
+    order = [F.col(n).asc_nulls_last() for n in ORDER]
+    narrow = df.select("source", "key_hash", *ORDER)
+    place = lambda key: F.row_number().over(Window.partitionBy("source", key).orderBy(*order))
+    return narrow.select("object_id", place("row_hash").alias("exact_rank"), place("key_hash").alias("key_rank"))
+
+
+def typed(events: DataFrame) -> DataFrame:
+    """Every published row under the shared columns."""
+    return typed_alpha(published_alpha(events)).unionByName(typed_beta(published_beta(events))).unionByName(typed_gamma(published_gamma(events)))
+
+
+def judged(rows: DataFrame) -> DataFrame:
+    """Typed rows, measured, with repeats marked, reasons, flags and the surrogate key."""
+    marked = repeats(repeats(measured(rows), "row_hash", "is_exact_repeat"), "key_hash", "is_key_repeat")
+    return rules.judged(marked).withColumn("session_sk", F.md5(F.concat_ws("|", "source", "key_hash")))
 
 
 def conformed(events: DataFrame) -> DataFrame:
     """Every published row, typed and judged."""
-    return (
-        conformed_alpha(published_alpha(events)).unionByName(conformed_beta(published_beta(events))).unionByName(conformed_gamma(published_gamma(events)))
-    )
+    return judged(typed(events))
 
 
 def unioned(rows: DataFrame) -> DataFrame:
-    """Accepted sessions with a surrogate key."""
-    return rows.filter(F.col("primary_reason").isNull()).withColumn("session_sk", F.md5(F.concat_ws("|", "source", "row_hash", F.col("object_id").cast("string"))))
+    """Accepted sessions."""
+    return rows.filter(F.col("primary_reason").isNull())
 
 
 def quarantined(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
+from voltway.operators import quantiles
+from voltway.operators.sessions import delivery_blocks
+
 QUERIES, ORACLE = {}, {}
 
 
@@ -124,8 +127,9 @@ def mode_smallest_tie(part):
 
 @query("SELECT l_shipmode_key AS flag, round(quantile_cont(l_extendedprice, 0.5), 4) AS median, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90 FROM (SELECT *, l_returnflag AS l_shipmode_key FROM lineitem) GROUP BY 1", "lineitem")
 def interpolated_quantiles(lineitem):
-    q = lambda p, n: F.round(F.percentile("l_extendedprice", p), 4).alias(n)
-    return lineitem.groupBy(F.col("l_returnflag").alias("flag")).agg(q(0.5, "median"), q(0.9, "p90"))
+    found = quantiles.exact(lineitem.select(F.col("l_returnflag").alias("flag"), "l_extendedprice"), ["flag"], "l_extendedprice", [0.5, 0.9])
+    at = lambda q, n: F.round(F.max(F.when(F.col("q") == q, F.col("value"))), 4).alias(n)
+    return found.groupBy("flag").agg(at(0.5, "median"), at(0.9, "p90"))
 
 
 @query("SELECT p_size, count(*) AS n FROM part GROUP BY 1", "part")
@@ -170,14 +174,11 @@ def rolling_90_day_max(orders):
     return orders.select("o_custkey", "o_orderkey", F.max("o_totalprice").over(w).alias("high"))
 
 
-@query("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS block FROM events", "events")
+@query("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(sum(CASE WHEN event_id % 1000 = 7 THEN 1 ELSE 0 END) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) - 1 AS BIGINT) AS block FROM events", "events")
 def delivery_block(events):
-    """A running sum over the whole table in two phases: within ranges of the id, then bases of the ranges."""
-    starts = events.select("event_id", (F.col("event_type") == "signup").cast("long").alias("starts"), F.floor(F.col("event_id") / 65536).alias("range"))
-    local = F.sum("starts").over(Window.partitionBy("range").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0))
-    totals = starts.groupBy("range").agg(F.sum("starts").alias("n"))
-    bases = totals.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("base"))  # one row per range
-    return starts.withColumn("local", local).join(bases, "range").select("event_id", (F.col("local") + F.col("base")).alias("block"))
+    """Restarts of a row id that counts from 0 again every thousand rows, before and at each row."""
+    rows = events.select("event_id", F.pmod(F.col("event_id") - 7, F.lit(1000)).alias("row_id"))
+    return delivery_blocks(rows, "event_id", "row_id").select("event_id", F.col("delivery_block").alias("block"))
 
 
 @query("SELECT p_brand, p_partkey, p_retailprice FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS k FROM part) WHERE k <= 4", "part")

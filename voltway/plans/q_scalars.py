@@ -130,17 +130,68 @@ def profile_columns(orders):
     return P.profile(orders.select(*COLS)).select("name", "n_rows", "nulls", "n_distinct")
 
 
-@query("SELECT * FROM (VALUES ('o_orderkey', 'integer'), ('o_totalprice', 'decimal'), ('o_orderstatus', 'text'), ('hms', 'duration_hms'), ('iso', 'date'), ('none', 'empty')) v(name, type)", "orders")
+TEXTS = {
+    "whole": ("CAST(o_orderkey AS VARCHAR)", "cast(o_orderkey as string)"),
+    "price": ("CAST(o_totalprice AS VARCHAR)", "cast(o_totalprice as string)"),
+    "status": ("o_orderstatus", "o_orderstatus"),
+    "nearly": ("CASE WHEN o_orderkey % 211 = 0 THEN 'x' ELSE '12' END", "case when o_orderkey % 211 = 0 then 'x' else '12' end"),
+    "mixed": ("CASE WHEN o_orderkey % 29 = 0 THEN 'x' ELSE '12' END", "case when o_orderkey % 29 = 0 then 'x' else '12' end"),
+    "hms": ("CAST(o_orderkey % 90 AS VARCHAR) || ':05:09'", "concat(cast(o_orderkey % 90 as string), ':05:09')"),
+    "iso": ("strftime(o_orderdate, ' %Y-%m-%d ')", "date_format(o_orderdate, \"' 'yyyy-MM-dd' '\")"),
+    "stamp": ("strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.250+01:00')", "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'.250+01:00'\")"),
+    "slash": ("strftime(o_orderdate, '%d/%m/%Y')", "date_format(o_orderdate, 'dd/MM/yyyy')"),
+    "short": ("strftime(o_orderdate, '%m/%d/%y %H:%M')", "date_format(o_orderdate, 'MM/dd/yy HH:mm')"),
+    "none": ("CASE WHEN o_orderkey % 2 = 0 THEN '  ' END", "case when o_orderkey % 2 = 0 then '  ' end"),
+}
+UNPIVOTED = " UNION ALL ".join(f"SELECT '{n}' AS name, nullif(trim({sql}), '') AS v, {sql} AS raw FROM orders" for n, (sql, _) in TEXTS.items())
+
+
+def shape_case(empty: str, given: list[str], other: str) -> str:
+    """The SQL of the first shape that holds, with what it gives."""
+    holds = [f"count(CASE WHEN regexp_matches(v, '{p.removesuffix(chr(92) + 'z')}$') THEN 1 END) >= 0.99 * count(v)" for _, _, p in P.SHAPES]
+    return f"CASE WHEN count(v) = 0 THEN {empty} " + " ".join(f"WHEN {h} THEN {g}" for h, g in zip(holds, given, strict=True)) + f" ELSE {other} END"
+
+
+TYPE_CASE = shape_case("'empty'", [f"'{t}'" for t, _, _ in P.SHAPES], "'text'")
+PATTERN_CASE = shape_case("NULL", [f"'{n}'" if n else "NULL" for _, n, _ in P.SHAPES], "NULL")
+
+
+def texts(orders):
+    return orders.selectExpr(*(f"{expr} as {n}" for n, (_, expr) in TEXTS.items()))
+
+
+@query(f"SELECT name, {TYPE_CASE} AS type, {PATTERN_CASE} AS pattern FROM ({UNPIVOTED}) GROUP BY 1", "orders")
 def infer_types(orders):
-    text = orders.select("o_orderkey", "o_totalprice", "o_orderstatus", F.lit("10:20:30").alias("hms"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("iso"), F.lit(None).cast("string").alias("none"))
-    return P.infer_types(text)
+    return P.infer_types(texts(orders))
+
+
+@query(
+    "SELECT name, count(*) AS n_rows, count(*) - count(raw) AS nulls, count(raw) - count(v) AS blanks, count(DISTINCT v) AS n_distinct, round(CASE WHEN name = 'hms' THEN min(TRY_CAST(split_part(v, ':', 1) AS DOUBLE)) * 60 + 5.15 "
+    "WHEN name IN ('whole', 'price', 'nearly') THEN min(TRY_CAST(v AS DOUBLE)) WHEN name IN ('iso', 'slash') THEN (SELECT epoch(min(date_trunc('day', o_orderdate))) FROM orders) "
+    "WHEN name = 'stamp' THEN (SELECT epoch(min(date_trunc('second', o_orderdate))) - 3599.75 FROM orders) WHEN name = 'short' THEN (SELECT epoch(min(date_trunc('minute', o_orderdate))) FROM orders) END, 3) AS least, "
+    "round(CASE WHEN name IN ('whole', 'price', 'nearly') THEN avg(TRY_CAST(v AS DOUBLE)) END, 4) AS mean, CASE WHEN name IN ('iso', 'slash', 'stamp', 'short') THEN 0 END AS parse_failures, "
+    f"CASE WHEN name = 'slash' THEN 'day_first' WHEN name = 'short' THEN 'month_first' END AS day_first FROM ({UNPIVOTED}) GROUP BY 1",
+    "orders",
+)
+def profile_texts(orders):
+    found = P.profile(texts(orders))
+    return found.select("name", "n_rows", "nulls", "blanks", "n_distinct", F.round("least", 3).alias("least"), F.round("mean", 4).alias("mean"), "parse_failures", "day_first")
+
 
+EVIDENCE = "count(CASE WHEN o_orderdate IS NOT NULL AND day(o_orderdate) > 12 THEN 1 END)"
 
-@query("SELECT count(CASE WHEN day(o_orderdate) > 12 THEN 1 END) AS first_over_12, 0 AS second_over_12, CASE WHEN count(CASE WHEN day(o_orderdate) > 12 THEN 1 END) > 0 THEN 'day_first' ELSE 'unknown' END AS verdict FROM orders", "orders")
+
+@query(f"SELECT {EVIDENCE} AS first_over_12, 0 AS second_over_12, CASE WHEN {EVIDENCE} > 0 THEN 'day_first' ELSE 'ambiguous' END AS verdict FROM orders", "orders")
 def day_first_evidence(orders):
     return P.day_first_evidence(orders.select(F.date_format("o_orderdate", "dd/MM/yyyy").alias("t")), "t")
 
 
+@query("SELECT count(CASE WHEN day(o_orderdate) > 12 AND o_orderkey % 2 = 0 THEN 1 END) AS first_over_12, count(CASE WHEN day(o_orderdate) > 12 AND o_orderkey % 2 = 1 THEN 1 END) AS second_over_12, 'ambiguous' AS verdict FROM orders", "orders")
+def day_first_conflict(orders):
+    mixed = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "d/M/yyyy")).otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
+    return P.day_first_evidence(orders.select(mixed.alias("t")), "t")
+
+
 @query("SELECT count(*) AS n_rows, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS repeated FROM lineitem", "lineitem")
 def exact_duplicates(lineitem):
     return P.duplicate_rows(lineitem.select("l_orderkey", "l_linenumber"))

@@ -2,53 +2,24 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltway.functions import columns as C
 from voltway.operators import gold
 from voltway.operators import intervals as I
+from voltway.operators import profiling, quantiles, reconcile
 from voltway.operators import sessions as S
 from voltway.plans.oracle import with_tables
+from voltway.sources import warehouse
 
 QUERIES, ORACLE = {}, {}
 
 
-class Warehouse:
-    """The tables of one folder in one session.
-
-    The conformed rows are persisted: every other table reads them several times.
-    """
-
-    known: dict[tuple[str, str], Warehouse] = {}
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        self.rows = S.conformed(self.events).persist(StorageLevel.MEMORY_AND_DISK)
-
-    @cached_property
-    def tables(self) -> gold.Tables:
-        return gold.tables(self.rows)
-
-    @cached_property
-    def sessions(self) -> DataFrame:
-        return S.unioned(self.rows)
-
-    @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in cls.known:
-            cls.known = {key: cls(spark, sf_dir)}  # one at a time
-        return cls.known[key]
-
-
 def query(sql: str):
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(Warehouse.of(spark, sf_dir))
+            return f(warehouse.opened(spark, sf_dir))
 
         QUERIES[f.__name__], ORACLE[f.__name__] = run, with_tables(sql)
         return f
@@ -65,9 +36,9 @@ def epoch(c: str) -> Column:
     return F.unix_seconds(c)
 
 
-@query("SELECT source, round(sum(connected_minutes) / nullif(sum(CASE WHEN connected_minutes IS NOT NULL OR source <> 'beta' THEN available_minutes END), 0), 6) AS connected_utilization, round(sum(charging_minutes) / nullif(sum(available_minutes), 0), 6) AS charging_utilization, count(*) AS station_days FROM station_day WHERE NOT is_excluded GROUP BY 1")
+@query("SELECT source, round(sum(connected_minutes) / nullif(sum(available_minutes), 0), 6) AS connected_utilization, round(sum(charging_minutes) / nullif(sum(available_minutes), 0), 6) AS charging_utilization, count(*) AS station_days FROM station_day WHERE NOT is_excluded GROUP BY 1")
 def utilization_by_source(w):
-    found = gold.utilization_by_source(gold.station_day(w.tables))
+    found = gold.utilization_by_source(w.days)
     return found.select("source", r6("connected_utilization"), r6("charging_utilization"), "station_days")
 
 
@@ -106,9 +77,9 @@ def rows_conserved(w):
     )
 
 
-@query("SELECT object_id, exact_rank, key_rank FROM ranked WHERE source = 'alpha'")
+@query("SELECT object_id, exact_rank, key_rank FROM ranked")
 def dedup_ranks(w):
-    return S.conformed_alpha(S.published_alpha(w.events)).select("object_id", "exact_rank", "key_rank")
+    return S.ranked(w.rows)
 
 
 @query("SELECT source, station_key, object_id FROM (SELECT *, row_number() OVER (PARTITION BY source, station_key, CAST(start_local AS DATE) ORDER BY charging_minutes DESC NULLS LAST, object_id) AS k FROM sessions) WHERE k = 1")
@@ -124,78 +95,94 @@ def local_to_utc_sessions(w):
 
 @query("SELECT station_key, object_id, CAST(t AS BIGINT) AS t, d, CAST(level AS BIGINT) AS level FROM sweep")
 def concurrency_running(w):
-    return I.sweep(w.tables.line).select("station_key", "object_id", F.col("t").cast("long").alias("t"), "d", "level")
+    return I.sweep(w.line).select("station_key", "object_id", F.col("t").cast("long").alias("t"), "d", "level")
 
 
 @query("SELECT station_key, CAST(level AS INTEGER) AS level, days FROM at_level")
 def days_at_level(w):
-    return I.days_at_level(I.sweep(w.tables.line))
+    return I.days_at_level(w.levels)
 
 
 @query("SELECT station_key, CAST(robust_max AS INTEGER) AS robust_max, CAST(plain_max AS INTEGER) AS plain_max FROM ports")
 def robust_max(w):
-    return I.robust_max(I.days_at_level(I.sweep(w.tables.line)))
+    return I.robust_max(I.days_at_level(w.levels))
 
 
 @query("SELECT station_key, n, CAST(coalesce(max(CASE WHEN days >= n THEN level END), 0) AS INTEGER) AS robust_max FROM at_level, (VALUES (1), (2), (3), (5), (10)) v(n) GROUP BY 1, 2")
 def robust_max_distribution(w):
-    levels = I.days_at_level(I.sweep(w.tables.line))
-    each = levels.withColumn("n", F.explode(F.array(*map(F.lit, (1, 2, 3, 5, 10)))))
-    return each.groupBy("station_key", "n").agg(F.coalesce(F.max(F.when(F.col("days") >= F.col("n"), F.col("level"))), F.lit(0)).alias("robust_max"))
+    each = I.days_at_level(w.levels).groupBy("station_key").agg(*(F.coalesce(I.reached(n), F.lit(0)).alias(f"n{n}") for n in gold.N_VALUES))
+    return each.select("station_key", F.explode(F.array(*(F.struct(F.lit(n).alias("n"), F.col(f"n{n}").alias("robust_max")) for n in gold.N_VALUES))).alias("x")).select("station_key", "x.*")
 
 
-@query("SELECT station_key, CAST(ports AS BIGINT) AS ports, CASE WHEN connector_ids >= greatest(robust_max, 1) THEN 'connector_ids' WHEN robust_max >= 1 THEN 'concurrency' ELSE 'floor' END AS ports_source FROM dim")
+@query("SELECT station_key, CAST(ports AS BIGINT) AS ports, ports_source FROM dim")
 def ports_inferred(w):
-    return w.tables.dim.select("station_key", F.col("ports").cast("long").alias("ports"), "ports_source")
+    return w.dim.select("station_key", "ports", "ports_source")
 
 
-@query("SELECT station_key, strftime(gap_after, '%Y-%m-%d') AS gap_after, strftime(gap_before, '%Y-%m-%d') AS gap_before, round(gap_days, 6) AS gap_days, greatest(gap_before - gap_after - 1, 0) AS excluded_days FROM long_gaps")
+@query("SELECT station_key, source, strftime(gap_after, '%Y-%m-%d') AS gap_after, strftime(gap_before, '%Y-%m-%d') AS gap_before, round(gap_days, 6) AS gap_days, CAST(excluded_days AS BIGINT) AS excluded_days FROM long_gaps")
 def station_gaps(w):
     day = lambda n: F.date_format(n, "yyyy-MM-dd").alias(n)
-    return w.tables.gaps.select("station_key", day("gap_after"), day("gap_before"), r6("gap_days"), F.col("excluded_days").cast("long").alias("excluded_days"))
+    return w.gaps.select("station_key", "source", day("gap_after"), day("gap_before"), r6("gap_days"), F.col("excluded_days").cast("long").alias("excluded_days"))
 
 
-@query("SELECT station_key, strftime(active_from, '%Y-%m-%d') AS active_from, strftime(active_to, '%Y-%m-%d') AS active_to, active_to - active_from + 1 AS window_days, active_days, active_days < 5 AS low_evidence FROM stations")
+@query("SELECT station_key, strftime(active_from, '%Y-%m-%d') AS active_from, strftime(active_to, '%Y-%m-%d') AS active_to, active_to - active_from + 1 AS window_days, active_days, active_days < 5 AS low_evidence FROM dim")
 def active_window(w):
-    d = w.tables.dim
-    return d.select(
-        "station_key", F.date_format("active_from", "yyyy-MM-dd").alias("active_from"), F.date_format("active_to", "yyyy-MM-dd").alias("active_to"),
-        (F.datediff("active_to", "active_from") + 1).cast("long").alias("window_days"), "active_days", "low_evidence",
-    )
+    day = lambda n: F.date_format(n, "yyyy-MM-dd").alias(n)
+    return w.dim.select("station_key", day("active_from"), day("active_to"), F.col("window_days").cast("long").alias("window_days"), "active_days", "low_evidence")
 
 
-@query("SELECT station_key, site_key FROM (SELECT station_key, site_key, row_number() OVER (PARTITION BY station_key ORDER BY count(*) DESC, site_key) AS k FROM timeline GROUP BY 1, 2) WHERE k = 1")
+@query("SELECT station_key, site_key FROM dim")
 def majority_site(w):
-    return w.tables.dim.select("station_key", "site_key")
+    return w.dim.select("station_key", "site_key")
 
 
-@query("SELECT station_key, source, sessions, active_days, connector_ids, sites, CAST(robust_max AS BIGINT) AS robust_max, CAST(plain_max AS BIGINT) AS plain_max, CAST(ports AS BIGINT) AS ports, sites > 1 AS multi_site FROM dim")
+@query("SELECT station_key, source, operator_key, site_key, unit AS station_name_raw, zone, sites > 1 AS multi_site_key, operators > 1 AS multi_operator, sites AS site_key_candidates, operators AS operator_candidates, 'unit' AS capacity_grain, CAST(ports AS BIGINT) AS ports, ports_source, CAST(robust_max AS BIGINT) AS robust_max, CAST(plain_max AS BIGINT) AS plain_max, connector_ids, active_days < 5 AS low_evidence, sessions, active_days, active_to - active_from + 1 AS window_days, excluded_days, excluded_gaps FROM dim")
 def dim_station(w):
-    return w.tables.dim.select(
-        "station_key", "source", "sessions", "active_days", "connector_ids", "sites", *(F.col(n).cast("long").alias(n) for n in ("robust_max", "plain_max", "ports")),
-        (F.col("sites") > 1).alias("multi_site"),
-    )
+    long = ("robust_max", "plain_max", "window_days")
+    return w.dim.select(*(F.col(n).cast("long").alias(n) if n in long else F.col(n) for n in w.dim.columns if n not in ("active_from", "active_to")))
 
 
 @query("SELECT strftime(d, '%Y-%m-%d') AS date_key, year(d) AS year, month(d) AS month, day(d) AS day_of_month, isodow(d) AS iso_day_of_week, isodow(d) >= 6 AS is_weekend, strftime(d, '%Y-%m') AS year_month FROM (SELECT CAST(unnest(generate_series((SELECT min(active_from) FROM stations), (SELECT max(active_to) FROM stations), INTERVAL 1 DAY)) AS DATE) AS d)")
 def dim_date(w):
     ints = ("year", "month", "day_of_month", "iso_day_of_week")
-    return gold.dim_date(w.tables.dim).select(
+    return gold.dim_date(w.dim).select(
         F.date_format("date_key", "yyyy-MM-dd").alias("date_key"), *(F.col(n).cast("long").alias(n) for n in ints), "is_weekend", "year_month"
     )
 
 
-@query("SELECT 'gamma/' || site_key AS operator_key, site_key AS operator_name, source FROM (SELECT DISTINCT site_key, source FROM sessions WHERE source = 'gamma') UNION ALL SELECT 'alpha', 'Alpha City', 'alpha' UNION ALL SELECT 'beta', 'Beta Town', 'beta'")
+@query("SELECT 'gamma/' || coalesce(site_key, '<null>') AS operator_key, coalesce(site_key, '<null>') AS operator_name, source, 'gamma' AS parent_operator_key, 'GB' AS country, 'Europe/London' AS timezone FROM (SELECT DISTINCT site_key, source FROM sessions WHERE source = 'gamma') UNION ALL SELECT * FROM (VALUES ('alpha', 'Alpha City', 'alpha', NULL, 'US', 'America/Denver'), ('beta', 'Beta Town', 'beta', NULL, 'US', 'America/New_York'), ('gamma', 'Gamma Survey', 'gamma', NULL, 'GB', 'Europe/London'))")
 def dim_operator(w):
-    return gold.dim_operator(w.sessions)
+    return gold.dim_operator(w.fact)
+
+
+@query("SELECT object_id, source, family, operator_key, station_key, delivery_block, is_ambiguous, round(energy_kwh, 6) AS energy_kwh, round(charging_minutes, 6) AS charging_minutes, is_non_trivial, list_aggregate(flags, 'string_agg', ',') AS flags FROM sessions")
+def fct_charging_session(w):
+    return w.fact.select("object_id", "source", "family", "operator_key", "station_key", "delivery_block", "is_ambiguous", r6("energy_kwh"), r6("charging_minutes"), "is_non_trivial", "flags")
+
+
+@query("SELECT object_id, source, station_key FROM sessions WHERE source <> 'beta' UNION ALL SELECT object_id, source, station_key FROM sessions WHERE source = 'beta' AND object_id % 2 = 0")
+def fact_refresh(w):
+    """A new delivery of one source replaces its rows; the others' stay untouched."""
+    fresh = w.sessions.filter("source <> 'beta' or object_id % 2 = 0")
+    files = w.files.withColumn("sha256", F.when(F.col("source") == "beta", F.lit("new")).otherwise(F.col("sha256")))
+    return gold.refreshed(w.fact, fresh, files).select("object_id", "source", "station_key")
+
+
+@query("SELECT 'fct_charging_session' AS relation, count(*) AS n FROM sessions UNION ALL SELECT 'int_station_gaps', count(*) FROM long_gaps UNION ALL SELECT 'dim_station', count(*) FROM dim UNION ALL SELECT 'fct_station_day', count(*) FROM spine UNION ALL SELECT 'mart_monthly', count(*) FROM (SELECT DISTINCT source, operator_key, strftime(day, '%Y-%m') FROM spine)")
+def warehouse_build(w):
+    """All layers written; rows of each gold table."""
+    return w.build()
+
+
+@query("SELECT object_id, delivery_block FROM judged WHERE source = 'alpha'")
+def delivery_blocks(w):
+    return w.rows.filter("source = 'alpha'").select("object_id", "delivery_block")
 
 
 @query("SELECT station_key, strftime(day, '%Y-%m-%d') AS day, round(day_minutes, 3) AS day_minutes, is_excluded FROM spine_days")
 def station_day_spine(w):
-    t = w.tables
-    days = I.spine(t.dim)
-    out = I.excluded_days(t.gaps).withColumn("is_excluded", F.lit(True))
-    found = days.join(I.day_bounds(days), ["zone", "day"]).join(out, ["station_key", "day"], "left")
+    out = I.excluded_days(w.gaps).withColumn("is_excluded", F.lit(True))
+    found = I.spine(w.dim).join(out, ["station_key", "day"], "left")
     return found.select("station_key", F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("day_minutes", 3).alias("day_minutes"), F.coalesce("is_excluded", F.lit(False)).alias("is_excluded"))
 
 
@@ -211,81 +198,94 @@ def energy_allocation(w):
     return found.agg(F.round(F.sum("energy_piece"), 4).alias("energy_kwh"))
 
 
-@query("SELECT station_key, strftime(day, '%Y-%m-%d') AS day, source, CAST(ports AS BIGINT) AS ports, is_excluded, round(available_minutes, 3) AS available_minutes, sessions, trivial_sessions, round(energy_kwh, 4) AS energy_kwh, round(charging_minutes, 4) AS charging_minutes, round(connected_minutes, 4) AS connected_minutes, round(idle_minutes, 4) AS idle_minutes FROM station_day")
+@query("SELECT station_key, strftime(day, '%Y-%m-%d') AS day, source, operator_key, 'unit' AS capacity_grain, CAST(ports AS BIGINT) AS ports, is_excluded, round(available_minutes, 3) AS available_minutes, sessions, trivial_sessions, round(energy_kwh, 4) AS energy_kwh, round(charging_minutes, 4) AS charging_minutes, round(connected_minutes, 4) AS connected_minutes, charging_pieces, connected_pieces, round(idle_minutes, 4) AS idle_minutes FROM station_day")
 def fct_station_day(w):
-    d = gold.station_day(w.tables)
     r4 = lambda n: F.round(n, 4).alias(n)
-    return d.select(
-        "station_key", F.date_format("day", "yyyy-MM-dd").alias("day"), "source", F.col("ports").cast("long").alias("ports"), "is_excluded",
-        F.round("available_minutes", 3).alias("available_minutes"), "sessions", "trivial_sessions", *map(r4, ("energy_kwh", "charging_minutes", "connected_minutes", "idle_minutes")),
+    return w.days.select(
+        "station_key", F.date_format("day", "yyyy-MM-dd").alias("day"), "source", "operator_key", "capacity_grain", "ports", "is_excluded", F.round("available_minutes", 3).alias("available_minutes"),
+        "sessions", "trivial_sessions", "charging_pieces", "connected_pieces", *map(r4, ("energy_kwh", "charging_minutes", "connected_minutes", "idle_minutes")),
     )
 
 
-MONTH = "SELECT source, strftime(day, '%Y-%m') AS year_month, count(*) AS station_days, count(CASE WHEN is_excluded THEN 1 END) AS excluded_days, count(DISTINCT station_key) AS stations, CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(trivial_sessions) AS BIGINT) AS trivial_sessions, round(sum(energy_kwh), 3) AS energy_kwh, round(sum(charging_minutes), 3) AS charging_minutes, round(sum(connected_minutes), 3) AS connected_minutes, round(sum(idle_minutes), 3) AS idle_minutes, round(sum(available_minutes), 3) AS available_minutes FROM station_day GROUP BY 1, 2"
+MONTH = "SELECT source, operator_key, strftime(day, '%Y-%m') AS year_month, count(*) AS station_days, count(CASE WHEN is_excluded THEN 1 END) AS excluded_days, count(DISTINCT station_key) AS stations, CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(trivial_sessions) AS BIGINT) AS trivial_sessions, CAST(sum(charging_pieces) AS BIGINT) AS charging_pieces, CAST(sum(connected_pieces) AS BIGINT) AS connected_pieces, round(sum(energy_kwh), 3) AS energy_kwh, round(sum(charging_minutes), 3) AS charging_minutes, round(sum(connected_minutes), 3) AS connected_minutes, round(sum(idle_minutes), 3) AS idle_minutes, round(sum(available_minutes), 3) AS available_minutes FROM station_day GROUP BY 1, 2, 3"
 
 
 @query(MONTH)
 def mart_monthly(w):
-    m = gold.mart_monthly(gold.station_day(w.tables))
+    m = w.monthly
     r3 = ("energy_kwh", "charging_minutes", "connected_minutes", "idle_minutes", "available_minutes")
     return m.select(*(F.round(n, 3).alias(n) if n in r3 else F.col(n) for n in m.columns))
 
 
 @query("SELECT source, round(sum(charging_minutes) / sum(available_minutes), 6) AS ratio_of_sums, round(avg(charging_minutes / available_minutes), 6) AS mean_of_ratios FROM station_day WHERE NOT is_excluded AND charging_minutes IS NOT NULL GROUP BY 1")
 def mean_vs_ratio_of_sums(w):
-    d = gold.station_day(w.tables).filter("not is_excluded and charging_minutes is not null")
+    d = w.days.filter("not is_excluded and charging_minutes is not null")
     return d.groupBy("source").agg(
         r6(C.utilization(F.col("charging_minutes"), F.col("available_minutes")), "ratio_of_sums"), r6(F.avg(F.col("charging_minutes") / F.col("available_minutes")), "mean_of_ratios")
     )
 
 
 WINDOWS = "(SELECT w.station_key, t AS bs, be FROM (SELECT *, lead(t) OVER (PARTITION BY station_key ORDER BY t, d, object_id) AS be FROM sweep) w JOIN dim USING (station_key) WHERE level >= ports AND be > t)"
-IDLE = "(SELECT station_key, object_id, s + charging_minutes * 60 AS i0, e AS i1 FROM timeline WHERE charging_minutes IS NOT NULL AND end_utc IS NOT NULL AND e > s + charging_minutes * 60)"
+IDLE = "(SELECT station_key, object_id, s + round(charging_minutes * 60) AS i0, e AS i1 FROM timeline WHERE charging_minutes IS NOT NULL AND end_utc IS NOT NULL AND e > s AND e > s + round(charging_minutes * 60))"
 
 
 @query(f"SELECT station_key, CAST(bs AS BIGINT) AS bs, CAST(be AS BIGINT) AS be FROM {WINDOWS}")
 def blocking_windows(w):
-    t = w.tables
-    return I.blocking_windows(I.sweep(t.line), t.dim).select("station_key", F.col("bs").cast("long").alias("bs"), F.col("be").cast("long").alias("be"))
+    return I.blocking_windows(I.sweep(w.line), w.dim.select("station_key", "ports")).select("station_key", F.col("bs").cast("long").alias("bs"), F.col("be").cast("long").alias("be"))
 
 
 @query(f"SELECT i.station_key, round(sum(i1 - i0), 3) AS idle_s, count(*) AS idle_sessions, round(coalesce(sum((SELECT sum(least(i1, be) - greatest(i0, bs)) FROM {WINDOWS} w WHERE w.station_key = i.station_key AND bs < i1 AND be > i0)), 0), 3) AS blocked_s FROM {IDLE} i GROUP BY 1")
 def full_occupancy_idle(w):
-    t = w.tables
-    found = I.full_occupancy_idle(t.line, t.dim)
+    found = I.full_occupancy_idle(w.line, w.dim)
     return found.select("station_key", F.round("idle_s", 3).alias("idle_s"), "idle_sessions", F.round(F.coalesce("blocked_s", F.lit(0.0)), 3).alias("blocked_s"))
 
 
-@query(f"SELECT CAST(h % 24 AS BIGINT) AS hour, round(sum(least(l1, (h + 1) * 3600.0) - greatest(l0, h * 3600.0)) / 60.0, 3) AS minutes FROM (SELECT l0, l1, unnest(range(CAST(floor(l0 / 3600) AS BIGINT), CAST(ceil(l1 / 3600) AS BIGINT))) AS h FROM (SELECT i0 + epoch(start_local) - s AS l0, i1 + epoch(start_local) - s AS l1 FROM {IDLE} i JOIN timeline USING (station_key, object_id))) GROUP BY 1")
+@query(f"SELECT CAST(h % 24 AS INTEGER) AS hour, round(sum(least(l1, (h + 1) * 3600.0) - greatest(l0, h * 3600.0)) / 60.0, 3) AS minutes FROM (SELECT l0, l1, unnest(range(CAST(floor(l0 / 3600) AS BIGINT), CAST(ceil(l1 / 3600) AS BIGINT))) AS h FROM (SELECT i0 + epoch(start_local) - s AS l0, i1 + epoch(start_local) - s AS l1 FROM {IDLE} i JOIN timeline USING (station_key, object_id))) GROUP BY 1")
 def idle_hour_profile(w):
-    line = w.tables.line.filter("charging_minutes is not null and end_utc is not null")
-    shift = I.seconds("start_local") - F.col("s")
-    local = line.select((F.col("s") + F.col("charging_minutes") * 60 + shift).alias("l0"), (F.col("e") + shift).alias("l1"))
-    return I.hour_profile(local, "l0", "l1").select("hour", F.round("minutes", 3).alias("minutes"))
+    return I.by_hours(I.idle_intervals(w.line)).groupBy("hour").agg(F.round(F.sum(F.col("i1") - F.col("i0")) / 60, 3).alias("minutes"))
 
 
-@query("SELECT d.station_key, strftime(d.day, '%Y-%m-%d') AS day, CAST(greatest(coalesce(max(m.level), 1), 1) AS BIGINT) AS ports FROM spine d LEFT JOIN day_max m ON m.station_key = d.station_key AND m.day <= d.day AND m.day > d.day - 90 GROUP BY 1, 2")
+PORT_COUNTS = """(SELECT station_key, 'robust_max_n' || n AS definition, greatest(coalesce(max(CASE WHEN days >= n THEN level END), 0), 1) AS ports FROM at_level, (VALUES (1), (2), (3), (5), (10)) v(n) GROUP BY station_key, n
+  UNION ALL SELECT station_key, 'production', ports FROM dim)"""
+FINDINGS = f"""SELECT * FROM (WITH port_counts AS {PORT_COUNTS},
+spans AS (SELECT station_key, t AS bs, lead(t) OVER (PARTITION BY station_key ORDER BY t, d, object_id) AS be, level FROM sweep),
+windows AS (SELECT definition, station_key, bs, be FROM spans JOIN port_counts USING (station_key) WHERE level >= ports AND be > bs),
+local_idle AS (SELECT i.*, epoch(start_local) - s AS shift FROM {IDLE} i JOIN timeline USING (station_key, object_id)),
+hours AS (SELECT *, unnest(range(CAST(floor((i0 + shift) / 3600) AS BIGINT), CAST(ceil((i1 + shift) / 3600) AS BIGINT))) AS h FROM local_idle),
+cut AS (SELECT station_key, h % 24 AS hour, greatest(i0, h * 3600.0 - shift) AS c0, least(i1, (h + 1) * 3600.0 - shift) AS c1, row_number() OVER () AS row FROM hours),
+inside AS (SELECT definition, row, sum(least(c1, be) - greatest(c0, bs)) AS b FROM cut JOIN windows USING (station_key) WHERE bs < c1 AND be > c0 GROUP BY 1, 2),
+each AS (SELECT p.definition, CASE WHEN dim.ports = 1 THEN 'single_port' ELSE 'multi_port' END AS own, hour, c1 - c0 AS a, coalesce(b, 0) AS b FROM cut JOIN port_counts p USING (station_key) JOIN dim USING (station_key) LEFT JOIN inside i ON i.definition = p.definition AND i.row = cut.row)
+SELECT definition, g.station_group, CAST(hour AS INTEGER) AS hour, round(sum(a) / 60, 3) AS idle_minutes, round(sum(b) / 60, 3) AS blocked_minutes
+FROM each, (VALUES ('all'), ('single_port'), ('multi_port')) g(station_group) WHERE g.station_group = 'all' OR g.station_group = own GROUP BY 1, 2, 3)"""
+
+
+@query(FINDINGS)
+def idle_findings(w):
+    """Idle minutes by local hour, and those at full occupancy under six port counts, for all, single- and multi-port stations."""
+    ports = gold.fixed_ports(w.dim, I.days_at_level(w.levels)).filter("definition <> 'connector_ids'")
+    found = gold.idle_findings(w.line, ports, w.dim.select("station_key", "ports"))
+    return found.select("definition", "station_group", "hour", F.round("idle_minutes", 3).alias("idle_minutes"), F.round("blocked_minutes", 3).alias("blocked_minutes"))
+
+
+@query("SELECT d.station_key, strftime(d.day, '%Y-%m-%d') AS day, CAST(CASE WHEN d.day > any_value(l.last) THEN 1 ELSE greatest(coalesce(max(m.level), 1), 1) END AS BIGINT) AS ports FROM spine d LEFT JOIN (SELECT station_key, max(day) AS last FROM day_max GROUP BY 1) l USING (station_key) LEFT JOIN day_max m ON m.station_key = d.station_key AND m.day <= d.day AND m.day > d.day - 90 GROUP BY 1, d.day")
 def trailing_90d_ports(w):
-    t = w.tables
-    found = I.trailing_ports(I.day_levels(I.sweep(t.line)), I.spine(t.dim))
+    found = I.trailing_ports(w.levels, I.spine(w.dim))
     return found.select("station_key", F.date_format("day", "yyyy-MM-dd").alias("day"), F.col("ports").cast("long").alias("ports"))
 
 
 @query("SELECT n, source, round(sum(charging_minutes) / nullif(sum(day_minutes * greatest(p.robust_max, 1)), 0), 6) AS charging, round(sum(connected_minutes) / nullif(sum(day_minutes * greatest(p.robust_max, 1)), 0), 6) AS connected FROM station_day d JOIN (SELECT station_key, n, coalesce(max(CASE WHEN days >= n THEN level END), 0) AS robust_max FROM at_level, (VALUES (1), (2), (3), (5), (10)) v(n) GROUP BY 1, 2) p USING (station_key) WHERE NOT is_excluded GROUP BY 1, 2")
 def sensitivity_grid(w):
-    t = w.tables
-    each = I.days_at_level(I.sweep(t.line)).withColumn("n", F.explode(F.array(*map(F.lit, (1, 2, 3, 5, 10)))))
-    ports = each.groupBy("station_key", "n").agg(F.greatest(F.coalesce(F.max(F.when(F.col("days") >= F.col("n"), F.col("level"))), F.lit(0)), F.lit(1)).alias("p"))
-    d = gold.station_day(t).filter("not is_excluded").join(ports, "station_key")
+    """The five robust maxima under the production session rule."""
+    ports = gold.fixed_ports(w.dim, I.days_at_level(w.levels)).filter("definition like 'robust%'").select("station_key", F.regexp_extract("definition", r"(\d+)$", 1).cast("int").alias("n"), F.col("ports").alias("p"))
     available = F.col("day_minutes") * F.col("p")
-    return d.groupBy("n", "source").agg(r6(C.utilization(F.col("charging_minutes"), available), "charging"), r6(C.utilization(F.col("connected_minutes"), available), "connected"))
+    return w.days.filter("not is_excluded").join(ports, "station_key").groupBy("n", "source").agg(
+        r6(C.utilization(F.col("charging_minutes"), available), "charging"), r6(C.utilization(F.col("connected_minutes"), available), "connected")
+    )
 
 
 SENSITIVITY = """SELECT * FROM (WITH
 rule_line AS (
-  SELECT 'non_trivial_only' AS session_rule, station_key, object_id, s, coalesce(e, s) AS e, CAST(start_local AS DATE) AS day FROM timeline UNION ALL
-  SELECT 'all_sessions', station_key, object_id, epoch(start_utc), CASE WHEN end_utc IS NOT NULL THEN epoch(end_utc) ELSE epoch(start_utc) + round(coalesce(charging_minutes, 0) * 60) END, CAST(start_local AS DATE)
-  FROM sessions WHERE NOT contains(station_key, '/unknown/')),
+  SELECT 'non_trivial_only' AS session_rule, station_key, object_id, s, e, start_day AS day FROM timeline UNION ALL SELECT 'all_sessions', station_key, object_id, s, e, start_day FROM all_line),
 rule_moves AS (
   SELECT session_rule, station_key, object_id, s AS t, 1 AS d, day FROM rule_line UNION ALL SELECT session_rule, station_key, object_id, e, -1, NULL FROM rule_line),
 rule_max AS (
@@ -302,8 +302,9 @@ fixed AS (
   SELECT session_rule, station_key, 'production', greatest(c, p) FROM robust WHERE n = 5),
 defined AS (
   SELECT session_rule, station_key, day, definition, p FROM spine JOIN fixed USING (station_key) UNION ALL
-  SELECT r.session_rule, d.station_key, d.day, 'trailing_90d_max', greatest(coalesce(max(m.level), 1), 1)
+  SELECT r.session_rule, d.station_key, d.day, 'trailing_90d_max', CASE WHEN d.day > any_value(l.last) THEN 1 ELSE greatest(coalesce(max(m.level), 1), 1) END
   FROM spine d CROSS JOIN (VALUES ('non_trivial_only'), ('all_sessions')) r(session_rule)
+  LEFT JOIN (SELECT session_rule, station_key, max(day) AS last FROM rule_max GROUP BY 1, 2) l ON l.session_rule = r.session_rule AND l.station_key = d.station_key
   LEFT JOIN rule_max m ON m.session_rule = r.session_rule AND m.station_key = d.station_key AND m.day <= d.day AND m.day > d.day - 90 GROUP BY r.session_rule, d.station_key, d.day),
 measured AS (
   SELECT session_rule, definition, source, day_minutes * p AS available, connected_minutes, charging_minutes FROM station_day JOIN defined USING (station_key, day) WHERE NOT is_excluded),
@@ -314,31 +315,50 @@ SELECT session_rule, definition, source, flavour, round(sum(used) / nullif(sum(a
 FROM flavoured GROUP BY 1, 2, 3, 4)"""
 
 
+def sensitivity_of(w):
+    return gold.sensitivity(w.dim, w.days, {"non_trivial_only": w.levels, "all_sessions": w.all_levels})
+
+
 @query(SENSITIVITY)
 def sensitivity_table(w):
     """All eight port definitions under both session rules."""
-    found = gold.sensitivity(w.tables)
-    return found.withColumn("utilization", F.round("utilization", 6))
+    return sensitivity_of(w).withColumn("utilization", F.round("utilization", 6))
+
+
+@query(f"SELECT source, flavour, min(utilization) AS least, max(utilization) AS most, max(CASE WHEN definition = 'production' THEN utilization END) AS production FROM ({SENSITIVITY}) WHERE session_rule = 'non_trivial_only' AND utilization IS NOT NULL GROUP BY 1, 2")
+def utilization_ranges(w):
+    """How far the choice of port definition moves each utilization."""
+    found = gold.utilization_ranges(sensitivity_of(w))
+    return found.select("source", "flavour", *(F.round(n, 6).alias(n) for n in ("least", "most", "production")))
 
 
 @query("SELECT source, round(quantile_cont(gap, 0.5), 4) AS p50, round(quantile_cont(gap, 0.9), 4) AS p90, round(quantile_cont(gap, 0.99), 4) AS p99, round(max(gap), 4) AS p100, count(CASE WHEN gap > 1 THEN 1 END) AS over_a_day FROM (SELECT source, (lead(s) OVER (PARTITION BY station_key ORDER BY s, e, object_id) - e) / 86400.0 AS gap FROM timeline) WHERE gap IS NOT NULL GROUP BY 1")
 def inter_session_gap_quantiles(w):
-    line = w.tables.line
-    order = Window.partitionBy("station_key").orderBy("s", "e", "object_id")
-    g = line.select("source", ((F.lead("s").over(order) - F.col("e")) / 86400.0).alias("gap")).filter("gap is not null")
-    q = lambda p, n: F.round(F.percentile("gap", p), 4).alias(n)
-    return g.groupBy("source").agg(q(0.5, "p50"), q(0.9, "p90"), q(0.99, "p99"), q(1.0, "p100"), F.count(F.when(F.col("gap") > 1, 1)).alias("over_a_day"))
+    line = w.line.select("source", "station_key", "s", "e", "object_id")
+    found = I.following(line, "station_key", "s", ["s", "e", "object_id"], ["s"])
+    g = found.select("source", ((F.col("next_s") - F.col("e")) / 86400.0).alias("gap")).filter("gap is not null")
+    names = {0.5: "p50", 0.9: "p90", 0.99: "p99", 1.0: "p100"}
+    wide = quantiles.exact(g, ["source"], "gap", list(names)).groupBy("source").agg(*(F.round(F.max(F.when(F.col("q") == q, F.col("value"))), 4).alias(n) for q, n in names.items()))
+    return wide.join(g.groupBy("source").agg(F.count(F.when(F.col("gap") > 1, 1)).alias("over_a_day")), "source")
+
 
+IDENTITY_I = """SELECT source, coalesce(strftime(start_local, '%Y-%m'), 'unparsed') AS year_month, count(*) AS raw_rows, count(CASE WHEN len(reasons) = 0 THEN 1 END) AS fact_rows, count(CASE WHEN len(reasons) > 0 THEN 1 END) AS quarantined_rows,
+  count(CASE WHEN len(reasons) = 0 AND is_non_trivial AND NOT contains(station_key, '/unknown/') THEN 1 END) AS counted, count(CASE WHEN len(reasons) = 0 AND NOT is_non_trivial THEN 1 END) AS trivial,
+  count(CASE WHEN len(reasons) = 0 AND is_non_trivial AND contains(station_key, '/unknown/') THEN 1 END) AS unknown, round(sum(energy_kwh), 3) AS raw_kwh, round(sum(CASE WHEN len(reasons) = 0 THEN energy_kwh END), 3) AS fact_kwh
+  FROM judged GROUP BY 1, 2"""
 
-@query("SELECT source, strftime(start_local, '%Y-%m') AS year_month, count(*) AS rows_all, count(CASE WHEN len(reasons) = 0 THEN 1 END) AS in_fact, count(CASE WHEN len(reasons) > 0 THEN 1 END) AS in_quarantine, count(CASE WHEN len(reasons) = 0 AND is_non_trivial THEN 1 END) AS counted, count(CASE WHEN len(reasons) = 0 AND NOT is_non_trivial THEN 1 END) AS trivial, round(sum(CASE WHEN len(reasons) = 0 THEN energy_kwh END), 3) AS fact_kwh FROM judged GROUP BY 1, 2")
+
+@query(IDENTITY_I.replace("GROUP BY 1, 2", "GROUP BY 1, 2 UNION ALL " + IDENTITY_I.replace("coalesce(strftime(start_local, '%Y-%m'), 'unparsed') AS year_month", "'__total__'").replace("GROUP BY 1, 2", "GROUP BY 1")))
 def reconcile_identity_i(w):
-    rows = w.rows
-    ok = F.col("primary_reason").isNull()
-    n = lambda p, name: F.count(F.when(p, 1)).alias(name)
-    return rows.groupBy("source", F.date_format("start_local", "yyyy-MM").alias("year_month")).agg(
-        F.count("*").alias("rows_all"), n(ok, "in_fact"), n(~ok, "in_quarantine"), n(ok & F.col("is_non_trivial"), "counted"), n(ok & ~F.col("is_non_trivial"), "trivial"),
-        F.round(F.sum(F.when(ok, F.col("energy_kwh"))), 3).alias("fact_kwh"),
-    )
+    """Raw rows are fact and quarantined rows; fact rows are counted, trivial or of unknown stations; per month and in total."""
+    return reconcile.identity_i(w.rows).withColumn("raw_kwh", F.round("raw_kwh", 3)).withColumn("fact_kwh", F.round("fact_kwh", 3))
+
+
+@query("SELECT source, month, round(coalesce(a, 0), 3) AS counted_kwh, round(coalesce(b, 0), 3) AS station_day_kwh, abs(round(coalesce(a, 0) - coalesce(b, 0), 3)) AS spill_kwh FROM (SELECT source, strftime(start_local, '%Y-%m') AS month, sum(energy_kwh) AS a FROM timeline GROUP BY 1, 2) FULL JOIN (SELECT source, strftime(day, '%Y-%m') AS month, sum(energy_kwh) AS b FROM station_day GROUP BY 1, 2) USING (source, month)")
+def midnight_spill(w):
+    """What moves between months because pieces count on their own date."""
+    found = reconcile.spill(w.line, w.days)
+    return found.select("source", "month", F.round("counted_kwh", 3).alias("counted_kwh"), F.round("station_day_kwh", 3).alias("station_day_kwh"), F.abs(F.round("spill_kwh", 3)).alias("spill_kwh"))
 
 
 @query("SELECT s.source, round(s.kwh, 3) AS session_kwh, round(d.kwh, 3) AS piece_kwh, abs(s.kwh - d.kwh) <= 1e-6 * greatest(abs(s.kwh), 1) AS conserved FROM (SELECT source, sum(energy_kwh) AS kwh FROM sessions GROUP BY 1) s JOIN (SELECT source, sum(energy_piece) AS kwh FROM allocated GROUP BY 1) d USING (source)")
@@ -350,35 +370,40 @@ def reconcile_identity_ii(w):
     return whole.join(parts, "source").select("source", F.round("a", 3).alias("session_kwh"), F.round("b", 3).alias("piece_kwh"), close.alias("conserved"))
 
 
-@query("SELECT q.source, CASE WHEN k.row_id IS NULL THEN 'twin_rejected' ELSE 'twin_kept' END AS bucket, count(*) AS n FROM (SELECT * FROM judged WHERE list_contains(reasons, 'exact_duplicate')) q LEFT JOIN (SELECT DISTINCT source, row_id FROM sessions) k ON k.source = q.source AND k.row_id = q.row_id GROUP BY 1, 2")
+@query("SELECT q.source, CASE WHEN q.source = 'gamma' AND s.family IN ('rapids', 'fasts') AND q.family NOT IN ('rapids', 'fasts') THEN 'same_event_in_raw_file' WHEN s.family = q.family THEN 'within_family' ELSE 'other' END AS bucket, count(*) AS n FROM judged q LEFT JOIN sessions s ON q.source = s.source AND q.unit IS NOT DISTINCT FROM s.unit AND q.port_id IS NOT DISTINCT FROM s.port_id AND q.key_start IS NOT DISTINCT FROM s.key_start AND q.key_end IS NOT DISTINCT FROM s.key_end AND q.key_kwh IS NOT DISTINCT FROM s.key_kwh WHERE q.reasons[1] = 'natural_key_duplicate' GROUP BY 1, 2")
 def duplicate_twin_buckets(w):
-    rows = w.rows
-    kept = S.unioned(rows).select("source", "row_hash", F.lit(True).alias("kept")).distinct()
-    twins = rows.filter(F.array_contains("reasons", "exact_duplicate")).join(kept, ["source", "row_hash"], "left")
-    return twins.groupBy("source", F.when(F.col("kept"), "twin_kept").otherwise("twin_rejected").alias("bucket")).agg(F.count("*").alias("n"))
+    return reconcile.duplicates_by_twin(w.rows, w.fact)
 
 
-ALL_MOVES = "(SELECT station_key, object_id, epoch(start_utc) AS t, 1 AS d, CAST(start_local AS DATE) AS day FROM sessions WHERE NOT contains(station_key, '/unknown/') UNION ALL SELECT station_key, object_id, CASE WHEN end_utc IS NOT NULL THEN epoch(end_utc) ELSE epoch(start_utc) + round(charging_minutes * 60) END, -1, NULL FROM sessions WHERE NOT contains(station_key, '/unknown/'))"
+@query("SELECT source, primary_reason, twin_family, twin_status, count(*) AS n FROM (SELECT q.source, q.reasons[1] AS primary_reason, coalesce(s.family, '<none>') AS twin_family, CASE WHEN s.object_id IS NULL THEN '<none>' WHEN len(s.reasons) = 0 THEN 'accepted' ELSE 'quarantined' END AS twin_status FROM judged q LEFT JOIN judged s ON s.exact_rank = 1 AND s.key_rank = 1 AND q.source = s.source AND q.unit IS NOT DISTINCT FROM s.unit AND q.port_id IS NOT DISTINCT FROM s.port_id AND q.key_start IS NOT DISTINCT FROM s.key_start AND q.key_end IS NOT DISTINCT FROM s.key_end AND q.key_kwh IS NOT DISTINCT FROM s.key_kwh WHERE q.family = 'rapids_anomalies' AND q.reasons[1] = 'natural_key_duplicate') GROUP BY 1, 2, 3, 4")
+def anomalies_twins(w):
+    """Where the surviving twins of one family's duplicates are."""
+    return reconcile.twins(w.rows, "rapids_anomalies")
 
 
-@query(f"SELECT station_key, CAST(max(level) AS BIGINT) AS plain_max FROM (SELECT *, sum(d) OVER (PARTITION BY station_key ORDER BY t NULLS LAST, d, object_id ROWS UNBOUNDED PRECEDING) AS level FROM {ALL_MOVES}) WHERE d = 1 GROUP BY 1")
+@query("SELECT family, count(*) AS total, count(CASE WHEN len(reasons) = 0 THEN 1 END) AS accepted, count(CASE WHEN len(reasons) = 0 AND publisher_excluded THEN 1 END) AS accepted_meets_rule, count(CASE WHEN len(reasons) = 0 AND NOT publisher_excluded THEN 1 END) AS accepted_not_meeting_rule, count(CASE WHEN len(reasons) > 0 THEN 1 END) AS quarantined FROM judged WHERE source = 'gamma' GROUP BY 1")
+def anomalies_population(w):
+    return reconcile.populations(w.rows.filter("source = 'gamma'"))
+
+
+@query("SELECT station_key, CAST(max(level) AS BIGINT) AS plain_max FROM (SELECT *, sum(d) OVER (PARTITION BY station_key ORDER BY t, d, object_id ROWS UNBOUNDED PRECEDING) AS level FROM (SELECT station_key, object_id, s AS t, 1 AS d FROM all_line UNION ALL SELECT station_key, object_id, e, -1 FROM all_line)) WHERE d = 1 GROUP BY 1")
 def plain_max_all_sessions(w):
-    levels = I.day_levels(I.sweep(I.timeline(w.sessions, all_sessions=True)))
-    return levels.groupBy("station_key").agg(F.max("level").cast("long").alias("plain_max"))
+    return w.all_levels.groupBy("station_key").agg(F.max("level").cast("long").alias("plain_max"))
 
 
 @query("SELECT source, count(*) AS days, count(CASE WHEN connected_minutes > available_minutes THEN 1 END) AS connected_over, count(CASE WHEN charging_minutes > available_minutes THEN 1 END) AS charging_over FROM station_day WHERE NOT is_excluded GROUP BY 1")
 def days_over_full(w):
     n = lambda c, name: F.count(F.when(F.col(c) > F.col("available_minutes"), 1)).alias(name)
-    return gold.station_day(w.tables).filter("not is_excluded").groupBy("source").agg(F.count("*").alias("days"), n("connected_minutes", "connected_over"), n("charging_minutes", "charging_over"))
+    return w.days.filter("not is_excluded").groupBy("source").agg(F.count("*").alias("days"), n("connected_minutes", "connected_over"), n("charging_minutes", "charging_over"))
+
+
+TRANSITIONS = (("alpha", "2024-03-10"), ("alpha", "2024-11-03"), ("gamma", "2024-03-31"), ("gamma", "2024-10-27"))
 
 
-@query("SELECT source, CAST(round((epoch(end_local) - epoch(start_local)) / 60 - (epoch(end_utc) - epoch(start_utc)) / 60) AS BIGINT) AS gap_minutes, count(*) AS n FROM sessions WHERE end_utc IS NOT NULL AND epoch(end_local) - epoch(start_local) <> epoch(end_utc) - epoch(start_utc) GROUP BY 1, 2")
+@query(f"SELECT source, day, spanning, CAST(gap_minutes AS BIGINT) AS gap_minutes, n FROM (SELECT *, row_number() OVER (PARTITION BY source, day ORDER BY n DESC, gap_minutes) AS k, sum(n) OVER (PARTITION BY source, day)::BIGINT AS spanning FROM (SELECT source, day, round((epoch(end_local) - epoch(start_local)) / 60 - reported_minutes) AS gap_minutes, count(*) AS n FROM sessions JOIN (VALUES {', '.join(map(str, TRANSITIONS))}) d(source, day) USING (source) WHERE reported_minutes IS NOT NULL AND start_local < CAST(day AS TIMESTAMP) + INTERVAL 2 HOUR AND end_local > CAST(day AS TIMESTAMP) + INTERVAL 1 HOUR GROUP BY 1, 2, 3)) WHERE k <= 4")
 def dst_transition_gaps(w):
-    """Sessions over a change of clocks, by how far wall clock and elapsed time part."""
-    gap = C.minutes_between("start_local", "end_local") - C.minutes_between("start_utc", "end_utc")
-    found = w.sessions.filter("end_utc is not null").select("source", F.round(gap).cast("long").alias("gap_minutes"))
-    return found.filter("gap_minutes <> 0").groupBy("source", "gap_minutes").agg(F.count("*").alias("n"))
+    """Sessions that span a change of clocks, by how far wall clock and reported duration part; the four commonest gaps of each date."""
+    return profiling.transition_gaps(w.sessions, TRANSITIONS)
 
 
 @query("SELECT source, epoch(start_local) - epoch(start_utc) > min_offset AS in_dst, round(atan2(avg(sin(radians(15.0 * hour(start_local)))), avg(cos(radians(15.0 * hour(start_local))))), 5) AS mean_angle, count(*) AS n FROM sessions JOIN (SELECT source, min(epoch(start_local) - epoch(start_utc)) AS min_offset FROM sessions GROUP BY 1) o USING (source) GROUP BY 1, 2")
@@ -391,7 +416,7 @@ def seasonal_hour_shift(w):
     )
 
 
-@query("SELECT family, round(max(implied_kw), 6) AS most_kw, count(CASE WHEN implied_kw IS NULL THEN 1 END) AS unknown, CASE WHEN source <> 'gamma' THEN 100.0 WHEN family LIKE 'rapids%' THEN 200.0 ELSE 50.0 END AS ceiling FROM judged GROUP BY family, source")
+@query("SELECT family, round(max(implied_kw), 6) AS most_kw, count(CASE WHEN implied_kw IS NULL THEN 1 END) AS unknown, CASE WHEN source <> 'gamma' THEN 20.0 WHEN family LIKE 'rapids%' THEN 55.0 ELSE 30.0 END AS ceiling FROM judged GROUP BY family, source")
 def implied_kw_ceiling(w):
     from voltway.operators import rules
 

@@ -21,6 +21,8 @@ COMPATIBLE = {
     "date": {"date"},
     "duration_hms": {"duration_hms"},
 }
+#: A delivery without rows or that can't be read doesn't replace one that landed well.
+KEEP_LAST_GOOD = frozenset({"empty_file", "unreadable_file"})
 SEVERITIES = ("ok", "info", "warn", "quarantine")
 
 
@@ -77,39 +79,102 @@ def apply_aliases(df: DataFrame, family: Family) -> tuple[DataFrame, list[Findin
     findings = []
     for old, new in family.aliases:
         if old in df.columns and new in df.columns:
-            findings.append(Finding("alias_conflict", "warn", old))
+            findings.append(Finding("alias_target_present", "warn", old))
         elif old in df.columns:
             df = df.withColumnRenamed(old, new)
-            findings.append(Finding("alias_applied", "info", old))
+            findings.append(Finding("aliased", "info", old))
     return df, findings
 
 
+def column_finding(spec: Column, present: bool, inferred: str | None) -> Finding | None:
+    """The one thing wrong with a declared column; ``inferred`` None: there is nothing to judge a type on."""
+    needed = "required" if spec.required else "optional"
+    judged = inferred not in (None, "empty") and spec.type in COMPATIBLE
+    cases = (  # code, whether it holds, severity if required, severity if optional
+        (f"missing_{needed}", not present, "quarantine", "info"),
+        ("all_null", present and inferred == "empty", "info", "info"),
+        (f"retyped_{needed}", present and judged and inferred not in COMPATIBLE.get(spec.type, ()), "quarantine", "warn"),
+    )
+    return next((Finding(code, strict if spec.required else mild, spec.name) for code, holds, strict, mild in cases if holds), None)
+
+
 def check_file(df: DataFrame, contract: Contract, file_name: str) -> tuple[DataFrame, Drift]:
-    """The frame under its contract's names, and how it departs from the contract."""
-    drift = Drift(file_name)
+    """The frame under its contract's names, and how it departs from the contract; types come from one aggregation."""
     family = contract.family(file_name)
     if family is None:
-        drift.findings.append(Finding("unknown_family", "quarantine"))
-        return df, drift
-    df, found = apply_aliases(df, family)
-    drift.findings += found
-    declared = {c.name: c for c in family.columns}
-    drift.findings += [Finding("missing_required" if c.required else "missing_optional", "quarantine" if c.required else "warn", c.name) for c in family.columns if c.name not in df.columns]
-    drift.findings += [Finding("unknown_column", "warn", c) for c in df.columns if c not in declared]
-    known = [c for c in df.columns if c in declared]
-    if not known:
-        return df, drift
-    blank = {c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in known}
-    for token in family.null_tokens:
-        blank = {c: F.nullif(t, F.lit(token)) for c, t in blank.items()}
-    types = {r["name"]: r["type"] for r in infer_types(df.select(*(t.alias(c) for c, t in blank.items()))).collect()}  # a row a column
-    if df.limit(1).isEmpty():
-        drift.findings.append(Finding("empty_file", "quarantine"))
-        return df, drift
-    for c in known:
-        spec = declared[c]
-        if types[c] == "empty":
-            drift.findings.append(Finding("all_null", "quarantine" if spec.required else "info", c))
-        elif spec.type in COMPATIBLE and types[c] not in COMPATIBLE[spec.type]:
-            drift.findings.append(Finding("retyped", "quarantine" if spec.required else "warn", c))
-    return df, drift
+        return df, Drift(file_name, [Finding("unknown_family", "quarantine")])
+    df, findings = apply_aliases(df, family)
+    known = [c.name for c in family.columns if c.name in df.columns]
+    empty = df.limit(1).isEmpty()
+    types: dict[str, str] = {}
+    if empty:
+        findings.append(Finding("empty_file", "quarantine"))
+    elif known:
+        plain = lambda n: F.when(~F.col(f"`{n}`").isin(list(family.null_tokens)), F.col(f"`{n}`")) if family.null_tokens else F.col(f"`{n}`")
+        types = {r["name"]: r["type"] for r in infer_types(df.select(*(plain(n).alias(n) for n in known))).collect()}  # a row a column
+    found = (column_finding(spec, spec.name in known, types.get(spec.name)) for spec in family.columns)
+    findings += [f for f in found if f]
+    findings += [Finding("unknown_column", "warn", c) for c in df.columns if c not in {spec.name for spec in family.columns}]
+    return df, Drift(file_name, findings)
+
+
+def drift_record(drifts: list[tuple[str, Drift]], run_id: str) -> dict:
+    """What a landing run has to say: (source, drift) of every file, counted by outcome."""
+    return {
+        "run_id": run_id,
+        "summary": {
+            "files": len(drifts), "by_outcome": {s: sum(d.outcome == s for _, d in drifts) for s in SEVERITIES},
+            "quarantined_files": [f"{source}/{d.file_name}" for source, d in drifts if d.outcome == "quarantine"],
+        },
+        "files": [
+            {"source": source, "file_name": d.file_name, "outcome": d.outcome, "reason_codes": d.codes, "findings": [{"column": f.column or "*", "severity": f.severity, "code": f.code} for f in d.findings]}
+            for source, d in drifts
+        ],
+    }
+
+
+def columns(*specs: str) -> tuple[Column, ...]:
+    """``name:type``, required; ``name:type?``, optional."""
+    return tuple(Column(name, kind.rstrip("?"), not kind.endswith("?")) for name, kind in (s.rsplit(":", 1) for s in specs))
+
+
+# The publishers' files as they are published: columns, types, other names, tokens for nothing, file names.
+ALPHA = Contract(
+    "alpha",
+    (
+        Family(
+            "transactions", "Electric_Vehicle_Charging_Station_Data",
+            columns(
+                "Station_Name:text", "Address:text?", "City:text?", "State_Province:text?", "Zip_Postal_Code:text?", "Start_Date___Time:text", "Start_Time_Zone:text?", "End_Date___Time:text",
+                "End_Time_Zone:text?", "Total_Duration__hh_mm_ss_:duration_hms", "Charging_Time__hh_mm_ss_:duration_hms", "Energy__kWh_:decimal", "GHG_Savings__kg_:decimal?",
+                "Gasoline_Savings__gallons_:decimal?", "Port_Type:text?", "ObjectID:integer", "ObjectId2:integer",
+            ),
+        ),
+    ),
+)
+BETA = Contract(
+    "beta",
+    (
+        Family(
+            "sessions", "electric-vehicle-charging-stations",
+            columns(
+                "start_date:datetime", "station_name:text", "charging_time_hh_mm_ss:duration_hms", "energy_kwh:decimal", "address_1:text?", "address_2:text?", "city:text?", "state_province:text?",
+                "zip_postal_code:text?",
+            ),
+        ),
+    ),
+)
+GAMMA_COLUMNS = (
+    "ChargingEvent:text?", "CPID:text", "Connector:text?", "StartDate:date", "StartTime:duration_hms", "EndDate:date", "EndTime:duration_hms", "Energy:decimal", "Name:text",
+)
+RENAMED, NOTHING = (("EnergySupplied", "Energy"),), ("NA",)
+GAMMA = Contract(
+    "gamma",
+    (
+        Family("rapids", "local_authority_rapids_raw", columns(*GAMMA_COLUMNS, "Price:text?", "PluginDuration:integer"), RENAMED, NOTHING),
+        Family("rapids_anomalies", "local_authority_rapids_incomplete_anomalies", columns(*GAMMA_COLUMNS, "Price:text?", "Area code:text?"), RENAMED, NOTHING),
+        Family("fasts", "public_sector_fasts_raw", columns("publisher_row_index:integer?", *GAMMA_COLUMNS, "PluginDuration:decimal"), (), NOTHING),
+        Family("fasts_anomalies", "public_sector_fasts_incomplete_anomalies", columns("publisher_row_index:integer?", *GAMMA_COLUMNS, "PluginDuration:decimal"), (), NOTHING),
+    ),
+)
+CONTRACTS = {c.source: c for c in (ALPHA, BETA, GAMMA)}

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltway.functions.columns import normal_name, row_hash
-from voltway.sources.contracts import Contract, Drift, Finding, check_file
+from voltway.sources.contracts import KEEP_LAST_GOOD, Contract, Drift, Finding, check_file
+from voltway.sources.warehouse import hadoop_path
 
 METADATA = ("_source", "_file_name", "_retrieved_at", "_row_hash")
 QUARANTINED = "_quarantined"
-ENTRY = T.StructType([T.StructField(n, T.StringType()) for n in ("source", "file_name", "sha256", "retrieved_at", "landed_path")] + [T.StructField("row_count", T.LongType())])
+ENTRY = T.StructType([T.StructField(n, T.StringType()) for n in ("source", "file_name", "url", "sha256", "retrieved_at", "landed_path")] + [T.StructField(n, T.LongType()) for n in ("bytes", "row_count")])
 MANIFEST = T.StructType([T.StructField("files", T.MapType(T.StringType(), ENTRY))])
-#: Drift after which a file that landed well before stays as it was.
-KEEP_LAST_GOOD = {"empty_file", "unreadable"}
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -59,8 +58,18 @@ def read_manifest(path: Path) -> dict[str, dict]:
 
 
 def write_manifest(path: Path, files: dict[str, dict]) -> None:
+    """Written beside and renamed, so that a reader never sees half a manifest."""
     path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps({"files": files}, indent=1, sort_keys=True))
+    draft = path.with_suffix(".draft")
+    draft.write_text(json.dumps({"files": files}, indent=1, sort_keys=True))
+    draft.replace(path)
+
+
+def existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path``; an empty one of ``schema`` where there is none."""
+    own, system = hadoop_path(spark, path)
+    found = system.globStatus(own)
+    return spark.read.schema(schema).parquet(path) if found is not None and len(found) else spark.createDataFrame([], schema)
 
 
 def manifest_table(spark: SparkSession, path: str) -> DataFrame:
@@ -69,7 +78,7 @@ def manifest_table(spark: SparkSession, path: str) -> DataFrame:
     return files.select("manifest_key", "entry.*").filter(~F.col("landed_path").contains(QUARANTINED))
 
 
-def land_file(spark: SparkSession, raw: Path, contract: Contract, root: Path, files: dict[str, dict], retrieved_at: str | None = None) -> Drift:
+def land_file(spark: SparkSession, raw: Path, contract: Contract, root: Path, files: dict[str, dict], retrieved_at: str | None = None, url: str | None = None) -> Drift:
     """Land one raw file unless it is unchanged; a file that breaks its contract is set aside.
 
     An empty or unreadable file doesn't replace one that landed well.
@@ -83,7 +92,7 @@ def land_file(spark: SparkSession, raw: Path, contract: Contract, root: Path, fi
     try:
         df, drift = check_file(read_raw(spark, str(raw)), contract, raw.name)
     except Exception as e:  # noqa: BLE001 - an unreadable delivery is a finding
-        drift, df = Drift(raw.name, [Finding("unreadable", "quarantine", type(e).__name__)]), None
+        drift, df = Drift(raw.name, [Finding("unreadable_file", "quarantine", type(e).__name__)]), None
     broken = drift.outcome == "quarantine"
     if df is None or broken and before and QUARANTINED not in before["landed_path"] and set(drift.codes) <= KEEP_LAST_GOOD:
         return drift
@@ -92,14 +101,20 @@ def land_file(spark: SparkSession, raw: Path, contract: Contract, root: Path, fi
     out = landed(df, contract.source, raw.name, at)
     out.write.mode("overwrite").option("compression", "zstd").parquet(str(path))
     if other.exists():
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(str(other))
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        old, system = hadoop_path(spark, str(other))
+        system.delete(old, True)
     files[key] = {
-        "source": contract.source, "file_name": raw.name, "sha256": sha, "retrieved_at": at, "landed_path": str(path), "row_count": spark.read.parquet(str(path)).count(),
+        "source": contract.source, "file_name": raw.name, "url": url, "sha256": sha, "bytes": raw.stat().st_size, "retrieved_at": at, "landed_path": str(path),
+        "row_count": spark.read.parquet(str(path)).count(),
     }
     return drift
 
 
+def land_source(spark: SparkSession, folder: Path, contract: Contract, root: Path, files: dict[str, dict], retrieved_at: str | None = None) -> list[Drift]:
+    """Land every csv file of a source's folder in the order of their names; ``files`` is the manifest, changed in place."""
+    return [land_file(spark, raw, contract, root, files, retrieved_at) for raw in sorted(folder.glob("*.csv"))]
+
+
 def export(df: DataFrame, path: str, grain: list[str]) -> dict:
     """A relation in the order of its grain as zstd Parquet, and its entry for the exports' manifest."""
     df.orderBy(*grain).write.mode("overwrite").option("compression", "zstd").parquet(path)
