@@ -53,7 +53,7 @@ def test_numbers_names_and_hashes(spark):
 
 def test_unknown_end_is_accepted_and_first_reason_wins(spark):
     row = dict(
-        is_blank=False, start_local="2024-01-01", has_end=True, end_local=None, is_end_sentinel=None, is_nonexistent=False, exact_rank=1, key_rank=2, connected_minutes=5.0,
+        is_blank=False, start_local="2024-01-01", has_end=True, end_local=None, is_end_sentinel=None, is_nonexistent=False, is_exact_repeat=False, is_key_repeat=True, connected_minutes=5.0,
         energy_kwh=-2000.0, charging_minutes=9.0, precision_seconds=60, implied_kw=1.0, family="alpha",
     )
     df = spark.range(1).select(*(F.lit(v).alias(k) if v is not None else F.lit(None).cast("boolean").alias(k) for k, v in row.items()))
