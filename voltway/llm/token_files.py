@@ -10,19 +10,25 @@ smaller ids than part k + 1. Each task streams its part into three files:
 
 A task writes under a name of its own attempt and renames at the end, so a task
 that runs again replaces whole files. The manifest (one row per part) is a table
-beside them; parts' bases are prefix sums over it. Files are read one task per
-part through a memory map where the file system is a mounted one.
+beside them; parts' bases are prefix sums over it. Each part is read by a task
+of its own, some thousand documents at a time: through a memory map where the
+file system is a mounted one, else by ranges of the files.
+
+Parts are as large as the session's shuffle partitions (adaptive execution sizes
+them by bytes) unless their number is given.
 
 Defined results: null and empty texts are the end token alone; a null document
-id counts as -1 and comes first; repeated ids are all written, texts in order;
-an empty table gives no rows; other columns are ignored.
+id is written as the smallest 64-bit integer, comes first and is null again when
+read (that integer itself can't be an id); repeated ids are all written, texts in
+order; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import posixpath
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +40,9 @@ from voltway.llm import common
 from voltway.llm.encoding import encoder, public_path
 
 MANIFEST = "part long, n_docs long, n_tokens long"
+#: Stands for a null document id in the files.
+NULL_ID = -(2**63)
+DOCS_A_READ = 10_000
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -42,6 +51,18 @@ def opened(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
 
+@contextmanager
+def values(system: fs.FileSystem, path: str, kind: np.dtype) -> Iterator[Callable[[int, int], np.ndarray]]:
+    """A function (first, last) -> those numbers of a flat file."""
+    if isinstance(system, fs.LocalFileSystem):
+        mapped = np.memmap(path, kind, "r")
+        yield lambda first, last: mapped[first:last]
+        return
+    with system.open_input_file(path) as f:
+        size = kind.itemsize
+        yield lambda first, last: np.frombuffer(f.read_at((last - first) * size, first * size), kind)
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, wide: bool = False, drops_white: bool = True,
     id_column: str = "doc_id", text_column: str = "text", parts: int | None = None,
@@ -65,7 +86,7 @@ def write_token_files(
                 found = own.encode(batch.column(1).to_pylist())
                 lengths = np.fromiter(map(len, found), np.int64, len(found)) + 1
                 offsets_out.write((n_tokens + np.cumsum(lengths) - lengths).astype("<i8").tobytes())
-                docs_out.write(batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                docs_out.write(batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
                 for ids in found:
                     ids_out.write(np.append(ids, end_id).astype(dtype).tobytes())
                 n_docs, n_tokens = n_docs + len(found), n_tokens + int(lengths.sum())
@@ -86,32 +107,26 @@ def read_token_files(spark: SparkSession, folder: str, wide: bool = False) -> Da
     dtype = np.dtype("<u4" if wide else "<u2")
     manifest = spark.read.parquet(f"{folder}/manifest").filter("n_docs > 0")
     base = F.sum("n_tokens").over(Window.orderBy("part")) - F.col("n_tokens")  # one row per part
-    bases = manifest.select("part", base.alias("base"))
-
-    def view(system: fs.FileSystem, path: str, kind: np.dtype) -> np.ndarray:
-        if isinstance(system, fs.LocalFileSystem):
-            return np.memmap(path, kind, "r")
-        with system.open_input_file(path) as f:
-            return np.frombuffer(f.read(), kind)
+    bases = manifest.select("part", "n_docs", base.alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, at = opened(folder)
         for batch in batches:
-            for part, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for part, n, base in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 path = posixpath.join(at, f"part-{part:07d}")
-                ids = view(system, f"{path}.ids", dtype)
-                offsets = view(system, f"{path}.offsets", np.dtype("<i8"))
-                docs = view(system, f"{path}.docs", np.dtype("<i8"))
-                for first in range(0, len(docs), 10_000):
-                    last = min(first + 10_000, len(docs))
-                    cuts = np.array(offsets[first : last + 1])
-                    crcs = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(docs[first:last]), pa.array(base + cuts[:-1]), pa.array(np.diff(cuts)), pa.array(crcs, pa.int64())],
-                        names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                    )
-
-    return bases.repartition("part").mapInArrow(run, READ)
+                with values(system, f"{path}.ids", dtype) as ids, values(system, f"{path}.offsets", np.dtype("<i8")) as offsets, values(system, f"{path}.docs", np.dtype("<i8")) as docs:
+                    for first in range(0, n, DOCS_A_READ):
+                        last = min(first + DOCS_A_READ, n)
+                        cuts, own = np.array(offsets(first, last + 1)), np.array(docs(first, last))
+                        crcs = [zlib.crc32(ids(a, b).astype("<u4")) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(own, mask=own == NULL_ID), pa.array(base + cuts[:-1]), pa.array(np.diff(cuts)), pa.array(crcs, pa.int64())],
+                            names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                        )
+
+    parts = max(1, manifest.count())
+    return bases.repartitionByRange(parts, "part").mapInArrow(run, READ)
+
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, parts: int | None = None) -> DataFrame:
