@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a new local one where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; a new local one where that is unset and the master is local (tests)."""
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-voltway-")
         context.setCheckpointDir(found)
     elif context.getCheckpointDir() is None:
