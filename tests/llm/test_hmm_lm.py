@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from voltway.llm import hmm_lm as M
 
@@ -48,8 +49,18 @@ def test_forward_and_expectations_equal_enumeration():
     assert np.allclose(starts, want_starts) and np.allclose(moves, want_moves) and np.allclose(emits, want_emits)
 
 
-def test_windows():
-    assert M.windows(np.array([1, 256, 257, 600])).tolist() == [1, 256, 256, 1, 256, 256, 88]
+def test_every_whole_text_is_read_once_and_starts_once():
+    """Texts far longer than any slice's typical one stay whole, and each starts one sequence."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 20, n).astype(np.uint16) for n in (1, 128, 129, 600, 3000, 2, 2049, 50)]
+    batch = pa.RecordBatch.from_pydict({"symbols": pa.array([t.tobytes() for t in texts], pa.binary())})
+    taken = list(M.by_length_class(iter([batch.slice(0, 5), batch.slice(5)]), 0))
+    own = [x.tobytes() for symbols, lengths in taken for x in np.split(symbols, np.cumsum(lengths)[:-1])]
+    assert sorted(own) == sorted(t.tobytes() for t in texts)
+    emits = rng.random((20, M.STATES))
+    model = M.Hmm(np.full(M.STATES, 1 / M.STATES), np.full((M.STATES, M.STATES), 1 / M.STATES), emits / emits.sum(0))
+    sums = [M.expected(model, symbols, lengths) for symbols, lengths in taken]
+    assert np.isclose(sum(s.sum() for s, _, _ in sums), len(texts)) and np.isclose(sum(m.sum() for _, m, _ in sums), sum(len(t) - 1 for t in texts))
 
 
 def test_base_scores_and_better_model(spark):

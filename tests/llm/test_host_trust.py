@@ -66,5 +66,11 @@ def test_far_hosts_beside_seeds_without_links(spark):
     assert {h: many[h] for h in few} == few
 
 
+def test_links_with_much_space_or_long_schemes(spark):
+    html = f"<a href{' ' * 20}={' ' * 30}'{'s' * 40}://A.net:80/x'>y</a><a HREF=//b.net>z</a><a href=nothing>n</a>"
+    edges = H.host_edges(spark.createDataFrame([(1, "http://c.net/", html, "t", 1, "v")], SCHEMA), "url", "html")
+    assert sorted(r["target"] for r in edges.collect()) == ["a.net:80", "b.net"]
+
+
 def test_empty_table(spark):
     assert H.filtered_urls(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -6,10 +6,11 @@ each of ``CLASSES`` classes of word endings times a smoothed share of the class,
 so the vocabulary is open and whole while emission tables stay bounded.
 
 Baum-Welch: each task runs scaled forward and backward recursions over its
-training texts in windows, sums expected counts, and the counts of all tasks are
-added by symbol; re-estimation needs only that bounded table. Rounds read
-growing shares of the texts, chosen by hash, and the last reads all of them.
-Scoring runs the exact scaled forward recursion over each whole text.
+whole training texts, sums expected counts, and the counts of all tasks are
+added by symbol; re-estimation needs only that bounded table. Every round reads
+all training texts. A recursion steps through many texts at once, texts of about
+equal length together. Scoring runs the exact scaled forward recursion over each
+whole text.
 
 Rare words need their counts: (text, rare word) rows are joined with the counts
 by word. A rare word has at most a 1 / HEAD share of the training words, so no
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,9 +43,9 @@ HEAD, CLASSES, STATES = 32_768, 1024, 8
 #: The end of a text, as a word: no word is empty.
 END = b""
 FOLD, HELD_OUT = 7, 2
-WINDOW = 256
-#: Sixty-fourths of the training texts that each round reads.
-SCHEDULE = ((0, 1), (1, 2), (2, 3), (3, 5), (5, 8), (8, 13), (13, 21), (21, 37), (0, 64))
+ROUNDS = 6
+#: Texts of up to so many words, and longer ones, are stepped through together.
+LENGTHS = (128, 512, 2048)
 #: Words of the unigram distribution that each state is given beside what it has seen.
 PRIOR = 10_000.0
 MOST_WORDS = 250_000
@@ -293,36 +295,45 @@ def sequences(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[
                 first, size = i + 1, 0
 
 
-def windows(lengths: np.ndarray) -> np.ndarray:
-    """Lengths of the windows that sequences are cut into."""
-    pieces = -(-lengths // WINDOW)
-    found = np.full(int(pieces.sum()), WINDOW)
-    last = np.cumsum(pieces) - 1
-    found[last] = lengths - (pieces - 1) * WINDOW
-    return found
+def by_length_class(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Concatenated symbols and lengths of all sequences, those of a length class together."""
+    waiting: list[list[bytes]] = [[] for _ in range(len(LENGTHS) + 1)]
+    sizes = [0] * len(waiting)
 
+    def taken(k: int) -> tuple[np.ndarray, np.ndarray]:
+        own, waiting[k], sizes[k] = waiting[k], [], 0
+        return np.frombuffer(b"".join(own), np.uint16), np.array([len(v) // 2 for v in own])
 
-def baum_welch(texts: DataFrame, words: Vocabulary, schedule=SCHEDULE) -> Hmm:
-    """Rounds of expectation over ``texts`` (encoded, not held out) and re-estimation."""
+    for batch in batches:
+        for v in batch.column(column).to_pylist():
+            k = bisect_left(LENGTHS, len(v) // 2)
+            waiting[k].append(v)
+            sizes[k] += len(v) // 2
+            if sizes[k] > SLICE_TOKENS:
+                yield taken(k)
+    yield from (taken(k) for k in range(len(waiting)) if waiting[k])
+
+
+def baum_welch(texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Hmm:
+    """Rounds of expectation over all ``texts`` (encoded, not held out) and re-estimation."""
     spark = texts.sparkSession
     model = first_model(words)
     floor = PRIOR * words.symbol_counts() / words.symbol_counts().sum()
-    share = F.pmod(F.xxhash64("row"), F.lit(64))
-    for low, high in schedule:
+    for _ in range(rounds):
         own = spark.sparkContext.broadcast(model)  # symbols x STATES numbers, bounded by HEAD and CLASSES
 
         def run(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
             model = own.value
             starts, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros_like(model.emits)
-            for _, symbols, lengths in sequences(batches, 0):
-                a, b, c = expected(model, symbols, windows(lengths))
+            for symbols, lengths in by_length_class(batches, 0):
+                a, b, c = expected(model, symbols, lengths)
                 starts, moves, emits = starts + a, moves + b, emits + c
             rows = np.vstack([starts, moves, emits])
             at = np.flatnonzero(rows.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(rows[at, k].copy()) for k in range(STATES))], names=["at", *(f"s{k}" for k in range(STATES))])
 
         schema = "at long, " + ", ".join(f"s{k} double" for k in range(STATES))
-        counts = texts.filter((share >= low) & (share < high)).select("symbols").mapInArrow(run, schema)
+        counts = texts.select("symbols").mapInArrow(run, schema)
         sums = counts.groupBy("at").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(STATES))).collect()  # symbols + STATES + 1 rows at most
         own.unpersist()
         if not sums:
@@ -335,7 +346,7 @@ def baum_welch(texts: DataFrame, words: Vocabulary, schedule=SCHEDULE) -> Hmm:
     return model
 
 
-def scored(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def scored(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
     narrow = docs.select(
@@ -345,7 +356,7 @@ def scored(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     counts = common.written(word_counts(narrow), "counts")
     words = vocabulary(counts)
     texts = encoded(narrow, words)
-    own = spark.sparkContext.broadcast(baum_welch(texts.filter("not held_out"), words))
+    own = spark.sparkContext.broadcast(baum_welch(texts.filter("not held_out"), words, rounds))
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, symbols, lengths in sequences(batches, 7):

@@ -115,28 +115,23 @@ def by_kind(mass: DataFrame) -> DataFrame:
     return mass.groupBy("host").agg(*(F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")))
 
 
-def settled(state: DataFrame, sown: dict[str, float], damping: float, tolerance: float, ratio: float) -> bool:
+def settled(state: DataFrame, damping: float, tolerance: float, ratio: float) -> bool:
     """Whether no further round can change a verdict, nor a host's mass by more than ``tolerance`` of it.
 
     What a kind's travelling mass can still add, to all its hosts together, is at
     most ``damping / (1 - damping)`` times that mass, and nothing to hosts that the
-    kind does not reach, once a round has reached no new host. Each kind is judged
-    by itself. Final masses are scaled by what a kind sowed over what arrived,
-    which lies between the sums without and with that addition.
+    kind does not reach, once a round has reached no new host.
     """
-    kinds = {r["kind"]: r for r in state.groupBy("kind").agg(F.sum("moving").alias("moving"), F.sum("mass").alias("total"), F.min("mass").alias("least"), F.max("fresh").alias("fresh")).collect()}
-    left = {k: (r["moving"] or 0.0) * damping / (1 - damping) for k, r in kinds.items()}
+    kinds = state.groupBy("kind").agg(F.sum("moving").alias("moving"), F.min("mass").alias("least"), F.max("fresh").alias("fresh")).collect()
+    left = {r["kind"]: (r["moving"] or 0.0) * damping / (1 - damping) for r in kinds}
     if not any(left.values()):
         return True
-    if any(left[k] and (r["fresh"] or left[k] > tolerance * r["least"]) for k, r in kinds.items()):
+    if any(left[r["kind"]] and (r["fresh"] or left[r["kind"]] > tolerance * r["least"]) for r in kinds):
         return False
-    if len(kinds) < 2:
-        return True
-    low = lambda k: F.col(k) * (sown[k] / (kinds[k]["total"] + left[k]))
-    high = lambda k: (F.col(k) + left[k]) * (sown[k] / kinds[k]["total"])
-    still = F.lit(all(left[k] <= TIE / 10 * r["least"] for k, r in kinds.items()))
-    sure = exceeds(low("distrust"), high("trust"), ratio) | ~exceeds(high("distrust"), low("trust"), ratio) | still
-    return by_kind(state).filter((F.col("trust") > 0) & (F.col("distrust") > 0) & ~sure).isEmpty()
+    t, d = F.col("trust"), F.col("distrust")
+    more_t, more_d = F.lit(left.get("trust", 0.0)), F.lit(left.get("distrust", 0.0))
+    sure = exceeds(d, t + more_t, ratio) | ~exceeds(d + more_d, t, ratio) | ((more_t <= TIE / 10 * t) & (more_d <= TIE / 10 * d))
+    return by_kind(state).filter((t > 0) & (d > 0) & ~sure).isEmpty()
 
 
 def propagated(
@@ -144,12 +139,11 @@ def propagated(
 ) -> DataFrame:
     """kind, host, mass: the sum of ``damping**i`` times each seed's mass after i links, with weight 1 - damping.
 
-    Mass that would leave a host without links goes back to the kind's seeds,
-    which is the series scaled so that each kind sums to what it sowed; so trust
-    and distrust compare however much of either ends at such hosts. Only mass that
-    can still travel counts as moving. Rounds go on until ``settled``, or end after
-    ``rounds`` where that is given. A checkpoint every ``step`` rounds ends the
-    lineage.
+    Mass at hosts without links ends there. It isn't returned to the seeds: that
+    would scale a kind by its seeds elsewhere, and unrelated pages could turn a
+    verdict. Only mass that can still travel counts as moving. Rounds go on until
+    ``settled``, or end after ``rounds`` where that is given. A checkpoint every
+    ``step`` rounds ends the lineage.
     """
     onward = shares.select("kind", F.col("source").alias("host"), F.lit(True).alias("onward")).distinct()
     mass = (1 - damping) * F.col("mass")
@@ -158,9 +152,8 @@ def propagated(
             "kind", "host", mass.alias("mass"), F.when(F.col("onward"), mass).otherwise(0.0).alias("moving"), F.lit(True).alias("fresh")
         )
     )
-    sown = {r["kind"]: r["mass"] for r in seeds.groupBy("kind").agg(F.sum("mass").alias("mass")).collect()}  # two rows
     done = 0
-    while (rounds is None or done < rounds) and not settled(state, sown, damping, tolerance, ratio):
+    while (rounds is None or done < rounds) and not settled(state, damping, tolerance, ratio):
         for _ in range(step):
             sent = damping * F.col("moving") * F.col("share")
             moved = (
@@ -176,9 +169,7 @@ def propagated(
             )
         state = common.checkpointed(state)
         done += step
-    arrived = {r["kind"]: r["mass"] for r in state.groupBy("kind").agg(F.sum("mass").alias("mass")).collect()}  # two rows
-    scale = F.coalesce(*(F.when(F.col("kind") == k, sown[k] / m) for k, m in arrived.items() if m), F.lit(1.0))
-    return state.select("kind", "host", (F.col("mass") * scale).alias("mass"))
+    return state.select("kind", "host", "mass")
 
 
 def host_scores(
