@@ -3,6 +3,13 @@
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which ``run`` writes as Parquet to the shared folder and
 rereads as the next stage's docs.
+
+Defined results: null, empty and short texts are rejected by the quality rules;
+without labelled documents of both kinds no document is toxic; of copies and
+repeated rows the smallest id stays (a null id comes last); a document with a
+null id is kept like any other; empty tables give no rows; columns of documents
+that stages use as names of their own pass untouched, but for the packing stage,
+which returns its own columns only.
 """
 
 from __future__ import annotations
