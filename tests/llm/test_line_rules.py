@@ -38,3 +38,23 @@ def test_rules_remove_lines_and_reject_documents(spark):
 
 def test_columns_stay_and_empty_table(docs, nothing):
     assert L.cleaned(docs).columns == docs.columns and L.cleaned(nothing).count() == 0 and L.judged(nothing).count() == 0
+
+
+def test_long_lines_are_judged_like_short_ones():
+    menu = " ".join(f"Page {i} »" for i in range(60))
+    assert L.line_fault(menu.encode(), menu.encode().split()) == "navigation"
+    furniture = " ".join(["please read our privacy policy and cookie policy before you go on"] * 5)
+    assert len(furniture.split()) > 40 and L.line_fault(furniture.encode(), furniture.encode().split()) == "boilerplate"
+    prose = "the court held that the privacy policy of the firm " + " ".join(f"word{i}" for i in range(200))
+    assert L.line_fault(prose.encode(), prose.encode().split()) is None
+
+
+def test_lines_in_many_places_are_boilerplate_and_lines_of_copies_are_not(spark):
+    """A line between ever other neighbours goes; a passage that only copies share stays."""
+    rows = [(i, f"opening {i} of its own\nshared banner of the site\nclosing {i} of its own") for i in range(60)]
+    rows += [(100 + i, "a copied opening\na copied middle line\na copied end") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert L.common_lines(docs) == {L.line_hash(b"shared banner of the site")}
+    found = {r["doc_id"]: r for r in L.judged(docs).collect()}
+    assert found[0]["removed_by"] == "boilerplate" and found[0]["n_removed_words"] == 5 and found[100]["removed_by"] == ""
+    assert L.common_lines(docs.limit(0)) == frozenset()

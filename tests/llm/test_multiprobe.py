@@ -46,6 +46,39 @@ def test_one_long_vector(spark):
     assert min(shares) >= 0.5 and np.mean(shares) >= 0.95
 
 
+def recall_of(found, x, ids):
+    """Share of the true 20 nearest of each query (float64, ties to smaller ids) among those found; scores must be exact."""
+    own, at = {}, {int(v): k for k, v in enumerate(ids)}
+    for r in found:
+        own.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = total = 0
+    for q in (int(v) for v in ids if v % 20 == 0):
+        s = x @ x[at[q]]
+        assert all(np.isclose(s[at[v]], score, rtol=1e-9, atol=1e-12) for _, v, score in own[q])
+        s[at[q]] = -np.inf
+        best = np.lexsort((ids, -s))[:20]
+        hits += len({v for _, v, _ in own[q]} & {int(ids[b]) for b in best})
+        total += 20
+    return hits / total
+
+
+def test_recall_on_the_embeddings(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [r for r in table.collect() if r["embedding"] is not None and all(v is not None and np.isfinite(v) for v in r["embedding"]) and any(r["embedding"])]
+    x, ids = np.array([r["embedding"] for r in rows], float), np.array([r["vec_id"] for r in rows])
+    assert recall_of(M.nearest(table).collect(), x, ids) >= 0.9
+
+
+def test_recall_on_clusters(spark):
+    """Where vectors lie in clusters, fewer probes find them too."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 32))
+    x = (centres[rng.integers(0, 40, 2000)] + 0.2 * rng.normal(size=(2000, 32))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0.0, 1, "p") for i, v in enumerate(x)], SCHEMA)
+    for probes in (M.PROBES, 6):
+        assert recall_of(M.nearest(df, probes=probes).collect(), x.astype(float), np.arange(2000)) >= 0.9
+
+
 def test_few_and_no_vectors(spark):
     rows = [(0, [1.0, 0.0], 0.0, 1, "p"), (1, [0.5, 0.5], 0.0, 1, "p"), (20, [0.0, 1.0, 0.0], 0.0, 1, "p")]
     assert [tuple(r) for r in M.nearest(spark.createDataFrame(rows, SCHEMA)).collect()] == [(0, 1, 1, 0.5)]

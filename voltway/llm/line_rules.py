@@ -1,10 +1,16 @@
 """Line-first cleaning.
 
-Each line is judged alone (punctuation, navigation, boilerplate and repetition
-rules), failing lines are removed, and a document that thereby loses too large
-a share of its words is rejected. The work is one pass over each text inside an
-Arrow UDF: nothing is shuffled, so neither hot sources nor groups of copies
-matter, and a lost executor costs only its own tasks.
+Each line is judged (punctuation, navigation, boilerplate and repetition rules),
+failing lines are removed, and a document that thereby loses too large a share
+of its words is rejected. Boilerplate is a line with phrases of page furniture,
+or one that stands in very many places of the corpus: a first pass counts, for
+each line, between how many different pairs of neighbours it stands (lines of
+exact and near copies have the same neighbours, so copies don't make a line
+boilerplate). Lines between at least ``COMMON_SHARE`` times as many pairs as
+there are documents are known to the second pass, which judges each text in one
+go; there are at most lines-per-document / COMMON_SHARE of them, whatever the
+table's size. Pairs are combined in each task and counted by (line, neighbours)
+first, so a very common line isn't a hot key.
 
 Defined results: a null text has no words (all counts 0, rejected as too
 short, cleaned text null); an empty text likewise with an empty cleaned text;
@@ -13,9 +19,12 @@ equal rows get equal results; other columns of the input pass untouched.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +56,15 @@ BOILERPLATE = (
     "use of cookies",
 )
 
+FURNITURE = re.compile("|".join(map(re.escape, BOILERPLATE)))
+#: A line is page furniture if it has a phrase, or a menu if it has a separator (three at least), for every so many words or fewer.
+WORDS_A_PHRASE, WORDS_A_SEPARATOR = 40, 14
+
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: A line is boilerplate if it stands between at least so many different pairs of neighbours for each document, and so many at least.
+COMMON_SHARE, COMMON_LEAST = 0.01, 20
+MOST_PAIRS = 200_000
 #: A document is rejected if more than this share of its words was in removed lines.
 MAX_REMOVED = 0.4
 
@@ -82,12 +98,12 @@ def line_fault(line: bytes, words: list[bytes]) -> str | None:
         ends = sum(w.endswith((b"!!", b"??", b"...")) for w in words)
         if 2 * ends > n:
             return "punctuation"
-    if n <= 40:
-        text = line.decode("utf-8", "replace").lower()
-        if any(text.count(s) >= 3 for s in SEPARATORS[1:]):
-            return "navigation"
-        if any(p in text for p in BOILERPLATE):
-            return "boilerplate"
+    text = line.decode("utf-8", "replace").lower()
+    if any(text.count(s) >= 3 for s in SEPARATORS[1:]) and WORDS_A_SEPARATOR * sum(text.count(s) for s in SEPARATORS[1:]) >= n:
+        return "navigation"
+    phrases = FURNITURE.findall(text)
+    if phrases and WORDS_A_PHRASE * len(phrases) >= n:
+        return "boilerplate"
     return None
 
 
@@ -105,8 +121,44 @@ def repeated_words(words: list[bytes]) -> int:
     return covered
 
 
-def judge(text: bytes | None, max_removed: float = MAX_REMOVED) -> tuple:
-    """The fields of RESULT for one text."""
+def line_hash(line: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(line.strip()) - (1 << 63)
+
+
+def neighbours(text: bytes) -> Iterator[tuple[int, int]]:
+    """(hash of a line, hash of the lines before and after it) of each line with words."""
+    hashes = [0, *(line_hash(x) for x in text.split(b"\n") if x.split()), 0]
+    for before, own, after in zip(hashes, hashes[1:], hashes[2:], strict=False):
+        yield own, hash((before, after))
+
+
+def common_lines(docs: DataFrame, text_column: str = "text", share: float = COMMON_SHARE, least: int = COMMON_LEAST) -> frozenset[int]:
+    """Hashes of the lines that count as boilerplate for where they stand."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[tuple[int, int]] = set()
+
+        def made() -> pa.RecordBatch:
+            lines, places = zip(*found, strict=True)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(lines, pa.int64()), pa.array(places, pa.int64())], names=["line", "place"])
+
+        for batch in batches:
+            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
+                if text:
+                    found.update(neighbours(text))
+                    if len(found) > MOST_PAIRS:
+                        yield made()
+        if found:
+            yield made()
+
+    pairs = docs.select(F.col(text_column).alias("text")).mapInArrow(run, "line long, place long").distinct()
+    needed = max(least, share * docs.count())
+    return frozenset(r["line"] for r in pairs.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= needed).select("line").collect())
+
+
+def judge(text: bytes | None, max_removed: float = MAX_REMOVED, common: frozenset[int] = frozenset()) -> tuple:
+    """The fields of RESULT for one text; ``common``: hashes of lines that are boilerplate wherever they stand."""
     if text is None:
         return 0, 0, 0, 0, 0, True, False, 0, "", None
     words = text.split()
@@ -125,6 +177,8 @@ def judge(text: bytes | None, max_removed: float = MAX_REMOVED) -> tuple:
         duplicates += again
         seen.add(line)
         fault = "repeated" if again and len(own) >= 3 else line_fault(line, own)
+        if not fault and common and line_hash(line) in common:
+            fault = "boilerplate"
         if fault:
             by[fault] += len(own)
             removed += len(own)
@@ -144,12 +198,12 @@ def judge(text: bytes | None, max_removed: float = MAX_REMOVED) -> tuple:
     )
 
 
-def line_rules(text: Column, max_removed: float = MAX_REMOVED, with_text: bool = True) -> Column:
+def line_rules(text: Column, max_removed: float = MAX_REMOVED, with_text: bool = True, common: frozenset[int] = frozenset()) -> Column:
     """A struct of RESULT's fields for each text; without ``with_text`` its ``clean_text`` is null."""
 
     @F.arrow_udf(RESULT)
     def run(texts: pa.Array) -> pa.Array:
-        rows = [judge(b, max_removed) for b in texts.cast(pa.large_binary()).to_pylist()]
+        rows = [judge(b, max_removed, common) for b in texts.cast(pa.large_binary()).to_pylist()]
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in RESULT.names]
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.int64(), pa.string(), pa.string()]
         arrays = [pa.array(c, k) for c, k in zip(columns[:-1], kinds, strict=False)]
@@ -161,14 +215,15 @@ def line_rules(text: Column, max_removed: float = MAX_REMOVED, with_text: bool =
 
 def judged(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: its id and all measures and the verdict."""
-    found = docs.select(F.col(id_column), line_rules(F.col(text_column), with_text=False).alias("_rules"))
+    rules = line_rules(F.col(text_column), with_text=False, common=common_lines(docs, text_column))
+    found = docs.select(F.col(id_column), rules.alias("_rules"))
     return found.select(id_column, *[F.col(f"_rules.{n}").alias(n) for n in RESULT.names if n != "clean_text"])
 
 
 def cleaned(docs: DataFrame, text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
     """The kept documents with failing lines removed; all columns as they were, ``length_column`` renewed."""
     names = docs.columns
-    kept = docs.withColumn("_voltway_rules", line_rules(F.col(text_column))).filter("_voltway_rules.kept")
+    kept = docs.withColumn("_voltway_rules", line_rules(F.col(text_column), common=common_lines(docs, text_column))).filter("_voltway_rules.kept")
     text = F.col("_voltway_rules.clean_text")
     put = {text_column: text}
     if length_column in names:
