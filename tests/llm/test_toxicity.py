@@ -33,6 +33,29 @@ def test_swaps_take_the_weight_off_neutral_mentions(spark):
     assert with_swaps.scorer()("a vile word3 thing") > 0.5 > with_swaps.scorer()("a christian word3 thing")
 
 
+def test_swapped_labelled_sentences_score_alike(spark):
+    """Whole sentences with a term swapped move their score little, and less than without the penalty."""
+    rows, labels = made()
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    neutral = {i for i, toxic in labels if not toxic}
+    own = [t for i, t in rows if t.startswith("muslim ") and i in neutral]
+
+    def furthest(model):
+        score = model.scorer()
+        return max(abs(score(t) - score(t.replace("muslim", other, 1))) for t in own for other in ("christian", "jewish", "hindu"))
+
+    regular, plain = (furthest(X.fit(docs, known, swap_penalty=p)) for p in (100.0, 0.0))
+    assert len(own) > 10 and regular < 0.05 and regular < 0.5 * plain
+
+
+def test_a_swap_keeps_what_other_words_share():
+    """A text that has both terms, or another word with the same beginning, loses only what nothing else in it has."""
+    found = X.swapped({b"muslim", b"muslims", b"word"})
+    assert {f for s in found for f in s["lost"]} <= {b"=muslim", b"=muslims", b"muslim*"} and all(b"musl*" not in s["lost"] for s in found)
+    both = [s for s in X.swapped({b"gay", b"lesbian"}) if b"=lesbian" in s["lost"]]
+    assert any(s["gained"] == [] for s in X.swapped({b"gay", b"lesbian"})) and both
+
+
 def test_one_id_with_many_rows_is_bounded(spark):
     docs = spark.createDataFrame([(7, f"text {i % 400}") for i in range(2000)] + [(i, f"own {i}") for i in range(20, 30)], "doc_id long, text string")
     labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(20, 30)], "doc_id long, toxic int")

@@ -1,12 +1,13 @@
 """Toxicity classifier with counterfactual regularisation.
 
 A logistic model over the presence of words and word beginnings. Which features
-count is chosen from their document counts among labelled training rows; the
-weights are fitted with a penalty on how far the score of a labelled text moves
-when an identity term in it is swapped for another of its kind, so a neutral
-mention of a group weighs nothing of its own. The model is linear, so a swap
-moves the score by the difference of the two terms' features and the penalty
-needs only how many training texts mention each term.
+count is chosen from their document counts among labelled training rows, all
+that are far enough from no effect. Every sampled text that mentions an identity
+term is written anew with the term swapped for each other of its kind, and the
+weights are fitted with a penalty on how far that moves the text's score, so a
+neutral mention of a group weighs nothing of its own. The model is linear, so a
+swap is known by the features that the text gains and loses; equal ones are
+counted in Spark.
 
 Fitting reads a sample of labelled rows of bounded expected size (``SAMPLE``,
 chosen by hashes of the id and the text); scoring is one pass over all texts, whole.
@@ -31,8 +32,8 @@ from voltway.llm import common
 
 #: Expected number of labelled rows that the model is fitted on, at most.
 SAMPLE = 20_000
-#: Features kept, at most; each in at least so many sampled texts, and so many standard errors from no effect.
-MOST_FEATURES, LEAST_TEXTS, LEAST_Z = 20_000, 4, 4.0
+#: A feature counts if it is in at least so many sampled texts, and so many standard errors from no effect.
+LEAST_TEXTS, LEAST_Z = 4, 4.0
 BEGINNINGS = (4, 5, 6)
 L2, SWAP_PENALTY, STEPS, RATE = 1e-4, 10.0, 500, 0.1
 
@@ -111,8 +112,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, id_column:
     return joined.withColumn("rank", rank).filter(F.col("rank") <= most).select("label", "text")
 
 
+def features_of_all(words: set[bytes]) -> set[bytes]:
+    return {f for w in words for f in features_of(w)}
+
+
+def swapped(words: set[bytes]) -> list[dict]:
+    """What a text of these words gains and loses by each swap of a term; a term's swaps weigh 1 together."""
+    before, found = features_of_all(words), []
+    for term in sorted(words & TERMS.keys()):
+        for other in TERMS[term]:
+            after = features_of_all(words - {term} | {other})
+            if after != before:
+                found.append({"gained": sorted(after - before), "lost": sorted(before - after), "weight": 1.0 / len(TERMS[term])})
+    return found
+
+
+SWAPS = pa.list_(pa.struct([("gained", pa.list_(pa.binary())), ("lost", pa.list_(pa.binary())), ("weight", pa.float64())]))
+
+
 def feature_rows(sample: DataFrame) -> DataFrame:
-    """row, label, features (words and beginnings), terms (identity terms)."""
+    """row, label, features (words and beginnings), swaps of the text's identity terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,16 +139,12 @@ def feature_rows(sample: DataFrame) -> DataFrame:
                 part = batch.slice(at, 500)
                 words = [words_of(t) for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), part.column(1),
-                        pa.array([sorted({f for w in ws for f in features_of(w)}) for ws in words], pa.list_(pa.binary())),
-                        pa.array([sorted(ws & TERMS.keys()) for ws in words], pa.list_(pa.binary())),
-                    ],
-                    names=["row", "label", "features", "terms"],
+                    [part.column(0), part.column(1), pa.array([sorted(features_of_all(ws)) for ws in words], pa.list_(pa.binary())), pa.array([swapped(ws) for ws in words], SWAPS)],
+                    names=["row", "label", "features", "swaps"],
                 )
 
     numbered = sample.select(F.monotonically_increasing_id().alias("row"), "label", "text")
-    return numbered.mapInArrow(run, "row long, label int, features array<binary>, terms array<binary>")
+    return numbered.mapInArrow(run, "row long, label int, features array<binary>, swaps array<struct<gained: array<binary>, lost: array<binary>, weight: double>>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text",
@@ -143,8 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str
     a, m, rate = F.col("a"), F.col("m"), n1 / n
     part = lambda k, share: F.when(k > 0, k * F.log(k / (m * share))).otherwise(0.0)
     z = F.sqrt(F.greatest(2 * (part(a, rate) + part(m - a, 1 - rate)), F.lit(0.0)))  # root of the likelihood ratio statistic
-    kept = counts.filter(m >= LEAST_TEXTS).withColumn("z", z).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(MOST_FEATURES)
-    names = [bytes(r["feature"]) for r in kept.select("feature").collect()]
+    kept = counts.filter(m >= LEAST_TEXTS).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
+    names = sorted(bytes(r["feature"]) for r in kept.select("feature").collect())  # bounded by the sample
     index = {f: i for i, f in enumerate(names)}
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,29 +168,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32()))], names=["label", "at"])
 
     found = rows.select("label", "features").mapInArrow(chosen, "label int, at array<int>").collect()  # bounded by the sample
-    mentions = {bytes(r["term"]): r["m"] for r in rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("m")).collect()}
-    return trained(found, names, mentions, swap_penalty)
-
-
-def swaps(index: dict[bytes, int], mentions: dict[bytes, int]) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """(features gained, features lost, texts) of each swap of a mentioned term."""
-    found = []
-    for term, texts in sorted(mentions.items()):
-        lost = np.array([index[f] for f in features_of(term) if f in index], int)
-        for other in TERMS.get(term, ()):
-            gained = np.array([index[f] for f in features_of(other) if f in index], int)
-            if len(gained) or len(lost):
-                found.append((gained, lost, texts / len(TERMS[term])))
-    return found
+    moves = rows.select(F.explode("swaps").alias("swap")).groupBy("swap.gained", "swap.lost").agg(F.sum("swap.weight").alias("texts")).collect()  # bounded by the sample
+    known = lambda fs: np.array([index[bytes(f)] for f in fs if bytes(f) in index], int)
+    pairs = [(known(r["gained"]), known(r["lost"]), r["texts"]) for r in moves]
+    return trained(found, names, [(g, l, t) for g, l, t in pairs if len(g) or len(l)], swap_penalty)
 
 
-def trained(rows: list, names: list[bytes], mentions: dict[bytes, int], swap_penalty: float) -> Model:
-    """Full-batch Adam on weighted log loss, L2 and the swap penalty."""
+def trained(rows: list, names: list[bytes], pairs: list[tuple[np.ndarray, np.ndarray, float]], swap_penalty: float) -> Model:
+    """Full-batch Adam on weighted log loss, L2 and the swap penalty over ``pairs`` (features gained, features lost, texts)."""
     y = np.array([r["label"] for r in rows], float)
     lengths = np.array([len(r["at"]) for r in rows])
     columns = np.array([i for r in rows for i in r["at"]], int)
     owner = np.repeat(np.arange(len(rows)), lengths)
-    pairs = swaps({f: i for i, f in enumerate(names)}, mentions)
     w = np.zeros(len(names) + 1)
     weight = np.where(y == 1, np.sqrt((1 - y.mean()) / y.mean()), 1.0)  # toxic rows are few
     weight /= weight.mean()
