@@ -26,6 +26,8 @@ import regex
 WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 LEADING = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 ALONE = re.compile(f"[^{WHITE}]+")
+#: Python's own white space that isn't Unicode's.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 # The pieces that the tokenizer files' pre-tokenizers keep.
 BYTE_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -47,9 +49,16 @@ LETTERS = byte_letters()
 
 def lower_cased(text: str) -> str:
     """NFC and then lower case, letter by letter."""
+    if text.isascii():
+        return text.lower()
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
+def words_alone(text: str) -> list[str]:
+    """What stands between white space."""
+    return ALONE.findall(text) if SEPARATORS.search(text) else text.split()
+
+
 def in_letters(piece: str) -> str:
     """The piece's bytes as letters."""
     if piece.isascii() and piece.isalnum():
@@ -88,7 +97,7 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.drops_white = drops_white
-        self.cut = (ALONE if drops_white else LEADING).findall
+        self.cut = words_alone if drops_white else LEADING.findall
         self.pieces_of = (WORD_PIECES if drops_white else BYTE_PIECES).findall
         self.pieces: dict[str, bytes] = {}
         self.start_generation()
