@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltway.functions import columns as C
-from voltway.operators import gold
+from voltway.operators import gold, incremental
 from voltway.operators import intervals as I
 from voltway.operators import profiling, quantiles, reconcile
 from voltway.operators import sessions as S
@@ -429,3 +429,51 @@ def publisher_confusion(w):
     p, t = F.col("publisher_excluded"), F.col("is_non_trivial")
     n = lambda x, name: F.count(F.when(x, 1)).alias(name)
     return w.sessions.groupBy("source").agg(F.count("*").alias("n"), n(p, "excluded"), n(p & t, "excluded_but_counted"), n(~p & ~t, "kept_but_trivial"))
+
+
+KEYS_EQUAL = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in ("unit", "key_start", "key_end", "key_kwh"))
+
+
+@query(f"SELECT delivery_block, count(*) AS n_keys, count(CASE WHEN EXISTS (SELECT 1 FROM keys b WHERE b.delivery_block = (SELECT max(delivery_block) FROM keys) AND {KEYS_EQUAL}) THEN 1 END) AS in_last FROM keys a GROUP BY 1".replace("FROM keys", "FROM (SELECT DISTINCT delivery_block, unit, key_start, key_end, key_kwh FROM judged WHERE source = 'alpha')"))
+def delivery_containment(w):
+    """How many natural keys of each delivery the last one holds."""
+    keys = w.rows.filter("source = 'alpha'").select("delivery_block", "key_hash").distinct()
+    newest = keys.agg(F.max("delivery_block").alias("delivery_block"))
+    last = keys.join(newest, "delivery_block").select("key_hash", F.lit(1).alias("last"))
+    return keys.join(last, "key_hash", "left").groupBy("delivery_block").agg(F.count("*").alias("n_keys"), F.count("last").alias("in_last"))
+
+
+SNAPSHOT = ("ports", "ports_source", "active_from", "active_to", "excluded_days", "low_evidence", "capacity_grain", "site_key")
+
+
+@query("SELECT station_key, CAST(ports + CASE WHEN station_key LIKE '%5' THEN 1 ELSE 0 END AS BIGINT) AS ports, site_key, excluded_days, 1 AS valid_from, CASE WHEN station_key LIKE '%5' THEN 2 END AS valid_to FROM dim WHERE station_key NOT LIKE '%7' UNION ALL SELECT station_key, CAST(ports AS BIGINT), site_key, excluded_days, 2, NULL FROM dim WHERE station_key LIKE '%5' OR station_key LIKE '%7'")
+def station_snapshot(w):
+    """Two runs of the station history: some stations have other ports in the first, some aren't there yet."""
+    first = w.dim.filter("station_key not like '%7'").select("station_key", *SNAPSHOT, F.lit(1).alias("valid_from"), F.lit(None).cast("int").alias("valid_to"))
+    first = first.withColumn("ports", F.col("ports") + F.col("station_key").like("%5").cast("int"))
+    found = incremental.scd2_step(first, w.dim.select("station_key", *SNAPSHOT, F.lit(2).alias("as_of")), "station_key", list(SNAPSHOT))
+    return found.select("station_key", "ports", "site_key", "excluded_days", "valid_from", "valid_to")
+
+
+@query("SELECT source, family, count(*) AS raw_rows, count(CASE WHEN len(reasons) = 0 THEN 1 END) AS accepted, count(CASE WHEN is_nonexistent THEN 1 END) AS nonexistent, count(CASE WHEN len(reasons) = 0 AND is_ambiguous THEN 1 END) AS ambiguous, count(CASE WHEN len(reasons) = 0 AND contains(station_key, '/unknown/') THEN 1 END) AS unknown_station, round(coalesce(sum(CASE WHEN len(reasons) = 0 AND contains(station_key, '/unknown/') THEN energy_kwh END) / nullif(sum(CASE WHEN len(reasons) = 0 THEN energy_kwh END), 0), 0), 6) AS unknown_kwh_share FROM judged GROUP BY 1, 2")
+def silver_summary(w):
+    """Per file: rows, accepted rows, clock changes and what unknown stations hold."""
+    ok, unknown = F.col("primary_reason").isNull(), F.col("station_key").contains("/unknown/")
+    n = lambda p, name: F.count(F.when(p, 1)).alias(name)
+    share = F.sum(F.when(ok & unknown, F.col("energy_kwh"))) / F.nullif(F.sum(F.when(ok, F.col("energy_kwh"))), F.lit(0.0))
+    return w.rows.groupBy("source", "family").agg(
+        F.count("*").alias("raw_rows"), n(ok, "accepted"), n(F.col("is_nonexistent"), "nonexistent"), n(ok & F.col("is_ambiguous"), "ambiguous"), n(ok & unknown, "unknown_station"),
+        F.round(F.coalesce(share, F.lit(0.0)), 6).alias("unknown_kwh_share"),
+    )
+
+
+@query("SELECT source, count(*) AS sessions, CAST(epoch(min(start_local)) AS BIGINT) AS first_start, CAST(epoch(max(start_local)) AS BIGINT) AS last_start, count(DISTINCT station_key) AS stations, count(DISTINCT CAST(start_local AS DATE)) AS days, count(DISTINCT port_id) AS ports, count(charging_minutes) AS with_charging, count(connected_minutes) AS with_connected FROM sessions GROUP BY 1")
+def source_coverage(w):
+    """What each source covers, and which durations it publishes; rows are combined by station, port and date first."""
+    per = w.fact.groupBy("source", "station_key", "port_id", F.to_date("start_local").alias("day")).agg(
+        F.count("*").alias("n"), F.min("start_local").alias("a"), F.max("start_local").alias("b"), F.count("charging_minutes").alias("c"), F.count("connected_minutes").alias("d")
+    )
+    return per.groupBy("source").agg(
+        F.sum("n").alias("sessions"), epoch(F.min("a")).alias("first_start"), epoch(F.max("b")).alias("last_start"), F.count_distinct("station_key").alias("stations"),
+        F.count_distinct("day").alias("days"), F.count_distinct("port_id").alias("ports"), F.sum("c").alias("with_charging"), F.sum("d").alias("with_connected"),
+    )
