@@ -217,10 +217,15 @@ def full_occupancy_idle(line: DataFrame, ports: DataFrame) -> DataFrame:
 
 
 def idle_by_definition(line: DataFrame, ports: DataFrame) -> DataFrame:
-    """station_key, definition, hour, seconds, blocked_s for each port definition of ``ports`` (station_key, definition, ports)."""
-    windows = blocking_windows(sweep(line), ports)
-    hours = by_hours(idle_intervals(line)).join(ports.select("station_key", "definition"), "station_key")
-    return blocked(hours, windows, ["station_key", "definition"], ["hour"])
+    """station_key, definition, hour, seconds, blocked_s for each port definition of ``ports`` (station_key, definition, ports).
+
+    Definitions that give a station the same number of ports share the work.
+    """
+    counts = ports.select("station_key", "ports", F.col("ports").alias("count")).distinct()
+    windows = blocking_windows(sweep(line), counts)
+    hours = by_hours(idle_intervals(line)).join(counts.select("station_key", "count"), "station_key")
+    found = blocked(hours, windows, ["station_key", "count"], ["hour"])
+    return ports.select("station_key", "definition", F.col("ports").alias("count")).join(found, ["station_key", "count"])
 
 
 def trailing_ports(levels: DataFrame, days: DataFrame, window_days: int = 90) -> DataFrame:
