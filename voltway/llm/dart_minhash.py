@@ -45,7 +45,7 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 #: Darts per set that are looked for at first.
 DARTS = COORDINATES * (np.log(COORDINATES) + 2.5)
-MOST_ELEMENTS = 200_000
+MOST_ELEMENTS = 120_000
 #: Buckets of at most so many members are compared as pairs, larger ones in cells of about so many members.
 SMALL, MINORS_A_CELL, OTHERS_A_CELL = 8, 256, 1024
 SIGNED = "doc_id long, key binary, weight long, buckets array<long>"

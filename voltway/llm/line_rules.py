@@ -64,7 +64,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A line is boilerplate if it stands between at least so many different pairs of neighbours for each document, and so many at least.
 COMMON_SHARE, COMMON_LEAST = 0.01, 20
-MOST_PAIRS = 200_000
+MOST_PAIRS = 60_000
 #: A document is rejected if more than this share of its words was in removed lines.
 MAX_REMOVED = 0.4
 

@@ -35,6 +35,8 @@ SAMPLE = 20_000
 #: A feature counts if it is in at least so many sampled texts, and so many standard errors from no effect.
 LEAST_TEXTS, LEAST_Z = 4, 4.0
 BEGINNINGS = (4, 5, 6)
+#: Words whose features a worker remembers.
+MOST_WORDS = 150_000
 L2, SWAP_PENALTY, STEPS, RATE = 1e-4, 10.0, 500, 0.1
 
 # Identity terms that may be swapped for each other, by kind.
@@ -82,7 +84,7 @@ class Model:
             if self.bias is None:
                 return 0.0
             found = set()
-            if len(known) > 500_000:
+            if len(known) > MOST_WORDS:
                 known.clear()
             for word in words_of(text):
                 hits = known.get(word)

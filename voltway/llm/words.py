@@ -15,7 +15,7 @@ def word_hash(word: bytes) -> int:
 class WordHashes(dict):
     """word -> hash, made when first asked for; emptied by ``of`` beyond ``most`` words."""
 
-    most = 400_000
+    most = 250_000
 
     def __missing__(self, word: bytes) -> int:
         found = self[word] = word_hash(word)
