@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import common, dart_minhash, hmm_lm, host_trust, license_scan, line_rules, multiprobe, packing, token_files, toxicity, trie_bpe
+from voltway.llm import common, dart_minhash, hmm_lm, host_trust, license_scan, line_rules, multiprobe, packing, quality_ftrl, token_files, toxicity, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,8 +64,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every text of documents."""
+    return quality_ftrl.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hmm_lm, op2_toxicity, op3_dart_minhash, op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing)}
+    return {f.__name__: f for f in (op1_hmm_lm, op2_toxicity, op3_dart_minhash, op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing, op11_quality_ftrl)}
 
 
 def oracle_sql() -> dict[str, str]:
