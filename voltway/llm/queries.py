@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltway.llm import common, dart_minhash, hilbert_codes, hmm_lm, host_trust, license_scan, line_rules, multiprobe, packing, quality_ftrl, token_files, toxicity, trie_bpe
+from voltway.llm import common, dart_minhash, hilbert_codes, hmm_lm, host_trust, license_scan, line_rules, multiprobe, packing, prefix_trie, quality_ftrl, token_files, toxicity, trie_bpe
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,14 +69,19 @@ def op11_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ftrl.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_hilbert_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product codes of every vector of embeddings."""
     return hilbert_codes.compressed(table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hmm_lm, op2_toxicity, op3_dart_minhash, op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing, op11_quality_ftrl, op13_hilbert_codes)}
+    return {f.__name__: f for f in (op1_hmm_lm, op2_toxicity, op3_dart_minhash, op4_host_trust, op5_token_files, op6_license_scan, op7_trie_bpe, op8_line_rules, op9_multiprobe, op10_packing, op11_quality_ftrl, op12_prefix_trie, op13_hilbert_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_hilbert_codes": hilbert_codes.compressed_sql()}
+    return {"op12_prefix_trie": prefix_trie.trie_sql(), "op13_hilbert_codes": hilbert_codes.compressed_sql()}
