@@ -43,10 +43,10 @@ from voltway.llm.words import WordHashes, rolling
 #: Expected number of labelled rows that the model is fitted on, at most.
 SAMPLE = 20_000
 #: Buckets of hashed n-grams, as a power of two.
-BITS = 18
+BITS = 17
 BUCKETS = 1 << BITS
 NGRAMS = (1, 2)
-SHARDS, PASSES = 8, 6
+SHARDS, PASSES = 4, 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.25, 0.1
 
 #: Words, and runs of marks between them; bytes of letters beyond ASCII count as letters.
