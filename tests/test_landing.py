@@ -23,7 +23,7 @@ def test_landing_states(spark, tmp_path):
     files, root = {}, tmp_path / "landed"
     raw = put(tmp_path, "sessions.csv", 'id,EnergySupplied,note\n1,2.5,"a, b"\n2,NA,\n')
     assert landing.land_file(spark, raw, CONTRACT, root, files).outcome == "info"
-    back = landing.bronze(spark, str(root / "demo"))
+    back = landing.bronze(spark, files, "demo")
     assert [r.asDict()["note"] for r in back.orderBy("id").collect()] == ["a, b", None]
     assert files["demo/sessions.csv"]["row_count"] == 2
     assert landing.land_file(spark, raw, CONTRACT, root, files).findings[0].code == "unchanged"
@@ -35,8 +35,8 @@ def test_landing_states(spark, tmp_path):
     put(tmp_path, "sessions.csv", "id,power,note\n1,2,x\n")
     broken = landing.land_file(spark, raw, CONTRACT, root, files)
     assert broken.codes == ["missing_required"] and landing.QUARANTINED in files["demo/sessions.csv"]["landed_path"]
-    landing.write_manifest(tmp_path / "manifest.json", files)
-    assert landing.manifest_table(spark, str(tmp_path / "manifest.json")).count() == 0
+    log = landing.manifest_log(spark, tmp_path)
+    assert log.commit(1, {"files": files}) and landing.manifest_table(spark, log.path(1)).count() == 0
 
     put(tmp_path, "sessions.csv", "id,energy,note\n1,abc,x\n")
     assert landing.land_file(spark, raw, CONTRACT, root, files).codes == ["retyped_required"]
@@ -72,6 +72,8 @@ def test_export_and_schema_check(spark, tmp_path):
 def test_reconciling():
     assert reconcile.classify(0, 5, "count") == "ok" and reconcile.classify(1, 5, "count") == "blocking"
     assert reconcile.classify(1e-7, 10, "kwh") == "non_blocking" and reconcile.classify(1, 10, "kwh") == "blocking"
+    assert reconcile.differences({"n": 2_000_000, "x": 2.0}, {"n": 1_999_999, "x": 2}) == ["n"]
+    assert reconcile.run_status(True, True, False, False) == reconcile.run_status(False, False, True, True) == "regression"
     assert reconcile.differences({"a": 1.0, "b": {"c": 2}}, {"a": 1.0 + 1e-9, "b": {"c": 3}}) == ["b.c"]
     assert reconcile.run_status(False, True, True, False) == "upstream_changed"
 
@@ -104,7 +106,7 @@ def test_land_source_tells_of_every_file(spark, tmp_path):
     drifts = landing.land_source(spark, folder, CONTRACT, tmp_path / "landed", files)
     told = contracts.drift_record([("demo", d) for d in drifts], "run")
     assert [f["outcome"] for f in told["files"]] == ["ok", "quarantine", "warn"] and told["summary"]["quarantined_files"] == ["demo/b_other.csv"]
-    assert landing.bronze(spark, str(tmp_path / "landed" / "demo")).count() == 2
+    assert landing.bronze(spark, files, "demo").count() == 2
 
 
 def test_declared_contracts_choose_families(spark):

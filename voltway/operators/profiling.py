@@ -28,18 +28,18 @@ SHARE = 0.99
 SAMPLES = 5
 
 
-def values(df: DataFrame) -> DataFrame:
-    """name, value (trimmed text; null for nulls and blanks), n, raw_null: how often each value of each column occurs."""
-    each = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("v")) for c in df.columns)))
-    long = df.select(each.alias("x")).select("x.name", F.nullif(F.trim("x.v"), F.lit("")).alias("value"), F.col("x.v").isNull().alias("raw_null"))
-    return long.groupBy("name", "value", "raw_null").agg(F.count("*").alias("n"))
+def values(df: DataFrame, *keys: str) -> DataFrame:
+    """keys, name, value (trimmed text; null for nulls and blanks), n, raw_null: how often each value of each other column occurs."""
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("v")) for c in df.columns if c not in keys)))
+    long = df.select(*keys, each.alias("x")).select(*keys, "x.name", F.nullif(F.trim("x.v"), F.lit("")).alias("value"), F.col("x.v").isNull().alias("raw_null"))
+    return long.groupBy(*keys, "name", "value", "raw_null").agg(F.count("*").alias("n"))
 
 
-def inferred(counted: DataFrame) -> DataFrame:
-    """name, type, pattern from ``values``: the first shape that at least SHARE of a column's non-blank texts have; ``empty`` without any."""
+def inferred(counted: DataFrame, *keys: str) -> DataFrame:
+    """keys, name, type, pattern, n_rows from ``values``: the first shape that at least SHARE of a column's non-blank texts have; ``empty`` without any."""
     there, n = F.col("value").isNotNull(), F.col("n")
     shares = [F.sum(F.when(F.col("value").rlike(p), n).otherwise(0)).alias(f"p{i}") for i, (_, _, p) in enumerate(SHAPES)]
-    totals = counted.groupBy("name").agg(F.sum(F.when(there, n).otherwise(0)).alias("filled"), *shares)
+    totals = counted.groupBy(*keys, "name").agg(F.sum("n").alias("n_rows"), F.sum(F.when(there, n).otherwise(0)).alias("filled"), *shares)
 
     def pick(give, otherwise: str | None) -> Column:
         found = F.lit(otherwise)
@@ -48,13 +48,13 @@ def inferred(counted: DataFrame) -> DataFrame:
         return found
 
     empty = F.col("filled") == 0
-    return totals.select("name", F.when(empty, "empty").otherwise(pick(lambda s: s[0], "text")).alias("type"), F.when(~empty, pick(lambda s: s[1], None)).alias("pattern"))
+    return totals.select(*keys, "name", F.when(empty, "empty").otherwise(pick(lambda s: s[0], "text")).alias("type"), F.when(~empty, pick(lambda s: s[1], None)).alias("pattern"), "n_rows")
 
 
 def infer_types(df: DataFrame) -> DataFrame:
     """name, type, pattern of every column; a row a column also of an empty table."""
     names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "name string")
-    return names.join(inferred(values(df)), "name", "left").withColumn("type", F.coalesce("type", F.lit("empty")))
+    return names.join(inferred(values(df)).drop("n_rows"), "name", "left").withColumn("type", F.coalesce("type", F.lit("empty")))
 
 
 def field(value: Column, i: int) -> Column:
@@ -93,7 +93,7 @@ def profile(df: DataFrame) -> DataFrame:
     since 1970 for dates; null otherwise. Samples are the first texts in order.
     """
     counted = values(df)
-    kinds = inferred(counted)
+    kinds = inferred(counted).drop("n_rows")
     v, n = F.col("value"), F.col("n")
     first, second = F.sum(F.when(field(v, 1) > 12, n).otherwise(0)), F.sum(F.when(field(v, 2) > 12, n).otherwise(0))
     slashes = counted.groupBy("name").agg(first.alias("first_over_12"), second.alias("second_over_12"), F.count(field(v, 1)).alias("slashed"))
@@ -133,8 +133,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def max_concurrency(df: DataFrame, key: str, start: str, end: str, unique: str, day: str = "start_day") -> DataFrame:
-    """The most intervals that run at once for each key."""
-    return sweep(df, key, start, end, unique, day).groupBy(key).agg(F.max("level").alias("most"))
+    """The most intervals that run at once for each key; those without an end, or that end before they start, don't count."""
+    whole = df.filter(F.col(key).isNotNull() & (F.col(end) >= F.col(start)))
+    return sweep(whole, key, start, end, unique, day).groupBy(key).agg(F.max("level").alias("most"))
 
 
 def transition_gaps(sessions: DataFrame, transitions: tuple[tuple[str, str], ...], most: int = 4) -> DataFrame:

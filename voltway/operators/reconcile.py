@@ -19,18 +19,19 @@ def classify(residual: float, reference: float, kind: str) -> str:
 
 
 def differences(old: dict, new: dict, path: str = "") -> list[str]:
-    """Paths whose values differ; numbers to the tolerance."""
+    """Paths whose values differ: counts (integers) at all, measures beyond the tolerance."""
     if isinstance(old, dict) and isinstance(new, dict):
         return [d for k in sorted(old.keys() | new.keys()) for d in differences(old.get(k), new.get(k), f"{path}.{k}" if path else str(k))]
-    if isinstance(old, float | int) and isinstance(new, float | int) and not isinstance(old, bool):
+    numbers = all(isinstance(x, float | int) and not isinstance(x, bool) for x in (old, new))
+    if numbers and any(isinstance(x, float) for x in (old, new)):
         return [] if abs(old - new) <= TOLERANCE * max(abs(old), abs(new), 1.0) else [path]
     return [] if old == new else [path]
 
 
 def run_status(blocking: bool, inputs_changed: bool, outputs_changed: bool, source_problem: bool) -> str:
-    """The most important thing that a rerun shows."""
+    """What a rerun shows: a blocking reconciliation counts as a regression, whatever came in."""
     if blocking:
-        return "blocking"
+        return "regression"
     if inputs_changed:
         return "upstream_changed"
     if outputs_changed:

@@ -66,7 +66,7 @@ def published_beta(events: DataFrame) -> DataFrame:
     text = rows.selectExpr(
         "object_id", "blank", "concat('Garage ', cast(user_id % 25 as string)) as station_name", "event_type as address",
         "concat(date_format(started, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00') as start_text",
-        f"case when event_id % 61 = 0 then '7 min' else {HMS.format('charged_s')} end as charging_text", "cast(energy as string) as energy_text",
+        f"case when event_id % 244 = 0 then '7 min' else {HMS.format('charged_s')} end as charging_text", "cast(energy as string) as energy_text",
     )
     return _blanked(text, "object_id")
 
@@ -106,11 +106,16 @@ def delivery_blocks(rows: DataFrame, position: str = "file_row", row_id: str = "
     return dealt.withColumn("_within", within).join(bases, "_range").withColumn("delivery_block", F.col("_within") + F.col("_base") - 1).drop("_range", "_within", "_base")
 
 
+def given(raw: DataFrame, name: str, otherwise: Column) -> Column:
+    """A column that landed rows bring along, else what stands for it."""
+    return (F.col(name) if name in raw.columns else otherwise).alias(name)
+
+
 def typed_alpha(raw: DataFrame) -> DataFrame:
     c = F.col
     iso = lambda n: c(n).rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z")
     return delivery_blocks(raw).select(
-        "object_id", F.lit("alpha").alias("source"), F.lit("alpha").alias("family"), F.lit("alpha").alias("source_file"), F.lit(ZONES["alpha"]).alias("zone"),
+        "object_id", F.lit("alpha").alias("source"), F.lit("alpha").alias("family"), given(raw, "source_file", F.lit("alpha")), F.lit(ZONES["alpha"]).alias("zone"),
         c("delivery_block").cast("long").alias("delivery_block"), (-c("delivery_block")).cast("double").alias("order_1"), (-c("file_row")).cast("double").alias("order_2"),
         F.concat(F.lit("alpha/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), F.lit(None).cast("string").alias("port_id"),
         C.parse_us_mixed("start_text").alias("start_local"), C.parse_us_mixed("end_text").alias("end_local"), F.lit(None).cast("timestamp").alias("start_utc_given"),
@@ -118,7 +123,7 @@ def typed_alpha(raw: DataFrame) -> DataFrame:
         (c("station_name").isNull() & c("start_text").isNull() & c("end_text").isNull() & c("energy_text").isNull() & c("file_row").isNull()).alias("is_blank"),
         F.when(iso("start_text") & iso("end_text"), 1).otherwise(60).alias("precision_seconds"),
         C.hms_to_minutes("charging_text").alias("charging_minutes"), C.hms_to_minutes("total_text").alias("reported_minutes"), C.to_number("energy_text").alias("energy_kwh"),
-        C.row_hash(F.lit("alpha"), c("station_name"), c("address"), c("start_text"), c("end_text"), c("charging_text"), c("total_text"), c("energy_text")).alias("row_hash"),
+        given(raw, "row_hash", C.row_hash(F.lit("alpha"), c("station_name"), c("address"), c("start_text"), c("end_text"), c("charging_text"), c("total_text"), c("energy_text"))),
         C.natural_key_hash(c("station_name"), F.date_trunc("minute", C.parse_us_mixed("start_text")), F.date_trunc("minute", C.parse_us_mixed("end_text")), C.to_number("energy_text")).alias("key_hash"),
     )
 
@@ -128,14 +133,14 @@ def typed_beta(raw: DataFrame) -> DataFrame:
     instant = F.try_to_timestamp(F.regexp_replace("start_text", r"\+00:00$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     charging = C.hms_to_minutes("charging_text")
     return raw.select(
-        "object_id", F.lit("beta").alias("source"), F.lit("beta").alias("family"), F.lit("beta").alias("source_file"), F.lit(ZONES["beta"]).alias("zone"),
+        "object_id", F.lit("beta").alias("source"), F.lit("beta").alias("family"), given(raw, "source_file", F.lit("beta")), F.lit(ZONES["beta"]).alias("zone"),
         F.lit(None).cast("long").alias("delivery_block"), (-charging).alias("order_1"), F.lit(None).cast("double").alias("order_2"),
         F.concat(F.lit("beta/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), F.lit(None).cast("string").alias("port_id"),
         C.utc_to_local(instant, ZONES["beta"]).alias("start_local"), F.lit(None).cast("timestamp").alias("end_local"), instant.alias("start_utc_given"),
         F.lit(False).alias("has_end"), F.lit(False).alias("is_end_sentinel"),
         (c("station_name").isNull() & c("start_text").isNull() & c("charging_text").isNull() & c("energy_text").isNull()).alias("is_blank"),
         F.lit(1).alias("precision_seconds"), charging.alias("charging_minutes"), F.lit(None).cast("double").alias("reported_minutes"), C.to_number("energy_text").alias("energy_kwh"),
-        C.row_hash(F.lit("beta"), c("station_name"), c("address"), c("start_text"), c("charging_text"), c("energy_text")).alias("row_hash"),
+        given(raw, "row_hash", C.row_hash(F.lit("beta"), c("station_name"), c("address"), c("start_text"), c("charging_text"), c("energy_text"))),
         C.natural_key_hash(c("station_name"), instant).alias("key_hash"),
     )
 
@@ -149,14 +154,14 @@ def typed_gamma(raw: DataFrame) -> DataFrame:
     name = F.nullif(C.tidy_name(na("name")), F.lit(""))
     energy, connector = C.to_number(na("energy_text")), C.leading_integer(na("connector"))
     return raw.select(
-        "object_id", F.lit("gamma").alias("source"), "family", c("family").alias("source_file"), F.lit(ZONES["gamma"]).alias("zone"),
+        "object_id", F.lit("gamma").alias("source"), "family", given(raw, "source_file", c("family")), F.lit(ZONES["gamma"]).alias("zone"),
         F.lit(None).cast("long").alias("delivery_block"), F.when(c("family").isin(*raws), 0.0).otherwise(1.0).alias("order_1"), F.lit(None).cast("double").alias("order_2"),
         F.concat(F.lit("gamma/"), F.coalesce(na("cpid"), F.concat(F.lit("unknown/"), F.coalesce(name, F.lit("<null>"))))).alias("station_key"), na("cpid").alias("station_name_raw"),
         name.alias("site_key"), connector.alias("port_id"), start.alias("start_local"), end.alias("end_local"), F.lit(None).cast("timestamp").alias("start_utc_given"),
         F.lit(True).alias("has_end"), (na("end_date").like("1970-%") | na("end_date").like("%/1970")).alias("is_end_sentinel"),
         (na("cpid").isNull() & na("start_date").isNull() & na("end_date").isNull() & na("energy_text").isNull() & na("name").isNull()).alias("is_blank"),
         F.lit(1).alias("precision_seconds"), F.lit(None).cast("double").alias("charging_minutes"), (C.to_number(na("plugged_text")) * unit).alias("reported_minutes"), energy.alias("energy_kwh"),
-        C.row_hash(F.lit("gamma"), *(c(n) for n in ("cpid", "name", "connector", "start_date", "start_time", "end_date", "end_time", "plugged_text", "energy_text"))).alias("row_hash"),
+        given(raw, "row_hash", C.row_hash(F.lit("gamma"), *(c(n) for n in ("cpid", "name", "connector", "start_date", "start_time", "end_date", "end_time", "plugged_text", "energy_text")))),
         C.natural_key_hash(na("cpid"), connector, F.date_trunc("minute", start), F.date_trunc("minute", end), energy).alias("key_hash"),
     )
 

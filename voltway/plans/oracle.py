@@ -32,7 +32,7 @@ beta AS (
   SELECT object_id, 'beta' AS source, 'beta' AS family, 'America/New_York' AS zone, NULL AS delivery_block, NULL AS file_row,
     CASE WHEN NOT blank THEN 'Garage ' || (user_id % 25) END AS unit, CASE WHEN NOT blank THEN event_type END AS site_key, CAST(NULL AS VARCHAR) AS port_id,
     CASE WHEN NOT blank THEN timezone('America/New_York', timezone('UTC', started)) END AS start_local, CAST(NULL AS TIMESTAMP) AS end_local, FALSE AS has_end, FALSE AS is_end_sentinel, 1 AS precision_seconds,
-    CASE WHEN blank OR event_id % 61 = 0 THEN NULL ELSE charged_s // 3600 * 60.0 + charged_s % 3600 // 60 + (charged_s % 60) / 60.0 END AS charging_minutes,
+    CASE WHEN blank OR event_id % 244 = 0 THEN NULL ELSE charged_s // 3600 * 60.0 + charged_s % 3600 // 60 + (charged_s % 60) / 60.0 END AS charging_minutes,
     CAST(NULL AS DOUBLE) AS reported_minutes, CASE WHEN NOT blank THEN energy END AS energy_kwh, event_id, blank, CASE WHEN NOT blank THEN started END AS given
   FROM beta_timed),
 gamma_timed AS (

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltway.operators.profiling import infer_types
+from voltway.operators.profiling import infer_types, inferred, values
 
 # Declared type -> inferred types that satisfy it; text takes anything.
 COMPATIBLE = {
@@ -98,24 +98,52 @@ def column_finding(spec: Column, present: bool, inferred: str | None) -> Finding
     return next((Finding(code, strict if spec.required else mild, spec.name) for code, holds, strict, mild in cases if holds), None)
 
 
+def without_tokens(df: DataFrame, family: Family, *keys: str) -> DataFrame:
+    """The family's columns that are there, its tokens for nothing as null."""
+    known = [c.name for c in family.columns if c.name in df.columns]
+    plain = lambda n: F.when(~F.col(f"`{n}`").isin(list(family.null_tokens)), F.col(f"`{n}`")) if family.null_tokens else F.col(f"`{n}`")
+    return df.select(*keys, *(plain(n).alias(n) for n in known))
+
+
+def departures(family: Family, names: list[str], types: dict[str, str], empty: bool) -> list[Finding]:
+    """How a file of these column names and inferred types departs from its family."""
+    findings = [Finding("empty_file", "quarantine")] if empty else []
+    found = (column_finding(spec, spec.name in names, None if empty else types.get(spec.name)) for spec in family.columns)
+    findings += [f for f in found if f]
+    return findings + [Finding("unknown_column", "warn", c) for c in names if c not in {spec.name for spec in family.columns}]
+
+
 def check_file(df: DataFrame, contract: Contract, file_name: str) -> tuple[DataFrame, Drift]:
     """The frame under its contract's names, and how it departs from the contract; types come from one aggregation."""
     family = contract.family(file_name)
     if family is None:
         return df, Drift(file_name, [Finding("unknown_family", "quarantine")])
     df, findings = apply_aliases(df, family)
-    known = [c.name for c in family.columns if c.name in df.columns]
-    empty = df.limit(1).isEmpty()
-    types: dict[str, str] = {}
-    if empty:
-        findings.append(Finding("empty_file", "quarantine"))
-    elif known:
-        plain = lambda n: F.when(~F.col(f"`{n}`").isin(list(family.null_tokens)), F.col(f"`{n}`")) if family.null_tokens else F.col(f"`{n}`")
-        types = {r["name"]: r["type"] for r in infer_types(df.select(*(plain(n).alias(n) for n in known))).collect()}  # a row a column
-    found = (column_finding(spec, spec.name in known, types.get(spec.name)) for spec in family.columns)
-    findings += [f for f in found if f]
-    findings += [Finding("unknown_column", "warn", c) for c in df.columns if c not in {spec.name for spec in family.columns}]
-    return df, Drift(file_name, findings)
+    plain, empty = without_tokens(df, family), df.limit(1).isEmpty()
+    types = {r["name"]: r["type"] for r in infer_types(plain).collect()} if plain.columns and not empty else {}  # a row a column
+    return df, Drift(file_name, findings + departures(family, df.columns, types, empty))
+
+
+def check_files(df: DataFrame, contract: Contract, file_names: list[str], key: str) -> tuple[DataFrame, dict[str, Drift], dict[str, int]]:
+    """``check_file`` for many files of one family and header at once: one aggregation over all of them.
+
+    ``key`` is the column that names a row's file. Also returns each file's rows.
+    """
+    family = contract.family(file_names[0])
+    if family is None:
+        rows = {r[key]: r["n"] for r in df.groupBy(key).agg(F.count("*").alias("n")).collect()}  # a row a file
+        return df, {n: Drift(n, [Finding("unknown_family", "quarantine")]) for n in file_names}, rows
+    df, findings = apply_aliases(df, family)
+    names = [c for c in df.columns if c != key]
+    plain = without_tokens(df, family, key)
+    rows, types = {}, {}
+    if len(plain.columns) > 1:
+        for r in inferred(values(plain, key), key).collect():  # a row a file and column
+            rows[r[key]] = r["n_rows"]
+            types.setdefault(r[key], {})[r["name"]] = r["type"]
+    else:
+        rows = {r[key]: r["n"] for r in df.groupBy(key).agg(F.count("*").alias("n")).collect()}
+    return df, {n: Drift(n, [*findings, *departures(family, names, types.get(n, {}), not rows.get(n))]) for n in file_names}, rows
 
 
 def drift_record(drifts: list[tuple[str, Drift]], run_id: str) -> dict:

@@ -9,6 +9,7 @@ executors' memory.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from voltway.operators import gold
 from voltway.operators import intervals as I
 from voltway.operators import sessions as S
+from voltway.sources.files import hadoop_path
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,12 +36,6 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    """A path of Hadoop's and its file system, as Spark's writers see it."""
-    own = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return own, own.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def version(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files under a path."""
     own, system = hadoop_path(spark, path)
@@ -138,23 +134,26 @@ class Warehouse:
         system.delete(path, True)
 
 
-_OPEN: dict[str, tuple[tuple, Warehouse]] = {}
+_OPEN: dict[tuple, Warehouse] = {}
 
 
 def opened(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The session's warehouse over ``sf_dir``'s events: one at a time, built anew when the files or the session change."""
+    """The session's warehouse over ``sf_dir``'s events, a new one for each version of the files.
+
+    A table is written by the first call that needs it. Frames that were returned
+    earlier stay readable until the session ends, whatever is opened since.
+    """
     path = f"{sf_dir}/events.parquet"
-    key = (spark.sparkContext.applicationId, version(spark, path))
-    known = _OPEN.get(sf_dir)
-    if known is None or known[0] != key:
-        close(spark)
-        _OPEN[sf_dir] = key, Warehouse(spark, spark.read.parquet(path))
-    return _OPEN[sf_dir][1]
+    key = (spark.sparkContext.applicationId, sf_dir, version(spark, path))
+    if key not in _OPEN:
+        if not _OPEN:
+            atexit.register(lambda: close(spark))
+        _OPEN[key] = Warehouse(spark, spark.read.parquet(path))
+    return _OPEN[key]
 
 
 def close(spark: SparkSession) -> None:
-    """Forget what is open; tables of this session are deleted."""
-    for (application, _), own in _OPEN.values():
-        if application == spark.sparkContext.applicationId:
-            own.drop()
-    _OPEN.clear()
+    """Delete this session's tables: nothing reads them any more."""
+    own = [k for k in _OPEN if k[0] == spark.sparkContext.applicationId] if spark.sparkContext._jsc is not None else []
+    for key in own:
+        _OPEN.pop(key).drop()
