@@ -49,10 +49,10 @@ def test_full_occupancy_equals_brute_force(spark):
     rng = random.Random(9)
     rows = [("a", i, float(s := rng.randrange(3) * I.SPAN + rng.randrange(2000) * 10), float(s + 600 * (n := rng.randrange(1, 9))), float(10 * rng.randrange(n + 1)), "x") for i in range(80)]
     line = line_of(spark, rows)
-    ports = spark.createDataFrame([("a", f"p{n}", n) for n in (1, 3, 5)], "station_key string, definition string, ports int")
+    ports = spark.createDataFrame([("a", f"p{n}", n) for n in (1, 3, 5, 10)], "station_key string, definition string, ports int")
     found = {(r["definition"], r["hour"]): (r["seconds"], r["blocked_s"]) for r in I.idle_by_definition(line, ports).collect()}
     level = lambda t: sum(s <= t < e for _, _, s, e, _, _ in rows)
-    for n in (1, 3, 5):
+    for n in (1, 3, 5, 10):
         idle, full = {}, {}
         for _, _, s, e, c, _ in rows:
             for t in range(int(s + 60 * c), int(e), 10):

@@ -183,3 +183,25 @@ def idle_findings(line: DataFrame, ports: DataFrame, production: DataFrame) -> D
     found = I.idle_by_definition(line, ports).join(production.select("station_key", F.col("ports").alias("own")), "station_key")
     each = found.select("*", F.explode(F.array(F.lit("all"), group)).alias("station_group"))
     return each.groupBy("definition", "station_group", "hour").agg((F.sum("seconds") / 60).alias("idle_minutes"), (F.sum("blocked_s") / 60).alias("blocked_minutes"))
+
+
+def idle_totals(line: DataFrame, ports: DataFrame, production: DataFrame) -> DataFrame:
+    """definition, station_group: idle, connected and charging minutes, idle at full occupancy, their shares and ratio, and stations.
+
+    Of sessions that end after they start; ``stations`` counts all of ``line``.
+    """
+    real = line.filter("end_utc is not null and e > s")
+    used = real.groupBy("station_key").agg(F.sum("connected_minutes").alias("connected"), F.sum("charging_minutes").alias("charging"))
+    idle = I.idle_by_definition(line, ports).groupBy("station_key", "definition").agg((F.sum("seconds") / 60).alias("idle"), (F.sum("blocked_s") / 60).alias("full"))
+    group = F.when(F.col("own") == 1, "single_port").otherwise("multi_port")
+    known = line.select("station_key").distinct().join(ports, "station_key").join(production.select("station_key", F.col("ports").alias("own")), "station_key")
+    each = known.join(used, "station_key", "left").join(idle, ["station_key", "definition"], "left").select("*", F.explode(F.array(F.lit("all"), group)).alias("station_group"))
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0.0)).alias(n)
+    # A station counts from half a second on: what is left of differences of sums is no time.
+    sums = each.groupBy("definition", "station_group").agg(*map(total, ("idle", "full", "connected", "charging")), F.count(F.when(F.col("full") > 0.5 / 60, 1)).alias("stations_with_full_occupancy_idle"), F.count("*").alias("stations"))
+    share = lambda a, b: F.col(a) / F.nullif(F.col(b), F.lit(0.0))
+    return sums.select(
+        "definition", "station_group", F.col("idle").alias("idle_minutes"), F.col("full").alias("full_occupancy_idle_minutes"), F.col("connected").alias("connected_minutes"), F.col("charging").alias("charging_minutes"),
+        share("idle", "connected").alias("idle_share_of_connected"), share("full", "connected").alias("full_occupancy_idle_share_of_connected"), share("full", "idle").alias("full_occupancy_share_of_idle"),
+        F.when(F.col("full") > 0.5 / 60, share("idle", "full")).alias("idle_to_full_occupancy_ratio"), "stations_with_full_occupancy_idle", "stations",
+    )

@@ -188,44 +188,69 @@ def by_hours(intervals: DataFrame) -> DataFrame:
     )
 
 
-def blocked(intervals: DataFrame, windows: DataFrame, keys: list[str], per: list[str]) -> DataFrame:
-    """keys, per, intervals, seconds, blocked_s: their number and seconds, and those of them inside the windows of equal keys.
+def looks(intervals: DataFrame, *per: str) -> DataFrame:
+    """Both ends of each interval: station_key, per, t, sign (1 at the end, -1 at the start)."""
+    ends = F.explode(F.array(F.struct(F.col("i0").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("i1").alias("t"), F.lit(1).alias("sign"))))
+    return intervals.select("station_key", *per, ends.alias("x")).select("station_key", *per, "x.t", "x.sign")
 
-    The seconds of blocking before an instant are a running sum over windows, so
-    each interval needs two looks back in one ordered union, not a join with
-    every window. Windows of a key don't overlap.
+
+def busy_before(swept: DataFrame, looked: DataFrame, level: dict[str, Column]) -> DataFrame:
+    """``looked`` with, for each name of ``level``, how many seconds before ``t`` at least so many ran at once.
+
+    The time spent at a level up to an instant is the instant itself, if it is
+    spent there now, less the instants at which the level was entered plus those
+    at which it was left. So one ordered union of moves and looks, with running
+    sums, answers for all levels; ``level`` may depend on columns of both sides.
     """
-    none = lambda kind: F.lit(None).cast(kind)
-    kinds = dict(intervals.dtypes)
-    marks = windows.select(*keys, F.col("bs").alias("t"), F.lit(0).alias("kind"), (F.col("be") - F.col("bs")).alias("length"), F.col("be"), F.lit(0).alias("sign"), *(none(kinds[p]).alias(p) for p in per)).unionByName(
-        intervals.select(*keys, *per, F.explode(F.array(F.struct(F.col("i0").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("i1").alias("t"), F.lit(1).alias("sign")))).alias("x"))
-        .select(*keys, *per, "x.t", "x.sign", F.lit(1).alias("kind"), F.lit(0.0).alias("length"), none("double").alias("be"))
-    )
-    order = [F.col("t"), F.col("kind"), F.col("sign")]
-    looked = running(marks, keys, "t", order, {"whole": F.col("length")}, {"last_end": F.col("be")})
-    before = F.col("whole") - F.greatest(F.coalesce(F.col("last_end") - F.col("t"), F.lit(0.0)), F.lit(0.0))
-    return looked.filter("kind = 1").groupBy(*keys, *per).agg(
-        F.count(F.when(F.col("sign") == 1, 1)).alias("intervals"), F.sum(F.col("sign") * F.col("t")).alias("seconds"), F.sum(F.col("sign") * before).alias("blocked_s"),
-    )
+    entered = lambda k: F.when((F.col("d") == 1) & (F.col("level") == k), F.col("t")).when((F.col("d") == -1) & (F.col("level") == k - 1), -F.col("t")).otherwise(0.0)
+    kept = [c for c in looked.columns if c not in ("station_key", "t")]
+    moves = swept.select("station_key", "t", "d", F.lit(0).alias("kind"), *(entered(k).alias(f"_in_{n}") for n, k in level.items()))
+    asked = looked.select("station_key", "t", F.lit(0).alias("d"), F.lit(1).alias("kind"), *(F.lit(0.0).alias(f"_in_{n}") for n in level), *kept)
+    sums = {"running": F.col("d"), **{f"_since_{n}": F.col(f"_in_{n}") for n in level}}
+    found = running(moves.unionByName(asked, allowMissingColumns=True), ["station_key"], "t", [F.col("t"), F.col("kind"), F.col("d")], sums).filter("kind = 1")
+    now = lambda n, k: F.when(F.col("running") >= k, F.col("t")).otherwise(0.0) - F.col(f"_since_{n}")
+    return found.select("station_key", "t", *kept, *(now(n, k).alias(n) for n, k in level.items()))
 
 
 def full_occupancy_idle(line: DataFrame, ports: DataFrame) -> DataFrame:
     """Per station: idle seconds, and those of them while all its ports were taken."""
-    windows = blocking_windows(sweep(line), ports.select("station_key", "ports"))
-    found = blocked(idle_intervals(line), windows, ["station_key"], [])
-    return found.select("station_key", F.col("seconds").alias("idle_s"), F.col("intervals").alias("idle_sessions"), "blocked_s")
+    own = ports.select("station_key", "ports")
+    asked = looks(idle_intervals(line)).join(own, "station_key")
+    found = busy_before(sweep(line).join(own, "station_key"), asked, {"busy": F.col("ports")})
+    return found.groupBy("station_key").agg(
+        F.sum(F.col("sign") * F.col("t")).alias("idle_s"), F.count(F.when(F.col("sign") == 1, 1)).alias("idle_sessions"), F.sum(F.col("sign") * F.col("busy")).alias("blocked_s")
+    )
+
+
+def idle_by_level(line: DataFrame, levels: int = MOST_LEVELS) -> DataFrame:
+    """station_key, hour, seconds, busy_1 .. busy_n: idle seconds by local hour, and those with at least so many running."""
+    names = {f"busy_{k}": F.lit(k) for k in range(1, levels + 1)}
+    found = busy_before(sweep(line), looks(by_hours(idle_intervals(line)), "hour"), names)
+    return found.groupBy("station_key", "hour").agg(F.sum(F.col("sign") * F.col("t")).alias("seconds"), *(F.sum(F.col("sign") * F.col(n)).alias(n) for n in names))
 
 
 def idle_by_definition(line: DataFrame, ports: DataFrame) -> DataFrame:
     """station_key, definition, hour, seconds, blocked_s for each port definition of ``ports`` (station_key, definition, ports).
 
-    Definitions that give a station the same number of ports share the work.
+    The time at every level comes from one sweep, so a definition is a look-up;
+    stations that some definition gives more than MOST_LEVELS ports are swept for
+    those counts by themselves.
     """
-    counts = ports.select("station_key", "ports", F.col("ports").alias("count")).distinct()
-    windows = blocking_windows(sweep(line), counts)
-    hours = by_hours(idle_intervals(line)).join(counts.select("station_key", "count"), "station_key")
-    found = blocked(hours, windows, ["station_key", "count"], ["hour"])
-    return ports.select("station_key", "definition", F.col("ports").alias("count")).join(found, ["station_key", "count"])
+    by_level = idle_by_level(line)
+    at = F.element_at(F.array(*(F.col(f"busy_{k}") for k in range(1, MOST_LEVELS + 1))), F.col("ports").cast("int"))
+    found = ports.filter(F.col("ports") <= MOST_LEVELS).join(by_level, "station_key").select("station_key", "definition", "hour", "seconds", at.alias("blocked_s"))
+    more = ports.filter(F.col("ports") > MOST_LEVELS)
+    if more.isEmpty():
+        return found
+    counts = more.select("station_key", "ports").distinct()
+    asked = looks(by_hours(idle_intervals(line)), "hour").join(counts, "station_key")
+    # A station with several such counts is swept once for each: they are keys of their own.
+    key = F.concat_ws("|", "ports", "station_key")
+    swept = sweep(line).join(counts, "station_key").withColumn("station_key", key)
+    each = busy_before(swept, asked.withColumn("station_key", key), {"busy": F.col("ports")})
+    sums = each.groupBy("station_key", "hour").agg(F.sum(F.col("sign") * F.col("t")).alias("seconds"), F.sum(F.col("sign") * F.col("busy")).alias("blocked_s"))
+    large = more.withColumn("_key", key).join(sums.withColumnRenamed("station_key", "_key"), "_key").select(*found.columns)
+    return found.unionByName(large)
 
 
 def trailing_ports(levels: DataFrame, days: DataFrame, window_days: int = 90) -> DataFrame:

@@ -18,6 +18,8 @@ ZONES = {"alpha": "America/Denver", "beta": "America/New_York", "gamma": "Europe
 HMS = "concat(cast({0} div 3600 as string), ':', lpad(cast(({0} % 3600) div 60 as string), 2, '0'), ':', lpad(cast({0} % 60 as string), 2, '0'))"
 #: Rows of a file that are numbered in one task.
 RANGE = 65_536
+#: Keys whose rows are told from their first by broadcast: the commonest, a row each.
+HOT_KEYS = 1000
 #: What comes first among equal rows or equal natural keys; nulls last.
 ORDER = ("order_1", "order_2", "source_file", "row_hash", "object_id")
 
@@ -96,14 +98,19 @@ def delivery_blocks(rows: DataFrame, position: str = "file_row", row_id: str = "
 
     A running count over the whole file in two phases: within ranges of the
     position, then over the ranges' totals (one row a range). Rows without a
-    position come last.
+    position come last; of those only restarts are counted one after another, the
+    rest have seen them all, so blank rows aren't one task.
     """
     restarts = F.when(F.col(row_id) == 0, 1).otherwise(0)
-    dealt = rows.withColumn("_range", F.coalesce(F.floor(F.col(position) / RANGE), F.lit((1 << 62))))
+    ordered = F.col(position).isNotNull() | F.coalesce(F.col(row_id) <= 0, F.lit(False))
+    dealt = rows.filter(ordered).withColumn("_range", F.coalesce(F.floor(F.col(position) / RANGE), F.lit((1 << 62))))
     within = F.sum(restarts).over(Window.partitionBy("_range").orderBy(F.col(position).asc_nulls_last(), F.col(row_id).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
     totals = dealt.groupBy("_range").agg(F.sum(restarts).alias("n"))
     bases = totals.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_base"))
-    return dealt.withColumn("_within", within).join(bases, "_range").withColumn("delivery_block", F.col("_within") + F.col("_base") - 1).drop("_range", "_within", "_base")
+    counted = dealt.withColumn("_within", within).join(bases, "_range").withColumn("delivery_block", F.col("_within") + F.col("_base") - 1).drop("_range", "_within", "_base")
+    whole = F.broadcast(totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_n")))  # one row
+    last = rows.filter(~ordered).join(whole, F.lit(True)).withColumn("delivery_block", F.col("_n") - 1).drop("_n")
+    return counted.unionByName(last)
 
 
 def given(raw: DataFrame, name: str, otherwise: Column) -> Column:
@@ -189,24 +196,62 @@ def ordering() -> Column:
     return F.struct(*(x for n in ORDER for x in (F.col(n).isNull(), F.col(n))))
 
 
-def repeats(df: DataFrame, key: str, flag: str) -> DataFrame:
-    """Adds ``flag``: whether the row isn't the first of its ``key`` within its source.
+def repeats(narrow: DataFrame, key: str) -> DataFrame:
+    """source, object_id of the rows that aren't the first of their ``key`` within their source.
 
     The first of each key is an aggregate, combined before its shuffle, and only
-    keys with several rows are joined back, so a key that many rows share (blank
-    rows) isn't one task and rows of single keys don't move if repeats are few.
+    keys with several rows are joined back: the ``HOT_KEYS`` commonest (blank
+    rows, say) by broadcast, so that none of them is one task, the rest by key.
     """
-    shared = df.groupBy("source", key).agg(F.min(ordering()).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    firsts = shared.select("source", key, F.col(f"first.{ORDER[-1]}").alias("_first"))
-    return df.join(firsts, ["source", key], "left").withColumn(flag, F.coalesce(F.col("_first") != F.col("object_id"), F.lit(False))).drop("_first")
+    shared = narrow.groupBy("source", key).agg(F.min(ordering()).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    firsts = shared.select("source", key, F.col(f"first.{ORDER[-1]}").alias("_first"), "n")
+    hot = F.broadcast(firsts.orderBy(F.desc("n"), "source", key).limit(HOT_KEYS).select("source", key, F.col("_first").alias("_hot")))
+    rows = narrow.select("source", key, "object_id").join(hot, ["source", key], "left")
+    # Rows of hot keys find nothing below; they are dealt by their own ids.
+    spread = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.concat(F.lit("hot "), F.col("object_id").cast("string")))
+    found = rows.withColumn("_at", spread).join(firsts.select("source", F.col(key).alias("_at"), "_first"), ["source", "_at"], "left")
+    return found.filter(F.coalesce("_hot", "_first") != F.col("object_id")).select("source", "object_id")
+
+
+def marked(df: DataFrame) -> DataFrame:
+    """Adds ``is_exact_repeat`` and ``is_key_repeat``: found on narrow rows, joined to the wide ones once, by their ids."""
+    narrow = df.select("source", "row_hash", "key_hash", *(n for n in ORDER if n != "row_hash"))
+    flags = {"is_exact_repeat": "row_hash", "is_key_repeat": "key_hash"}
+    found = None
+    for k, key in enumerate(flags.values()):
+        own = repeats(narrow, key).withColumn("_mark", F.lit(1 << k))
+        found = own if found is None else found.unionByName(own)
+    marks = found.groupBy("source", "object_id").agg(F.bit_or("_mark").alias("_mark"))
+    wide = df.join(marks, ["source", "object_id"], "left")
+    has = lambda k: F.coalesce(F.col("_mark"), F.lit(0)).bitwiseAND(F.lit(1 << k)) > 0
+    return wide.withColumns({flag: has(k) for k, flag in enumerate(flags)}).drop("_mark")
+
+
+def places(narrow: DataFrame, key: str, name: str) -> DataFrame:
+    """source, object_id, ``name``: the place of each row among those of its ``key``, in ORDER; of rows whose key others have.
+
+    Rows are dealt by ranges of (key, order), numbered within a range and then
+    over the ranges' counts, so a key that many rows share isn't one task.
+    """
+    order = [F.col(n).asc_nulls_last() for n in ORDER]
+    keys = [F.col(n).asc() for n in ("source", key)]
+    several = narrow.groupBy("source", key).agg(F.count("*").alias("_n")).filter("_n > 1").select("source", key)
+    shared = narrow.join(several, ["source", key], "left_semi")
+    dealt = shared.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.row_number().over(Window.partitionBy("_part", "source", key).orderBy(*order)))
+    counts = dealt.groupBy("source", key, "_part").agg(F.max("_at").alias("_n"))
+    earlier = Window.partitionBy("source", key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("source", key, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    found = dealt.join(bases, ["source", key, "_part"])
+    return found.select("source", "object_id", (F.col("_at") + F.col("_base")).cast("int").alias(name))
 
 
 def ranked(df: DataFrame) -> DataFrame:
-    """object_id, exact_rank, key_rank: places among equal rows and among equal natural keys."""
-    order = [F.col(n).asc_nulls_last() for n in ORDER]
+    """object_id, exact_rank, key_rank: places among equal rows and among equal natural keys; 1 where there are no others."""
     narrow = df.select("source", "key_hash", *ORDER)
-    place = lambda key: F.row_number().over(Window.partitionBy("source", key).orderBy(*order))
-    return narrow.select("object_id", place("row_hash").alias("exact_rank"), place("key_hash").alias("key_rank"))
+    found = narrow.select("source", "object_id")
+    for key, name in (("row_hash", "exact_rank"), ("key_hash", "key_rank")):
+        found = found.join(places(narrow, key, name), ["source", "object_id"], "left")
+    return found.select("object_id", *(F.coalesce(n, F.lit(1)).alias(n) for n in ("exact_rank", "key_rank")))
 
 
 def typed(events: DataFrame) -> DataFrame:
@@ -216,8 +261,7 @@ def typed(events: DataFrame) -> DataFrame:
 
 def judged(rows: DataFrame) -> DataFrame:
     """Typed rows, measured, with repeats marked, reasons, flags and the surrogate key."""
-    marked = repeats(repeats(measured(rows), "row_hash", "is_exact_repeat"), "key_hash", "is_key_repeat")
-    return rules.judged(marked).withColumn("session_sk", F.md5(F.concat_ws("|", "source", "key_hash")))
+    return rules.judged(marked(measured(rows))).withColumn("session_sk", F.md5(F.concat_ws("|", "source", "key_hash")))
 
 
 def conformed(events: DataFrame) -> DataFrame:

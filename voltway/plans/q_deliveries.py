@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltway.operators import compare
 from voltway.plans.oracle import with_tables
 from voltway.sources import deliveries, landing, warehouse
 from voltway.sources.contracts import CONTRACTS
+from voltway.sources.history import History
 from voltway.sources.store import Held, Store
 
 QUERIES, ORACLE = {}, {}
@@ -31,6 +33,34 @@ def released(spark: SparkSession, sf_dir: str) -> Held:
     return _RELEASED[key]
 
 
+_CHANGED: dict[Held, Held] = {}
+#: The events that beta's second delivery lacks.
+LACKING = "event_id % 5 = 1"
+
+
+def released_again(spark: SparkSession, sf_dir: str) -> tuple[Held, Held]:
+    """Both releases: of the first deliveries, and after beta delivered without some rows."""
+    first = released(spark, sf_dir)
+    if first not in _CHANGED:
+        root = first.store.root.removesuffix("/store")
+        deliveries.published_files(spark, spark.read.parquet(f"{sf_dir}/events.parquet").filter(f"not ({LACKING})"), f"{root}/inbox", ("beta",))
+        landing.land(spark, f"{root}/inbox", CONTRACTS["beta"], f"{root}/landed")
+        first.store.release(landing.manifest_log(spark, f"{root}/landed").latest()[1]["files"])
+        _CHANGED[first] = first.store.hold()
+    return first, _CHANGED[first]
+
+
+def query_of_two(sql: str):
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(*released_again(spark, sf_dir))
+
+        QUERIES[f.__name__], ORACLE[f.__name__] = run, sql
+        return f
+
+    return add
+
+
 def query(sql: str):
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,3 +96,59 @@ def delivered_months(held):
     """The monthly mart from string files."""
     rounded = (F.round(n, 4).alias(n) for n in ("energy_kwh", "available_minutes"))
     return held.table("gold/mart_monthly").select("source", "operator_key", "year_month", "station_days", "stations", "sessions", *rounded)
+
+
+MONTHS = "SELECT source, operator_key, strftime(day, '%Y-%m') AS year_month, CAST(sum(sessions) AS DOUBLE) AS sessions, CAST(count(*) AS DOUBLE) AS station_days, sum(energy_kwh) AS energy_kwh, sum(available_minutes) AS available_minutes FROM station_day GROUP BY 1, 2, 3"
+AFTER = with_tables(MONTHS).replace("FROM events,", f"FROM (SELECT * FROM events WHERE NOT (event_id % 3 = 1 AND {LACKING})) events,", 1)
+MEASURES = ("sessions", "station_days", "energy_kwh", "available_minutes")
+
+
+@query_of_two(f"""SELECT source, operator_key, year_month, name, round(a, 4) AS before, round(b, 4) AS after FROM (
+    SELECT source, operator_key, year_month, unnest({list(MEASURES)}) AS name, unnest([{", ".join(f"x.{n}" for n in MEASURES)}]) AS a, unnest([{", ".join(f"y.{n}" for n in MEASURES)}]) AS b
+    FROM ({with_tables(MONTHS)}) x FULL JOIN ({AFTER}) y USING (source, operator_key, year_month))
+  WHERE a IS DISTINCT FROM b AND (a IS NULL OR b IS NULL OR name IN ('sessions', 'station_days') OR abs(a - b) > 1e-6 * greatest(abs(a), abs(b), 1))""")
+def release_differences(before, after):
+    """Monthly figures that differ between two stored releases."""
+    old, new = (held.table("gold/mart_monthly") for held in (before, after))
+    found = compare.table_differences(old, new, ["source", "operator_key", "year_month"], ["sessions", "station_days"], ["energy_kwh", "available_minutes"])
+    return found.select("source", "operator_key", "year_month", "name", *(F.round(n, 4).alias(n) for n in ("before", "after")))
+
+
+@query_of_two(with_tables(f"SELECT source, 'changed' AS change, count(*) AS rows_before, count(CASE WHEN NOT ({LACKING}) THEN 1 END) AS rows_after FROM judged WHERE source = 'beta' GROUP BY 1"))
+def release_inputs(before, after):
+    """Delivered files that changed between two releases, by source."""
+    changes = compare.input_changes(before.state["inputs"], after.state["inputs"])
+    rows = before.store.spark.createDataFrame([(c["source"], c["change"], c["rows_before"], c["rows_after"]) for c in changes], "source string, change string, rows_before long, rows_after long")
+    return rows.groupBy("source", "change").agg(F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after"))
+
+
+TRACKED = ["ports", "ports_source", "active_from", "active_to", "excluded_days", "low_evidence", "capacity_grain", "site_key"]
+RUNS = """(SELECT station_key, CAST(ports + 1 AS BIGINT) AS ports, site_key, 1 AS f, 2 AS t FROM dim WHERE station_key LIKE '%5'
+  UNION ALL SELECT station_key, CAST(ports AS BIGINT), site_key, 1, CASE WHEN station_key LIKE '%2' THEN 3 END FROM dim WHERE station_key NOT LIKE '%5' AND station_key NOT LIKE '%7'
+  UNION ALL SELECT station_key, CAST(ports AS BIGINT), site_key, 2, NULL FROM dim WHERE station_key LIKE '%5' OR station_key LIKE '%7'
+  UNION ALL SELECT station_key, CAST(ports AS BIGINT), concat(site_key, '!'), 3, NULL FROM dim WHERE station_key LIKE '%2')"""
+_HISTORIES: dict[Held, History] = {}
+
+
+def history(held: Held) -> History:
+    """Three runs of the station history: ports and sites that change, stations that come late and one kind that goes."""
+    if held not in _HISTORIES:
+        dim, own = held.table("gold/dim_station"), History(held.store.spark, f"{held.store.root}/station_history", "station_key", TRACKED)
+        first = dim.filter("station_key not like '%7'").withColumn("ports", F.col("ports") + F.col("station_key").like("%5").cast("int"))
+        moved = dim.filter("station_key not like '%3'").withColumn("site_key", F.when(F.col("station_key").like("%2"), F.concat("site_key", F.lit("!"))).otherwise(F.col("site_key")))
+        for at, current in enumerate((first, dim, moved), 1):
+            own.run(current.select("station_key", *TRACKED, F.lit(at).alias("as_of")))
+        _HISTORIES[held] = own
+    return _HISTORIES[held]
+
+
+@query(f"SELECT station_key, ports, site_key, f AS valid_from, t AS valid_to, md5(station_key || '|' || f) AS scd_id FROM {RUNS}")
+def station_history(held):
+    """All versions of the stored station history after three runs."""
+    return history(held).table().select("station_key", "ports", "site_key", "valid_from", "valid_to", "scd_id")
+
+
+@query(f"SELECT station_key, ports, site_key FROM {RUNS} WHERE f <= 2 AND (t IS NULL OR t > 2)")
+def stations_as_of(held):
+    """The stations as the history had them at the second run."""
+    return history(held).as_of(2).select("station_key", "ports", "site_key")

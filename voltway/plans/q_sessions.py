@@ -267,6 +267,26 @@ def idle_findings(w):
     return found.select("definition", "station_group", "hour", F.round("idle_minutes", 3).alias("idle_minutes"), F.round("blocked_minutes", 3).alias("blocked_minutes"))
 
 
+TOTALS = FINDINGS.split("SELECT definition, g.station_group")[0] + """, per AS (
+  SELECT definition, station_key, any_value(own) AS own, sum(a) / 60 AS idle, sum(b) / 60 AS full_idle FROM (SELECT each.*, cut_station AS station_key FROM each) GROUP BY 1, 2),
+used AS (SELECT station_key, sum(connected_minutes) AS connected, sum(charging_minutes) AS charging FROM timeline WHERE end_utc IS NOT NULL AND e > s GROUP BY 1),
+stations_of AS (SELECT definition, station_key, CASE WHEN dim.ports = 1 THEN 'single_port' ELSE 'multi_port' END AS own FROM port_counts JOIN dim USING (station_key)),
+sums AS (SELECT definition, g.station_group, coalesce(sum(idle), 0) AS i, coalesce(sum(full_idle), 0) AS f, coalesce(sum(connected), 0) AS c, coalesce(sum(charging), 0) AS h, count(CASE WHEN full_idle > 0 THEN 1 END) AS k, count(*) AS n
+  FROM stations_of s LEFT JOIN used USING (station_key) LEFT JOIN (SELECT definition, station_key, idle, full_idle FROM per) USING (definition, station_key), (VALUES ('all'), ('single_port'), ('multi_port')) g(station_group)
+  WHERE g.station_group = 'all' OR g.station_group = own GROUP BY 1, 2)
+SELECT definition, station_group, round(i, 3) AS idle_minutes, round(f, 3) AS full_occupancy_idle_minutes, round(c, 3) AS connected_minutes, round(h, 3) AS charging_minutes, round(i / nullif(c, 0), 6) AS idle_share_of_connected,
+  round(f / nullif(c, 0), 6) AS full_occupancy_idle_share_of_connected, round(f / nullif(i, 0), 6) AS full_occupancy_share_of_idle, round(i / nullif(f, 0), 3) AS idle_to_full_occupancy_ratio, k AS stations_with_full_occupancy_idle, n AS stations FROM sums)"""
+TOTALS = TOTALS.replace("AS own, hour, c1 - c0", "AS own, cut.station_key AS cut_station, hour, c1 - c0")
+
+
+@query(TOTALS)
+def occupancy_findings(w):
+    """Shares of idle time, and of idle time at full occupancy, under six port counts, for all, single- and multi-port stations."""
+    ports = gold.fixed_ports(w.dim, I.days_at_level(w.levels)).filter("definition <> 'connector_ids'")
+    found = gold.idle_totals(w.line, ports, w.dim.select("station_key", "ports"))
+    return found.select(*(c if c in ("definition", "station_group") or c.startswith("stations") else F.round(c, 3 if c.endswith(("minutes", "ratio")) else 6).alias(c) for c in found.columns))
+
+
 @query("SELECT d.station_key, strftime(d.day, '%Y-%m-%d') AS day, CAST(CASE WHEN d.day > any_value(l.last) THEN 1 ELSE greatest(coalesce(max(m.level), 1), 1) END AS BIGINT) AS ports FROM spine d LEFT JOIN (SELECT station_key, max(day) AS last FROM day_max GROUP BY 1) l USING (station_key) LEFT JOIN day_max m ON m.station_key = d.station_key AND m.day <= d.day AND m.day > d.day - 90 GROUP BY 1, d.day")
 def trailing_90d_ports(w):
     found = I.trailing_ports(w.levels, I.spine(w.dim))
