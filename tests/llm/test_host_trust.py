@@ -66,6 +66,48 @@ def test_far_hosts_beside_seeds_without_links(spark):
     assert {h: many[h] for h in few} == few
 
 
+def test_rounds_do_not_grow_with_the_least_mass(spark, monkeypatch):
+    """A graph of 5,000 hosts with hubs, in slices: few rounds, and the verdicts and masses of the full series."""
+    monkeypatch.setattr(H, "SLICE", 200)
+    rng = np.random.default_rng(4)
+    n, m = 5_000, 20_000
+    source, target = (n * rng.power(0.3, m)).astype(int), rng.integers(0, n, m)
+    pairs = {(int(a), int(b)) for a, b in zip(source, target, strict=True) if a != b}
+    pairs |= {(b, a) for a, b in list(pairs)[::3]}
+    edges = spark.createDataFrame([(f"h{a}", f"h{b}", 1) for a, b in sorted(pairs)], "source string, target string, n long")
+    kinds = {"trust": rng.choice(n, 40, False), "distrust": rng.choice(n, 40, False)}
+    seeds = spark.createDataFrame([(k, f"h{i}", 1.0) for k, own in kinds.items() for i in own], "kind string, host string, mass double")
+    shares = H.common.checkpointed(H.directed_shares(edges))
+    assert shares.agg({"slice": "max"}).first()[0] > 2
+    mass, rounds = H.propagated(seeds, shares, 0.85, 0.01, 1.0)
+    a, b = np.array(sorted(pairs)).T
+    full = {}
+    for kind, own in kinds.items():
+        x, y = (a, b) if kind == "trust" else (b, a)
+        out = np.bincount(x, minlength=n)
+        move = 0.15 * np.bincount(own, minlength=n)
+        full[kind] = move.copy()
+        for _ in range(400):
+            move = 0.85 * np.bincount(y, move[x] / out[x], n)
+            full[kind] += move
+    found = {k: np.zeros(n) for k in full}
+    for r in mass.collect():
+        found[r["kind"]][int(r["host"][1:])] = r["mass"]
+    for kind in full:
+        assert ((found[kind] > 0) == (full[kind] > 0)).all() and (found[kind] >= full[kind] * 0.99 - 1e-300).all()
+    assert ((found["distrust"] > found["trust"] * (1 + H.TIE)) == (full["distrust"] > full["trust"] * (1 + H.TIE))).all()
+    assert rounds <= 100 and min(f[f > 0].min() for f in full.values()) < 1e-6
+
+
+def test_columns_of_the_operators_own_names(spark):
+    """Pages with columns named as those that the operator makes: they change nothing."""
+    rows = [(1, "http://good.org/", links("a.net")), (2, "http://a.net/", links("b.net")), (3, "http://b.net/", None), (4, "http://bad.com/de/1", None), (5, "http://s.net/", links("bad.com"))]
+    bare = H.filtered_urls(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    names = ("source", "target", "kind", "mass", "moving", "slice", "distrust", "rule")
+    more = H.filtered_urls(spark.createDataFrame([(*r, *["x"] * len(names)) for r in rows], "page_id long, url string, html string, " + ", ".join(f"{n} string" for n in names)))
+    assert sorted(map(tuple, more.collect())) == sorted(map(tuple, bare.collect())) and more.columns == bare.columns
+
+
 def test_links_with_much_space_or_long_schemes(spark):
     html = f"<a href{' ' * 20}={' ' * 30}'{'s' * 40}://A.net:80/x'>y</a><a HREF=//b.net>z</a><a href=nothing>n</a>"
     edges = H.host_edges(spark.createDataFrame([(1, "http://c.net/", html, "t", 1, "v")], SCHEMA), "url", "html")

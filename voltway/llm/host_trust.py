@@ -5,14 +5,16 @@ whose pages an allow rule fits, and distrust the same way over reversed links,
 started from hosts whose pages a block rule fits. A host whose distrust exceeds
 ``ratio`` times its trust is blocked. Everything is DataFrame operations: page
 links become host edges with their counts before anything is joined, so a hot
-host is one row per neighbour, and each round's sums are combined before their
-shuffle. Rounds end when every host that mass can reach is reached, no verdict
-can change and each host's masses are within ``tolerance`` of the full series.
+host is one row per neighbour, a hub's links are joined in slices, and each
+round's sums are combined before their shuffle. Rounds end when every host that
+mass can reach is reached, no verdict can change and each host's masses are
+within ``tolerance`` of the full series, by a bound for each host.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and is blocked; a null html has no links; links of a host to
 itself are ignored; a host that no mass reaches is allowed; repeated pages each
-get a row (and count each).
+get a row (and count each); other columns of the pages are neither read nor
+returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ from voltway.llm import common
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 TIE = 1e-9
+#: Links of a host that a task joins together.
+SLICE = 10_000
+#: Gains must have shrunk this much from window to window, at every host, before they bound what is to come.
+MOST_SHRINK = 0.95
 LINK_HOST = r"""(?i)\bhref\s*+=\s*+["']?+(?:[a-z][a-z0-9+.\-]*+:)?//([^/?#"'\s>]+)"""
 
 
@@ -92,17 +98,19 @@ def host_edges(pages: DataFrame, url_column: str, html_column: str) -> DataFrame
 
 
 def directed_shares(edges: DataFrame) -> DataFrame:
-    """kind, source, target, share, travels: forward for trust, reversed for distrust; shares of a source sum to 1.
+    """kind, source, slice, target, share, slices: forward for trust, reversed for distrust; shares of a source sum to 1.
 
-    ``travels`` says whether the target is a source itself.
+    A source's links are dealt to slices of about ``SLICE``, so a hub isn't one
+    task; ``slices`` is how many the target has as a source itself, 0 if it isn't one.
     """
     both = edges.select(F.lit("trust").alias("kind"), "source", "target", "n").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "n")
     )
-    totals = both.groupBy("kind", "source").agg(F.sum("n").alias("total"))
-    shares = both.join(totals, ["kind", "source"]).select("kind", "source", "target", (F.col("n") / F.col("total")).alias("share"))
-    onward = totals.select("kind", F.col("source").alias("target"), F.lit(True).alias("onward"))
-    return shares.join(onward, ["kind", "target"], "left").select("kind", "source", "target", "share", F.col("onward").isNotNull().alias("travels"))
+    totals = both.groupBy("kind", "source").agg(F.sum("n").alias("total"), F.ceil(F.count("*") / SLICE).cast("int").alias("own"))
+    own_slice = F.pmod(F.xxhash64("target"), F.col("own")).cast("int")
+    shares = both.join(totals, ["kind", "source"]).select("kind", "source", own_slice.alias("slice"), "target", (F.col("n") / F.col("total")).alias("share"))
+    onward = totals.select("kind", F.col("source").alias("target"), F.col("own").alias("slices"))
+    return shares.join(onward, ["kind", "target"], "left").select("kind", "source", "slice", "target", "share", F.coalesce("slices", F.lit(0)).alias("slices"))
 
 
 def exceeds(distrust: Column, trust: Column, ratio: float) -> Column:
@@ -110,66 +118,70 @@ def exceeds(distrust: Column, trust: Column, ratio: float) -> Column:
     return distrust > ratio * trust * (1 + TIE)
 
 
-def by_kind(mass: DataFrame) -> DataFrame:
-    """host, trust, distrust."""
-    return mass.groupBy("host").agg(*(F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")))
+def by_kind(mass: DataFrame, *names: str) -> DataFrame:
+    """host, trust, distrust, and ``names`` of each kind."""
+    of = lambda k, n: F.sum(F.when(F.col("kind") == k, F.col(n)).otherwise(0.0))
+    return mass.groupBy("host").agg(*(of(k, n).alias(k if n == "mass" else f"{k}_{n}") for n in ("mass", *names) for k in ("trust", "distrust")))
 
 
-def settled(state: DataFrame, damping: float, tolerance: float, ratio: float) -> bool:
-    """Whether no further round can change a verdict, nor a host's mass by more than ``tolerance`` of it.
+def settled(state: DataFrame, tolerance: float, ratio: float) -> bool:
+    """Whether no further round can change a verdict, nor any host's mass by more than ``tolerance`` of it.
 
-    What a kind's travelling mass can still add, to all its hosts together, is at
-    most ``damping / (1 - damping)`` times that mass, and nothing to hosts that the
-    kind does not reach, once a round has reached no new host.
+    What arrives follows from what arrived before by the same non-negative steps.
+    So if no host has gained more than ``shrink`` (below 1) times what it gained in
+    the window before, that holds for every later window too, and a host can gain
+    ``shrink / (1 - shrink)`` times its last gain at most: a bound for each host
+    by itself, that doesn't wait for the smallest masses of the graph.
     """
-    kinds = state.groupBy("kind").agg(F.sum("moving").alias("moving"), F.min("mass").alias("least"), F.max("fresh").alias("fresh")).collect()
-    left = {r["kind"]: (r["moving"] or 0.0) * damping / (1 - damping) for r in kinds}
-    if not any(left.values()):
+    new = F.when(F.col("gained") > 0, F.when(F.col("gained_before") > 0, F.col("gained") / F.col("gained_before")).otherwise(F.lit(float("inf"))))
+    kinds = state.groupBy("kind").agg(F.sum("moving").alias("moving"), F.max(new).alias("shrink"), F.max(F.col("gained") / F.col("mass")).alias("share")).collect()  # two rows
+    more = {"trust": 0.0, "distrust": 0.0}
+    for r in kinds:
+        if not r["moving"]:
+            continue
+        if r["shrink"] is None or r["shrink"] > MOST_SHRINK:
+            return False
+        more[r["kind"]] = r["shrink"] / (1 - r["shrink"])
+        if more[r["kind"]] * r["share"] > tolerance:
+            return False
+    if not any(more.values()):
         return True
-    if any(left[r["kind"]] and (r["fresh"] or left[r["kind"]] > tolerance * r["least"]) for r in kinds):
-        return False
     t, d = F.col("trust"), F.col("distrust")
-    more_t, more_d = F.lit(left.get("trust", 0.0)), F.lit(left.get("distrust", 0.0))
+    more_t, more_d = F.col("trust_gained") * more["trust"], F.col("distrust_gained") * more["distrust"]
     sure = exceeds(d, t + more_t, ratio) | ~exceeds(d + more_d, t, ratio) | ((more_t <= TIE / 10 * t) & (more_d <= TIE / 10 * d))
-    return by_kind(state).filter((t > 0) & (d > 0) & ~sure).isEmpty()
+    return by_kind(state, "gained").filter((t > 0) & (d > 0) & ~sure).isEmpty()
 
 
 def propagated(
     seeds: DataFrame, shares: DataFrame, damping: float, tolerance: float, ratio: float, rounds: int | None = None, step: int = 4,
-) -> DataFrame:
-    """kind, host, mass: the sum of ``damping**i`` times each seed's mass after i links, with weight 1 - damping.
+) -> tuple[DataFrame, int]:
+    """kind, host, mass: the sum of ``damping**i`` times each seed's mass after i links, with weight 1 - damping; and the rounds.
 
     Mass at hosts without links ends there. It isn't returned to the seeds: that
     would scale a kind by its seeds elsewhere, and unrelated pages could turn a
     verdict. Only mass that can still travel counts as moving. Rounds go on until
     ``settled``, or end after ``rounds`` where that is given. A checkpoint every
-    ``step`` rounds ends the lineage.
+    ``step`` rounds, a window of what ``settled`` compares, ends the lineage.
     """
-    onward = shares.select("kind", F.col("source").alias("host"), F.lit(True).alias("onward")).distinct()
-    mass = (1 - damping) * F.col("mass")
-    state = common.checkpointed(
-        seeds.join(onward, ["kind", "host"], "left").select(
-            "kind", "host", mass.alias("mass"), F.when(F.col("onward"), mass).otherwise(0.0).alias("moving"), F.lit(True).alias("fresh")
-        )
-    )
-    done = 0
-    while (rounds is None or done < rounds) and not settled(state, damping, tolerance, ratio):
+    onward = shares.groupBy("kind", F.col("source").alias("host")).agg((F.max("slice") + 1).alias("slices"))
+    mass, none = (1 - damping) * F.col("mass"), F.lit(0.0)
+    known = seeds.join(onward, ["kind", "host"], "left").withColumn("slices", F.coalesce("slices", F.lit(0)))
+    travels = lambda m: F.when(F.col("slices") > 0, m).otherwise(0.0)
+    state = common.checkpointed(known.select("kind", "host", "slices", mass.alias("mass"), travels(mass).alias("moving"), none.alias("gained"), none.alias("gained_before")))
+    by_source, done = shares.select("kind", F.col("source").alias("host"), "slice", "target", "share", F.col("slices").alias("target_slices")), 0
+    while (rounds is None or done < rounds) and not (state.filter("moving > 0").isEmpty() if not done else settled(state, tolerance, ratio)):
+        state = state.withColumn("gained_before", F.col("gained")).withColumn("gained", none)
         for _ in range(step):
-            sent = damping * F.col("moving") * F.col("share")
-            moved = (
-                state.filter("moving > 0")
-                .join(shares.withColumnRenamed("source", "host"), ["kind", "host"])
-                .select("kind", F.col("target").alias("host"), sent.alias("mass"), F.when(F.col("travels"), sent).otherwise(0.0).alias("moving"))
-            )
+            copies = state.filter("moving > 0").select("kind", "host", "moving", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+            sent = copies.join(by_source, ["kind", "host", "slice"]).select("kind", F.col("target").alias("host"), F.col("target_slices").alias("slices"), (damping * F.col("moving") * F.col("share")).alias("mass"))
+            moved = sent.select("*", travels(F.col("mass")).alias("moving"), F.col("mass").alias("gained"), none.alias("gained_before"))
             state = (
-                state.select("kind", "host", "mass", F.lit(0.0).alias("moving"), F.lit(False).alias("fresh"))
-                .unionByName(moved.select("kind", "host", "mass", "moving", F.lit(True).alias("fresh")))
-                .groupBy("kind", "host")
-                .agg(F.sum("mass").alias("mass"), F.sum("moving").alias("moving"), F.min("fresh").alias("fresh"))
+                state.withColumn("moving", none).unionByName(moved).groupBy("kind", "host")
+                .agg(F.max("slices").alias("slices"), *(F.sum(n).alias(n) for n in ("mass", "moving", "gained", "gained_before")))
             )
         state = common.checkpointed(state)
         done += step
-    return state.select("kind", "host", "mass")
+    return state.select("kind", "host", "mass"), done
 
 
 def host_scores(
@@ -184,7 +196,7 @@ def host_scores(
         .agg(F.count("*").cast("double").alias("mass"))
     )
     shares = common.checkpointed(directed_shares(common.checkpointed(host_edges(pages, url_column, html_column))))
-    return by_kind(propagated(seeds, shares, damping, tolerance, ratio, rounds))
+    return by_kind(propagated(seeds, shares, damping, tolerance, ratio, rounds)[0])
 
 
 def filtered_urls(
