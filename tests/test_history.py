@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from voltway.operators import compare, profiling
 from voltway.operators import sessions as S
+from voltway.operators import source_profile as P
 from voltway.sources import files as fs
 from voltway.sources.history import History
 
@@ -97,3 +98,41 @@ def test_rows_without_a_position_have_seen_all_deliveries(spark):
     df = spark.createDataFrame(rows, "file_row long, delivery_row long")
     found = sorted(((r["file_row"], r["delivery_block"]) for r in S.delivery_blocks(df).collect()), key=lambda r: (r[0] is None, r[0] or 0))
     assert found == [(i, i // 4) for i in range(12)] + [(None, 2)] * 503
+
+
+def test_key_sets_of_many_files(spark):
+    """Sets of files beyond one word of bits, against brute force."""
+    rng = random.Random(3)
+    rows = [("s", f"f{rng.choice([0, 1, 61, 62, 63, 129]):03d}", f"k{rng.randrange(60)}") for _ in range(300)] + [("s", f"f{i:03d}", "all") for i in range(130)] + [("t", "f000", None), ("t", "f001", None)]
+    found = {(r["source"], r["files"]): r["n_keys"] for r in P.keys_by_files(spark.createDataFrame(rows, "source string, source_file string, key_hash string")).collect()}
+    sets = {}
+    for source, file, key in rows:
+        sets.setdefault((source, key), set()).add(file)
+    expected = {}
+    for (source, _), own in sets.items():
+        if len(own) > 1:
+            name = source, " & ".join(sorted(own))
+            expected[name] = expected.get(name, 0) + 1
+    assert found == expected
+
+
+def test_session_ids(spark):
+    rows = [("s", "a", "1"), ("s", "a", "1"), ("s", "b", "1"), ("s", "b", "2"), ("s", "b", None), ("s", "c", None), ("t", "a", None)]
+    found = {r["source"]: tuple(r)[1:] for r in P.session_ids(spark.createDataFrame(rows, "source string, source_file string, source_session_id string")).collect()}
+    assert found == {"s": (6, 2, 2, 1, 1), "t": (1, 1, 0, 0, 0)}
+
+
+def test_samples_are_the_first_met_in_a_file(spark, tmp_path):
+    rng = random.Random(8)
+    lines = [f"{rng.randrange(40)},{rng.choice(['', ' x', 'y', 'z'])}" for _ in range(20_000)]
+    (tmp_path / "a.csv").write_text("n,t\n" + "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = spark.read.csv(str(tmp_path / "a.csv"), header=True).select("*", profiling.arrival().alias("at"))
+        assert df.rdd.getNumPartitions() > 3
+        found = {(r["name"], r["k"]): r["value"] for r in profiling.first_met(df, "at").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for at, name in enumerate("nt"):
+        texts = [x.split(",")[at].strip() for x in lines]
+        assert [found.get((name, k)) for k in range(1, 6)] == (list(dict.fromkeys(t for t in texts if t)) + [None] * 5)[:5]

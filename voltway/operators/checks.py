@@ -108,3 +108,10 @@ def wrong_schema(df: DataFrame, expected: StructType) -> list[str]:
     """Differences from an enforced contract: names, types and order."""
     have, want = [(f.name, f.dataType.simpleString()) for f in df.schema], [(f.name, f.dataType.simpleString()) for f in expected]
     return [f"{i}: {a} is not {b}" for i, (a, b) in enumerate(zip(have, want, strict=False)) if a != b] + ([f"{len(have)} columns, not {len(want)}"] if len(have) != len(want) else [])
+
+
+def row_counts(one: DataFrame, other: DataFrame) -> DataFrame:
+    """n_one, n_other, difference: whether two relations have equally many rows, one row."""
+    both = one.select(F.lit(1).alias("side")).unionByName(other.select(F.lit(2).alias("side")))
+    sums = both.agg(*(F.count(F.when(F.col("side") == k, 1)).alias(n) for k, n in ((1, "n_one"), (2, "n_other"))))
+    return sums.withColumn("difference", F.col("n_one") - F.col("n_other"))

@@ -16,8 +16,8 @@ ROBUST_DAYS = 5
 N_VALUES = (1, 2, 3, 5, 10)
 
 FACT = (
-    "session_sk", "object_id", "source", "family", "source_file", "source_file_sha256", "delivery_block", "operator_key", "station_key", "station_name_raw", "site_key", "port_id",
-    "start_utc", "end_utc", "start_local", "end_local", "zone", "is_ambiguous", "energy_kwh", "charging_minutes", "connected_minutes", "reported_minutes", "idle_minutes",
+    "session_sk", "object_id", "source", "family", "source_file", "source_file_sha256", "delivery_block", "operator_key", "station_key", "station_name_raw", "site_key", "port_id", "port_id_present", "source_session_id",
+    "start_utc", "end_utc", "start_local", "end_local", "zone", "is_ambiguous", "energy_kwh", "charging_minutes", "connected_minutes", "reported_minutes", "duration_disagreement_minutes", "idle_minutes", "duration_availability",
     "publisher_excluded", "implied_kw", "precision_seconds", "is_non_trivial", "flags", "key_hash", "row_hash",
 )
 

@@ -86,6 +86,22 @@ def parsed(value: Column, pattern: Column, day_first: Column) -> Column:
     )
 
 
+def arrival() -> Column:
+    """Where a row of a file source was met: file, place of its block, row within the block; it survives shuffles."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def first_met(df: DataFrame, order: str, most: int = SAMPLES) -> DataFrame:
+    """name, k, value: the first ``most`` different non-blank texts of each column in ``order``.
+
+    The least place of each value is an aggregate, combined before its shuffle.
+    """
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.nullif(F.trim(F.col(f"`{c}`").cast("string")), F.lit("")).alias("value")) for c in df.columns if c != order)))
+    first = df.select(order, each.alias("x")).filter("x.value is not null").groupBy("x.name", "x.value").agg(F.min(order).alias("_at"))
+    place = Window.partitionBy("name").orderBy("_at", "value")
+    return first.withColumn("k", F.row_number().over(place)).filter(F.col("k") <= most).select("name", "k", "value")  # limited before the shuffle
+
+
 def profile(df: DataFrame) -> DataFrame:
     """A row for each column: type, rows, nulls and blanks, distinct values, samples and, by type, extremes, mean and counts.
 

@@ -124,7 +124,8 @@ def typed_alpha(raw: DataFrame) -> DataFrame:
     return delivery_blocks(raw).select(
         "object_id", F.lit("alpha").alias("source"), F.lit("alpha").alias("family"), given(raw, "source_file", F.lit("alpha")), F.lit(ZONES["alpha"]).alias("zone"),
         c("delivery_block").cast("long").alias("delivery_block"), (-c("delivery_block")).cast("double").alias("order_1"), (-c("file_row")).cast("double").alias("order_2"),
-        F.concat(F.lit("alpha/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), F.lit(None).cast("string").alias("port_id"),
+        F.concat(F.lit("alpha/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), c("address").alias("site_key_raw"), F.lit(None).cast("string").alias("port_id"),
+        F.lit(None).cast("string").alias("source_session_id"),
         C.parse_us_mixed("start_text").alias("start_local"), C.parse_us_mixed("end_text").alias("end_local"), F.lit(None).cast("timestamp").alias("start_utc_given"),
         F.lit(True).alias("has_end"), F.lit(False).alias("is_end_sentinel"),
         (c("station_name").isNull() & c("start_text").isNull() & c("end_text").isNull() & c("energy_text").isNull() & c("file_row").isNull()).alias("is_blank"),
@@ -142,7 +143,8 @@ def typed_beta(raw: DataFrame) -> DataFrame:
     return raw.select(
         "object_id", F.lit("beta").alias("source"), F.lit("beta").alias("family"), given(raw, "source_file", F.lit("beta")), F.lit(ZONES["beta"]).alias("zone"),
         F.lit(None).cast("long").alias("delivery_block"), (-charging).alias("order_1"), F.lit(None).cast("double").alias("order_2"),
-        F.concat(F.lit("beta/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), F.lit(None).cast("string").alias("port_id"),
+        F.concat(F.lit("beta/"), "station_name").alias("station_key"), c("station_name").alias("station_name_raw"), c("address").alias("site_key"), c("address").alias("site_key_raw"), F.lit(None).cast("string").alias("port_id"),
+        F.lit(None).cast("string").alias("source_session_id"),
         C.utc_to_local(instant, ZONES["beta"]).alias("start_local"), F.lit(None).cast("timestamp").alias("end_local"), instant.alias("start_utc_given"),
         F.lit(False).alias("has_end"), F.lit(False).alias("is_end_sentinel"),
         (c("station_name").isNull() & c("start_text").isNull() & c("charging_text").isNull() & c("energy_text").isNull()).alias("is_blank"),
@@ -164,7 +166,7 @@ def typed_gamma(raw: DataFrame) -> DataFrame:
         "object_id", F.lit("gamma").alias("source"), "family", given(raw, "source_file", c("family")), F.lit(ZONES["gamma"]).alias("zone"),
         F.lit(None).cast("long").alias("delivery_block"), F.when(c("family").isin(*raws), 0.0).otherwise(1.0).alias("order_1"), F.lit(None).cast("double").alias("order_2"),
         F.concat(F.lit("gamma/"), F.coalesce(na("cpid"), F.concat(F.lit("unknown/"), F.coalesce(name, F.lit("<null>"))))).alias("station_key"), na("cpid").alias("station_name_raw"),
-        name.alias("site_key"), connector.alias("port_id"), start.alias("start_local"), end.alias("end_local"), F.lit(None).cast("timestamp").alias("start_utc_given"),
+        name.alias("site_key"), na("name").alias("site_key_raw"), connector.alias("port_id"), given(raw, "source_session_id", F.lit(None).cast("string")), start.alias("start_local"), end.alias("end_local"), F.lit(None).cast("timestamp").alias("start_utc_given"),
         F.lit(True).alias("has_end"), (na("end_date").like("1970-%") | na("end_date").like("%/1970")).alias("is_end_sentinel"),
         (na("cpid").isNull() & na("start_date").isNull() & na("end_date").isNull() & na("energy_text").isNull() & na("name").isNull()).alias("is_blank"),
         F.lit(1).alias("precision_seconds"), F.lit(None).cast("double").alias("charging_minutes"), (C.to_number(na("plugged_text")) * unit).alias("reported_minutes"), energy.alias("energy_kwh"),
@@ -183,7 +185,9 @@ def measured(df: DataFrame) -> DataFrame:
         df.withColumn("start_utc", F.coalesce("start_utc_given", C.local_to_utc("start_local", c("zone")))).withColumn("end_utc", C.local_to_utc("end_local", c("zone")))
         .withColumn("is_nonexistent", wall & (C.is_nonexistent_local("start_local", c("zone")) | C.is_nonexistent_local("end_local", c("zone"))))
         .withColumn("is_ambiguous", wall & C.is_ambiguous_local("start_local", c("zone")))
-        .withColumn("connected_minutes", connected)
+        .withColumn("connected_minutes", connected).withColumn("duration_disagreement_minutes", connected - F.col("reported_minutes"))
+        .withColumn("port_id_present", (c("source") == "gamma") & c("port_id").isNotNull())
+        .withColumn("duration_availability", F.when(c("source") == "alpha", "both").when(c("source") == "beta", "charging_only").otherwise("plug_in_only"))
         .withColumn("implied_kw", C.implied_kw(c("energy_kwh"), F.when(c("source") == "gamma", c("connected_minutes")).otherwise(c("charging_minutes"))))
         .withColumn("idle_minutes", F.when(c("source") == "alpha", F.greatest(c("connected_minutes") - c("charging_minutes"), F.lit(0.0))))
         .withColumn("publisher_excluded", (c("source") == "gamma") & F.coalesce(excluded, F.lit(False)))

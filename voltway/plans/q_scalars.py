@@ -197,8 +197,19 @@ def exact_duplicates(lineitem):
     return P.duplicate_rows(lineitem.select("l_orderkey", "l_linenumber"))
 
 
-@query("SELECT o_custkey, CAST(max(level) AS BIGINT) AS most FROM (SELECT o_custkey, sum(d) OVER (PARTITION BY o_custkey ORDER BY t, d, o_orderkey ROWS UNBOUNDED PRECEDING) AS level FROM (SELECT o_custkey, o_orderkey, epoch(o_orderdate) AS t, 1 AS d FROM orders UNION ALL SELECT o_custkey, o_orderkey, epoch(o_orderdate) + 86400.0 * (o_orderkey % 200) AS t, -1 AS d FROM orders)) GROUP BY 1", "orders")
+SPANS = "(SELECT o_custkey, o_orderkey, epoch(o_orderdate) AS s, CASE WHEN o_orderkey % 19 <> 0 THEN epoch(o_orderdate) + 86400.0 * (o_orderkey % 200 - 20) END AS e FROM orders)"
+
+
+@query(f"SELECT o_custkey, CAST(max(level) AS BIGINT) AS most FROM (SELECT o_custkey, sum(d) OVER (PARTITION BY o_custkey ORDER BY t, d, o_orderkey ROWS UNBOUNDED PRECEDING) AS level FROM (SELECT o_custkey, o_orderkey, s AS t, 1 AS d FROM {SPANS} WHERE e >= s UNION ALL SELECT o_custkey, o_orderkey, e, -1 FROM {SPANS} WHERE e >= s)) GROUP BY 1", "orders")
 def max_concurrency(orders):
+    """Some orders end before they start, some have no end: they don't count."""
     t = F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1e6
-    spans = orders.select("o_custkey", "o_orderkey", t.alias("s"), (t + 86400.0 * (F.col("o_orderkey") % 200)).alias("e"), F.to_date("o_orderdate").alias("start_day"))
+    ends = F.when(F.col("o_orderkey") % 19 != 0, t + 86400.0 * (F.col("o_orderkey") % 200 - 20))
+    spans = orders.select("o_custkey", "o_orderkey", t.alias("s"), ends.alias("e"), F.to_date("o_orderdate").alias("start_day"))
     return P.max_concurrency(spans, "o_custkey", "s", "e", "o_orderkey")
+
+
+@query("SELECT name, CAST(k AS INTEGER) AS k, value FROM (SELECT name, value, row_number() OVER (PARTITION BY name ORDER BY min(at)) AS k FROM (SELECT event_id AS at, unnest(['event_type', 'user_id', 'props']) AS name, unnest([event_type, CAST(user_id AS VARCHAR), props]) AS value FROM events) WHERE trim(value) <> '' GROUP BY 1, 2) WHERE k <= 5", "events")
+def first_met_samples(events):
+    """The first five different values of each column, in the order of the events."""
+    return P.first_met(events.select(F.col("event_id").alias("at"), "event_type", "user_id", "props"), "at")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voltway.functions import columns as C
 from voltway.operators import gold, incremental
 from voltway.operators import intervals as I
-from voltway.operators import profiling, quantiles, reconcile
+from voltway.operators import checks, profiling, quantiles, reconcile, source_profile
 from voltway.operators import sessions as S
 from voltway.plans.oracle import with_tables
 from voltway.sources import warehouse
@@ -497,3 +497,75 @@ def source_coverage(w):
         F.sum("n").alias("sessions"), epoch(F.min("a")).alias("first_start"), epoch(F.max("b")).alias("last_start"), F.count_distinct("station_key").alias("stations"),
         F.count_distinct("day").alias("days"), F.count_distinct("port_id").alias("ports"), F.sum("c").alias("with_charging"), F.sum("d").alias("with_connected"),
     )
+
+
+KEY = "source, unit, port_id, key_start, key_end, key_kwh"
+
+
+@query(f"SELECT source, files, count(*) AS n_keys FROM (SELECT source, string_agg(DISTINCT family, ' & ' ORDER BY family) AS files, count(DISTINCT family) AS n FROM judged WHERE NOT blank GROUP BY {KEY}) WHERE n > 1 GROUP BY 1, 2")
+def keys_shared_between_files(w):
+    """Natural keys that several files of a source hold, by set of files."""
+    return source_profile.keys_by_files(w.rows.filter("not is_blank"))
+
+
+@query("SELECT source, 'names_per_site' AS what, v AS value, count(*) AS n FROM (SELECT source, site_key, count(DISTINCT unit) AS v FROM judged WHERE site_key IS NOT NULL GROUP BY 1, 2) GROUP BY 1, 3 UNION ALL SELECT source, 'ports_per_station', v, count(*) FROM (SELECT source, unit, count(DISTINCT port_id) AS v FROM judged WHERE unit IS NOT NULL GROUP BY 1, 2) WHERE v > 0 GROUP BY 1, 3")
+def source_histograms(w):
+    return source_profile.histograms(w.rows)
+
+
+def counted(**conditions: str) -> str:
+    return ", ".join(f"count(CASE WHEN {c} THEN 1 END) AS {n}" for n, c in conditions.items())
+
+
+GAP = "((epoch_us(end_local) - epoch_us(start_local)) / 6e7 - coalesce(reported_minutes, charging_minutes))"
+
+
+@query("SELECT * FROM (SELECT source, count(*) AS rows_all, min(CASE WHEN NOT blank THEN energy_kwh END) AS energy_least, " + counted(
+    blank_rows="blank", exact_repeats="NOT blank AND exact_rank > 1", key_repeats="NOT blank AND key_rank > 1", null_names="NOT blank AND unit IS NULL", numeric_names="NOT blank AND regexp_full_match(unit, '[0-9]+')",
+    energy_null="NOT blank AND energy_kwh IS NULL", energy_zero="NOT blank AND energy_kwh = 0", energy_negative="NOT blank AND energy_kwh < 0", charging_null="NOT blank AND charging_minutes IS NULL",
+    charging_zero="NOT blank AND charging_minutes = 0", charging_over_24h="NOT blank AND charging_minutes > 1440", connected_zero="NOT blank AND reported_minutes = 0", connected_over_24h="NOT blank AND reported_minutes > 1440",
+    charging_exceeds_connected="NOT blank AND charging_minutes > reported_minutes + 1 / 60", no_energy_in_some_time="NOT blank AND energy_kwh = 0 AND charging_minutes > 0", energy_in_no_time="NOT blank AND energy_kwh > 0 AND charging_minutes = 0",
+    spans=f"NOT blank AND {GAP} IS NOT NULL", span_within_2_min=f"NOT blank AND abs({GAP}) <= 2", span_longer=f"NOT blank AND {GAP} > 5", span_shorter=f"NOT blank AND {GAP} < -5", span_off_by_an_hour=f"NOT blank AND abs({GAP}) BETWEEN 55 AND 65",
+) + " FROM judged GROUP BY 1) LEFT JOIN (SELECT source, count(*) AS distinct_names, min(n) AS least_sessions, max(n) AS most_sessions, count(CASE WHEN n < 30 THEN 1 END) AS stations_under_30_sessions FROM (SELECT source, unit, count(start_local) AS n FROM judged WHERE NOT blank AND unit IS NOT NULL GROUP BY 1, 2) GROUP BY 1) USING (source)")
+def source_figures(w):
+    """Every source profiled in one pass: rows, repeats, names, implausible values, spans against recorded durations."""
+    return source_profile.figures(w.rows)
+
+
+@query(f"""SELECT family AS source_family, bucket, count(*) AS n FROM (
+    SELECT a.family, CASE WHEN len(q.reasons) > 0 AND q.reasons[1] <> 'natural_key_duplicate' THEN 'quarantined_' || q.reasons[1] WHEN r.raw = 'fasts' AND a.family = 'rapids_anomalies' THEN 'same_event_in_fasts_raw'
+      WHEN r.raw IS NOT NULL THEN 'same_event_in_' || r.raw WHEN u.source IS NOT NULL THEN 'accepted_unexplained' ELSE 'other' END AS bucket
+    FROM (SELECT * FROM judged WHERE family IN ('rapids_anomalies', 'fasts_anomalies') AND NOT publisher_excluded) a
+    LEFT JOIN (SELECT {KEY}, min(family) AS raw FROM judged WHERE family IN ('rapids', 'fasts') GROUP BY ALL) r ON {" AND ".join(f"a.{c} IS NOT DISTINCT FROM r.{c}" for c in KEY.split(", "))}
+    LEFT JOIN (SELECT * FROM judged WHERE len(reasons) > 0) q ON q.family = a.family AND {" AND ".join(f"a.{c} IS NOT DISTINCT FROM q.{c}" for c in KEY.split(", "))}
+    LEFT JOIN (SELECT * FROM judged WHERE len(reasons) = 0) u ON u.family = a.family AND {" AND ".join(f"a.{c} IS NOT DISTINCT FROM u.{c}" for c in KEY.split(", "))}) GROUP BY 1, 2""")
+def anomaly_buckets(w):
+    """What became of the anomaly files' rows that the publisher's rule doesn't explain."""
+    return source_profile.anomaly_buckets(w.rows)
+
+
+@query("SELECT site_key, 'Site  ' || substr(site_key, 6) || ' ' AS raw_names FROM judged WHERE source = 'gamma' AND site_key IS NOT NULL GROUP BY 1")
+def name_groups(w):
+    """The ways in which each of gamma's names was published."""
+    return source_profile.name_groups(w.rows).select("site_key", F.array_join("raw_names", "|").alias("raw_names"))
+
+
+@query(f"SELECT source, count(*) AS sessions, count(DISTINCT ({KEY})) AS surrogate_keys, count(*) AS by_formula FROM sessions GROUP BY 1")
+def surrogate_keys(w):
+    """Sessions, their different surrogate keys, and how many follow from source and natural key."""
+    per = w.fact.groupBy("source", "session_sk").agg(F.count("*").alias("n"), F.count(F.when(F.col("session_sk") == F.md5(F.concat_ws("|", "source", "key_hash")), 1)).alias("right"))
+    return per.groupBy("source").agg(F.sum("n").alias("sessions"), F.count("*").alias("surrogate_keys"), F.sum("right").alias("by_formula"))
+
+
+@query("SELECT (SELECT count(*) FROM judged) AS n_one, (SELECT count(*) FROM sessions) AS n_other, (SELECT count(*) FROM judged WHERE len(reasons) > 0) AS difference")
+def equal_row_counts(w):
+    """The typed rows against the accepted ones: as many more as are rejected."""
+    return checks.row_counts(w.typed, w.fact)
+
+
+@query("SELECT source, duration_availability, count(*) AS n, count(port_id) AS ports, round(sum(connected_minutes - reported_minutes), 4) AS disagreement FROM (SELECT *, CASE source WHEN 'alpha' THEN 'both' WHEN 'beta' THEN 'charging_only' ELSE 'plug_in_only' END AS duration_availability FROM sessions) GROUP BY 1, 2")
+def duration_availability(w):
+    """Which durations sources publish, how many sessions name a port, and by how much durations disagree."""
+    return w.fact.groupBy("source", "duration_availability").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("port_id_present"), 1)).alias("ports"), F.round(F.sum("duration_disagreement_minutes"), 4).alias("disagreement")
+    )

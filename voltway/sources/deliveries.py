@@ -26,7 +26,7 @@ BINDINGS = {
     },
     "beta": {"station_name": "station_name", "address_1": "address", "start_date": "start_text", "charging_time_hh_mm_ss": "charging_text", "energy_kwh": "energy_text"},
     "gamma": {
-        "CPID": "cpid", "Name": "name", "Connector": "connector", "StartDate": "start_date", "StartTime": "start_time", "EndDate": "end_date", "EndTime": "end_time",
+        "ChargingEvent": "source_session_id", "CPID": "cpid", "Name": "name", "Connector": "connector", "StartDate": "start_date", "StartTime": "start_time", "EndDate": "end_date", "EndTime": "end_time",
         "PluginDuration": "plugged_text", "Energy": "energy_text",
     },
 }
@@ -56,7 +56,8 @@ def bound(bronze: DataFrame, source: str) -> DataFrame:
 
     given = [F.monotonically_increasing_id().alias("object_id"), F.col("_file_name").alias("source_file"), F.col("_row_hash").alias("row_hash")]
     family = [family_of(F.col("_file_name")).alias("family")] if source == "gamma" else []
-    return bronze.select(*given, *family, *(value(p, n) for p, n in BINDINGS[source].items()))
+    found = bronze.select(*given, *family, *(value(p, n) for p, n in BINDINGS[source].items()))
+    return found.withColumn("source_session_id", F.nullif("source_session_id", F.lit("NA"))) if source == "gamma" else found
 
 
 def typed(bronze: DataFrame, source: str) -> DataFrame:
@@ -77,7 +78,7 @@ def published_files(spark: SparkSession, events: DataFrame, inbox: str, sources:
 def written_files(rows: DataFrame, source: str, family, folder: str) -> None:
     """One family's rows under its declared columns as csv files, a file a partition."""
     spark, named = rows.sparkSession, BINDINGS[source]
-    own = lambda c: F.col(named[c]).cast("string") if c in named else F.lit(None).cast("string")
+    own = lambda c: F.col(named[c]).cast("string") if named.get(c) in rows.columns else F.lit(None).cast("string")
     aside = f"{folder}/.{uuid.uuid4().hex}"
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
     rows.select(*(own(c.name).alias(c.name) for c in family.columns)).write.options(header=True, **kept).csv(aside)

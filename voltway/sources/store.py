@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltway.operators import gold
+from voltway.operators import intervals as I
 from voltway.sources import deliveries, landing
 from voltway.sources import files as fs
 from voltway.sources.files import Log
@@ -72,6 +74,14 @@ class Delivered(Warehouse):
             whole = whole.unionByName(p)
         return self.stored("silver/typed", whole)
 
+    @cached_property
+    def dim(self) -> DataFrame:
+        """Stations with the latest retrieval time of their source's files."""
+        known = [(e["source"], e["retrieved_at"]) for e in good(self.manifest).values()]
+        times = self.spark.createDataFrame(known, "source string, retrieved_at string").groupBy("source").agg(F.max("retrieved_at").alias("data_as_of_utc"))
+        made = gold.dim_station(self.line, I.days_at_level(self.levels), self.gaps)
+        return self.stored("gold/dim_station", made.join(F.broadcast(times), "source", "left").select(*made.columns, "data_as_of_utc"))  # a row a source
+
     @cached_property
     def files(self) -> DataFrame:
         known = [(e["source"], e["file_name"], e["sha256"]) for e in good(self.manifest).values()]
