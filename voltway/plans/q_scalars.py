@@ -209,7 +209,7 @@ def max_concurrency(orders):
     return P.max_concurrency(spans, "o_custkey", "s", "e", "o_orderkey")
 
 
-@query("SELECT name, CAST(k AS INTEGER) AS k, value FROM (SELECT name, value, row_number() OVER (PARTITION BY name ORDER BY min(at)) AS k FROM (SELECT event_id AS at, unnest(['event_type', 'user_id', 'props']) AS name, unnest([event_type, CAST(user_id AS VARCHAR), props]) AS value FROM events) WHERE trim(value) <> '' GROUP BY 1, 2) WHERE k <= 5", "events")
+@query("SELECT name, CAST(k AS INTEGER) AS k, value FROM (SELECT name, value, row_number() OVER (PARTITION BY name ORDER BY min(met)) AS k FROM (SELECT event_id AS met, unnest(['event_type', 'user_id', 'props']) AS name, unnest([event_type, CAST(user_id AS VARCHAR), props]) AS value FROM events) WHERE trim(value) <> '' GROUP BY 1, 2) WHERE k <= 5", "events")
 def first_met_samples(events):
     """The first five different values of each column, in the order of the events."""
     return P.first_met(events.select(F.col("event_id").alias("at"), "event_type", "user_id", "props"), "at")
