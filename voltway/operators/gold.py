@@ -50,11 +50,12 @@ def dim_station(line: DataFrame, at_level: DataFrame, gaps: DataFrame) -> DataFr
     """Ports, active window and majority attributes of each known station, from its non-trivial sessions.
 
     Distinct counts and majorities come from one table of counts per attribute
-    value, so a session's row isn't expanded for each of them.
+    value; sessions alike in all of them are combined before they are expanded.
     """
     value = lambda n: F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("value"))
     names = ("source", "site_key", "station_name_raw", "zone", "port_id", "operator_key", "start_day")
-    counted = line.select("station_key", F.explode(F.array(*map(value, names))).alias("x")).filter("x.value is not null").groupBy("station_key", "x.name", "x.value").agg(F.count("*").alias("n"))
+    alike = line.groupBy("station_key", *names).agg(F.count("*").alias("k"))
+    counted = alike.select("station_key", "k", F.explode(F.array(*map(value, names))).alias("x")).filter("x.value is not null").groupBy("station_key", "x.name", "x.value").agg(F.sum("k").alias("n"))
     most = lambda n: F.max_by(F.when(F.col("name") == n, F.col("value")), F.when(F.col("name") == n, F.col("n")))
     ranked = counted.groupBy("station_key", "name", "n").agg(F.min("value").alias("value"), F.count("*").alias("k"))  # ties go to the smallest value
     picks = ranked.groupBy("station_key").agg(
