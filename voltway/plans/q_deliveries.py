@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voltway.operators import compare
 from voltway.plans.oracle import with_tables
-from voltway.sources import deliveries, landing, warehouse
+from voltway.sources import deliveries, files, landing, warehouse
 from voltway.sources.contracts import CONTRACTS
 from voltway.sources.history import History
 from voltway.sources.store import Held, Store
@@ -23,7 +23,7 @@ def released(spark: SparkSession, sf_dir: str) -> Held:
     path = f"{sf_dir}/events.parquet"
     key = (spark.sparkContext.applicationId, sf_dir, warehouse.version(spark, path))
     if key not in _RELEASED:
-        root = f"{warehouse.shared_dir(spark).rstrip('/')}/voltway/{uuid.uuid4().hex}-deliveries"
+        root = f"{files.shared_dir(spark).rstrip('/')}/voltway/{uuid.uuid4().hex}-deliveries"
         deliveries.published_files(spark, spark.read.parquet(path), f"{root}/inbox")
         for contract in CONTRACTS.values():
             landing.land(spark, f"{root}/inbox", contract, f"{root}/landed")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -22,6 +23,19 @@ EMPTY = hashlib.sha256().hexdigest()
 COMMITTED = re.compile(r"(\d{10})\.json")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a new local one where that is unset and the master is local (tests)."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="spark-voltway-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(found)
+    return found
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """A path of Hadoop's and its file system, as Spark's writers see it."""
     own = spark._jvm.org.apache.hadoop.fs.Path(str(path))

@@ -10,7 +10,6 @@ executors' memory.
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import cached_property
@@ -21,19 +20,7 @@ from pyspark.sql import functions as F
 from voltway.operators import gold
 from voltway.operators import intervals as I
 from voltway.operators import sessions as S
-from voltway.sources.files import hadoop_path
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a new local one where that is unset and the master is local."""
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not found:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="spark-voltway-")
-        context.setCheckpointDir(found)
-    return found
+from voltway.sources.files import hadoop_path, shared_dir
 
 
 def version(spark: SparkSession, path: str) -> tuple:
