@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a new local one where that is unset and the master is local (tests)."""
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not found:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="spark-voltway-")
-        context.setCheckpointDir(found)
-    elif context.getCheckpointDir() is None:
-        context.setCheckpointDir(found)
-    return found
+from voltway.sources.files import shared_dir
 
 
 def importable(spark: SparkSession) -> None:
@@ -55,6 +45,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker runs tasks of many kinds, and keeps what one needed most for ever otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def in_parts(*arrays: pa.Array, rows: int = 500) -> Iterator[tuple[pa.Array, ...]]:
+    """Equally long arrays some rows at a time, so that a task holds few texts as Python objects at once."""
+    for at in range(0, len(arrays[0]), rows):
+        yield tuple(a.slice(at, rows) for a in arrays)
+    give_back()
+
+
+def texts_of(texts: pa.Array) -> Iterator[bytes | None]:
+    """The texts as UTF-8, some at a time."""
+    for (part,) in in_parts(texts):
+        yield from part.cast(pa.large_binary()).to_pylist()
+
+
 def remainder(id_column: str | Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as the empty text."""
     column = F.col(id_column) if isinstance(id_column, str) else id_column

@@ -143,7 +143,7 @@ def signed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
         for batch in batches:
             ids, keys, sets, n = [], [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), common.texts_of(batch.column(1)), strict=True):
                 words = words_of(text)
                 ids.append(doc)
                 keys.append(key_of(words))
@@ -163,7 +163,7 @@ def text_key(text: Column) -> Column:
 
     @F.arrow_udf("binary")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([key_of(words_of(b)) for b in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
+        return pa.array([key_of(words_of(b)) for b in common.texts_of(texts)], pa.binary())
 
     return run.asNondeterministic()(text)
 
@@ -183,7 +183,7 @@ def similarity(a: Column, b: Column) -> Column:
             return memory[text]
 
         found = []
-        for x, y in zip(left.cast(pa.large_binary()).to_pylist(), right.cast(pa.large_binary()).to_pylist(), strict=True):
+        for x, y in zip(common.texts_of(left), common.texts_of(right), strict=True):
             (a, v), (b, w) = of(x), of(y)
             _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
             shared = int(np.minimum(v[i], w[j]).sum())

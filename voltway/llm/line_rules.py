@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltway.llm.common import in_parts, texts_of
+
 #: Words are separated by these bytes; bytes.split() and bytes.isspace() use the same six.
 SPACES = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -144,7 +146,7 @@ def common_lines(docs: DataFrame, text_column: str = "text", share: float = COMM
             return pa.RecordBatch.from_arrays([pa.array(lines, pa.int64()), pa.array(places, pa.int64())], names=["line", "place"])
 
         for batch in batches:
-            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
+            for text in texts_of(batch.column(0)):
                 if text:
                     found.update(neighbours(text))
                     if len(found) > MOST_PAIRS:
@@ -203,12 +205,15 @@ def line_rules(text: Column, max_removed: float = MAX_REMOVED, with_text: bool =
 
     @F.arrow_udf(RESULT)
     def run(texts: pa.Array) -> pa.Array:
-        rows = [judge(b, max_removed, common) for b in texts.cast(pa.large_binary()).to_pylist()]
-        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in RESULT.names]
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.int64(), pa.string(), pa.string()]
-        arrays = [pa.array(c, k) for c, k in zip(columns[:-1], kinds, strict=False)]
-        arrays.append(pa.array(columns[-1], pa.string()) if with_text else pa.nulls(len(rows), pa.string()))
-        return pa.StructArray.from_arrays(arrays, RESULT.names)
+        made = [pa.StructArray.from_arrays([pa.array([], k) for k in kinds], RESULT.names)]
+        for (part,) in in_parts(texts):
+            rows = [judge(b, max_removed, common) for b in part.cast(pa.large_binary()).to_pylist()]
+            columns = list(zip(*rows, strict=True))
+            arrays = [pa.array(c, k) for c, k in zip(columns[:-1], kinds, strict=False)]
+            arrays.append(pa.array(columns[-1], pa.string()) if with_text else pa.nulls(len(rows), pa.string()))
+            made.append(pa.StructArray.from_arrays(arrays, RESULT.names))
+        return pa.concat_arrays(made)
 
     return run.asNondeterministic()(text)
 

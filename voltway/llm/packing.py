@@ -95,10 +95,9 @@ def pieces(
         part, own = TaskContext.get().partitionId(), encoder(tokenizer, drops_white)
         met = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for some_docs, texts in common.in_parts(batch.column(0), batch.column(1)):
                 rows = []
-                for doc, ids in zip(some.column(0).to_pylist(), own.encode(some.column(1).to_pylist()), strict=True):
+                for doc, ids in zip(some_docs.to_pylist(), own.encode(texts.to_pylist()), strict=True):
                     ids = np.append(ids.astype("<u4"), np.array([end_id], "<u4"))
                     start, length = 0, len(ids) % capacity or capacity
                     for k in range(-(-len(ids) // capacity)):

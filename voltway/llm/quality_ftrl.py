@@ -186,7 +186,7 @@ def quality(model: Model, text: Column) -> Column:
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
         score = model.scorer()
-        return pa.array([score(t) for t in texts.cast(pa.large_binary()).to_pylist()], pa.float64())
+        return pa.array([score(t) for t in common.texts_of(texts)], pa.float64())
 
     return run.asNondeterministic()(text)
 

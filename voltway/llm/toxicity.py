@@ -207,7 +207,7 @@ def toxicity(model: Model, text: Column) -> Column:
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
         score = model.scorer()
-        return pa.array([score(t) for t in texts.to_pylist()], pa.float64())
+        return pa.array([score(t) for (part,) in common.in_parts(texts) for t in part.to_pylist()], pa.float64())
 
     return run.asNondeterministic()(text)
 
