@@ -1,6 +1,7 @@
 """Packing, token files and trie encoding against the tokenizers library."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -81,3 +82,24 @@ def test_plan_takes_every_piece_once():
             assert all(o == sum(n for p, n in own if p < o) for o, _ in own) and sum(n for _, n in own) <= capacity
         total = sum(n * c for n, c in histogram.items())
         assert len(bins) <= 1.25 * -(-total // capacity) + 1 or max(histogram) * 2 > capacity
+
+
+def test_plan_needs_as_many_sequences_as_best_fit_over_pieces():
+    """Longest first, each piece into the fullest sequence that holds it, piece by piece."""
+    rng = random.Random(6)
+    for capacity in (10, 64, 2048):
+        for _ in range(20):
+            lengths = sorted((rng.randrange(1, capacity + 1) if rng.random() < 0.5 else rng.randrange(1, capacity // 3 + 1) for _ in range(rng.randrange(1, 300))), reverse=True)
+            rooms = []
+            for length in lengths:
+                fitting = [r for r in rooms if r >= length]
+                if fitting:
+                    rooms.remove(min(fitting))
+                    rooms.append(min(fitting) - length)
+                else:
+                    rooms.append(capacity - length)
+            histogram = {x: lengths.count(x) for x in set(lengths)}
+            used = set()
+            for _, first_rank, last_rank, first_sequence, _ in packing.plan(histogram, capacity):
+                used |= set(range(first_sequence, first_sequence + last_rank - first_rank + 1))
+            assert len(used) == len(rooms) == max(used) + 1
