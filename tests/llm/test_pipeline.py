@@ -69,4 +69,4 @@ def test_empty_tables(spark, tmp_path, nothing):
 
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
