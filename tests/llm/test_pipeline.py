@@ -58,7 +58,7 @@ def test_edge_rows(spark, tmp_path, docs, texts):
     """Null, empty and short texts go as too short, repeated ones as repetitive; of copies the smallest id stays; a null id that has no copy stays."""
     labels = spark.createDataFrame([(1, None, 1), (None, 1, 1), (5, 1, 0), (5, 0, 0)], "doc_id long, toxic int, score int")
     rows = P.run(spark, put(tmp_path, docs, labels)).collect()
-    assert {r["doc_id"] for r in rows} == {5, 8, None} or {r["doc_id"] for r in rows} == {5, 8, 13, None}
+    assert {r["doc_id"] for r in rows} == {5, 8, None}
     assert {r["piece"] for r in rows if r["doc_id"] == 5} == {0} and len({r["piece"] for r in rows if r["doc_id"] == 8}) > 1
 
 
