@@ -6,9 +6,14 @@ values come from tables of counts, so no source, station or key is one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltway.operators import quantiles
+from voltway.operators.rules import ceiling
+
+#: Parts in which a source's sites are ranked before the best of all parts are.
+PARTS = 64
 #: Files that one word of a key's file set holds.
 BITS = 62
 
@@ -59,6 +64,11 @@ def histograms(rows: DataFrame) -> DataFrame:
     return spread("names_per_site", "site_key", "station_name_raw").unionByName(ports)
 
 
+def span_minutes() -> Column:
+    """Wall-clock minutes from start to end."""
+    return (F.unix_micros("end_local") - F.unix_micros("start_local")) / 6e7
+
+
 def figures(rows: DataFrame) -> DataFrame:
     """One row per source: rows, repeats, names and ids, sessions a station, implausible values, spans against recorded durations.
 
@@ -67,7 +77,7 @@ def figures(rows: DataFrame) -> DataFrame:
     c, n = F.col, lambda p, name: F.count(F.when(p, 1)).alias(name)
     real = ~c("is_blank")
     energy, charged, plugged = c("energy_kwh"), c("charging_minutes"), c("reported_minutes")
-    gap = (F.unix_micros("end_local") - F.unix_micros("start_local")) / 6e7 - F.coalesce(plugged, charged)
+    gap = span_minutes() - F.coalesce(plugged, charged)
     day = 24 * 60
     counts: list[Column] = [
         F.count("*").alias("rows_all"), n(~real, "blank_rows"), n(real & c("is_exact_repeat"), "exact_repeats"), n(real & c("is_key_repeat"), "key_repeats"),
@@ -112,3 +122,111 @@ def anomaly_buckets(rows: DataFrame) -> DataFrame:
 def name_groups(rows: DataFrame) -> DataFrame:
     """site_key, raw_names: the ways in which each of gamma's site names was published, in order."""
     return rows.filter("source = 'gamma' and site_key is not null").groupBy("site_key").agg(F.sort_array(F.collect_set("site_key_raw")).alias("raw_names"))
+
+
+def key_conflicts(rows: DataFrame) -> DataFrame:
+    """source, n_groups, with_idle_row, energy_differs: what sets the rows of one natural key apart.
+
+    ``with_idle_row``: keys of which a row has neither charging time nor energy (a
+    plug pulled again beside the real session). Keys that lack a part aren't keys.
+    Keys are told by two extremes each, combined before the shuffle.
+    """
+    c = F.col
+    whole = c("station_name_raw").isNotNull() & c("start_local").isNotNull()
+    whole &= ~c("has_end") | (c("end_local").isNotNull() & c("energy_kwh").isNotNull())
+    whole &= (c("source") != "gamma") | c("port_id").isNotNull()
+    idle = F.coalesce((c("charging_minutes") == 0) & (c("energy_kwh") == 0), F.lit(False))
+    keys = rows.filter(~c("is_blank") & whole).groupBy("source", "key_hash").agg(
+        F.count("*").alias("n"), F.bool_or(idle).alias("idle"), (F.max("energy_kwh") > F.min("energy_kwh")).alias("differs")
+    )
+    count = lambda p, name: F.count(F.when(c(p), 1)).alias(name)
+    return keys.filter("n > 1").groupBy("source").agg(F.count("*").alias("n_groups"), count("idle", "with_idle_row"), count("differs", "energy_differs"))
+
+
+def powers(rows: DataFrame, wanted: tuple[float, ...] = (0.5, 0.9, 0.99, 0.999)) -> DataFrame:
+    """source, port (null: all ports), q, kw: exact quantiles of energy over recorded time, and the median of each port.
+
+    The time is the charging time, for a source without any the connected one;
+    rows without time don't count, rejected and repeated rows do.
+    """
+    c = F.col
+    minutes = F.when(c("source") == "gamma", c("reported_minutes")).otherwise(c("charging_minutes"))
+    kw = rows.filter(~c("is_blank") & (minutes > 0)).select("source", "family", "port_id", (c("energy_kwh") / (minutes / 60)).alias("kw"))
+    whole = quantiles.exact(kw, ["source"], "kw", list(wanted)).select("source", F.lit(None).cast("string").alias("port"), "q", c("value").alias("kw"))
+    ports = quantiles.exact(kw.filter("port_id is not null"), ["source", "port_id"], "kw", [0.5]).select("source", c("port_id").alias("port"), "q", c("value").alias("kw"))
+    return whole.unionByName(ports)
+
+
+def over_ceiling(rows: DataFrame) -> DataFrame:
+    """source, family, n_rows with a power, n_over their family's ceiling, most: the largest power."""
+    c = F.col
+    kw = rows.filter(~c("is_blank") & c("implied_kw").isNotNull())
+    return kw.groupBy("source", "family").agg(F.count("*").alias("n_rows"), F.count(F.when(c("implied_kw") > ceiling(c("family")), 1)).alias("n_over"), F.max("implied_kw").alias("most"))
+
+
+def span_figures(rows: DataFrame) -> DataFrame:
+    """One row per source with ends: what is odd in them, and the idle share of all connected minutes.
+
+    A row that lacks an instant counts among those over midnight and over a year's end.
+    """
+    c, n = F.col, lambda p, name: F.count(F.when(p, 1)).alias(name)
+    span, epoch = span_minutes(), F.coalesce(F.year("end_local") == 1970, F.lit(False))
+    other = lambda f: F.coalesce(f("start_local") != f("end_local"), F.lit(True))
+    return rows.filter(~c("is_blank") & c("has_end")).groupBy("source").agg(
+        n(c("end_local").isNull(), "end_null"), n(epoch, "end_in_1970"), n((span < 0) & ~epoch, "end_before_start"), n(span == 0, "end_at_start"),
+        n(span > 24 * 60, "over_24h"), n(span > 7 * 24 * 60, "over_7d"), n(other(F.to_date), "over_midnight"), n(other(F.year) & ~epoch, "over_new_year"),
+        (1 - F.sum("charging_minutes") / F.nullif(F.sum("reported_minutes"), F.lit(0.0))).alias("idle_share"),
+    )
+
+
+def hour_gaps(rows: DataFrame) -> DataFrame:
+    """source, year_month, n: sessions whose span is an hour off their recorded duration."""
+    gap = F.abs(span_minutes() - F.coalesce("reported_minutes", "charging_minutes"))
+    off = rows.filter(~F.col("is_blank") & gap.between(55, 65))
+    return off.groupBy("source", F.date_format("start_local", "yyyy-MM").alias("year_month")).agg(F.count("*").alias("n"))
+
+
+def names_and_sites(rows: DataFrame) -> DataFrame:
+    """source, n_sites, sites_with_several_names, n_names, names_at_several_sites, most_names: how names and sites belong together."""
+    pairs = rows.filter("station_name_raw is not null and site_key is not null").select("source", "site_key", "station_name_raw").distinct()
+    several = F.count(F.when(F.col("n") > 1, 1))
+    per = lambda by: pairs.groupBy("source", by).agg(F.count("*").alias("n")).groupBy("source")
+    sites = per("site_key").agg(F.count("*").alias("n_sites"), several.alias("sites_with_several_names"), F.max("n").alias("most_names"))
+    return sites.join(per("station_name_raw").agg(F.count("*").alias("n_names"), several.alias("names_at_several_sites")), "source")
+
+
+def largest_sites(rows: DataFrame, most: int = 8) -> DataFrame:
+    """source, place, site_key, n_names: the sites with most names, ties by site. Ranked within parts first."""
+    pairs = rows.filter("station_name_raw is not null and site_key is not null").select("source", "site_key", "station_name_raw").distinct()
+    sites = pairs.groupBy("source", "site_key").agg(F.count("*").alias("n_names")).withColumn("_part", F.pmod(F.xxhash64("site_key"), F.lit(PARTS)))
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n_names"), "site_key"))
+    best = sites.withColumn("place", rank("source", "_part")).filter(F.col("place") <= most)
+    return best.withColumn("place", rank("source")).filter(F.col("place") <= most).select("source", "place", "site_key", "n_names")
+
+
+def port_values(rows: DataFrame) -> DataFrame:
+    """source, port, n: rows of each port, ``<null>`` without one."""
+    return rows.filter("not is_blank").groupBy("source", F.coalesce("port_id", F.lit("<null>")).alias("port")).agg(F.count("*").alias("n"))
+
+
+def median_sessions(rows: DataFrame) -> DataFrame:
+    """source, median: sessions a station."""
+    per = rows.filter("not is_blank and station_name_raw is not null").groupBy("source", "station_name_raw").agg(F.count("start_local").alias("n"))
+    return quantiles.exact(per, ["source"], "n", [0.5]).select("source", F.col("value").alias("median"))
+
+
+def redelivered(rows: DataFrame, first: str, second: str, keys: list[str], columns: list[str]) -> DataFrame:
+    """column, compared, changed: cells that differ between two files' rows of equal keys (nulls are equal).
+
+    Each pair of rows with a key counts, as a join of the files would give them, but
+    none is formed: of a key's pairs, those that agree are the sums over values of
+    the product of both files' counts.
+    """
+    c = F.col
+    there = rows.filter(c("source_file").isin(first, second)).dropna(subset=keys)
+    cells = F.explode(F.array(*(F.struct(F.lit(n).alias("column"), c(n).cast("string").alias("value")) for n in columns)))
+    long = there.select(*(c(k).alias(f"_k{i}") for i, k in enumerate(keys)), (c("source_file") == first).cast("long").alias("_a"), cells.alias("_c"))
+    own = [f"_k{i}" for i in range(len(keys))]
+    values = long.groupBy(*own, "_c").agg(F.sum("_a").alias("a"), F.sum(1 - c("_a")).alias("b"))
+    pairs = values.groupBy(*own, c("_c.column").alias("column")).agg((F.sum("a") * F.sum("b")).alias("compared"), F.sum(c("a") * c("b")).alias("same"))
+    return pairs.groupBy("column").agg(F.sum("compared").alias("compared"), F.sum(c("compared") - c("same")).alias("changed"))

@@ -532,6 +532,80 @@ def source_figures(w):
     return source_profile.figures(w.rows)
 
 
+WHOLE_KEY = "NOT blank AND unit IS NOT NULL AND start_local IS NOT NULL AND (source = 'beta' OR (end_local IS NOT NULL AND energy_kwh IS NOT NULL)) AND (source <> 'gamma' OR port_id IS NOT NULL)"
+
+
+@query(f"SELECT source, count(*) AS n_groups, count(CASE WHEN idle THEN 1 END) AS with_idle_row, count(CASE WHEN high > low THEN 1 END) AS energy_differs FROM (SELECT source, bool_or(charging_minutes = 0 AND energy_kwh = 0) AS idle, min(energy_kwh) AS low, max(energy_kwh) AS high FROM judged WHERE {WHOLE_KEY} GROUP BY {KEY} HAVING count(*) > 1) GROUP BY 1")
+def key_conflicts(w):
+    """What sets the rows of one natural key apart."""
+    return source_profile.key_conflicts(w.rows)
+
+
+POWERS = "SELECT source, port_id, energy_kwh / (m / 60) AS kw FROM (SELECT *, CASE WHEN source = 'gamma' THEN reported_minutes ELSE charging_minutes END AS m FROM judged WHERE NOT blank) WHERE m > 0 AND energy_kwh IS NOT NULL"
+WANTED = (0.5, 0.9, 0.99, 0.999)
+
+
+@query(" UNION ALL ".join([*(f"SELECT source, NULL AS port, {q} AS q, round(quantile_cont(kw, {q}), 6) AS kw FROM ({POWERS}) GROUP BY 1" for q in WANTED), f"SELECT source, port_id, 0.5, round(quantile_cont(kw, 0.5), 6) FROM ({POWERS}) WHERE port_id IS NOT NULL GROUP BY 1, 2"]))
+def power_quantiles(w):
+    """Exact quantiles of each source's power, and the median of each port."""
+    return source_profile.powers(w.rows, WANTED).withColumn("kw", F.round("kw", 6))
+
+
+@query("SELECT source, family, count(*) AS n_rows, count(CASE WHEN implied_kw > CASE WHEN source <> 'gamma' THEN 20 WHEN family LIKE 'rapids%' THEN 55 ELSE 30 END THEN 1 END) AS n_over, round(max(implied_kw), 6) AS most FROM judged WHERE NOT blank AND implied_kw IS NOT NULL GROUP BY 1, 2")
+def power_over_ceiling(w):
+    return source_profile.over_ceiling(w.rows).withColumn("most", F.round("most", 6))
+
+
+SPAN = "((epoch_us(end_local) - epoch_us(start_local)) / 6e7)"
+
+
+@query("SELECT source, round(1 - sum(charging_minutes) / nullif(sum(reported_minutes), 0), 6) AS idle_share, " + counted(
+    end_null="end_local IS NULL", end_in_1970="year(end_local) = 1970", end_before_start=f"{SPAN} < 0 AND year(end_local) <> 1970", end_at_start=f"{SPAN} = 0", over_24h=f"{SPAN} > 1440", over_7d=f"{SPAN} > 10080",
+    over_midnight="coalesce(CAST(start_local AS DATE) <> CAST(end_local AS DATE), TRUE)", over_new_year="coalesce(year(start_local) <> year(end_local), TRUE) AND coalesce(year(end_local) <> 1970, TRUE)",
+) + " FROM judged WHERE NOT blank AND has_end GROUP BY 1")
+def span_figures(w):
+    """What is odd in the ends of each source's sessions."""
+    return source_profile.span_figures(w.rows).withColumn("idle_share", F.round("idle_share", 6))
+
+
+@query(f"SELECT source, strftime(start_local, '%Y-%m') AS year_month, count(*) AS n FROM judged WHERE NOT blank AND abs({GAP}) BETWEEN 55 AND 65 GROUP BY 1, 2")
+def hour_gaps(w):
+    return source_profile.hour_gaps(w.rows)
+
+
+PAIRS = "SELECT DISTINCT source, site_key, unit FROM judged WHERE unit IS NOT NULL AND site_key IS NOT NULL"
+
+
+@query(f"SELECT * FROM (SELECT source, count(*) AS n_sites, count(CASE WHEN n > 1 THEN 1 END) AS sites_with_several_names, max(n) AS most_names FROM (SELECT source, site_key, count(*) AS n FROM ({PAIRS}) GROUP BY 1, 2) GROUP BY 1) JOIN (SELECT source, count(*) AS n_names, count(CASE WHEN n > 1 THEN 1 END) AS names_at_several_sites FROM (SELECT source, unit, count(*) AS n FROM ({PAIRS}) GROUP BY 1, 2) GROUP BY 1) USING (source)")
+def names_and_sites(w):
+    return source_profile.names_and_sites(w.rows)
+
+
+@query(f"SELECT source, place, site_key, n_names FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_names DESC, site_key) AS place FROM (SELECT source, site_key, count(*) AS n_names FROM ({PAIRS}) GROUP BY 1, 2)) WHERE place <= 8")
+def largest_sites(w):
+    """The eight sites with most charge points of each source: a top-k report."""
+    return source_profile.largest_sites(w.rows)
+
+
+@query("SELECT source, coalesce(port_id, '<null>') AS port, count(*) AS n FROM judged WHERE NOT blank GROUP BY 1, 2")
+def port_values(w):
+    return source_profile.port_values(w.rows)
+
+
+@query("SELECT source, median(n) AS median FROM (SELECT source, unit, count(start_local) AS n FROM judged WHERE NOT blank AND unit IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
+def median_sessions(w):
+    return source_profile.median_sessions(w.rows)
+
+
+REDELIVERED = ("energy_kwh", "end_local", "reported_minutes")
+
+
+@query("WITH a AS (SELECT * FROM judged WHERE family = 'rapids'), b AS (SELECT * FROM judged WHERE family = 'rapids_anomalies') ".replace("WITH ", ", ") + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS compared, count(CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN 1 END) AS changed FROM a JOIN b ON a.unit = b.unit AND a.start_local = b.start_local" for c in REDELIVERED))
+def redelivered_cells(w):
+    """Cells that differ where a file delivers another one's sessions again."""
+    return source_profile.redelivered(w.rows, "rapids", "rapids_anomalies", ["station_name_raw", "start_local"], list(REDELIVERED))
+
+
 @query(f"""SELECT family AS source_family, bucket, count(*) AS n FROM (
     SELECT a.family, CASE WHEN len(q.reasons) > 0 AND q.reasons[1] <> 'natural_key_duplicate' THEN 'quarantined_' || q.reasons[1] WHEN r.raw = 'fasts' AND a.family = 'rapids_anomalies' THEN 'same_event_in_fasts_raw'
       WHEN r.raw IS NOT NULL THEN 'same_event_in_' || r.raw WHEN u.source IS NOT NULL THEN 'accepted_unexplained' ELSE 'other' END AS bucket
