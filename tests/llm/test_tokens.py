@@ -28,14 +28,26 @@ def test_trie_encodes_and_decodes_as_the_library(docs, texts, nothing):
 @pytest.mark.parametrize("parts", [1, 4])
 def test_files_round_trip(docs, texts, nothing, parts):
     ids, _ = ids_of("word_bpe_49k.json", texts)
-    at, expected = 0, []
-    for (i, t), x in sorted(zip(texts, ids), key=lambda p: (-(2**63) if p[0][0] is None else p[0][0], p[0][1] or "")):
+    expected = []
+    for (i, _), x in zip(texts, ids):
         x = np.append(x, 1).astype("<u4")
-        expected.append((i, at, len(x), zlib.crc32(x.tobytes())))
-        at += len(x)
+        expected.append((i, len(x), zlib.crc32(x.tobytes())))
     found = token_files.round_trip(docs, parts=parts)
-    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str) and token_files.round_trip(nothing).count() == 0
-    assert found.rdd.getNumPartitions() >= parts
+    own = sorted(map(tuple, found.collect()), key=lambda r: r[1])
+    assert sorted(((i, n, crc) for i, _, n, crc in own), key=str) == sorted(expected, key=str) and token_files.round_trip(nothing).count() == 0
+    assert [start for _, start, _, _ in own] == np.cumsum([0, *(n for _, _, n, _ in own)])[:-1].tolist()
+    order = [-(2**63) if i is None else i for i, _, _, _ in own]
+    assert order == sorted(order) and found.rdd.getNumPartitions() >= parts
+
+
+@pytest.mark.parametrize("text", ["'the same words'", "concat('text ', id)"])
+def test_an_id_of_a_third_of_the_rows_is_dealt_to_several_parts(spark, tmp_path, text):
+    docs = spark.range(3000).selectExpr("if(id < 1000, 1500, id) AS doc_id", f"{text} AS text").repartition(4)
+    folder = str(tmp_path / "files")
+    manifest = token_files.write_token_files(docs, folder, public_path("word_bpe_49k.json"), parts=12)
+    assert manifest.agg({"n_docs": "max"}).first()[0] < 600
+    own = sorted(map(tuple, token_files.read_token_files(spark, folder).collect()), key=lambda r: r[1])
+    assert [r[0] for r in own] == sorted(1500 if i < 1000 else i for i in range(3000))
 
 
 def test_reading_by_ranges_equals_the_map(tmp_path):

@@ -1,7 +1,7 @@
 """Token-id files: flat unsigned integers and 64-bit document offsets.
 
-Documents are dealt out by ranges of their id and sorted, so part k holds
-smaller ids than part k + 1. Each task streams its part into three files:
+Documents are dealt out by ranges of their id and sorted, so part k holds no
+larger ids than part k + 1. Each task streams its part into three files:
 
 - ``part-K.ids``: token ids, little-endian unsigned 16 or 32 bits, no header;
 - ``part-K.offsets``: little-endian signed 64-bit, one more than documents: the
@@ -19,8 +19,9 @@ them by bytes) unless their number is given.
 
 Defined results: null and empty texts are the end token alone; a null document
 id is written as the smallest 64-bit integer, comes first and is null again when
-read (that integer itself can't be an id); repeated ids are all written, texts in
-order; an empty table gives no rows; other columns are ignored.
+read (that integer itself can't be an id); repeated ids are all written, in the
+order of their texts' hashes, and an id or a text that very many rows share is
+dealt to several parts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -96,8 +97,12 @@ def write_token_files(
         yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [n_docs], "n_tokens": [n_tokens]})
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    dealt = narrow.repartitionByRange(parts, "doc_id") if parts else narrow.repartitionByRange("doc_id")
-    manifest = dealt.sortWithinPartitions("doc_id", "text").mapInArrow(run, MANIFEST)
+    # An id that very many rows share is dealt by its texts' hashes, and a text that very many of them share by the
+    # rows' numbers; these only tell equal rows apart, so the files are the same whatever they are.
+    hashed = narrow.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    keys = ("doc_id", "hash", "row")
+    dealt = hashed.repartitionByRange(parts, *keys) if parts else hashed.repartitionByRange(*keys)
+    manifest = dealt.sortWithinPartitions("doc_id", "hash").select("doc_id", "text").mapInArrow(run, MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")
 
