@@ -1,5 +1,6 @@
 import numpy as np
 
+from voltway.llm import common
 from voltway.llm import multiprobe as M
 
 SCHEMA = "vec_id long, embedding array<float>, score double, rank int, point string"
@@ -83,3 +84,22 @@ def test_few_and_no_vectors(spark):
     rows = [(0, [1.0, 0.0], 0.0, 1, "p"), (1, [0.5, 0.5], 0.0, 1, "p"), (20, [0.0, 1.0, 0.0], 0.0, 1, "p")]
     assert [tuple(r) for r in M.nearest(spark.createDataFrame(rows, SCHEMA)).collect()] == [(0, 1, 1, 0.5)]
     assert M.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_vector_that_a_third_of_the_queries_share(spark):
+    """Its queries find the smallest ids of its copies, and their joins are dealt to several slices."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 8)).astype(np.float32)
+    x[::3] = x[0]
+    found = {}
+    for r in M.nearest(spark.createDataFrame([(i, v.tolist(), 0.0, 1, "p") for i, v in enumerate(x)], SCHEMA)).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert set(found) == set(range(0, 900, 20)) and all(set(own) == set(range(1, 21)) for own in found.values())
+    s = x.astype(float) @ x[0].astype(float)
+    for q in range(0, 900, 60):
+        best = [i for i in np.lexsort((np.arange(900), -s)) if i != q][:20]
+        assert [found[q][r][0] for r in range(1, 21)] == best
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id")
+    joined = common.joined_in_slices(left, spark.range(0, 3000, 2).selectExpr("id AS k").union(spark.createDataFrame([(7,)], "k long")), "k", "id", 16)
+    plain = sorted((7 if i % 3 == 0 else i, i) for i in range(3000) if i % 3 == 0 or i % 2 == 0 or i == 7)
+    assert sorted(map(tuple, joined.select("k", "id").collect())) == plain

@@ -45,6 +45,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def joined_in_slices(left: DataFrame, right: DataFrame, on: str, by: str, slices: int = 256) -> DataFrame:
+    """Inner join with a ``right`` of one row a key, where very many rows of ``left`` may share one.
+
+    Rows of ``left`` are dealt to slices by ``by``, and ``right`` is copied to the
+    slices that its key has there, so that no key is one task.
+    """
+    dealt = left.withColumn("_slice", F.pmod(F.xxhash64(by), F.lit(slices)))
+    copies = right.join(dealt.select(on, "_slice").distinct(), on)
+    return dealt.join(copies, [on, "_slice"]).drop("_slice")
+
+
 def give_back() -> None:
     """Hand freed memory back to the system: a worker runs tasks of many kinds, and keeps what one needed most for ever otherwise."""
     pa.default_memory_pool().release_unused()

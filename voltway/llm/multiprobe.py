@@ -217,7 +217,8 @@ def nearest(
     classes = common.checkpointed(
         classes.select(F.col("ids")[0].alias("point"), "ids", "v", F.size("v").alias("dim"), pack("v").alias("vector"))
     )
-    asked = common.checkpointed(valid.filter(F.col("vec_id") % every == 0).join(classes.select("v", "point", "dim", "vector"), "v").select(F.col("vec_id").alias("query_id"), "point", "dim", "vector"))
+    own = valid.filter(F.col("vec_id") % every == 0)
+    asked = common.checkpointed(common.joined_in_slices(own, classes.select("v", "point", "dim", "vector"), "v", "vec_id").select(F.col("vec_id").alias("query_id"), "point", "dim", "vector"))
     largest = classes.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x, F.sqrt))).first()[0]
     if largest is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -254,7 +255,7 @@ def nearest(
         whole = points.select(F.lit(-1).alias("table"), "dim", F.lit("").alias("bucket"), "point", "vector")
         near = merged(near.unionByName(scored(whole, whole.groupBy(keys).agg(F.count("*").alias("n")), again)))
     lists = listed(near)
-    own = asked.select("query_id", F.col("point").alias("query")).join(lists, "query")
+    own = common.joined_in_slices(asked.select("query_id", F.col("point").alias("query")), lists, "query", "query_id")
     others = own.select("query_id", F.posexplode(F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)))
     return others.select("query_id", (F.col("pos") + 1).alias("rank"), "col.vec_id", "col.score")
 
