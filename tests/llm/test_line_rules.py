@@ -58,3 +58,62 @@ def test_lines_in_many_places_are_boilerplate_and_lines_of_copies_are_not(spark)
     found = {r["doc_id"]: r for r in L.judged(docs).collect()}
     assert found[0]["removed_by"] == "boilerplate" and found[0]["n_removed_words"] == 5 and found[100]["removed_by"] == ""
     assert L.common_lines(docs.limit(0)) == frozenset()
+
+
+def line_fails(line):
+    """The line rules read from the docstring, over characters."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", line)
+    n, low = len(words), line.lower()
+    marks = len(re.findall(r"[#*$%&|<>]", line))
+    bars = [w for w in words if w in ("|", "»", "›", "•", "·")]
+    menus = [low.count(s) for s in "»›•·"]
+    return (
+        (marks > 0 and n >= 4 and (len(bars) >= 3 and 4 * len(bars) >= n or 3 * marks >= n))
+        or (n >= 4 and 2 * len([w for w in words if re.search(r"(!!|\?\?|\.\.\.)$", w)]) > n)
+        or (max(menus) >= 3 and 14 * sum(menus) >= n)
+        or 0 < n <= 40 * len(re.findall("|".join(L.BOILERPLATE), low))
+    )
+
+
+def kept_texts(texts):
+    """(verdict, removed words, cleaned text) of each text, by plain walks over all of them."""
+    strip = lambda line: line.strip(" \t\n\r\x0b\x0c")
+    places = {}
+    for text in texts:
+        own = [strip(x) for x in (text or "").split("\n") if strip(x)]
+        for i, line in enumerate(own):
+            places.setdefault(line, set()).add((own[i - 1] if i else None, own[i + 1] if i + 1 < len(own) else None))
+    common = {line for line, at in places.items() if len(at) >= max(20, 0.01 * len(texts))}
+    for text in texts:
+        lines, stays, lost = (text or "").split("\n"), [], 0
+        for i, line in enumerate(lines):
+            n = len(re.findall(r"[^\x20\x09-\x0D]+", line))
+            if n and (n >= 3 and line in lines[:i] or line_fails(line) or strip(line) in common):
+                lost += n
+            else:
+                stays.append(line)
+        n, *_, again = measures(text)
+        yield n >= 50 and 100 * again <= 50 * n and lost <= 0.4 * n, lost, "\n".join(stays)
+
+
+def test_verdicts_and_cleaned_texts_equal_brute_force(spark):
+    """Lines of all kinds, put together at random: verdicts, removed words and cleaned texts of a plain walk."""
+    import random
+
+    rng = random.Random(11)
+    words = [f"{a}{b}" for a in ("na", "tü", "ker", "so") for b in ("la", "men", "st", "i", "x9")]
+    odd = ["Home | About | News | Shop", "Start » Shop » Cart » Pay", "one » two » three", "Read our Privacy Policy here", "buy!! now!! cheap!! today", "so... he... went... away... then",
+           "# * $ price", "a b c d | e | f | g", "• first • second • third thing", "  the banner of the site\t", "the banner of the site", "Lorem ipsum dolor " + "word " * 60, "a & b & c & d", "?? !! ..."]
+    texts = [None, "", "\n \n"]
+    for _ in range(300):
+        lines = [" ".join(rng.choices(words, k=rng.randrange(3, 14))) + rng.choice([".", "", "!", "..."]) for _ in range(rng.randrange(3, 14))]
+        for _ in range(rng.choice([0, 1, 2, 6])):
+            lines.insert(rng.randrange(len(lines) + 1), rng.choice([*odd, "", " ", lines[0]]))
+        texts.append("\n".join(lines))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = list(kept_texts(texts))
+    found = {r["doc_id"]: (r["kept"], r["n_removed_words"]) for r in L.judged(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == [(k, n) for k, n, _ in expected]
+    assert {r["doc_id"]: r["text"] for r in L.cleaned(docs).collect()} == {i: t for i, (k, _, t) in enumerate(expected) if k}
+    verdicts = [k for k, _, _ in expected]
+    assert 40 < sum(verdicts) < 260 and L.line_hash(b"the banner of the site") in L.common_lines(docs)
