@@ -201,7 +201,7 @@ def largest_sites(rows: DataFrame, most: int = 8) -> DataFrame:
     sites = pairs.groupBy("source", "site_key").agg(F.count("*").alias("n_names")).withColumn("_part", F.pmod(F.xxhash64("site_key"), F.lit(PARTS)))
     rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n_names"), "site_key"))
     best = sites.withColumn("place", rank("source", "_part")).filter(F.col("place") <= most)
-    return best.withColumn("place", rank("source")).filter(F.col("place") <= most).select("source", "place", "site_key", "n_names")
+    return best.withColumn("place", rank("source")).filter(F.col("place") <= most).select("source", F.col("place").cast("long").alias("place"), "site_key", "n_names")
 
 
 def port_values(rows: DataFrame) -> DataFrame:

@@ -545,7 +545,7 @@ POWERS = "SELECT source, port_id, energy_kwh / (m / 60) AS kw FROM (SELECT *, CA
 WANTED = (0.5, 0.9, 0.99, 0.999)
 
 
-@query(" UNION ALL ".join([*(f"SELECT source, NULL AS port, {q} AS q, round(quantile_cont(kw, {q}), 6) AS kw FROM ({POWERS}) GROUP BY 1" for q in WANTED), f"SELECT source, port_id, 0.5, round(quantile_cont(kw, 0.5), 6) FROM ({POWERS}) WHERE port_id IS NOT NULL GROUP BY 1, 2"]))
+@query(" UNION ALL ".join([*(f"SELECT source, NULL AS port, CAST({q} AS DOUBLE) AS q, round(quantile_cont(kw, {q}), 6) AS kw FROM ({POWERS}) GROUP BY 1" for q in WANTED), f"SELECT source, port_id, CAST(0.5 AS DOUBLE), round(quantile_cont(kw, 0.5), 6) FROM ({POWERS}) WHERE port_id IS NOT NULL GROUP BY 1, 2"]))
 def power_quantiles(w):
     """Exact quantiles of each source's power, and the median of each port."""
     return source_profile.powers(w.rows, WANTED).withColumn("kw", F.round("kw", 6))
