@@ -19,7 +19,8 @@ def exact(df: DataFrame, keys: list[str], value: str, wanted: list[float], range
     Equal values are counted first, so a value that many rows share is one row.
     """
     own = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v")).groupBy(*keys, "v").agg(F.count("*").alias("n"))
-    cuts = own.groupBy(*keys).agg(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 1000).alias("cuts"), F.sum("n").alias("total"))
+    # Computed once and kept (one row a group): sketches merge in any order, and counts by one set of cuts don't fit rows dealt by another.
+    cuts = own.groupBy(*keys).agg(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 1000).alias("cuts"), F.sum("n").alias("total")).localCheckpoint()
     dealt = own.join(cuts, keys).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
     sizes = dealt.groupBy(*keys, "total", "range").agg(F.sum("n").alias("own"))
     bases = sizes.withColumn("before", F.sum("own").over(Window.partitionBy(*keys).orderBy("range")) - F.col("own"))  # at most RANGES rows a group
