@@ -136,3 +136,10 @@ def test_samples_are_the_first_met_in_a_file(spark, tmp_path):
     for at, name in enumerate("nt"):
         texts = [x.split(",")[at].strip() for x in lines]
         assert [found.get((name, k)) for k in range(1, 6)] == (list(dict.fromkeys(t for t in texts if t)) + [None] * 5)[:5]
+
+
+def test_measures_are_not_shuffled_with_the_marks(spark):
+    rows = S.typed(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    judged = S.judged(rows)._jdf.queryExecution().optimizedPlan().toString()
+    below = judged[judged.index("Join LeftOuter"):]
+    assert "implied_kw" not in below and "connected_minutes" not in below
