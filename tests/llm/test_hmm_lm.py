@@ -81,3 +81,26 @@ def test_edges(docs, texts, nothing):
     rows = M.scored(docs).collect()
     assert len(rows) == len(texts) and all(r["score"] <= 0 and r["n_tokens"] >= 1 for r in rows)
     assert M.scored(nothing).count() == 0
+
+
+def test_steps_stand_together_and_scaling_now_and_then_loses_nothing():
+    """A step's emissions are columns side by side, so a step is a few array calls; very unlikely words between scalings don't underflow."""
+    h, rng = model(symbols=40, seed=3), np.random.default_rng(4)
+    h.emits[rng.random(h.emits.shape) < 0.5] *= 1e-30
+    h.moves[rng.random(h.moves.shape) < 0.5] *= 1e-12
+    lengths = np.array([1, 37, 500, 500, 3])
+    symbols = rng.integers(0, 40, lengths.sum()).astype(np.uint16)
+    steps, starts = M.Steps.of(h, symbols, lengths), np.cumsum(lengths) - lengths
+    for t, (n, end) in enumerate(zip(steps.active, steps.ends)):
+        own = symbols[starts[steps.order[:n]] + t]
+        assert np.array_equal(steps.own[end - n : end], own) and np.allclose((steps.peaks[own] * steps.shares[:, end - n : end]).T, h.emits[own], rtol=1e-12, atol=0)
+    found = M.log10_likelihoods(h, symbols, lengths)
+    for i, n in enumerate(lengths):
+        state, total = h.start, 0.0
+        for t, w in enumerate(symbols[starts[i] : starts[i] + n]):
+            state = (state if t == 0 else state @ h.moves) * h.emits[w]
+            total += math.log10(state.sum())
+            state = state / state.sum()
+        assert math.isclose(found[i], total, rel_tol=1e-9)
+    a, b, c = M.expected(h, symbols, lengths)
+    assert np.isclose(a.sum(), len(lengths)) and np.isclose(b.sum(), (lengths - 1).sum()) and np.isclose(c.sum(), lengths.sum())

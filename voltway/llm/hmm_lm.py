@@ -50,6 +50,8 @@ LENGTHS = (128, 512, 2048)
 PRIOR = 10_000.0
 MOST_WORDS = 250_000
 SLICE_TOKENS = 600_000
+#: Recursions are scaled at every so many steps.
+SCALED = 4
 MARKS = b".,;:!?*%&$#|()\"'"
 
 
@@ -235,51 +237,97 @@ def by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(-lengths[order], -np.arange(longest), side="left")
 
 
+def columns(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The columns ``at`` (all within ``rows``), gathered row by row."""
+    out = np.empty((len(rows), len(at)))
+    for row, own in zip(rows, out, strict=True):
+        np.take(row, at, out=own, mode="clip")  # the other modes copy what they have taken
+    return out
+
+
+@dataclass
+class Steps:
+    """Sequences laid out step by step, longest first, so that a step's columns stand together.
+
+    ``peaks`` (symbols) is each symbol's largest emission and ``shares`` (K, tokens)
+    the emissions as shares of it: recursions over shares shrink slowly, so few
+    steps need scaling, and what is divided by the peaks cancels or is added back.
+    """
+
+    order: np.ndarray
+    active: list[int]
+    ends: list[int]
+    column: np.ndarray
+    last: np.ndarray
+    own: np.ndarray
+    peaks: np.ndarray
+    shares: np.ndarray
+
+    @classmethod
+    def of(cls, model: Hmm, symbols: np.ndarray, lengths: np.ndarray) -> Steps:
+        order, active = by_length(lengths)
+        at = (np.cumsum(lengths) - lengths)[order]
+        step = np.repeat(np.arange(len(active)), active)
+        ends = np.cumsum(active)
+        column = np.arange(len(step)) - (ends - active)[step]
+        own = symbols[at[column] + step]
+        rows = np.ascontiguousarray(model.emits.T)
+        peaks = rows.max(0)
+        return cls(order, active.tolist(), ends.tolist(), column, column >= np.append(active[1:], 0)[step], own, peaks, columns(rows / peaks, own))
+
+
 def log10_likelihoods(model: Hmm, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Exact log10 probability of each sequence by the scaled forward recursion."""
-    order, active = by_length(lengths)
-    at = (np.cumsum(lengths) - lengths)[order]
-    total = np.zeros(len(lengths))
-    state = None
-    for t, n in enumerate(active.tolist()):
-        seen = model.emits[symbols[at[:n] + t]]
-        state = (model.start if t == 0 else state[:n] @ model.moves) * seen
-        scale = state.sum(1)
-        total[:n] += np.log10(scale)
-        state /= scale[:, None]
+    steps = Steps.of(model, symbols, lengths)
+    total = np.bincount(steps.column, np.log10(steps.peaks)[steps.own], len(lengths))
+    ahead, state = np.ascontiguousarray(model.moves.T), None
+    for t, (n, end) in enumerate(zip(steps.active, steps.ends, strict=True)):
+        own = steps.shares[:, end - n : end]
+        state = own * (model.start[:, None] if t == 0 else ahead @ state[:, :n])
+        after = steps.active[t + 1] if t + 1 < len(steps.active) else 0
+        first = 0 if t % SCALED == 0 else after
+        if first < n:  # those that end here, or all
+            scale = state[:, first:].sum(0)
+            state[:, first:] /= scale
+            total[first:n] += np.log10(scale)
     out = np.empty(len(lengths))
-    out[order] = total
+    out[steps.order] = total
     return out
 
 
 def expected(model: Hmm, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts of starts, moves and emissions over sequences."""
-    order, active = by_length(lengths)
-    at = (np.cumsum(lengths) - lengths)[order]
-    forward, scales, seen = [], [], []
-    state = None
-    for t, n in enumerate(active.tolist()):
-        seen.append(model.emits[symbols[at[:n] + t]])
-        state = (model.start if t == 0 else state[:n] @ model.moves) * seen[t]
-        scales.append(state.sum(1, keepdims=True))
-        state = state / scales[t]
-        forward.append(state)
-    moves = np.zeros((STATES, STATES))
-    ahead = np.zeros((0, STATES))
-    kinds, weights = [], []
-    for t in range(len(forward) - 1, -1, -1):
-        n = len(forward[t])
-        back = np.ones((n, STATES))
-        if len(ahead):
-            back[: len(ahead)] = ahead @ model.moves.T
-            moves += forward[t][: len(ahead)].T @ ahead
-        kinds.append(symbols[at[:n] + t])
-        weights.append(forward[t] * back)
-        ahead = seen[t] * back / scales[t]
-    kinds, weights = np.concatenate(kinds), np.concatenate(weights)
-    starts = weights[-len(forward[0]) :].sum(0)
-    emissions = np.stack([np.bincount(kinds, weights[:, k], len(model.emits)) for k in range(STATES)], 1)
-    return starts, moves * model.moves, emissions
+    steps = Steps.of(model, symbols, lengths)
+    shares = steps.shares
+    ahead, forward, before = np.ascontiguousarray(model.moves.T), np.empty_like(shares), 0
+    for t, (n, end) in enumerate(zip(steps.active, steps.ends, strict=True)):
+        now = forward[:, end - n : end]
+        if t == 0:
+            np.multiply(model.start[:, None], shares[:, :n], out=now)
+        else:
+            np.matmul(ahead, forward[:, before : before + n], out=now)
+            now *= shares[:, end - n : end]
+        if t % SCALED == 0:
+            now /= now.sum(0)
+        before = end - n
+    # ``shares`` become what a step's emissions and all after them weigh.
+    back = np.ones_like(shares)
+    for t in range(len(steps.active) - 1, -1, -1):
+        n, end = steps.active[t], steps.ends[t]
+        if t + 1 < len(steps.active):
+            more = steps.active[t + 1]
+            np.matmul(model.moves, shares[:, end : end + more], out=back[:, end - n : end - n + more])
+        now = shares[:, end - n : end]
+        now *= back[:, end - n : end]
+        if t % SCALED == 0:
+            now /= now.sum(0)
+    scale = 1 / np.einsum("kn,kn->n", forward, back)
+    forward *= scale
+    back *= forward
+    first = steps.active[0]
+    moves = columns(forward, np.flatnonzero(~steps.last)) @ shares[:, first:].T  # a token's next one is the first that isn't paired yet
+    emissions = np.stack([np.bincount(steps.own, row, len(model.emits)) for row in back], 1)
+    return back[:, :first].sum(1), moves * model.moves, emissions
 
 
 def sequences(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
