@@ -60,3 +60,20 @@ def test_unknown_end_is_accepted_and_first_reason_wins(spark):
     found = df.select(rules.failing(rules.quarantine_rules()).alias("all"), rules.primary(rules.quarantine_rules()).alias("first")).first()
     assert found["all"] == ["natural_key_duplicate", "negative_energy", "energy_sentinel", "charging_exceeds_connected"]
     assert found["first"] == "natural_key_duplicate"
+
+
+def test_zones_in_a_column_are_constants_of_the_plan_and_convert_as_by_name(spark):
+    """Looking a zone up by its name for every value costs more than the conversion; other zones still work."""
+    zones = [*C.ZONES, "Asia/Kolkata"]
+    changes = ["2024-03-10", "2024-03-31", "2024-10-27", "2024-11-03"]
+    hours = spark.createDataFrame([(d, z) for d in changes for z in zones], "d string, zone string").select(
+        F.explode(F.expr("sequence(cast(d as timestamp), timestampadd(HOUR, 5, cast(d as timestamp)), interval 30 minutes)")).alias("ts"), "zone"
+    )
+    kinds = {"utc": C.local_to_utc, "local": C.utc_to_local, "gap": C.is_nonexistent_local, "twice": C.is_ambiguous_local}
+    found = hours.select("ts", "zone", *(f("ts", F.col("zone")).alias(n) for n, f in kinds.items()))
+    rows = {(r["ts"], r["zone"]): r[2:] for r in found.collect()}
+    for zone in zones:
+        for r in hours.filter(F.col("zone") == zone).select("ts", *(f("ts", zone).alias(n) for n, f in kinds.items())).collect():
+            assert rows[r["ts"], zone] == r[1:]
+    plan = hours.select(C.first_utc(F.col("ts"), F.col("zone")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert all(z in plan for z in C.ZONES)
