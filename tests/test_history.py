@@ -143,3 +143,29 @@ def test_measures_are_not_shuffled_with_the_marks(spark):
     judged = S.judged(rows)._jdf.queryExecution().optimizedPlan().toString()
     below = judged[judged.index("Join LeftOuter"):]
     assert "implied_kw" not in below and "connected_minutes" not in below
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_marks_with_kept_steps_shuffle_no_wide_rows_where_repeats_are_few(spark, tmp_path, monkeypatch, few):
+    """Marks equal those without kept steps, whether the steps are small or not; small ones leave the wide rows where they are."""
+    monkeypatch.setattr(S, "FEW", few)
+
+    def keep(name, made):
+        made.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(made.schema).parquet(f"{tmp_path}/{name}")
+
+    rng = random.Random(3)
+    rows = [(i, "st"[i % 2], rng.choice(["blank", None, f"r{rng.randrange(900)}"]), rng.choice([None, f"k{rng.randrange(700)}"]), float(rng.randrange(5)), None, "f", "w" * 50) for i in range(2000)]
+    df = spark.createDataFrame(rows, "object_id long, source string, row_hash string, key_hash string, order_1 double, order_2 double, source_file string, wide string").repartition(6)
+    flags = lambda found: sorted((r["object_id"], r["is_exact_repeat"], r["is_key_repeat"]) for r in found.collect())
+    found = S.marked(df, keep)
+    assert flags(found) == flags(S.marked(df)) and sum(r[1] for r in flags(found)) > 500
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        plan = found.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert ("BroadcastHashJoin" in plan) == (few > 0) and ("SortMergeJoin" in plan) == (few == 0)
