@@ -3,11 +3,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from voltway.operators import compare, profiling
+from voltway.operators import compare, gold, profiling
 from voltway.operators import sessions as S
 from voltway.operators import source_profile as P
 from voltway.sources import files as fs
 from voltway.sources.history import History
+from voltway.sources.warehouse import Warehouse
 
 ROWS = "k string, v string, as_of int"
 
@@ -169,3 +170,34 @@ def test_marks_with_kept_steps_shuffle_no_wide_rows_where_repeats_are_few(spark,
         for k, v in before.items():
             spark.conf.set(k, v)
     assert ("BroadcastHashJoin" in plan) == (few > 0) and ("SortMergeJoin" in plan) == (few == 0)
+
+
+def test_marks_of_many_repeats_whose_ids_lie_close_shuffle_no_wide_rows(spark, tmp_path, monkeypatch):
+    """More repeats than are broadcast by themselves: as maps of ids, below zero, in several spans and absent ones."""
+    monkeypatch.setattr(S, "FEW", 20 * S.ROWS_A_MAP)
+
+    def keep(name, made):
+        made.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(made.schema).parquet(f"{tmp_path}/{name}")
+
+    rng = random.Random(5)
+    at = lambda i: 13 * i - 6_000 + 10**9 * (i % 5 == 0)
+    rows = [(at(i), "st"[i % 2], rng.choice([None, f"r{rng.randrange(200)}"]), rng.choice([None, f"k{rng.randrange(150)}"]), float(rng.randrange(5)), None, "f", "w") for i in range(2000)]
+    rows += [(None, "s", f"alone{i}", f"alone{i}", 0.0, None, "f", "w") for i in range(3)]
+    df = spark.createDataFrame(rows, "object_id long, source string, row_hash string, key_hash string, order_1 double, order_2 double, source_file string, wide string").repartition(6)
+    flags = lambda found: sorted(((r["object_id"], r["is_exact_repeat"], r["is_key_repeat"]) for r in found.collect()), key=str)
+    found = S.marked(df, keep)
+    assert flags(found) == flags(S.marked(df)) and sum(r[1] + r[2] for r in flags(found)) > S.FEW
+    plan = found.select("*")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_map" in plan and "strategy=broadcast" in plan
+
+
+def test_the_fact_needs_no_silver_written_and_converts_no_time_twice(spark, tmp_path):
+    w = Warehouse(spark, spark.read.parquet("/root/testdata/sf0.001/events.parquet"), str(tmp_path / "w"))
+    fact = w.fact
+    assert not (tmp_path / "w" / "silver" / "sessions").exists()
+    conversions = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("to_utc_timestamp")
+    assert conversions(S.unioned(w.told)) == conversions(w.told)
+    stored = gold.session_fact(w.sessions, w.files)
+    assert (tmp_path / "w" / "silver" / "sessions").exists()
+    assert fact.exceptAll(stored).isEmpty() and stored.exceptAll(fact).isEmpty()
