@@ -42,3 +42,16 @@ def test_halves_of_published_hours_round_up(spark, tmp_path):
     ours, theirs = compared(spark, str(tmp_path), "delivered_fact")
     assert ours == theirs
     assert sum("122.88" in r for r in ours) > 20
+
+
+#: Sessions alike but for the site or a second, of every source and family: which of them counts, its texts say. Ids are 12 apart, so that 40 of each class lie close together.
+TIES = """SELECT 2000000 + 12 * (2 * i + j) + c AS event_id, TIMESTAMP '2024-01-05' + INTERVAL (i) HOUR AS ts, i AS user_id, ['view', 'click', 'purchase', 'error', 'signup'][(i + j) % 5 + 1] AS event_type,
+  37.5 AS value, '{"k": 1}' AS props FROM range(40) r(i), range(2) s(j), range(12) u(c)"""
+
+
+def test_texts_say_which_of_landed_repeats_counts(spark, tmp_path):
+    """In any number of files a family."""
+    duckdb.sql(f"COPY ({EVENTS.format(4)} UNION ALL {TIES}) TO '{tmp_path}/events.parquet' (ROW_GROUP_SIZE 2048)")
+    ours, theirs = compared(spark, str(tmp_path), "delivered_fact")
+    assert ours == theirs
+    assert {r["family"] for r in entry.queries()["delivered_fact"](spark, str(tmp_path)).filter("start_s >= unix_timestamp(timestamp'2024-03-06')").select("family").distinct().collect()} == {"alpha", "beta", "rapids", "rapids_anomalies", "fasts", "fasts_anomalies"}
