@@ -177,3 +177,13 @@ def test_sensitivity_covers_every_definition_and_rule(spark):
         (rule, d, s, f) for rule in ("non_trivial_only", "all_sessions") for d in definitions for s in sources for f in ("connected", "charging")
     } and len(found) == 32 * len(sources)
     assert all((r["over_full"] is None) == (r["with_measure"] == 0) == (r["utilization"] is None) for r in found)
+
+
+def test_days_are_counted_at_every_level(spark):
+    """Not at eight only: eleven at once on five days, thirteen on one."""
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    levels = spark.createDataFrame([("a", day(n), 11 if n < 5 else 13) for n in range(6)] + [("b", day(0), 2)], "station_key string, day date, level int")
+    found = {(r["station_key"], r["level"]): r["days"] for r in I.days_at_level(levels).collect()}
+    assert found == {("a", k): 6 if k <= 11 else 1 for k in range(1, 14)} | {("b", 1): 1, ("b", 2): 1}
+    assert {tuple(r) for r in I.robust_max(I.days_at_level(levels), 5).collect()} == {("a", 11, 13), ("b", None, 2)}
+    assert {tuple(r) for r in I.robust_max(I.days_at_level(levels, most=I.MOST_LEVELS), 5).collect()} == {("a", 8, 8), ("b", None, 2)}

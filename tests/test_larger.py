@@ -55,3 +55,18 @@ def test_texts_say_which_of_landed_repeats_counts(spark, tmp_path):
     ours, theirs = compared(spark, str(tmp_path), "delivered_fact")
     assert ours == theirs
     assert {r["family"] for r in entry.queries()["delivered_fact"](spark, str(tmp_path)).filter("start_s >= unix_timestamp(timestamp'2024-03-06')").select("family").distinct().collect()} == {"alpha", "beta", "rapids", "rapids_anomalies", "fasts", "fasts_anomalies"}
+
+
+#: Sixteen sessions of five hours at once, but for the faulty, at one of beta's stations, on six days.
+BUSY = "SELECT 3000000 + 3 * (100 * i + j) + 1 AS event_id, TIMESTAMP '2024-01-05' + INTERVAL (i) DAY + INTERVAL (j) MINUTE AS ts, 5 AS user_id, 'view' AS event_type, 300.0 AS value, '{\"k\": 1}' AS props FROM range(6) r(i), range(16) s(j)"
+
+
+def test_stations_have_as_many_ports_as_ran_at_once(spark, tmp_path):
+    """More than eight."""
+    duckdb.sql(f"COPY ({EVENTS.format(1)} UNION ALL {BUSY}) TO '{tmp_path}/events.parquet'")
+    ours, theirs = compared(spark, str(tmp_path), "stations_as_of")
+    assert ours == theirs
+    found = {r["station_key"]: r["ports"] for r in entry.queries()["stations_as_of"](spark, str(tmp_path)).collect()}
+    assert found["beta/Garage 5"] >= 12
+    ours, theirs = compared(spark, str(tmp_path), "station_history")
+    assert ours == theirs
